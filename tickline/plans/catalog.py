@@ -106,3 +106,149 @@ def q_bars_1min_all(spark, sf_dir):
     """1-minute bars over every tick (the SQL view's semantics)."""
     from tickline.operators.bars import bars_all
     return bars_all(_ticks(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# 2.5 the opening-range study
+# ---------------------------------------------------------------------------
+from tickline.plans.oracle_study import DRIVER_PARAMS, study_ctes  # noqa: E402
+
+STUDY_KEYS = "contract, date"
+
+
+def study_sql(body: str) -> str:
+    return with_ticks(body, *study_ctes(DRIVER_PARAMS))
+
+
+def _study(spark, sf_dir):
+    from tickline.operators.clean import clean_ticks
+    from tickline.operators.orb import Study
+    ticks = clean_ticks(_ticks(spark, sf_dir)).withColumn("contract", F.lit("ES"))
+    return Study(ticks, DRIVER_PARAMS)
+
+
+TRADE_SELECT = ("contract, date, direction, or_high, or_low, or_width, daily_high, daily_low, mfe, mae, "
+                "s1_vol_pnl, s1_vol_trig, s2_short_pnl, s2_short_trig, s3_fade_pnl, s3_fade_trig, "
+                "s4_time_pnl, s4_time_trig, s5_master_pnl, s5_master_trig")
+
+
+@register("trade_results", study_sql(f"SELECT {TRADE_SELECT} FROM final"))
+def q_trade_results(spark, sf_dir):
+    """Full trade table: one row per day with a breakout."""
+    return _study(spark, sf_dir).trades()
+
+
+@register("session_levels", study_sql("""
+SELECT d.contract, d.session_date AS date, c.n_day, c.n_or, d.or_high, d.or_low,
+       d.or_high - d.or_low AS or_width, d.daily_high, d.daily_low
+FROM days d JOIN (
+  SELECT contract, session_date, count(*) AS n_day,
+         count(*) FILTER (WHERE tod >= {S} AND tod <= {ORE}) AS n_or
+  FROM px2 GROUP BY ALL) c USING (contract, session_date)""".format(
+    S=DRIVER_PARAMS.t_start, ORE=DRIVER_PARAMS.t_or_end)))
+def q_session_levels(spark, sf_dir):
+    lv = _study(spark, sf_dir).levels.df
+    return lv.select("contract", F.col("session_date").alias("date"), "n_day", "n_or",
+                     "or_high", "or_low", "or_width", "daily_high", "daily_low")
+
+
+@register("session_slices", study_sql("""
+SELECT x.contract, x.session_date AS date, x.et, x.record_no, x.price,
+       (x.tod >= {S} AND x.tod <= {ORE}) AS in_or,
+       (x.tod >= {S} AND x.tod <= {E}) AS in_rth,
+       (x.tod > {ORE} AND x.tod <= {E}) AS post_or
+FROM px2 x SEMI JOIN days d ON x.contract = d.contract AND x.session_date = d.session_date""".format(
+    S=DRIVER_PARAMS.t_start, ORE=DRIVER_PARAMS.t_or_end, E=DRIVER_PARAMS.t_end)))
+def q_session_slices(spark, sf_dir):
+    s = _study(spark, sf_dir).slices()
+    return s.select("contract", F.col("session_date").alias("date"), "et", "record_no", "price",
+                    "in_or", "in_rth", "post_or")
+
+
+@register("first_breakout", study_sql("""
+SELECT contract, session_date AS date, direction,
+       CASE WHEN direction = 'Long' THEN t_up WHEN direction = 'Short' THEN t_down END AS entry_time,
+       CASE WHEN direction = 'Long' THEN or_high WHEN direction = 'Short' THEN or_low END AS entry_price
+FROM dirs"""))
+def q_first_breakout(spark, sf_dir):
+    b = _study(spark, sf_dir).breakout.df
+    return b.select("contract", F.col("session_date").alias("date"), "direction", "entry_time", "entry_price")
+
+
+@register("trade_path", study_sql("""
+SELECT contract, session_date AS date, et, record_no, price, direction FROM path"""))
+def q_trade_path(spark, sf_dir):
+    s = _study(spark, sf_dir)
+    return s.path.select("contract", F.col("session_date").alias("date"), "et", "record_no", "price", "direction")
+
+
+@register("mfe_mae", study_sql("SELECT contract, date, direction, mfe, mae FROM final"))
+def q_mfe_mae(spark, sf_dir):
+    return _study(spark, sf_dir).trades().select("contract", "date", "direction", "mfe", "mae")
+
+
+@register("strategy_s0", study_sql("SELECT contract, date, s0_base_pnl, TRUE AS s0_base_trig FROM results"))
+def q_strategy_s0(spark, sf_dir):
+    """Documented-only baseline: unfiltered 30/25 first touch, no time stop."""
+    return _study(spark, sf_dir).trades_all().select("contract", "date", "s0_base_pnl", "s0_base_trig")
+
+
+def _strategy_query(prefix):
+    def q(spark, sf_dir):
+        return _study(spark, sf_dir).trades().select("contract", "date", f"{prefix}_pnl", f"{prefix}_trig")
+    return q
+
+
+for _n, _prefix in [("strategy_s1", "s1_vol"), ("strategy_s2", "s2_short"), ("strategy_s3", "s3_fade"),
+                    ("strategy_s4", "s4_time"), ("strategy_s5", "s5_master")]:
+    register(_n, study_sql(f"SELECT contract, date, {_prefix}_pnl, {_prefix}_trig FROM final"))(
+        _strategy_query(_prefix))
+
+
+@register("session_summary", study_sql("""
+SELECT contract, session_date AS date, coalesce(direction, 'Inside') AS direction,
+       or_high, or_low, or_width, daily_high, daily_low,
+       printf('%7.2f / %-7.2f', or_high, or_low) AS or_levels,
+       printf('%7.2f / %-7.2f', daily_high, daily_low) AS day_levels
+FROM dirs"""))
+def q_session_summary(spark, sf_dir):
+    return _study(spark, sf_dir).summary()
+
+
+RISK_SQL = """
+SELECT direction, target, count(*) AS trades,
+       count(*) FILTER (WHERE mfe >= target) AS winners,
+       (CAST(count(*) FILTER (WHERE mfe >= target) AS DOUBLE) / count(*)) * 100.0 AS win_rate,
+       avg(mae) FILTER (WHERE mfe >= target) AS avg_mae,
+       quantile_cont(mae, 0.9) FILTER (WHERE mfe >= target) AS p90_mae
+FROM final, (SELECT unnest([4.0, 7.5, 10.0, 15.0, 20.0]) AS target) t
+GROUP BY direction, target"""
+
+
+@register("risk_by_target", study_sql(RISK_SQL))
+def q_risk_by_target(spark, sf_dir):
+    from tickline.operators.reports import risk_by_target
+    return risk_by_target(_study(spark, sf_dir).trades(), DRIVER_PARAMS.targets)
+
+
+COMPARE_SQL = """
+SELECT strategy,
+  CASE WHEN count(*) FILTER (WHERE trig) > 0
+       THEN (CAST(count(*) FILTER (WHERE trig AND pnl > 0) AS DOUBLE) / count(*) FILTER (WHERE trig)) * 100.0 END AS win_rate,
+  CASE WHEN count(*) FILTER (WHERE trig) > 0 THEN sum(pnl) FILTER (WHERE trig) END AS total_pts,
+  CASE WHEN count(*) FILTER (WHERE trig) > 0
+       THEN sum(pnl) FILTER (WHERE trig) / count(*) FILTER (WHERE trig) END AS avg_trade,
+  count(*) FILTER (WHERE trig) AS n
+FROM (
+  SELECT 'S1: Vol Filter (<5pt)' AS strategy, s1_vol_pnl AS pnl, s1_vol_trig AS trig FROM final
+  UNION ALL SELECT 'S2: Short Bias (30/20)', s2_short_pnl, s2_short_trig FROM final
+  UNION ALL SELECT 'S3: Peak Fade (15/15)', s3_fade_pnl, s3_fade_trig FROM final
+  UNION ALL SELECT 'S4: Time Exit (11:30)', s4_time_pnl, s4_time_trig FROM final
+  UNION ALL SELECT 'S5: Master (S1 + S4)', s5_master_pnl, s5_master_trig FROM final) u
+GROUP BY strategy"""
+
+
+@register("strategy_comparison", study_sql(COMPARE_SQL))
+def q_strategy_comparison(spark, sf_dir):
+    from tickline.operators.reports import strategy_comparison
+    return strategy_comparison(_study(spark, sf_dir).trades())
