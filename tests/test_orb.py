@@ -97,7 +97,7 @@ CASES = [
     ("fade_target", D, [("09:30:00", 100), ("09:30:01", 101), ("09:31:00", 101.5), ("10:05:00", 120),
                         ("10:10:00", 114), ("10:30:00", 98)]),
     ("fade_early", D, [("09:30:00", 100), ("09:30:01", 101), ("09:31:00", 101.5), ("09:40:00", 110),
-                       ("09:50:00", 104.5), ("15:00:00", 104)]),
+                       ("09:50:00", 104.5), ("15:00:00", 106)]),
     ("dst_before", dt.date(2024, 3, 8), [("09:30:00", 100), ("09:30:20", 101), ("09:45:00", 101.5), ("11:45:00", 102)]),
     ("dst_after", dt.date(2024, 3, 11), [("09:30:00", 100), ("09:30:20", 101), ("09:45:00", 99.5), ("11:45:00", 99)]),
 ]
@@ -128,7 +128,7 @@ def test_hand_day_rules(hand):
     assert by["t_then_s"]["s1_vol_pnl"] == 15.0 and by["s_then_t"]["s1_vol_pnl"] == -15.0
     assert by["neither"]["s1_vol_pnl"] == 108 - 100                # last price, entry = OR high 100
     assert by["stop_and_time"]["s4_time_pnl"] == -25.0           # stop wins over the time stop
-    assert by["late_time_stop"]["s4_time_pnl"] == 103 - 101       # first tick after 11:30 under +5
+    assert by["late_time_stop"]["s4_time_pnl"] == 103 - 100       # first tick after 11:30 under +5
     assert by["short_no_buffer"]["s2_short_trig"] is False
     assert by["fade_stopped"]["s3_fade_trig"] and by["fade_stopped"]["s3_fade_pnl"] == 104.5 - 112.0
     assert by["fade_target"]["s3_fade_pnl"] == 15.0
