@@ -94,7 +94,8 @@ def bars_backfill(ticks: DataFrame, bar_path: str) -> DataFrame:
     bars = bars_all(ticks).withColumn("month", month_key("candle_time"))
     (bars.repartition("month").sortWithinPartitions("candle_time")
          .write.mode("overwrite").partitionBy("month").parquet(bar_path))
-    return ticks.sparkSession.read.parquet(bar_path)
+    # Explicit schema: partition values stay strings ('202401'), no type inference.
+    return ticks.sparkSession.read.schema(bars.schema).parquet(bar_path)
 
 
 def head_tail(bars: DataFrame, n: int = 10, time_col: str = "candle_time") -> DataFrame:

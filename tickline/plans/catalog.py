@@ -252,3 +252,292 @@ GROUP BY strategy"""
 def q_strategy_comparison(spark, sf_dir):
     from tickline.operators.reports import strategy_comparison
     return strategy_comparison(_study(spark, sf_dir).trades())
+
+
+# ---------------------------------------------------------------------------
+# 2.2 projections, filters and scalar expressions
+# ---------------------------------------------------------------------------
+from tickline.functions import expr as X  # noqa: E402
+
+EPOCH = 2209161600000000
+EASTERN_SQL = "((datetime AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York')"
+
+
+@register("raw_to_timestamp", with_ticks(
+    f"SELECT raw_time, make_timestamp(raw_time - {EPOCH}) AS time_from_raw FROM ticks"))
+def q_raw_to_timestamp(spark, sf_dir):
+    return _ticks(spark, sf_dir).select("raw_time", X.raw_to_timestamp("raw_time").alias("time_from_raw"))
+
+
+@register("timestamp_to_raw", with_ticks(
+    f"SELECT datetime, epoch_us(datetime) + {EPOCH} AS raw_from_time FROM ticks"))
+def q_timestamp_to_raw(spark, sf_dir):
+    return _ticks(spark, sf_dir).select("datetime", X.timestamp_to_raw("datetime").alias("raw_from_time"))
+
+
+CONTRACT_FILES_SQL = """
+files AS (
+  SELECT DISTINCT 'C:\\SierraChart\\Data\\' || contract || '_FUT_CME.scid' AS file FROM ticks
+  UNION SELECT DISTINCT '/data/ticks/' || upper(e.event_type) || '_' || CAST(e.user_id AS VARCHAR) || '.scid'
+        FROM events e)"""
+
+
+@register("contract_from_file", with_ticks("""
+SELECT file,
+  CASE WHEN regexp_extract(stem, '^([A-Z]{2,3}[A-Z]\\d{2})', 1) <> ''
+       THEN regexp_extract(stem, '^([A-Z]{2,3}[A-Z]\\d{2})', 1)
+       ELSE split_part(stem, '_', 1) END AS contract_code
+FROM (SELECT file, regexp_replace(regexp_extract(file, '([^/\\\\]*)$', 1), '(.)\\.[^.]*$', '\\1') AS stem FROM files)""",
+    CONTRACT_FILES_SQL))
+def q_contract_from_file(spark, sf_dir):
+    from tickline.sources.fixture import events
+    t = _ticks(spark, sf_dir)
+    a = t.select(F.concat(F.lit("C:\\SierraChart\\Data\\"), "contract", F.lit("_FUT_CME.scid")).alias("file"))
+    ev = events(spark, sf_dir)
+    b = ev.select(F.concat(F.lit("/data/ticks/"), F.upper("event_type"), F.lit("_"),
+                           F.col("user_id").cast("string"), F.lit(".scid")).alias("file"))
+    files = a.union(b).distinct()
+    return files.select("file", X.contract_from_file("file").alias("contract_code"))
+
+
+@register("classify_trade", with_ticks("""
+SELECT raw_time, open,
+  abs(open - CAST('-19990009513251226345509817234554355712.0' AS DOUBLE)) < 1e10 AS is_first_bundle,
+  abs(open - CAST('-19990019654456028171345029208179998720.0' AS DOUBLE)) < 1e10 AS is_last_bundle,
+  abs(open) < 1e10 AS is_regular_trade
+FROM ticks"""))
+def q_classify_trade(spark, sf_dir):
+    from tickline.operators.clean import classify_trade
+    return classify_trade(_ticks(spark, sf_dir)).select(
+        "raw_time", "open", "is_first_bundle", "is_last_bundle", "is_regular_trade")
+
+
+TICK_SELECT = ("datetime, raw_time, open, high, low, close, num_trades, volume, bid_volume, "
+               "ask_volume, contract, record_no")
+
+
+@register("drop_bundle_markers", with_ticks(f"SELECT {TICK_SELECT} FROM ticks WHERE abs(open) < 1e10"))
+def q_drop_bundle_markers(spark, sf_dir):
+    from tickline.operators.clean import drop_bundle_markers
+    return drop_bundle_markers(_ticks(spark, sf_dir))
+
+
+@register("scale_prices", with_ticks("""
+SELECT raw_time, open * 0.01 AS open, high * 0.01 AS high, low * 0.01 AS low, close * 0.01 AS close
+FROM ticks"""))
+def q_scale_prices(spark, sf_dir):
+    from tickline.operators.clean import scale_prices
+    return scale_prices(_ticks(spark, sf_dir), 0.01).select("raw_time", "open", "high", "low", "close")
+
+
+@register("repair_open", with_ticks("""
+SELECT raw_time, CASE WHEN open = 0.0 THEN close ELSE open END AS open, close
+FROM ticks WHERE abs(open) < 1e10"""))
+def q_repair_open(spark, sf_dir):
+    from tickline.operators.clean import drop_bundle_markers, repair_open
+    return repair_open(drop_bundle_markers(_ticks(spark, sf_dir))).select("raw_time", "open", "close")
+
+
+@register("minute_bucket", with_ticks(f"""
+SELECT raw_time, raw_time // 60000000 AS minute_index,
+       make_timestamp((raw_time // 60000000) * 60000000 - {EPOCH}) AS minute_start
+FROM ticks"""))
+def q_minute_bucket(spark, sf_dir):
+    t = _ticks(spark, sf_dir).select("raw_time", X.minute_bucket("raw_time").alias("minute_index"))
+    return t.withColumn("minute_start", X.bucket_to_timestamp("minute_index"))
+
+
+@register("start_of_minute", with_ticks(
+    "SELECT datetime, date_trunc('minute', datetime) AS candle_time FROM ticks"))
+def q_start_of_minute(spark, sf_dir):
+    return _ticks(spark, sf_dir).select("datetime", X.start_of_minute("datetime").alias("candle_time"))
+
+
+@register("month_key", with_ticks("SELECT datetime, strftime(datetime, '%Y%m') AS month FROM ticks"))
+def q_month_key(spark, sf_dir):
+    return _ticks(spark, sf_dir).select("datetime", X.month_key("datetime").alias("month"))
+
+
+@register("to_eastern", with_ticks(f"SELECT datetime, {EASTERN_SQL} AS et FROM ticks"))
+def q_to_eastern(spark, sf_dir):
+    return _ticks(spark, sf_dir).select("datetime", X.to_eastern("datetime").alias("et"))
+
+
+@register("session_date", with_ticks(
+    f"SELECT datetime, CAST({EASTERN_SQL} AS DATE) AS session_date FROM ticks"))
+def q_session_date(spark, sf_dir):
+    return _ticks(spark, sf_dir).select("datetime", X.session_date(X.to_eastern("datetime")).alias("session_date"))
+
+
+@register("parse_config_date", with_ticks("""
+SELECT d AS date_text, strptime(d, '%Y-%m-%d') AS parsed
+FROM (SELECT DISTINCT strftime(datetime, '%Y-%m-%d') AS d FROM ticks
+      UNION ALL SELECT CAST(NULL AS VARCHAR))"""))
+def q_parse_config_date(spark, sf_dir):
+    d = _ticks(spark, sf_dir).select(F.date_format("datetime", "yyyy-MM-dd").alias("date_text")).distinct()
+    d = d.unionByName(spark.range(1).select(F.lit(None).cast("string").alias("date_text")))
+    return d.select("date_text", X.parse_config_date("date_text").alias("parsed"))
+
+
+@register("standardize_ticks", with_ticks("SELECT datetime, close AS price, record_no FROM ticks"))
+def q_standardize_ticks(spark, sf_dir):
+    """An exported dataset named the other way (Timestamp / Close) read back
+    into the study's columns."""
+    from tickline.operators.clean import standardize_ticks
+    exported = _ticks(spark, sf_dir).select(F.col("datetime").alias("Timestamp"),
+                                             F.col("close").alias("Close"), "record_no")
+    return standardize_ticks(exported).select("datetime", "price", "record_no")
+
+
+@register("direction_label", study_sql(
+    "SELECT contract, session_date AS date, coalesce(direction, 'Inside') AS label FROM dirs"))
+def q_direction_label(spark, sf_dir):
+    b = _study(spark, sf_dir).breakout.df
+    return b.select("contract", F.col("session_date").alias("date"), X.direction_label("direction").alias("label"))
+
+
+@register("format_levels", with_ticks("""
+SELECT CAST(datetime AS DATE) AS day, printf('%7.2f / %-7.2f', max(high), min(low)) AS levels
+FROM ticks WHERE abs(open) < 1e10 GROUP BY 1"""))
+def q_format_levels(spark, sf_dir):
+    from tickline.operators.clean import drop_bundle_markers
+    t = drop_bundle_markers(_ticks(spark, sf_dir))
+    g = t.groupBy(F.to_date("datetime").alias("day")).agg(F.max("high").alias("h"), F.min("low").alias("l"))
+    return g.select("day", X.format_levels("h", "l").alias("levels"))
+
+
+def readable_size_sql(col: str) -> str:
+    units = X.SIZE_UNITS
+    expr = f"printf('%.2f %s', floor(CAST({col} AS DOUBLE) * 100 + 0.5) / 100, '{units[0]}')"
+    for k in range(1, len(units)):
+        scale = float(1024 ** k)
+        expr = (f"CASE WHEN CAST({col} AS DOUBLE) >= {scale} THEN printf('%.2f %s', "
+                f"floor(CAST({col} AS DOUBLE) / {scale} * 100 + 0.5) / 100, '{units[k]}') ELSE {expr} END")
+    return expr
+
+
+@register("readable_size", with_ticks(f"""
+SELECT contract, strftime(datetime, '%Y%m') AS month, CAST(count(*) * 40 AS BIGINT) AS raw_bytes,
+       {readable_size_sql('count(*) * 40')} AS raw_size
+FROM ticks GROUP BY 1, 2"""))
+def q_readable_size(spark, sf_dir):
+    """Raw on-disk size (40-byte records) per contract and month, as text."""
+    g = (_ticks(spark, sf_dir).groupBy("contract", X.month_key("datetime").alias("month"))
+         .agg((F.count(F.lit(1)) * 40).cast("long").alias("raw_bytes")))
+    return g.withColumn("raw_size", X.readable_size("raw_bytes"))
+
+
+# ---------------------------------------------------------------------------
+# 2.4 aggregates, sorts and limits
+# ---------------------------------------------------------------------------
+CLEAN_BARS_SQL = f"""
+SELECT make_timestamp((raw_time // 60000000) * 60000000 - {EPOCH}) AS datetime,
+       arg_min(CASE WHEN open = 0.0 THEN close ELSE open END, raw_time) AS open,
+       max(high) AS high, min(low) AS low, arg_max(close, raw_time) AS close,
+       CAST(sum(num_trades) AS BIGINT) AS trades, CAST(sum(volume) AS BIGINT) AS volume,
+       CAST(sum(bid_volume) AS BIGINT) AS bid_volume, CAST(sum(ask_volume) AS BIGINT) AS ask_volume
+FROM ticks WHERE abs(open) < 1e10 GROUP BY raw_time // 60000000"""
+
+
+@register("bars_1min_clean", with_ticks(CLEAN_BARS_SQL))
+def q_bars_1min_clean(spark, sf_dir):
+    from tickline.operators.bars import bars_clean
+    return bars_clean(_ticks(spark, sf_dir))
+
+
+BARS_SQL = """
+bars AS (
+  SELECT date_trunc('minute', datetime) AS candle_time,
+         arg_min(close, raw_time) AS open, max(high) AS high, min(low) AS low,
+         arg_max(close, raw_time) AS close,
+         CAST(sum(volume) AS BIGINT) AS volume, CAST(sum(num_trades) AS BIGINT) AS trades
+  FROM ticks GROUP BY 1)"""
+
+
+@register("bars_range_query", with_ticks("""
+SELECT * FROM bars WHERE candle_time >= TIMESTAMP '2024-01-05' AND candle_time < TIMESTAMP '2024-01-12'""",
+    BARS_SQL))
+def q_bars_range_query(spark, sf_dir):
+    from tickline.operators.bars import bars_all, bars_range
+    return bars_range(bars_all(_ticks(spark, sf_dir)), "2024-01-05", "2024-01-12")
+
+
+@register("bars_backfill", with_ticks(
+    "SELECT *, strftime(candle_time, '%Y%m') AS month FROM bars", BARS_SQL))
+def q_bars_backfill(spark, sf_dir):
+    from tickline.context import workspace
+    from tickline.operators.bars import bars_backfill
+    path = workspace(spark, "bars")
+    bars_backfill(_ticks(spark, sf_dir), path)
+    return bars_backfill(_ticks(spark, sf_dir), path)   # re-run: idempotent, same rows
+
+
+@register("head_tail", with_ticks("""
+(SELECT *, 'head' AS part FROM bars ORDER BY candle_time LIMIT 10)
+UNION ALL
+(SELECT *, 'tail' AS part FROM bars ORDER BY candle_time DESC LIMIT 10)""", BARS_SQL))
+def q_head_tail(spark, sf_dir):
+    from tickline.operators.bars import bars_all, head_tail
+    return head_tail(bars_all(_ticks(spark, sf_dir)))
+
+
+@register("latest_ticks", with_ticks(
+    f"SELECT {TICK_SELECT} FROM ticks ORDER BY datetime DESC, raw_time DESC, record_no DESC LIMIT 5"))
+def q_latest_ticks(spark, sf_dir):
+    from tickline.operators.bars import latest_ticks
+    return latest_ticks(_ticks(spark, sf_dir))
+
+
+@register("record_count", with_ticks("SELECT count(*) AS record_count FROM ticks"))
+def q_record_count(spark, sf_dir):
+    from tickline.operators.quality import record_count
+    return record_count(_ticks(spark, sf_dir))
+
+
+@register("date_range", with_ticks("SELECT min(datetime) AS first_time, max(datetime) AS last_time FROM ticks"))
+def q_date_range(spark, sf_dir):
+    from tickline.operators.quality import date_range
+    return date_range(_ticks(spark, sf_dir))
+
+
+@register("last_raw_time", with_ticks("SELECT max(raw_time) AS last_raw_time FROM ticks"))
+def q_last_raw_time(spark, sf_dir):
+    from tickline.operators.quality import last_raw_time
+    return last_raw_time(_ticks(spark, sf_dir))
+
+
+@register("distinct_contracts", with_ticks(
+    "SELECT DISTINCT contract FROM ticks WHERE contract IS NOT NULL AND contract <> '' ORDER BY contract"))
+def q_distinct_contracts(spark, sf_dir):
+    from tickline.operators.quality import distinct_contracts
+    return distinct_contracts(_ticks(spark, sf_dir))
+
+
+@register("count_by_contract", with_ticks(
+    "SELECT contract, count(*) AS record_count FROM ticks GROUP BY contract ORDER BY contract"))
+def q_count_by_contract(spark, sf_dir):
+    from tickline.operators.quality import count_by_contract
+    return count_by_contract(_ticks(spark, sf_dir))
+
+
+REDELIVERED_SQL = """
+loaded AS (
+  SELECT *, 1 AS load_order FROM ticks
+  UNION ALL
+  SELECT datetime, raw_time, open, high, low, close, num_trades, volume + 1, bid_volume, ask_volume,
+         contract, record_no, 2 AS load_order
+  FROM ticks WHERE datetime >= TIMESTAMP '2024-01-10')"""
+
+
+def _loaded(spark, sf_dir):
+    from tickline.sources.fixture import redelivered
+    t = _ticks(spark, sf_dir)
+    return t.withColumn("load_order", F.lit(1)).unionByName(redelivered(t).withColumn("load_order", F.lit(2)))
+
+
+@register("duplicate_times", with_ticks("""
+SELECT datetime, count(*) AS cnt FROM loaded GROUP BY datetime HAVING count(*) > 1
+ORDER BY datetime LIMIT 10""", REDELIVERED_SQL))
+def q_duplicate_times(spark, sf_dir):
+    from tickline.operators.quality import duplicate_times
+    return duplicate_times(_loaded(spark, sf_dir))
