@@ -541,3 +541,48 @@ ORDER BY datetime LIMIT 10""", REDELIVERED_SQL))
 def q_duplicate_times(spark, sf_dir):
     from tickline.operators.quality import duplicate_times
     return duplicate_times(_loaded(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# 2.1 binary tick files: scan, time range, limit
+# ---------------------------------------------------------------------------
+def _tick_files(spark, sf_dir) -> str:
+    """Write the tick view as binary files (one per contract, chronological)
+    into a fresh folder under the shared checkpoint folder."""
+    from tickline.context import workspace
+    from tickline.sources.scid import write_ticks
+    path = workspace(spark, "scid")
+    t = _ticks(spark, sf_dir)
+    write_ticks(t.repartition("contract").sortWithinPartitions("contract", "raw_time", "record_no"), path)
+    return path
+
+
+FILE_TICKS_SQL = """
+fticks AS (
+  SELECT datetime, raw_time, open, high, low, close, num_trades, volume, bid_volume, ask_volume, contract,
+         row_number() OVER (PARTITION BY contract ORDER BY raw_time, record_no) - 1 AS record_no
+  FROM ticks)"""
+
+
+@register("scan_ticks", with_ticks(f"SELECT {TICK_SELECT} FROM fticks", FILE_TICKS_SQL))
+def q_scan_ticks(spark, sf_dir):
+    from tickline.sources.scid import scan_ticks
+    return scan_ticks(spark, _tick_files(spark, sf_dir), split_records=1000).drop("file")
+
+
+@register("scan_time_range", with_ticks(f"""
+SELECT {TICK_SELECT} FROM fticks
+WHERE datetime >= TIMESTAMP '2024-01-08' AND datetime < TIMESTAMP '2024-01-22 12:30:00'""", FILE_TICKS_SQL))
+def q_scan_time_range(spark, sf_dir):
+    from tickline.operators.clean import scan_time_range
+    from tickline.sources.scid import scan_ticks
+    df = scan_ticks(spark, _tick_files(spark, sf_dir), split_records=1000)
+    return scan_time_range(df, "2024-01-08", "2024-01-22 12:30:00").drop("file")
+
+
+@register("scan_limit", with_ticks(f"SELECT {TICK_SELECT} FROM fticks WHERE record_no < 1000", FILE_TICKS_SQL))
+def q_scan_limit(spark, sf_dir):
+    """First 1000 records of each file (the limit is the operator itself)."""
+    from tickline.operators.clean import scan_limit
+    from tickline.sources.scid import scan_ticks
+    return scan_limit(scan_ticks(spark, _tick_files(spark, sf_dir)), 1000).drop("file")
