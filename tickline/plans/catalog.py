@@ -586,3 +586,178 @@ def q_scan_limit(spark, sf_dir):
     from tickline.operators.clean import scan_limit
     from tickline.sources.scid import scan_ticks
     return scan_limit(scan_ticks(spark, _tick_files(spark, sf_dir)), 1000).drop("file")
+
+
+# ---------------------------------------------------------------------------
+# 2.1 calendar, rollover, continuous series, ingestion
+# ---------------------------------------------------------------------------
+# Rollover calendar of the tick view (FIXTURES.md section 7).
+FIXTURE_WINDOWS = [("ESH24", "2024-01-01", "2024-01-15"), ("ESM24", "2024-01-15", None)]
+
+WINDOW_SQL = """
+cal AS (SELECT * FROM (VALUES ('ESH24', TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-15'),
+                              ('ESM24', TIMESTAMP '2024-01-15', CAST(NULL AS TIMESTAMP))) v(contract, ws, we))"""
+
+
+def _calendar_file(spark, files_dir: str | None, windows=FIXTURE_WINDOWS) -> str:
+    """Write a calendar config naming the contract files of ``files_dir``."""
+    import glob
+    import json
+    import os
+    from tickline.context import workspace
+    from tickline.sources.scid import contract_of
+    by_contract = {}
+    if files_dir:
+        for f in sorted(glob.glob(os.path.join(files_dir, "*.scid"))):
+            by_contract.setdefault(contract_of(f), f)
+    contracts = [{"file": by_contract.get(c, f"/missing/{c}_FUT_CME.scid"), "start_date": s, "end_date": e}
+                 for c, s, e in windows]
+    cfg = {"symbols": {"ES": {"table_name": "ES", "price_multiplier": 1.0, "contracts": contracts}}}
+    folder = workspace(spark, "config")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, "config.json")
+    with open(path, "w") as fh:
+        json.dump(cfg, fh, indent=2)
+    return path
+
+
+@register("contract_calendar", """
+SELECT * FROM (VALUES ('ES', 'ES', 1.0, 'ESH24', '2024-01-01', '2024-01-15'),
+                      ('ES', 'ES', 1.0, 'ESM24', '2024-01-15', CAST(NULL AS VARCHAR)))
+  v(symbol, table_name, price_multiplier, contract, start_date, end_date)""")
+def q_contract_calendar(spark, sf_dir):
+    """Calendar rows for the contract files written from the tick view."""
+    from tickline.sources.calendar import contract_calendar
+    cal = contract_calendar(spark, _calendar_file(spark, _tick_files(spark, sf_dir)))
+    return cal.select("symbol", "table_name", "price_multiplier", X.contract_from_file("file").alias("contract"),
+                      "start_date", "end_date")
+
+
+@register("rollover_filter", with_ticks(f"""
+SELECT {', '.join('t.' + c.strip() for c in TICK_SELECT.split(','))}
+FROM ticks t JOIN cal c ON t.contract = c.contract
+WHERE t.datetime >= c.ws AND (c.we IS NULL OR t.datetime < c.we)""", WINDOW_SQL))
+def q_rollover_filter(spark, sf_dir):
+    from tickline.sources.calendar import contract_calendar, rollover_filter
+    cal = contract_calendar(spark, _calendar_file(spark, None))
+    return rollover_filter(_ticks(spark, sf_dir), cal)
+
+
+CONTINUOUS_SQL = f"""
+SELECT {', '.join('t.' + c.strip() for c in TICK_SELECT.split(','))}
+FROM fticks t JOIN cal c ON t.contract = c.contract
+WHERE t.datetime >= c.ws AND (c.we IS NULL OR t.datetime < c.we)"""
+
+
+@register("continuous_series", with_ticks(CONTINUOUS_SQL, FILE_TICKS_SQL, WINDOW_SQL))
+def q_continuous_series(spark, sf_dir):
+    from tickline.sources.calendar import contract_calendar, continuous_series
+    cal = contract_calendar(spark, _calendar_file(spark, _tick_files(spark, sf_dir)))
+    return continuous_series(spark, cal).drop("file")
+
+
+@register("contract_window_lookup", """
+SELECT * FROM (VALUES ('ESH24', 'ES', '2024-01-01', '2024-01-15'),
+                      ('ESM24', 'ES', '2024-01-15', CAST(NULL AS VARCHAR)))
+  v(contract, symbol, start_date, end_date)""")
+def q_contract_window_lookup(spark, sf_dir):
+    """Window of every tick file found on disk (upper-cased names still match)."""
+    from tickline.sources.calendar import contract_calendar, contract_window_lookup
+    from tickline.sources.scid import scan_ticks
+    files_dir = _tick_files(spark, sf_dir)
+    cal = contract_calendar(spark, _calendar_file(spark, files_dir))
+    files = scan_ticks(spark, files_dir).select(F.upper("file").alias("file")).distinct()
+    out = contract_window_lookup(files, cal)
+    return out.select(X.contract_from_file(F.col("file")).alias("contract"), "symbol", "start_date", "end_date")
+
+
+SYNC_SQL = f"""
+SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM (
+  {CONTINUOUS_SQL.strip()}) s"""
+
+
+def _synced(spark, sf_dir, partial_first: bool = False):
+    from tickline.context import workspace
+    from tickline.plans.ingest import sync_symbols
+    from tickline.sources.calendar import contract_calendar
+    cal = contract_calendar(spark, _calendar_file(spark, _tick_files(spark, sf_dir)))
+    table, ledger = workspace(spark, "table"), workspace(spark, "ledger")
+    if partial_first:
+        sync_symbols(spark, cal.where(X.contract_from_file("file") == "ESH24"), table, ledger)
+    sync_symbols(spark, cal, table, ledger)
+    sync_symbols(spark, cal, table, ledger)      # nothing pending: no-op
+    return cal, table, ledger
+
+
+@register("sync_symbols", with_ticks(SYNC_SQL, FILE_TICKS_SQL, WINDOW_SQL))
+def q_sync_symbols(spark, sf_dir):
+    """Two-step load (one contract, then the rest) plus a re-run; the table
+    holds every windowed tick exactly once."""
+    from tickline.plans.ingest import read_table
+    _, table, _ = _synced(spark, sf_dir, partial_first=True)
+    return read_table(spark, table)
+
+
+@register("ingest_stats", with_ticks("""
+SELECT 'ES' AS symbol, CAST(count(DISTINCT contract) AS BIGINT) AS files,
+       count(*) AS rows_processed, count(*) AS rows_inserted
+FROM (""" + CONTINUOUS_SQL.strip() + ") s", FILE_TICKS_SQL, WINDOW_SQL))
+def q_ingest_stats(spark, sf_dir):
+    from tickline.plans.ingest import ingest_stats, read_ledger
+    _, _, ledger = _synced(spark, sf_dir)
+    return ingest_stats(read_ledger(spark, ledger)).select("symbol", "files", "rows_processed", "rows_inserted")
+
+
+@register("pending_files", """
+SELECT * FROM (VALUES ('ES', 'ESM24', '2024-01-15', CAST(NULL AS VARCHAR))) v(symbol, contract, start_date, end_date)""")
+def q_pending_files(spark, sf_dir):
+    """After loading only the first contract, the second one is pending."""
+    from tickline.context import workspace
+    from tickline.plans.ingest import pending_files, read_ledger, sync_symbols
+    from tickline.sources.calendar import contract_calendar
+    cal = contract_calendar(spark, _calendar_file(spark, _tick_files(spark, sf_dir)))
+    table, ledger = workspace(spark, "table"), workspace(spark, "ledger")
+    sync_symbols(spark, cal.where(X.contract_from_file("file") == "ESH24"), table, ledger)
+    out = pending_files(cal, read_ledger(spark, ledger))
+    return out.select("symbol", X.contract_from_file("file").alias("contract"), "start_date", "end_date")
+
+
+@register("monthly_table", with_ticks(f"SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM ticks"))
+def q_monthly_table(spark, sf_dir):
+    from tickline.context import workspace
+    from tickline.plans.ingest import read_table, write_monthly
+    path = write_monthly(_ticks(spark, sf_dir), workspace(spark, "table"))
+    return read_table(spark, path)
+
+
+LOADED_KEEP_SQL = """
+SELECT datetime, raw_time, open, high, low, close, num_trades, volume, bid_volume, ask_volume, contract,
+       record_no, strftime(datetime, '%Y%m') AS month
+FROM (SELECT *, row_number() OVER (PARTITION BY datetime, raw_time ORDER BY load_order {dir}) AS k FROM loaded)
+WHERE k = 1"""
+
+
+@register("insert_ignore", with_ticks(LOADED_KEEP_SQL.format(dir="ASC"), REDELIVERED_SQL))
+def q_insert_ignore(spark, sf_dir):
+    """Load, then a re-delivered overlapping batch: the first copy stays."""
+    from tickline.context import workspace
+    from tickline.plans.ingest import insert_ignore, read_table
+    from tickline.sources.fixture import redelivered
+    path = workspace(spark, "table")
+    t = _ticks(spark, sf_dir)
+    insert_ignore(t, path)
+    insert_ignore(redelivered(t), path)
+    return read_table(spark, path)
+
+
+@register("upsert_replace", with_ticks(LOADED_KEEP_SQL.format(dir="DESC"), REDELIVERED_SQL))
+def q_upsert_replace(spark, sf_dir):
+    """Load, then a re-delivered overlapping batch: the last copy wins."""
+    from tickline.context import workspace
+    from tickline.plans.ingest import read_table, upsert_replace
+    from tickline.sources.fixture import redelivered
+    path = workspace(spark, "table")
+    t = _ticks(spark, sf_dir)
+    upsert_replace(t, path)
+    upsert_replace(redelivered(t), path)
+    return read_table(spark, path)

@@ -54,11 +54,16 @@ def contract_of(path: str) -> str:
 
 
 def list_files(path: str) -> list[str]:
-    path = path.replace("file://", "").replace("file:", "")
-    if os.path.isdir(path):
-        found = sorted(glob.glob(os.path.join(path, "*.scid")))
-    else:
-        found = sorted(glob.glob(path))
+    """A file, a glob, a folder of ``*.scid``, or a comma-separated list of those."""
+    found = []
+    for part in path.split(","):
+        part = part.strip().replace("file://", "").replace("file:", "")
+        if not part:
+            continue
+        if os.path.isdir(part):
+            found += sorted(glob.glob(os.path.join(part, "*.scid")))
+        else:
+            found += sorted(glob.glob(part))
     return found
 
 
