@@ -761,3 +761,172 @@ def q_upsert_replace(spark, sf_dir):
     upsert_replace(t, path)
     upsert_replace(redelivered(t), path)
     return read_table(spark, path)
+
+
+# ---------------------------------------------------------------------------
+# 2.1 exports and CSV sinks
+# ---------------------------------------------------------------------------
+EXPORT_SQL = with_ticks("""
+SELECT datetime, CASE WHEN open = 0.0 THEN close ELSE open END AS open, high, low, close,
+       num_trades, volume, bid_volume, ask_volume, contract, record_no
+FROM ticks WHERE abs(open) < 1e10""")
+
+
+def _exported(spark, sf_dir) -> str:
+    from tickline.context import workspace
+    from tickline.sources.files import export_ticks
+    return export_ticks(_ticks(spark, sf_dir), workspace(spark, "export"))
+
+
+@register("export_ticks", EXPORT_SQL)
+def q_export_ticks(spark, sf_dir):
+    return spark.read.parquet(_exported(spark, sf_dir))
+
+
+@register("read_export", EXPORT_SQL)
+def q_read_export(spark, sf_dir):
+    from tickline.sources.files import read_export
+    return read_export(spark, _exported(spark, sf_dir), kind="ticks")
+
+
+@register("export_to_csv", EXPORT_SQL)
+def q_export_to_csv(spark, sf_dir):
+    from tickline.context import workspace
+    from tickline.sources.files import export_to_csv, read_csv
+    src = _exported(spark, sf_dir)
+    out = export_to_csv(spark, src, workspace(spark, "export") + ".csv")
+    return read_csv(spark, out, spark.read.parquet(src).schema)
+
+
+@register("write_bars", with_ticks(CLEAN_BARS_SQL))
+def q_write_bars(spark, sf_dir):
+    """Clean 1-minute bars saved as CSV (format from the extension), read back."""
+    from tickline.context import workspace
+    from tickline.operators.bars import bars_clean
+    from tickline.sources.files import read_csv, write_bars
+    bars = bars_clean(_ticks(spark, sf_dir))
+    out = workspace(spark, "bars") + ".csv"
+    write_bars(bars, out)
+    return read_csv(spark, out, bars.schema)
+
+
+@register("results_csv", study_sql(f"SELECT {TRADE_SELECT} FROM final"))
+def q_results_csv(spark, sf_dir):
+    from tickline.context import workspace
+    from tickline.sources.files import read_csv, results_csv
+    trades = _study(spark, sf_dir).trades()
+    out = results_csv(trades, workspace(spark, "results") + ".csv")
+    return read_csv(spark, out, trades.schema)
+
+
+@register("sample_to_csv", with_ticks(
+    f"SELECT {TICK_SELECT} FROM ticks ORDER BY datetime, raw_time, record_no LIMIT 1000"))
+def q_sample_to_csv(spark, sf_dir):
+    """First 1000 ticks by time to CSV (the limit is the operator itself)."""
+    from tickline.context import workspace
+    from tickline.sources.files import read_csv, sample_to_csv
+    t = _ticks(spark, sf_dir)
+    out = sample_to_csv(t, workspace(spark, "sample") + ".csv", 1000)
+    return read_csv(spark, out, t.schema)
+
+
+# ---------------------------------------------------------------------------
+# 2.7 table maintenance and 2.4 inventories
+# ---------------------------------------------------------------------------
+def _table(spark, sf_dir) -> str:
+    from tickline.context import workspace
+    from tickline.plans.ingest import write_monthly
+    return write_monthly(_ticks(spark, sf_dir), workspace(spark, "table"))
+
+
+TABLE_SQL = with_ticks(f"SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM ticks")
+
+
+@register("migrate_layout", with_ticks(LOADED_KEEP_SQL.format(dir="ASC"), REDELIVERED_SQL))
+def q_migrate_layout(spark, sf_dir):
+    """An unpartitioned dataset holding a re-delivered batch, rewritten as
+    month partitions with one row per key (first load wins)."""
+    from tickline.context import workspace
+    from tickline.plans.ingest import read_table
+    from tickline.plans.maintain import migrate_layout
+    src = workspace(spark, "flat")
+    _loaded(spark, sf_dir).write.parquet(src)
+    dst = migrate_layout(spark, src, workspace(spark, "table"), order=("load_order", "record_no"))
+    return read_table(spark, dst)
+
+
+@register("compact_old", TABLE_SQL)
+def q_compact_old(spark, sf_dir):
+    """Compaction rewrites old months (zstd, clustered) without changing rows;
+    a second run is a no-op."""
+    from tickline.context import workspace
+    from tickline.plans.ingest import read_table
+    from tickline.plans.maintain import compact_old
+    path, ledger = _table(spark, sf_dir), workspace(spark, "compactions")
+    compact_old(spark, path, ledger, "2024-03-01")
+    compact_old(spark, path, ledger, "2024-03-01")
+    return read_table(spark, path)
+
+
+@register("compacted_counts", "SELECT 'ES' AS \"table\", CAST(1 AS BIGINT) AS compacted, "
+                              "CAST(0 AS BIGINT) AS not_compacted, CAST(1 AS BIGINT) AS total")
+def q_compacted_counts(spark, sf_dir):
+    from tickline.context import workspace
+    from tickline.plans.maintain import compact_old, compacted_counts
+    path, ledger = _table(spark, sf_dir), workspace(spark, "compactions")
+    compact_old(spark, path, ledger, "2024-03-01")
+    return compacted_counts(spark, {"ES": path}, ledger)
+
+
+@register("compaction_report")
+def q_compaction_report(spark, sf_dir):
+    """Bytes before / after per compacted month (sizes vary: rows-only check)."""
+    from tickline.context import workspace
+    from tickline.plans.maintain import compact_old, compaction_report
+    path, ledger = _table(spark, sf_dir), workspace(spark, "compactions")
+    compact_old(spark, path, ledger, "2024-03-01")
+    return compaction_report(spark, ledger)
+
+
+@register("partition_inventory")
+def q_partition_inventory(spark, sf_dir):
+    """Rows, files and bytes per month (byte sizes vary: rows-only check)."""
+    from tickline.plans.maintain import partition_inventory
+    return partition_inventory(spark, _table(spark, sf_dir))
+
+
+@register("table_sizes")
+def q_table_sizes(spark, sf_dir):
+    from tickline.plans.maintain import table_sizes
+    return table_sizes(spark, {"ES": _table(spark, sf_dir)})
+
+
+@register("partition_rows", with_ticks(
+    "SELECT strftime(datetime, '%Y%m') AS month, count(*) AS rows FROM ticks GROUP BY 1"))
+def q_partition_rows(spark, sf_dir):
+    """The deterministic part of the inventory: rows per month partition."""
+    from tickline.plans.maintain import partition_inventory
+    return partition_inventory(spark, _table(spark, sf_dir)).select("month", "rows")
+
+
+@register("drop_month", with_ticks(
+    f"SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM ticks "
+    "WHERE strftime(datetime, '%Y%m') <> '202401'"))
+def q_drop_month(spark, sf_dir):
+    from tickline.plans.ingest import read_table
+    from tickline.plans.maintain import drop_month
+    path = _table(spark, sf_dir)
+    drop_month(spark, path, "202401")
+    return read_table(spark, path)
+
+
+@register("detach_month", TABLE_SQL)
+def q_detach_month(spark, sf_dir):
+    """The archive holds the detached month; the table no longer does."""
+    from tickline.context import workspace
+    from tickline.plans.ingest import read_table
+    from tickline.plans.maintain import detach_month
+    path = _table(spark, sf_dir)
+    archive = detach_month(spark, path, "202401", workspace(spark, "archive"))
+    assert read_table(spark, path).where(F.col("month") == "202401").limit(1).count() == 0
+    return read_table(spark, archive)

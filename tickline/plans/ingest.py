@@ -72,13 +72,14 @@ def write_monthly(df: DataFrame, table_path: str, mode: str = "append",
     return table_path
 
 
-def dedupe_batch(batch: DataFrame, keys=KEY_COLUMNS, order: str = "record_no", keep: str = "first") -> DataFrame:
+def dedupe_batch(batch: DataFrame, keys=KEY_COLUMNS, order="record_no", keep: str = "first") -> DataFrame:
     """One row per key inside a batch: the first (or last) by ``order``.  An
     aggregate (min_by / max_by over the row struct), so duplicate-heavy keys
     are combined map-side."""
     cols = [c for c in batch.columns if c not in keys]
     pick = F.min_by if keep == "first" else F.max_by
-    g = batch.groupBy(*keys).agg(pick(F.struct(*cols), F.col(order)).alias("_r"))
+    o = F.col(order) if isinstance(order, str) else order
+    g = batch.groupBy(*keys).agg(pick(F.struct(*cols), o).alias("_r"))
     return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]).select(*batch.columns)
 
 
