@@ -930,3 +930,87 @@ def q_detach_month(spark, sf_dir):
     archive = detach_month(spark, path, "202401", workspace(spark, "archive"))
     assert read_table(spark, path).where(F.col("month") == "202401").limit(1).count() == 0
     return read_table(spark, archive)
+
+
+# ---------------------------------------------------------------------------
+# 2.6 streaming (availableNow into a sink under the shared folder, read back)
+# ---------------------------------------------------------------------------
+STREAM_SLICES = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29", "2024-02-05"]
+STREAM_FILES = 2
+
+
+def _stream_source(spark, sf_dir, redeliver: bool) -> str:
+    """Ticks arrive week by week (one append per week, so file times follow
+    event time); with ``redeliver`` each week is followed by a re-delivery of
+    its ticks from 2024-01-10 on (same key, volume + 1)."""
+    from tickline.context import workspace
+    from tickline.sources.fixture import redelivered
+    src = workspace(spark, "stream-src")
+    t = _ticks(spark, sf_dir)
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(src)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    seen, stamp = set(), [1_700_000_000_000]
+
+    def append(df):
+        # Arrival order = modification time: stamp each append's files later
+        # than the previous ones (file-system clocks may be coarse).
+        if not df.take(1):
+            return
+        df.repartitionByRange(STREAM_FILES, "datetime").write.mode("append").parquet(src)
+        stamp[0] += 60_000
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if name.endswith(".parquet") and name not in seen:
+                seen.add(name)
+                fs.setTimes(st.getPath(), stamp[0], stamp[0])
+
+    for lo, hi in zip(STREAM_SLICES, STREAM_SLICES[1:]):
+        week = t.where((F.col("datetime") >= F.to_timestamp(F.lit(lo))) & (F.col("datetime") < F.to_timestamp(F.lit(hi))))
+        append(week)
+        if redeliver:
+            append(redelivered(week))
+    return src
+
+
+@register("stream_dedup", with_ticks(f"SELECT {TICK_SELECT} FROM ticks"))
+def q_stream_dedup(spark, sf_dir):
+    from tickline.context import workspace
+    from tickline.streaming.ticks import run_available, stream_dedup, tick_stream
+    src = _stream_source(spark, sf_dir, redeliver=True)
+    sink, ck = workspace(spark, "stream-sink"), workspace(spark, "stream-ck")
+    run_available(stream_dedup(tick_stream(spark, src, STREAM_FILES), "8 days"), sink, ck)
+    return spark.read.schema(TICK_SCHEMA_DDL).parquet(sink)
+
+
+TICK_SCHEMA_DDL = ("datetime timestamp, raw_time bigint, open double, high double, low double, close double, "
+                   "num_trades bigint, volume bigint, bid_volume bigint, ask_volume bigint, contract string, "
+                   "record_no bigint")
+
+
+@register("stream_bars_1min", with_ticks("""
+SELECT * FROM bars
+WHERE candle_time + INTERVAL 1 MINUTE <= (SELECT max(datetime) FROM ticks) - INTERVAL 1 HOUR""", BARS_SQL))
+def q_stream_bars(spark, sf_dir):
+    """Bars kept by a stream; the windows still open at the end (within the
+    watermark delay of the newest tick) are not emitted yet."""
+    from tickline.context import workspace
+    from tickline.streaming.ticks import run_available, stream_bars, tick_stream
+    src = _stream_source(spark, sf_dir, redeliver=False)
+    sink, ck = workspace(spark, "stream-sink"), workspace(spark, "stream-ck")
+    run_available(stream_bars(tick_stream(spark, src, STREAM_FILES), "1 hour"), sink, ck)
+    return spark.read.parquet(sink)
+
+
+@register("stream_ingest", with_ticks(f"SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM ticks"))
+def q_stream_ingest(spark, sf_dir):
+    """Ticks plus re-deliveries streamed into the table; run twice (restart):
+    every tick once."""
+    from tickline.context import workspace
+    from tickline.plans.ingest import read_table
+    from tickline.streaming.ticks import stream_ingest
+    src = _stream_source(spark, sf_dir, redeliver=True)
+    table, ck = workspace(spark, "table"), workspace(spark, "stream-ck")
+    stream_ingest(spark, src, table, ck, STREAM_FILES)
+    stream_ingest(spark, src, table, ck, STREAM_FILES)
+    return read_table(spark, table)
