@@ -567,7 +567,7 @@ fticks AS (
 @register("scan_ticks", with_ticks(f"SELECT {TICK_SELECT} FROM fticks", FILE_TICKS_SQL))
 def q_scan_ticks(spark, sf_dir):
     from tickline.sources.scid import scan_ticks
-    return scan_ticks(spark, _tick_files(spark, sf_dir), split_records=1000).drop("file")
+    return scan_ticks(spark, _tick_files(spark, sf_dir), split_records=25_000).drop("file")
 
 
 @register("scan_time_range", with_ticks(f"""
@@ -576,7 +576,7 @@ WHERE datetime >= TIMESTAMP '2024-01-08' AND datetime < TIMESTAMP '2024-01-22 12
 def q_scan_time_range(spark, sf_dir):
     from tickline.operators.clean import scan_time_range
     from tickline.sources.scid import scan_ticks
-    df = scan_ticks(spark, _tick_files(spark, sf_dir), split_records=1000)
+    df = scan_ticks(spark, _tick_files(spark, sf_dir), split_records=25_000)
     return scan_time_range(df, "2024-01-08", "2024-01-22 12:30:00").drop("file")
 
 
@@ -1014,3 +1014,14 @@ def q_stream_ingest(spark, sf_dir):
     stream_ingest(spark, src, table, ck, STREAM_FILES)
     stream_ingest(spark, src, table, ck, STREAM_FILES)
     return read_table(spark, table)
+
+
+@register("run_study", study_sql(COMPARE_SQL))
+def q_run_study(spark, sf_dir):
+    """The full study job over the exported ticks (Parquet), ending in the
+    strategy comparison; the trade table is written to CSV on the way."""
+    from tickline.context import workspace
+    from tickline.plans.study import run_study
+    exported = spark.read.parquet(_exported(spark, sf_dir)).withColumn("contract", F.lit("ES"))
+    res = run_study(exported, DRIVER_PARAMS, workspace(spark, "results") + ".csv")
+    return res["comparison"]
