@@ -1025,3 +1025,15 @@ def q_run_study(spark, sf_dir):
     exported = spark.read.parquet(_exported(spark, sf_dir)).withColumn("contract", F.lit("ES"))
     res = run_study(exported, DRIVER_PARAMS, workspace(spark, "results") + ".csv")
     return res["comparison"]
+
+
+@register("ledger_update", with_ticks("""
+SELECT 'ES' AS symbol, contract, TRUE AS completed, count(*) AS rows_processed, count(*) AS rows_inserted
+FROM (""" + CONTINUOUS_SQL.strip() + ") s GROUP BY contract", FILE_TICKS_SQL, WINDOW_SQL))
+def q_ledger_update(spark, sf_dir):
+    """Latest ledger entry per contract file after a load and a re-run."""
+    from tickline.plans.ingest import ledger_state, read_ledger
+    _, _, ledger = _synced(spark, sf_dir)
+    st = ledger_state(read_ledger(spark, ledger))
+    return st.select("symbol", X.contract_from_file("file").alias("contract"), "completed",
+                     "rows_processed", "rows_inserted")
