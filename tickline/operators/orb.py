@@ -251,6 +251,9 @@ def fade_trigger(path: DataFrame, stats: Measured, seeds: Measured,
             .withColumn("_depth", F.greatest(_lit(p.s3_min_reversal), F.col("or_width"))))
     total = seeds.df.agg(F.sum("s3_rows")).first()[0] or 0
     spark = path.sparkSession
+    if total == 0:      # no day reaches the fade's eligibility: skip the scan
+        return spark.createDataFrame([], "contract string, session_date date, s3_time timestamp_ntz, "
+                                         "s3_rec bigint, s3_q double, s3_ext double")
     parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = max(parallel, int(math.ceil(total / float(chunk_rows))))
     hit = first_drawdown(rows.select(*KEYS, "et", "record_no", "q", "s3_seed", "_depth"),
