@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -48,9 +49,32 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let executors import this package: off local mode, Spark's own file
+    service hands every executor a zip of the sources (once per application)."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") or sc.master == "local" or sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tickline-pkg-"), "tickline-src.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, dirs, names in os.walk(root):
+            dirs.sort()
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("tickline", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir``; set one only if unset."""
     sc = spark.sparkContext
@@ -60,6 +84,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tickline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not sc.getCheckpointDir():
