@@ -57,10 +57,10 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let executors import this package: off local mode, Spark's own file
-    service hands every executor a zip of the sources (once per application)."""
+    """Let Python workers import this package wherever the driver was started:
+    Spark's own file service hands them a zip of the sources (once per application)."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or sc.applicationId in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))
     target = os.path.join(tempfile.mkdtemp(prefix="tickline-pkg-"), "tickline-src.zip")
