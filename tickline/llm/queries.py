@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import bpe
-from tickline.llm.common import setup, table
+from tickline.llm import bpe, langid, quality_nbsvm
+from tickline.llm.common import held_out, setup, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,22 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of the encoded and decoded text, per document."""
     docs = table(spark, sf_dir, "documents")
     return bpe.round_trip(docs, "doc_id", "text", RANKS, public_tokenizers.PATTERN)
+
+
+@register("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned off the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hold = held_out(F.col("doc_id"), 4, 2)
+    model = quality_nbsvm.fit(docs.where(~hold), table(spark, sf_dir, "labels"))
+    return quality_nbsvm.score(docs, model).select(
+        "doc_id", hold.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@register("op10_langid")
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned off the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    hold = held_out(F.col("doc_id"), 4, 2)
+    model = langid.fit(docs.where(~hold))
+    return langid.predict(docs, model).select("doc_id", hold.alias("held_out"), "lang_pred", "score")
