@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import bpe, langid, quality_nbsvm
+from tickline.llm import bpe, langid, parity_join, quality_nbsvm
 from tickline.llm.common import held_out, setup, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", hold.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+@register("op6_parity_join")
+def op6_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document (3-word shingles, similarity 0.9)."""
+    return parity_join.similar_classes(table(spark, sf_dir, "documents"))
+
+
 @register("op10_langid")
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned off the held-out fold."""
