@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import bpe, langid, parity_join, quality_nbsvm
+from tickline.llm import block_names, bpe, langid, parity_join, quality_nbsvm
 from tickline.llm.common import held_out, setup, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,19 @@ def op6_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.similar_classes(table(spark, sf_dir, "documents"))
 
 
+OP9_SQL = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@register("op9_block_names", OP9_SQL)
+def op9_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays for every document, by block naming."""
+    return block_names.exact_groups(table(spark, sf_dir, "documents"))
+
+
 @register("op10_langid")
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned off the held-out fold."""
