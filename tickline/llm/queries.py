@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import block_names, bpe, langid, parity_join, quality_nbsvm
+from tickline.llm import block_names, bpe, langid, parity_join, quality_nbsvm, weak_rules
 from tickline.llm.common import held_out, setup, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,13 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", hold.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+@register("op5_weak_rules")
+def op5_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the weakly supervised verdict for every document."""
+    return weak_rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 @register("op6_parity_join")
 def op6_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document (3-word shingles, similarity 0.9)."""
