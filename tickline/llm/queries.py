@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import block_names, bpe, langid, parity_join, quality_nbsvm, weak_rules
+from tickline.llm import block_names, bpe, langid, mixing, parity_join, quality_nbsvm, weak_rules
 from tickline.llm.common import held_out, setup, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,13 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", hold.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+@register("op3_mixing")
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "rate")
+
+
 @register("op5_weak_rules")
 def op5_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the weakly supervised verdict for every document."""
