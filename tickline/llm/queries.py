@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import block_names, bpe, langid, mixing, parity_join, quality_nbsvm, weak_rules
+from tickline.llm import block_names, bpe, langid, mixing, parity_join, quality_nbsvm, warc, weak_rules
 from tickline.llm.common import held_out, setup, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,23 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "rate")
 
 
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     q AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM q
+"""
+
+
+@register("op4_warc", OP4_SQL)
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the pages to WARC archives, read the archives back."""
+    manifest = warc.write(warc.plan(table(spark, sf_dir, "pages")), warc.archive_folder(spark))
+    return warc.read(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register("op5_weak_rules")
 def op5_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the weakly supervised verdict for every document."""
