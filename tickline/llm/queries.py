@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import block_names, bpe, langid, mixing, parity_join, quality_nbsvm, warc, weak_rules
+from tickline.llm import block_names, bpe, class_lm, langid, mixing, parity_join, quality_nbsvm, warc, weak_rules
 from tickline.llm.common import held_out, setup, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,15 @@ def op6_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.similar_classes(table(spark, sf_dir, "documents"))
 
 
+@register("op8_class_lm")
+def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and class-based log10 probability of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hold = held_out(F.col("doc_id"), 10, 0)
+    return class_lm.score(docs, class_lm.fit(docs.where(~hold))).select(
+        "doc_id", hold.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 OP9_SQL = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
