@@ -256,6 +256,7 @@ def fit(train: DataFrame, text: str = "text", params: LmParams = LmParams()):
     plain = (mass + p.alpha) / (mass + p.alpha).sum()
     trans = np.log10((g + p.lean * plain) / (g.sum(axis=1, keepdims=True) + p.lean))
     norm = mass + p.alpha * (types + 1)
+    norm[-1] = mass[-1] + p.alpha                   # the end's class holds nothing else
     ends = counts.where("word is null").first()
     return ClassModel(p, cls, trans, norm, n, v, int(ends.n) if ends else 0), lookup, counts
 

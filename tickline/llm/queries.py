@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import block_names, bpe, class_lm, langid, mixing, parity_join, quality_nbsvm, warc, weak_rules
+from tickline.llm import block_names, bpe, chat, class_lm, langid, mixing, parity_join, quality_nbsvm, warc, weak_rules
 from tickline.llm.common import held_out, setup, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +85,49 @@ def op6_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.similar_classes(table(spark, sf_dir, "documents"))
 
 
+OP7_SQL = """
+WITH answers AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, coalesce(text, '') DESC) AS k
+  FROM conversations WHERE role = 'assistant' AND turn IS NOT NULL AND conv_id IS NOT NULL),
+last AS (SELECT conv_id, turn, text FROM answers WHERE k = 1),
+pairs AS (SELECT a.conv_id, a.turn AS last_turn, b.text AS other FROM last a JOIN last b ON b.conv_id = xor(a.conv_id, 1)),
+turns AS (
+  SELECT c.conv_id, s.side, coalesce(c.role, 'unknown') AS role, c.turn,
+         CASE WHEN s.side = 'rejected' AND c.turn = p.last_turn AND c.role = 'assistant' THEN p.other ELSE coalesce(c.text, '') END AS text
+  FROM conversations c JOIN pairs p USING (conv_id) CROSS JOIN (VALUES ('chosen'), ('rejected')) s(side)),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn NULLS FIRST, role, text) AS i,
+         '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS shown FROM turns),
+same AS (
+  SELECT conv_id, least(max(i) FILTER (side = 'chosen'), max(i) FILTER (side = 'rejected')) AS n FROM numbered GROUP BY conv_id),
+prefix AS (
+  SELECT s.conv_id, coalesce(min(a.i) - 1, any_value(s.n)) AS n_prompt_turns
+  FROM same s LEFT JOIN (SELECT a.conv_id, a.i FROM numbered a JOIN numbered b ON a.conv_id = b.conv_id AND a.i = b.i AND a.side = 'chosen' AND b.side = 'rejected'
+                         WHERE a.role <> b.role OR a.text <> b.text) a USING (conv_id) GROUP BY s.conv_id),
+placed AS (
+  SELECT x.*, p.n_prompt_turns, sum(length(shown)) OVER (PARTITION BY x.conv_id, side, i > p.n_prompt_turns ORDER BY i) - length(shown) AS before
+  FROM numbered x JOIN prefix p USING (conv_id)),
+spans AS (
+  SELECT *, (before + length(role) + 13)::BIGINT AS s, (before + length(role) + 13 + length(text) + 10)::BIGINT AS e FROM placed)
+SELECT conv_id AS pair_id, any_value(n_prompt_turns)::INTEGER AS n_prompt_turns,
+       coalesce(string_agg(shown, '' ORDER BY i) FILTER (side = 'chosen' AND i <= n_prompt_turns), '') AS prompt,
+       coalesce(string_agg(shown, '' ORDER BY i) FILTER (side = 'chosen' AND i > n_prompt_turns), '') AS chosen,
+       coalesce(string_agg(s || '-' || e, ',' ORDER BY i) FILTER (side = 'chosen' AND i > n_prompt_turns AND role = 'assistant'), '') AS chosen_spans,
+       coalesce(string_agg(shown, '' ORDER BY i) FILTER (side = 'rejected' AND i > n_prompt_turns), '') AS rejected,
+       coalesce(string_agg(s || '-' || e, ',' ORDER BY i) FILTER (side = 'rejected' AND i > n_prompt_turns AND role = 'assistant'), '') AS rejected_spans
+FROM spans GROUP BY conv_id
+"""
+
+
+@register("op7_preference", OP7_SQL)
+def op7_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and masked completions: each conversation against itself with
+    its neighbour's last answer."""
+    pairs = chat.preference_pairs(chat.swapped_answers(table(spark, sf_dir, "conversations")))
+    return pairs.withColumns({c: chat.spans_text(F.col(c)) for c in ("chosen_spans", "rejected_spans")})
+
+
 @register("op8_class_lm")
 def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and class-based log10 probability of every document."""
@@ -113,3 +157,9 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     hold = held_out(F.col("doc_id"), 4, 2)
     model = langid.fit(docs.where(~hold))
     return langid.predict(docs, model).select("doc_id", hold.alias("held_out"), "lang_pred", "score")
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of ``corpus_pipeline`` over ``documents``."""
+    return corpus_pipeline.run(spark, sf_dir)
