@@ -352,23 +352,26 @@ def decode(df: DataFrame, ids: str, ranks_path: str, pattern: str, out: str = "d
     return df.withColumn(out, run(F.col(ids)))
 
 
-def round_trip(df: DataFrame, doc_id: str, text: str, ranks_path: str, pattern: str) -> DataFrame:
+def round_trip(df: DataFrame, doc_id: str, text: str, ranks_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """Per row: doc_id, n_tokens, SHA-256 of the packed ids, SHA-256 of the
-    bytes that decoding those ids gives.  One pass over the texts, no shuffle."""
+    bytes that decoding those ids gives; with ``keep_ids`` also the packed ids.
+    One pass over the texts, no shuffle."""
     ranks = _shared_ranks(df.sparkSession, ranks_path)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(ranks.value, pattern)
         for b in batches:
-            n, ids_sha, out_sha = [], [], []
+            n, ids_sha, out_sha, ids = [], [], [], []
             for t in b.column(1):
                 packed = enc.packed(t.as_py())
                 back = enc.decode(np.frombuffer(packed, "<u4").tolist())
                 n.append(len(packed) // 4)
                 ids_sha.append(hashlib.sha256(packed).hexdigest())
                 out_sha.append(hashlib.sha256(back).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(out_sha)], schema=schema)
+                ids.append(packed)
+            columns = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(out_sha, pa.string()), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns[:len(names)], names=names)
 
     return (df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-              .mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
+              .mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids))
