@@ -1,4 +1,4 @@
-"""Size-checked joins and lineage cuts."""
+"""Size-checked joins and staged tables."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickline.context import workspace
+
 # Broadcast a side only when its measured size is below this many bytes.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -52,9 +54,13 @@ class Measured:
 
 
 def materialize(df: DataFrame) -> Measured:
-    """Cut lineage by writing to the shared checkpoint folder, then count.
-    Survives executor loss: later stages read the checkpoint, not the lineage."""
-    done = df.checkpoint(eager=True)
+    """Cut lineage by writing Parquet to the shared checkpoint folder; the row
+    count comes from the files' footers.  Survives executor loss: later stages
+    read the files (and only the columns they need), not the lineage."""
+    spark = df.sparkSession
+    path = workspace(spark, "staged")
+    df.write.parquet(path)
+    done = spark.read.schema(df.schema).parquet(path)
     return Measured(done, done.count())
 
 

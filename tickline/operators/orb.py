@@ -18,9 +18,12 @@ Prices are handled as ``q = side * price`` so long and short share one
 formula; IEEE negation is exact, so every comparison equals the
 direction-specific comparison in price space.
 
-Per-day tables are materialised (checkpoint) between passes: they are small,
-they are reused by several passes, and the size check that decides whether
-they are broadcast needs their real row count.
+Per-day tables are staged as Parquet between passes: they are small, they are
+reused by several passes, and the size check that decides whether they are
+broadcast needs their real row count.  ``path_stats`` aggregates structs
+(et, record_no): microseconds of a day and a record number need more than the
+63 bits of one long, so it is a sort aggregate; what it sorts is one day's path
+columns within a task.
 """
 
 from __future__ import annotations
@@ -282,9 +285,13 @@ def _first_touch(t: str, s: str, target: float, stop: float, otherwise):
              .otherwise(otherwise))
 
 
-def assemble(stats: DataFrame, second: DataFrame, trig: DataFrame, exit_: DataFrame,
-             p: OrbParams = OrbParams()) -> DataFrame:
-    d = (stats.join(second, KEYS, "left").join(trig, KEYS, "left").join(exit_, KEYS, "left"))
+def assemble(stats: DataFrame, second: DataFrame | None = None, trig: DataFrame | None = None,
+             exit_: DataFrame | None = None, p: OrbParams = OrbParams()) -> DataFrame:
+    """Trade rows.  Without ``second`` the S2 and S3 columns are left out,
+    without ``trig`` and ``exit_`` those of S3."""
+    d = stats
+    for part in (second, trig, exit_):
+        d = d if part is None else d.join(part, KEYS, "left")
     qe = F.col("qe_")
     d = d.withColumn("qe_", F.col("side") * F.col("entry_price"))
     last_profit = F.col("q_last") - qe
@@ -296,7 +303,6 @@ def assemble(stats: DataFrame, second: DataFrame, trig: DataFrame, exit_: DataFr
 
     e2 = F.col("or_low") - _lit(p.s2_buffer)
     q_last_price = F.col("side") * F.col("q_last")
-    s2 = _first_touch("s2_t", "s2_s", p.s2_target, p.s2_stop, e2 - q_last_price)
     s2_on = short & narrow & F.col("s2_time").isNotNull()
 
     x_key = F.struct(F.col("s4_x.et").alias("et"), F.col("s4_x.record_no").alias("record_no"))
@@ -310,21 +316,27 @@ def assemble(stats: DataFrame, second: DataFrame, trig: DataFrame, exit_: DataFr
            .when(~x_null, F.col("s4_x.q") - qe)
            .otherwise(last_profit))
 
-    s3_on = F.col("s3_time").isNotNull()
-    stop_gap = F.col("s3_q") - (F.col("s3_ext") + _lit(p.s3_stop_beyond))
-    s3 = (F.when(_before("s3_t", "s3_s"), _lit(p.s3_target))
-           .when(F.col("s3_s").isNotNull(), stop_gap)
-           .otherwise(F.col("s3_q") - F.col("q_last")))
-
     zero = _lit(0.0)
+    s2_columns, s3_columns = [], []
+    if second is not None:
+        s2 = _first_touch("s2_t", "s2_s", p.s2_target, p.s2_stop, e2 - q_last_price)
+        s2_columns = [F.when(s2_on, s2).otherwise(zero).alias("s2_short_pnl"),
+                      F.coalesce(s2_on, F.lit(False)).alias("s2_short_trig")]
+    if trig is not None:
+        s3_on = F.col("s3_time").isNotNull()
+        stop_gap = F.col("s3_q") - (F.col("s3_ext") + _lit(p.s3_stop_beyond))
+        s3 = (F.when(_before("s3_t", "s3_s"), _lit(p.s3_target))
+               .when(F.col("s3_s").isNotNull(), stop_gap)
+               .otherwise(F.col("s3_q") - F.col("q_last")))
+        s3_columns = [F.when(s3_on, s3).otherwise(zero).alias("s3_fade_pnl"), s3_on.alias("s3_fade_trig")]
+
     return d.select(
         "contract", F.col("session_date").alias("date"), "direction",
         "or_high", "or_low", "or_width", "daily_high", "daily_low",
         (F.greatest(zero, F.col("q_max") - qe) + zero).alias("mfe"),
         (F.greatest(zero, qe - F.col("q_min")) + zero).alias("mae"),
         F.when(narrow, s1).otherwise(zero).alias("s1_vol_pnl"), narrow.alias("s1_vol_trig"),
-        F.when(s2_on, s2).otherwise(zero).alias("s2_short_pnl"), F.coalesce(s2_on, F.lit(False)).alias("s2_short_trig"),
-        F.when(s3_on, s3).otherwise(zero).alias("s3_fade_pnl"), s3_on.alias("s3_fade_trig"),
+        *s2_columns, *s3_columns,
         s4.alias("s4_time_pnl"), F.lit(True).alias("s4_time_trig"),
         F.when(narrow, s4).otherwise(zero).alias("s5_master_pnl"), narrow.alias("s5_master_trig"),
         s0.alias("s0_base_pnl"), F.lit(True).alias("s0_base_trig"),
@@ -344,9 +356,15 @@ class Study:
 
     def __init__(self, ticks: DataFrame, params: OrbParams = OrbParams()):
         self.p = params
-        self.px = prices(ticks, params)
+        self._ticks = ticks
         self._cache = {}
 
+    @property
+    def px(self) -> DataFrame:
+        """The narrow price rows, staged once: every pass reads those files,
+        and the source and its time-zone work are gone through once."""
+        return self._get("px", lambda: materialize(prices(self._ticks, self.p))).df
+
     def _get(self, name, build):
         if name not in self._cache:
             self._cache[name] = build()
@@ -381,10 +399,17 @@ class Study:
     def fade_exit(self) -> Measured:
         return self._get("exit", lambda: materialize(fade_exit(self.path, self.trigger, self.p)))
 
+    def trades_of(self, *columns: str) -> DataFrame:
+        """Trade rows with the given columns.  Only the passes that these need
+        are run: the fade scan for S3, the second pass for S2 and S3."""
+        s3 = any(c.startswith("s3_") for c in columns)
+        s2 = s3 or any(c.startswith("s2_") for c in columns)
+        return assemble(self.stats.df, self.second.df if s2 else None, self.trigger.df if s3 else None,
+                        self.fade_exit.df if s3 else None, self.p).select(*columns)
+
     def trades_all(self) -> DataFrame:
         """Trade rows plus the documented-only S0 columns."""
-        return self._get("trades", lambda: assemble(
-            self.stats.df, self.second.df, self.trigger.df, self.fade_exit.df, self.p))
+        return self.trades_of(*TRADE_COLUMNS, "s0_base_pnl", "s0_base_trig")
 
     def trades(self) -> DataFrame:
         return self.trades_all().select(*TRADE_COLUMNS)

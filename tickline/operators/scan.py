@@ -12,13 +12,19 @@ instead cut the ordered rows into bounded chunks with ``repartitionByRange``
 
 and combine them.  Range partition ids increase with the sort key, so chunk
 order is the row order inside every group.
+
+The rows with their chunk ids are written once to the shared folder and both
+branches read those files: range bounds come from a sample, so two exchanges
+of the same rows need not cut them at the same places.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickline.operators.joins import materialize
+
 
 def first_drawdown(rows: DataFrame, keys: list[str], order: list[str], value: str,
                    start: str, depth: str, chunks: int, carry: list[str] | None = None) -> DataFrame:
@@ -31,8 +37,8 @@ def first_drawdown(rows: DataFrame, keys: list[str], order: list[str], value: st
     maximum at that row.
     """
     carry = list(carry or [])
-    ranged = (rows.repartitionByRange(int(max(1, chunks)), *keys, *order)
-                  .withColumn("_chunk", F.spark_partition_id()))
+    ranged = materialize(rows.repartitionByRange(int(max(1, chunks)), *keys, *order)
+                             .withColumn("_chunk", F.spark_partition_id())).df
     # Chunk maxima -> exclusive prefix over earlier chunks of the same group.
     chunk_max = ranged.groupBy(*keys, "_chunk").agg(F.max(value).alias("_cmax"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -46,8 +52,3 @@ def first_drawdown(rows: DataFrame, keys: list[str], order: list[str], value: st
     fields = [F.col(c) for c in order] + [F.col(value), F.col("_ext").alias("ext")] + [F.col(c) for c in carry]
     return hits.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("hit"))
 
-
-def running_max_reference(value: Column, keys: list[str], order: list[str]) -> Column:
-    """Plain-window running maximum; used by tests as the scan's own oracle."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return F.max(value).over(w)
