@@ -100,3 +100,8 @@ def workspace(spark: SparkSession, name: str = "work") -> str:
     if "://" in root:
         path = root.rstrip("/") + f"/tickline/{name}-{uuid.uuid4().hex[:12]}"
     return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp))

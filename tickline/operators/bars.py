@@ -11,10 +11,11 @@ Two semantics, both kept:
   into a timestamp only after aggregation.  Columns: datetime, open, high, low,
   close, trades, volume, bid_volume, ask_volume.
 
-Both are one hash aggregate: partial aggregation on the map side (min_by /
-max_by / sum / min / max all have mergeable buffers), one exchange on the
-minute key, final aggregation.  A hot minute is therefore combined before the
-shuffle and never lands whole on one task.
+Both are one hash aggregate: partial aggregation on the map side, one exchange
+on the minute key, final aggregation.  First and last go by one long: the
+microseconds of raw_time within the minute (26 bits) above the record number
+(37 bits), so every buffer is a fixed-width value and no rows are sorted.  A
+hot minute is combined before the shuffle and never lands whole on one task.
 """
 
 from __future__ import annotations
@@ -22,19 +23,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickline.context import path_exists
 from tickline.functions.expr import bucket_to_timestamp, month_key, start_of_minute
 from tickline.operators.clean import clean_ticks, scan_time_range
+from tickline.operators.joins import materialize
 from tickline.schema import MINUTE_US
 
 
-def _order_key(*cols):
-    present = [F.col(c) for c in cols]
-    return F.struct(*present)
+BARS_PER_FILE = 1_000_000
+RECORD_BITS = 37      # a file of up to 1.3e11 records
+
+
+def _order_key(ticks: DataFrame, width: int = MINUTE_US):
+    """(raw_time, record_no) within one bar as a long.  For bars of at most 67
+    seconds; wider ones use a struct (and so a sort aggregate)."""
+    record = F.col("record_no") if "record_no" in ticks.columns else F.lit(0).cast("long")
+    if width > 1 << (63 - RECORD_BITS):
+        return F.struct(F.col("raw_time"), record)
+    return F.shiftleft(F.pmod(F.col("raw_time"), F.lit(width)), RECORD_BITS) + record
 
 
 def bars_all(ticks: DataFrame, by: list[str] | None = None) -> DataFrame:
     by = list(by or [])
-    key = _order_key("datetime", "raw_time", *(["record_no"] if "record_no" in ticks.columns else []))
+    key = _order_key(ticks)
     return (ticks
             .groupBy(*by, start_of_minute("datetime").alias("candle_time"))
             .agg(F.min_by("close", key).alias("open"),
@@ -49,9 +60,8 @@ def bars_clean(ticks: DataFrame, multiplier: float = 1.0, minutes: int = 1,
                by: list[str] | None = None) -> DataFrame:
     by = list(by or [])
     width = MINUTE_US * int(minutes)
-    r = F.col("raw_time")
-    bucket = ((r - F.pmod(r, F.lit(width))) / F.lit(width)).cast("long")
-    key = _order_key("raw_time", *(["record_no"] if "record_no" in ticks.columns else []))
+    bucket = F.expr(f"raw_time div {width}")
+    key = _order_key(ticks, width)
     agg = (clean_ticks(ticks, multiplier)
            .groupBy(*by, bucket.alias("_bucket"))
            .agg(F.min_by("open", key).alias("open"),
@@ -78,24 +88,40 @@ def bars_clean_range(ticks: DataFrame, start=None, end=None, limit: int | None =
 def bars_range(bars: DataFrame, start=None, end=None, time_col: str = "candle_time") -> DataFrame:
     """Bars with ``start <= t < end``, ordered by time."""
     out = bars
+    by_month = "month" in out.columns
     if start is not None:
-        out = out.where(F.col(time_col) >= F.to_timestamp(F.lit(str(start))))
+        at = F.to_timestamp(F.lit(str(start)))
+        out = out.where(F.col(time_col) >= at)
+        if by_month:        # a month partition before the start holds none of it
+            out = out.where(F.col("month") >= month_key(at))
     if end is not None:
-        out = out.where(F.col(time_col) < F.to_timestamp(F.lit(str(end))))
-    if "month" in out.columns:
+        at = F.to_timestamp(F.lit(str(end)))
+        out = out.where(F.col(time_col) < at)
+        if by_month:
+            out = out.where(F.col("month") <= month_key(at))
+    if by_month:
         out = out.drop("month")
     return out.orderBy(time_col)
 
 
 def bars_backfill(ticks: DataFrame, bar_path: str) -> DataFrame:
-    """Aggregate all history into the bar table (month-partitioned).  Dynamic
-    partition overwrite replaces only the months present, so re-running the
-    backfill is idempotent and never double counts."""
-    bars = bars_all(ticks).withColumn("month", month_key("candle_time"))
-    (bars.repartition("month").sortWithinPartitions("candle_time")
-         .write.mode("overwrite").partitionBy("month").parquet(bar_path))
+    """Aggregate history into the bar table (month-partitioned).  New bars
+    replace stored ones of the same minute, other stored bars of their months
+    stay; only those months are overwritten.  So a run is idempotent, never
+    double counts, and may cover any range of whole minutes."""
+    spark = ticks.sparkSession
+    bars = materialize(bars_all(ticks).withColumn("month", month_key("candle_time")))
     # Explicit schema: partition values stay strings ('202401'), no type inference.
-    return ticks.sparkSession.read.schema(bars.schema).parquet(bar_path)
+    stored = spark.read.schema(bars.df.schema)
+    months = [r.month for r in bars.df.select("month").distinct().collect()]     # bounded by the calendar
+    both = bars
+    if months and path_exists(spark, bar_path):
+        old = stored.parquet(bar_path).where(F.col("month").isin(months)).join(bars.df.select("candle_time"), "candle_time", "left_anti")
+        both = materialize(bars.df.unionByName(old.select(*bars.df.columns)))
+    parts = max(1, -(-both.rows // BARS_PER_FILE))
+    (both.df.repartitionByRange(parts, "month", "candle_time").sortWithinPartitions("month", "candle_time")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(bar_path))
+    return stored.parquet(bar_path)
 
 
 def head_tail(bars: DataFrame, n: int = 10, time_col: str = "candle_time") -> DataFrame:
