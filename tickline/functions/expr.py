@@ -37,6 +37,13 @@ def file_stem(path) -> Column:
     return F.regexp_replace(name, r"(.)\.[^.]*$", "$1")
 
 
+def path_key(path) -> Column:
+    """A file's path in a form that compares: lower case, forward slashes, no
+    ``file:`` scheme."""
+    c = F.col(path) if isinstance(path, str) else path
+    return F.lower(F.regexp_replace(F.translate(c, "\\", "/"), "^(?i)file:(//)?(?=/)", ""))
+
+
 def contract_from_file(path) -> Column:
     """Contract code from a file name: ``ESZ24_FUT_CME.scid`` -> ``ESZ24``;
     names that miss the pattern fall back to the text before the first ``_``."""
@@ -60,7 +67,7 @@ def is_regular_trade(open_col="open") -> Column:
 def minute_bucket(raw="raw_time") -> Column:
     """Integer minute of the raw clock (floor division; raw times are positive)."""
     r = _c(raw).cast("long")
-    return ((r - F.pmod(r, F.lit(MINUTE_US))) / F.lit(MINUTE_US)).cast("long")
+    return F.call_function("div", r, F.lit(MINUTE_US))
 
 
 def bucket_to_timestamp(bucket, minutes: int = 1) -> Column:

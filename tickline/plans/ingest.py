@@ -5,22 +5,23 @@ Table layout: Parquet partitioned by ``month`` (yyyyMM), files sorted by
 ``repartitionByRange(month, datetime, raw_time)``: a busy month is spread
 over many tasks and files instead of landing on one.
 
-Plain Parquet has no transactions: every job stages its result in the shared
-checkpoint folder (``checkpoint``) before touching the table, and only one
-writer may load a table at a time.
+Plain Parquet has no transactions: every job stages its result as Parquet in
+the shared folder before touching the table, and only one writer may load a
+table at a time.  Each symbol has a table of its own (``table_for``), so equal
+times of different symbols never meet.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import time
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickline.functions.expr import file_stem, month_key
+from tickline.context import path_exists as _exists
+from tickline.functions.expr import month_key, path_key
 from tickline.operators.joins import materialize
 from tickline.schema import KEY_COLUMNS, TICK_SCHEMA
 
@@ -37,13 +38,6 @@ LEDGER_SCHEMA = T.StructType([
 ])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hp)
-
-
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:
     """The tick table (empty frame with the table schema if it does not exist)."""
     if not _exists(spark, table_path):
@@ -51,10 +45,15 @@ def read_table(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMA).parquet(table_path)
 
 
-def _layout(df: DataFrame) -> DataFrame:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(parts, "month", "datetime", "raw_time")
-              .sortWithinPartitions("month", "datetime", "raw_time"))
+# Rows of one writing task: sets the number of tasks and files from the data.
+ROWS_PER_FILE = 4_000_000
+
+
+def ranged(df: DataFrame, rows: int | None, *order) -> DataFrame:
+    """``df`` in ranges of ``order``: as many as the row count asks for, or
+    what the session and adaptive execution make of it if that is unknown."""
+    parts = [] if rows is None else [max(1, -(-rows // ROWS_PER_FILE))]
+    return df.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
 
 
 def with_month(df: DataFrame) -> DataFrame:
@@ -62,10 +61,11 @@ def with_month(df: DataFrame) -> DataFrame:
 
 
 def write_monthly(df: DataFrame, table_path: str, mode: str = "append",
-                  compression: str | None = None) -> str:
-    """Store ticks partitioned by month, sorted by (datetime, raw_time)."""
-    out = _layout(with_month(df).select(*[f.name for f in TABLE_SCHEMA.fields]))
-    w = out.write.mode(mode).partitionBy("month")
+                  compression: str | None = None, rows: int | None = None) -> str:
+    """Store ticks partitioned by month, sorted by (datetime, raw_time).
+    ``overwrite`` replaces only the months in ``df``."""
+    out = ranged(with_month(df).select(*[f.name for f in TABLE_SCHEMA.fields]), rows, "month", "datetime", "raw_time")
+    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("month")
     if compression:
         w = w.option("compression", compression)
     w.parquet(table_path)
@@ -88,19 +88,27 @@ def _months(batch: DataFrame) -> list[str]:
     return [r.month for r in batch.select("month").distinct().collect()]
 
 
-def insert_ignore(batch: DataFrame, table_path: str, keys=KEY_COLUMNS) -> int:
-    """Append ticks; the first write wins on ``keys`` (inside the batch too).
-    Only the months present in the batch are read back for the anti-join, so
-    partition pruning keeps the check proportional to the batch.  Returns the
-    number of rows inserted."""
-    spark = batch.sparkSession
-    fresh = dedupe_batch(with_month(batch).select(*[f.name for f in TABLE_SCHEMA.fields]), keys)
-    staged = materialize(fresh)
-    months = _months(staged.df)
-    existing = read_table(spark, table_path).where(F.col("month").isin(months)).select(*keys, "month")
-    new = materialize(staged.df.join(existing, [*keys, "month"], "left_anti"))
+def not_stored(staged: DataFrame, table_path: str, keys=KEY_COLUMNS) -> DataFrame:
+    """Rows of ``staged`` whose key is not in the table.  Only the batch's
+    months and its raw_time range are read back: files are sorted, so their
+    statistics prune the rest of a month."""
+    lo, hi = staged.agg(F.min("raw_time"), F.max("raw_time")).first()
+    stored = (read_table(staged.sparkSession, table_path)
+              .where(F.col("month").isin(_months(staged)) & F.col("raw_time").between(lo, hi)).select(*keys, "month"))
+    return staged.join(stored, [*keys, "month"], "left_anti")
+
+
+def insert_ignore(batch: DataFrame, table_path: str, keys=KEY_COLUMNS, order: str | Column = "record_no") -> int:
+    """Append ticks; the first write wins on ``keys``, inside the batch the
+    first by ``order``.  Returns the number of rows inserted."""
+    o = F.col(order) if isinstance(order, str) else order
+    cols = [f.name for f in TABLE_SCHEMA.fields]
+    staged = materialize(dedupe_batch(with_month(batch).select(*cols, o.alias("_order")), keys, order="_order").drop("_order"))
+    if not staged.rows:
+        return 0
+    new = materialize(not_stored(staged.df, table_path, keys))
     if new.rows:
-        write_monthly(new.df, table_path, mode="append")
+        write_monthly(new.df, table_path, mode="append", rows=new.rows)
     return new.rows
 
 
@@ -110,12 +118,8 @@ def upsert_replace(batch: DataFrame, table_path: str, keys=KEY_COLUMNS, load_ord
     months are overwritten (dynamic partition overwrite).  Returns the number
     of rows in the rewritten months."""
     spark = batch.sparkSession
-    b = with_month(batch).select(*[f.name for f in TABLE_SCHEMA.fields])
-    if load_order and load_order in batch.columns:
-        b = b.withColumn("_load", F.col(load_order).cast("long") + 1)
-    else:
-        b = b.withColumn("_load", F.lit(1).cast("long"))
-    b = b.withColumn("_seq", F.col("record_no"))
+    load = F.col(load_order).cast("long") + 1 if load_order else F.lit(1).cast("long")
+    b = with_month(batch).select(*[f.name for f in TABLE_SCHEMA.fields], load.alias("_load"), F.col("record_no").alias("_seq"))
     staged_batch = materialize(b)
     months = _months(staged_batch.df)
     old = (read_table(spark, table_path).where(F.col("month").isin(months))
@@ -125,8 +129,7 @@ def upsert_replace(batch: DataFrame, table_path: str, keys=KEY_COLUMNS, load_ord
     g = both.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct("_load", "_seq")).alias("_r"))
     merged = g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]).drop("_load", "_seq")
     result = materialize(merged)        # lineage cut: the table can now be overwritten
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    write_monthly(result.df, table_path, mode="overwrite")
+    write_monthly(result.df, table_path, mode="overwrite", rows=result.rows)
     return result.rows
 
 
@@ -153,49 +156,55 @@ def ledger_state(ledger: DataFrame) -> DataFrame:
 
 
 def pending_files(calendar: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Calendar rows whose file is not completed (matched on the file name)."""
-    done = (ledger_state(ledger).where(F.col("completed"))
-            .select(F.lower(file_stem("file")).alias("_k")))
-    return (calendar.withColumn("_k", F.lower(file_stem("file")))
-                    .join(F.broadcast(done), "_k", "left_anti").drop("_k"))
+    """Calendar rows whose file is not completed for their symbol.  Files are
+    the same when their whole paths are (in any case, either slash)."""
+    done = ledger_state(ledger).where(F.col("completed")).select("symbol", path_key("file").alias("_k"))
+    return calendar.withColumn("_k", path_key("file")).join(done, ["symbol", "_k"], "left_anti").select(*calendar.columns)
+
+
+def table_for(table_root: str, table_name: str) -> str:
+    """The table of one symbol under ``table_root``."""
+    return f"{table_root.rstrip('/')}/{table_name}"
 
 
-def sync_symbols(spark: SparkSession, calendar: DataFrame, table_path: str, ledger_path: str,
+def sync_symbols(spark: SparkSession, calendar: DataFrame, table_root: str, ledger_path: str,
                  symbols: list[str] | None = None) -> DataFrame:
     """One load job: pending files -> scan -> rollover window -> insert-ignore
-    -> ledger.  Files are read in parallel by byte range; the ledger is only
-    written after the table write has committed.  Returns this run's ledger rows."""
+    into the symbol's table -> ledger.  Files are read in parallel by byte
+    range; the ledger is written after the table write has committed, and a
+    file is completed only if it was there and gave rows, so a missing one
+    stays pending.  Returns this run's ledger rows."""
     from tickline.sources.calendar import continuous_series
     cal = calendar if not symbols else calendar.where(F.col("symbol").isin(list(symbols)))
-    todo = pending_files(cal, read_ledger(spark, ledger_path))
-    started = time.time()
-    series = continuous_series(spark, todo, ordered=False)
-    staged = materialize(series)
-    per_file = staged.df.groupBy(F.lower(file_stem("file")).alias("_k")).agg(
-        F.count(F.lit(1)).alias("rows_processed"))
-    fresh = materialize(dedupe_batch(with_month(staged.df.drop("file"))
-                                     .select(*[f.name for f in TABLE_SCHEMA.fields]), KEY_COLUMNS))
-    months = _months(fresh.df)
-    before = read_table(spark, table_path).where(F.col("month").isin(months)).select(*KEY_COLUMNS, "month")
-    new = materialize(fresh.df.join(before, [*KEY_COLUMNS, "month"], "left_anti"))
-    if new.rows:
-        write_monthly(new.df, table_path, mode="append")
-    # Inserted rows per file: the first copy of each key came from one file.
-    src = staged.df.select(F.lower(file_stem("file")).alias("_k"), *KEY_COLUMNS, "record_no")
-    ins = (new.df.select(*KEY_COLUMNS, "record_no").join(src, [*KEY_COLUMNS, "record_no"])
-           .groupBy("_k").agg(F.count(F.lit(1)).alias("rows_inserted")))
-    elapsed = time.time() - started
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    run = (todo.withColumn("_k", F.lower(file_stem("file")))
-               .join(per_file, "_k", "left").join(ins, "_k", "left")
-               .select("symbol", "file", F.lit(True).alias("completed"),
-                       F.coalesce("rows_processed", F.lit(0)).cast("long").alias("rows_processed"),
-                       F.coalesce("rows_inserted", F.lit(0)).cast("long").alias("rows_inserted"),
-                       F.lit(float(elapsed)).alias("elapsed_seconds"),
-                       F.lit(now).cast("timestamp").alias("committed_at")))
-    run = materialize(run).df
-    ledger_update(ledger_path, run)
-    return run
+    todo = materialize(pending_files(cal, read_ledger(spark, ledger_path)))
+    cols = [f.name for f in TABLE_SCHEMA.fields]
+    runs = None
+    # One turn per symbol in the configuration.
+    for symbol, table_name in sorted(tuple(r) for r in todo.df.select("symbol", "table_name").distinct().collect()):
+        started = time.time()
+        files = todo.df.where((F.col("symbol") == symbol) & (F.col("table_name") == table_name))
+        staged = materialize(continuous_series(spark, files, ordered=False))
+        processed = staged.df.groupBy(path_key("file").alias("_k")).agg(F.count(F.lit(1)).alias("rows_processed"))
+        inserted = spark.createDataFrame([], "_k string, rows_inserted long")
+        if staged.rows:
+            # The file goes along, so that each inserted row counts for the file it came from.
+            fresh = materialize(dedupe_batch(with_month(staged.df).select(*cols, "file", F.struct("file", "record_no").alias("_order")),
+                                             order="_order").drop("_order"))
+            new = materialize(not_stored(fresh.df, table_for(table_root, table_name)))
+            if new.rows:
+                write_monthly(new.df, table_for(table_root, table_name), mode="append", rows=new.rows)
+            inserted = new.df.groupBy(path_key("file").alias("_k")).agg(F.count(F.lit(1)).alias("rows_inserted"))
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        run = (files.withColumn("_k", path_key("file")).join(processed, "_k", "left").join(inserted, "_k", "left")
+                    .select("symbol", "file", (F.coalesce("rows_processed", F.lit(0)) > 0).alias("completed"),
+                            F.coalesce("rows_processed", F.lit(0)).cast("long").alias("rows_processed"),
+                            F.coalesce("rows_inserted", F.lit(0)).cast("long").alias("rows_inserted"),
+                            F.lit(float(time.time() - started)).alias("elapsed_seconds"),
+                            F.lit(now).cast("timestamp").alias("committed_at")))
+        run = materialize(run).df
+        ledger_update(ledger_path, run)
+        runs = run if runs is None else runs.unionByName(run)
+    return runs if runs is not None else spark.createDataFrame([], LEDGER_SCHEMA)
 
 
 def ingest_stats(ledger: DataFrame) -> DataFrame:
@@ -205,11 +214,9 @@ def ingest_stats(ledger: DataFrame) -> DataFrame:
     g = st.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("rows_processed").cast("long").alias("rows_processed"),
-        F.sum("rows_inserted").cast("long").alias("rows_inserted"),
-        F.max("elapsed_seconds").alias("elapsed_seconds"))
-    return g.withColumn("rows_per_second",
-                        F.when(F.col("elapsed_seconds") > 0, F.col("rows_processed") / F.col("elapsed_seconds")))
-
-
-def local_path(path: str) -> str:
-    return path.replace("file://", "").replace("file:", "") if os.sep == "/" else path
+        F.sum("rows_inserted").cast("long").alias("rows_inserted"))
+    # A run's files share its time: one elapsed per run, summed over runs.
+    runs = (ledger.groupBy("symbol", "committed_at").agg(F.max("elapsed_seconds").alias("e"))
+                  .groupBy("symbol").agg(F.sum("e").alias("elapsed_seconds")))
+    return (g.join(runs, "symbol", "left")
+             .withColumn("rows_per_second", F.when(F.col("elapsed_seconds") > 0, F.col("rows_processed") / F.col("elapsed_seconds"))))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tickline.functions.expr import readable_size
 from tickline.operators.joins import materialize
 from tickline.plans.ingest import (
-    TABLE_SCHEMA, _exists, dedupe_batch, read_table, with_month, write_monthly,
+    TABLE_SCHEMA, _exists, dedupe_batch, ranged, read_table, with_month, write_monthly,
 )
 from tickline.schema import KEY_COLUMNS
 
@@ -93,11 +93,9 @@ def compact_old(spark: SparkSession, table_path: str, ledger_path: str, as_of, d
     if not months:
         return []
     data = materialize(read_table(spark, table_path).where(F.col("month").isin(months)))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (data.df.repartitionByRange(parts, "month", "contract", F.col("datetime").desc())
-         .sortWithinPartitions("month", "contract", F.col("datetime").desc())
-         .write.mode("overwrite").option("compression", codec).partitionBy("month").parquet(table_path))
+    (ranged(data.df, data.rows, "month", "contract", F.col("datetime").desc())
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("compression", codec).partitionBy("month").parquet(table_path))
     after = partition_files(spark, table_path).where(F.col("month").isin(months)) \
         .groupBy("month").agg(F.sum("bytes").alias("bytes_after"))
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -139,16 +137,21 @@ def drop_month(spark: SparkSession, table_path: str, month: str) -> bool:
 
 
 def detach_month(spark: SparkSession, table_path: str, month: str, archive: str) -> str:
-    """Take a month out of the table but keep its data in ``archive``."""
+    """Take a month out of the table but keep its data in ``archive``.  The
+    archive's month is replaced, so a run after a crash between the two steps
+    does not store it twice; once detached, another run changes nothing."""
     part = read_table(spark, table_path).where(F.col("month") == month)
-    write_monthly(part, archive, mode="append")
+    write_monthly(part, archive, mode="overwrite")
     drop_month(spark, table_path, month)
     return archive
 
 
 def migrate_layout(spark: SparkSession, src: str, dst: str, keys=KEY_COLUMNS, order=("record_no",)) -> str:
     """Rewrite an unpartitioned tick dataset as month partitions, one row per
-    key: the first by ``order`` (load order, then file order)."""
+    key: the first by ``order`` (load order, then file order).  ``dst`` must
+    not hold months already: they would stay beside the new ones."""
+    if _exists(spark, dst) and read_table(spark, dst).limit(1).count():
+        raise ValueError(f"{dst} is not empty")
     df = spark.read.parquet(src)
     cols = [f.name for f in TABLE_SCHEMA.fields]
     o = F.struct(*[F.col(c) for c in order])

@@ -4,8 +4,9 @@ The configuration is JSON: ``symbols`` maps a symbol to ``{table_name,
 price_multiplier, contracts: [{file, start_date, end_date}]}``.  It is read
 with Spark (``wholetext`` + ``from_json`` as a MAP, ``explode`` twice); a
 missing file gives the default configuration (ES and NQ, no contracts).
-The calendar is configuration-sized (one row per contract file); joins with
-it broadcast it after a row-count check.
+The calendar has one row per contract file; joins with it broadcast it when its
+counted size is small and shuffle otherwise.  Files are matched by their whole
+path, in any case and with either slash.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.functions.expr import contract_from_file, file_stem, parse_config_date
+from tickline.functions.expr import contract_from_file, parse_config_date, path_key
+from tickline.operators.joins import materialize
 from tickline.schema import CALENDAR_SCHEMA
 
 CONFIG_SCHEMA = ("symbols MAP<STRING, STRUCT<table_name: STRING, price_multiplier: DOUBLE, "
@@ -65,17 +67,16 @@ def windows(calendar: DataFrame) -> DataFrame:
     return calendar.select(
         "symbol", "table_name", "price_multiplier", "file",
         contract_from_file("file").alias("contract"),
-        F.lower(file_stem("file")).alias("file_key"),
+        path_key("file").alias("file_key"),
         parse_config_date("start_date").alias("window_start"),
         parse_config_date("end_date").alias("window_end"))
 
 
 def contract_window_lookup(files: DataFrame, calendar: DataFrame, file_col: str = "file") -> DataFrame:
-    """Window of each file, matched case-insensitively on the file name; files
+    """Window of each file, matched case-insensitively on its path; files
     missing from the calendar get null bounds."""
-    w = calendar.select(F.lower(file_stem("file")).alias("file_key"), "symbol", "start_date", "end_date")
-    return (files.withColumn("file_key", F.lower(file_stem(file_col)))
-                 .join(F.broadcast(w), "file_key", "left").drop("file_key"))
+    w = calendar.select(path_key("file").alias("file_key"), "symbol", "start_date", "end_date")
+    return files.withColumn("file_key", path_key(file_col)).join(w, "file_key", "left").drop("file_key")
 
 
 def in_window(ts, start, end):
@@ -85,15 +86,10 @@ def in_window(ts, start, end):
 def rollover_filter(ticks: DataFrame, calendar: DataFrame, by: str = "contract") -> DataFrame:
     """Keep each contract's ticks inside its own window ``[start, end)``
     (null end = open).  ``by='contract'`` matches on the contract code,
-    ``by='file'`` on the source file name.  The calendar is broadcast: it has
-    one row per contract file (checked below)."""
-    from tickline.operators.joins import materialize
-    w = materialize(windows(calendar))
-    if not w.small():
-        raise ValueError(f"calendar has {w.rows} rows; expected a configuration-sized table")
-    cal = F.broadcast(w.df.select("contract", "file_key", "window_start", "window_end"))
+    ``by='file'`` on the source file's path."""
+    cal = materialize(windows(calendar).select("contract", "file_key", "window_start", "window_end")).side()
     if by == "file":
-        t = ticks.withColumn("file_key", F.lower(file_stem("file")))
+        t = ticks.withColumn("file_key", path_key("file"))
         j = t.join(cal.drop("contract"), "file_key")
     else:
         j = ticks.join(cal.drop("file_key"), "contract")

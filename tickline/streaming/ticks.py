@@ -55,8 +55,11 @@ def stream_ingest(spark: SparkSession, src: str, table_path: str, checkpoint: st
     from tickline.plans.ingest import insert_ignore
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        insert_ignore(batch, table_path)
+        # Within a batch the copy that arrived first wins, whatever the batching.
+        insert_ignore(batch, table_path, order=F.struct("_arrived", "_file", "record_no"))
 
-    q = (tick_stream(spark, src, files_per_trigger).writeStream.foreachBatch(load)
+    arrivals = tick_stream(spark, src, files_per_trigger).select(
+        "*", F.col("_metadata.file_modification_time").alias("_arrived"), F.col("_metadata.file_path").alias("_file"))
+    q = (arrivals.writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
