@@ -60,7 +60,7 @@ def test_decode_and_edges(spark, files):
 
 
 def test_contract_names():
-    assert contract_of("C:\\SierraChart\\Data\\ESZ24_FUT_CME.scid") == "ESZ24"
+    assert contract_of("C:\\Ticks\\Data\\ESZ24_FUT_CME.scid") == "ESZ24"
     assert contract_of("/x/NQH25.scid") == "NQH25"
     assert contract_of("/x/abc_def.scid") == "abc"
 

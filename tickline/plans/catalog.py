@@ -184,18 +184,18 @@ def q_trade_path(spark, sf_dir):
 
 @register("mfe_mae", study_sql("SELECT contract, date, direction, mfe, mae FROM final"))
 def q_mfe_mae(spark, sf_dir):
-    return _study(spark, sf_dir).trades().select("contract", "date", "direction", "mfe", "mae")
+    return _study(spark, sf_dir).trades_of("contract", "date", "direction", "mfe", "mae")
 
 
 @register("strategy_s0", study_sql("SELECT contract, date, s0_base_pnl, TRUE AS s0_base_trig FROM results"))
 def q_strategy_s0(spark, sf_dir):
     """Documented-only baseline: unfiltered 30/25 first touch, no time stop."""
-    return _study(spark, sf_dir).trades_all().select("contract", "date", "s0_base_pnl", "s0_base_trig")
+    return _study(spark, sf_dir).trades_of("contract", "date", "s0_base_pnl", "s0_base_trig")
 
 
 def _strategy_query(prefix):
     def q(spark, sf_dir):
-        return _study(spark, sf_dir).trades().select("contract", "date", f"{prefix}_pnl", f"{prefix}_trig")
+        return _study(spark, sf_dir).trades_of("contract", "date", f"{prefix}_pnl", f"{prefix}_trig")
     return q
 
 
@@ -228,7 +228,7 @@ GROUP BY direction, target"""
 @register("risk_by_target", study_sql(RISK_SQL))
 def q_risk_by_target(spark, sf_dir):
     from tickline.operators.reports import risk_by_target
-    return risk_by_target(_study(spark, sf_dir).trades(), DRIVER_PARAMS.targets)
+    return risk_by_target(_study(spark, sf_dir).trades_of("direction", "mfe", "mae"), DRIVER_PARAMS.targets)
 
 
 COMPARE_SQL = """
@@ -277,7 +277,7 @@ def q_timestamp_to_raw(spark, sf_dir):
 
 CONTRACT_FILES_SQL = """
 files AS (
-  SELECT DISTINCT 'C:\\SierraChart\\Data\\' || contract || '_FUT_CME.scid' AS file FROM ticks
+  SELECT DISTINCT 'C:\\Ticks\\Data\\' || contract || '_FUT_CME.scid' AS file FROM ticks
   UNION SELECT DISTINCT '/data/ticks/' || upper(e.event_type) || '_' || CAST(e.user_id AS VARCHAR) || '.scid'
         FROM events e)"""
 
@@ -292,7 +292,7 @@ FROM (SELECT file, regexp_replace(regexp_extract(file, '([^/\\\\]*)$', 1), '(.)\
 def q_contract_from_file(spark, sf_dir):
     from tickline.sources.fixture import events
     t = _ticks(spark, sf_dir)
-    a = t.select(F.concat(F.lit("C:\\SierraChart\\Data\\"), "contract", F.lit("_FUT_CME.scid")).alias("file"))
+    a = t.select(F.concat(F.lit("C:\\Ticks\\Data\\"), "contract", F.lit("_FUT_CME.scid")).alias("file"))
     ev = events(spark, sf_dir)
     b = ev.select(F.concat(F.lit("/data/ticks/"), F.upper("event_type"), F.lit("_"),
                            F.col("user_id").cast("string"), F.lit(".scid")).alias("file"))
@@ -458,8 +458,9 @@ bars AS (
 SELECT * FROM bars WHERE candle_time >= TIMESTAMP '2024-01-05' AND candle_time < TIMESTAMP '2024-01-12'""",
     BARS_SQL))
 def q_bars_range_query(spark, sf_dir):
-    from tickline.operators.bars import bars_all, bars_range
-    return bars_range(bars_all(_ticks(spark, sf_dir)), "2024-01-05", "2024-01-12")
+    from tickline.context import workspace
+    from tickline.operators.bars import bars_backfill, bars_range
+    return bars_range(bars_backfill(_ticks(spark, sf_dir), workspace(spark, "bars")), "2024-01-05", "2024-01-12")
 
 
 @register("bars_backfill", with_ticks(
@@ -468,8 +469,10 @@ def q_bars_backfill(spark, sf_dir):
     from tickline.context import workspace
     from tickline.operators.bars import bars_backfill
     path = workspace(spark, "bars")
-    bars_backfill(_ticks(spark, sf_dir), path)
-    return bars_backfill(_ticks(spark, sf_dir), path)   # re-run: idempotent, same rows
+    t = _ticks(spark, sf_dir)
+    bars_backfill(t, path)
+    # Again for a part of the month: same rows, the others stay.
+    return bars_backfill(t.where(F.col("datetime") >= F.to_timestamp(F.lit("2024-01-20"))), path)
 
 
 @register("head_tail", with_ticks("""
@@ -599,8 +602,10 @@ cal AS (SELECT * FROM (VALUES ('ESH24', TIMESTAMP '2024-01-01', TIMESTAMP '2024-
                               ('ESM24', TIMESTAMP '2024-01-15', CAST(NULL AS TIMESTAMP))) v(contract, ws, we))"""
 
 
-def _calendar_file(spark, files_dir: str | None, windows=FIXTURE_WINDOWS) -> str:
-    """Write a calendar config naming the contract files of ``files_dir``."""
+def _calendar_file(spark, files_dir: str | None, windows=FIXTURE_WINDOWS, nq: bool = False) -> str:
+    """Write a calendar config naming the contract files of ``files_dir``.
+    ``nq`` adds a second symbol: the ESM24 file again, from 2024-01-08 on, so
+    that both symbols share times, and a file that is not there."""
     import glob
     import json
     import os
@@ -613,6 +618,9 @@ def _calendar_file(spark, files_dir: str | None, windows=FIXTURE_WINDOWS) -> str
     contracts = [{"file": by_contract.get(c, f"/missing/{c}_FUT_CME.scid"), "start_date": s, "end_date": e}
                  for c, s, e in windows]
     cfg = {"symbols": {"ES": {"table_name": "ES", "price_multiplier": 1.0, "contracts": contracts}}}
+    if nq:
+        cfg["symbols"]["NQ"] = {"table_name": "NQ_ticks", "contracts": [
+            {"file": by_contract["ESM24"], "start_date": "2024-01-08"}, {"file": f"{files_dir}/NQZ99_FUT_CME.scid"}]}
     folder = workspace(spark, "config")
     os.makedirs(folder, exist_ok=True)
     path = os.path.join(folder, "config.json")
@@ -671,63 +679,63 @@ def q_contract_window_lookup(spark, sf_dir):
     return out.select(X.contract_from_file(F.col("file")).alias("contract"), "symbol", "start_date", "end_date")
 
 
-SYNC_SQL = f"""
-SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM (
-  {CONTINUOUS_SQL.strip()}) s"""
+SYNCED_SQL = f"""
+synced AS (
+  SELECT 'ES' AS symbol, {TICK_SELECT} FROM ({CONTINUOUS_SQL.strip()}) s
+  UNION ALL SELECT 'NQ' AS symbol, {TICK_SELECT} FROM fticks WHERE contract = 'ESM24' AND datetime >= TIMESTAMP '2024-01-08')"""
 
 
 def _synced(spark, sf_dir, partial_first: bool = False):
     from tickline.context import workspace
     from tickline.plans.ingest import sync_symbols
     from tickline.sources.calendar import contract_calendar
-    cal = contract_calendar(spark, _calendar_file(spark, _tick_files(spark, sf_dir)))
+    cal = contract_calendar(spark, _calendar_file(spark, _tick_files(spark, sf_dir), nq=True))
     table, ledger = workspace(spark, "table"), workspace(spark, "ledger")
     if partial_first:
         sync_symbols(spark, cal.where(X.contract_from_file("file") == "ESH24"), table, ledger)
     sync_symbols(spark, cal, table, ledger)
-    sync_symbols(spark, cal, table, ledger)      # nothing pending: no-op
+    sync_symbols(spark, cal, table, ledger)      # only the missing file is pending: no rows
     return cal, table, ledger
 
 
-@register("sync_symbols", with_ticks(SYNC_SQL, FILE_TICKS_SQL, WINDOW_SQL))
+@register("sync_symbols", with_ticks(f"SELECT symbol, {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM synced",
+                                     FILE_TICKS_SQL, WINDOW_SQL, SYNCED_SQL))
 def q_sync_symbols(spark, sf_dir):
-    """Two-step load (one contract, then the rest) plus a re-run; the table
-    holds every windowed tick exactly once."""
-    from tickline.plans.ingest import read_table
-    _, table, _ = _synced(spark, sf_dir, partial_first=True)
-    return read_table(spark, table)
+    """Two-step load (one contract, then the rest of both symbols) plus a
+    re-run; each symbol's table holds every windowed tick exactly once."""
+    from tickline.plans.ingest import read_table, table_for
+    _, root, _ = _synced(spark, sf_dir, partial_first=True)
+    return (read_table(spark, table_for(root, "ES")).withColumn("symbol", F.lit("ES"))
+            .unionByName(read_table(spark, table_for(root, "NQ_ticks")).withColumn("symbol", F.lit("NQ"))))
 
 
 @register("ingest_stats", with_ticks("""
-SELECT 'ES' AS symbol, CAST(count(DISTINCT contract) AS BIGINT) AS files,
-       count(*) AS rows_processed, count(*) AS rows_inserted
-FROM (""" + CONTINUOUS_SQL.strip() + ") s", FILE_TICKS_SQL, WINDOW_SQL))
+SELECT symbol, CAST(2 AS BIGINT) AS files, count(*) AS rows_processed, count(*) AS rows_inserted
+FROM synced GROUP BY symbol""", FILE_TICKS_SQL, WINDOW_SQL, SYNCED_SQL))
 def q_ingest_stats(spark, sf_dir):
     from tickline.plans.ingest import ingest_stats, read_ledger
     _, _, ledger = _synced(spark, sf_dir)
     return ingest_stats(read_ledger(spark, ledger)).select("symbol", "files", "rows_processed", "rows_inserted")
 
 
-@register("pending_files", """
-SELECT * FROM (VALUES ('ES', 'ESM24', '2024-01-15', CAST(NULL AS VARCHAR))) v(symbol, contract, start_date, end_date)""")
+@register("pending_files", with_ticks("""
+SELECT v.* FROM (VALUES ('ES', 'ESH24', '2024-01-01', '2024-01-15'), ('ES', 'ESM24', '2024-01-15', NULL),
+                        ('NQ', 'ESM24', '2024-01-08', NULL), ('NQ', 'NQZ99', NULL, NULL)) v(symbol, contract, start_date, end_date)
+WHERE NOT (symbol = 'ES' AND contract = 'ESH24' AND EXISTS (SELECT 1 FROM ticks t WHERE t.contract = 'ESH24' AND t.datetime >= TIMESTAMP '2024-01-01'
+                                                            AND t.datetime < TIMESTAMP '2024-01-15'))"""))
 def q_pending_files(spark, sf_dir):
-    """After loading only the first contract, the second one is pending."""
+    """After loading only the first contract, the second one and the other
+    symbol's files (the same path once more, and one that is missing) are pending."""
     from tickline.context import workspace
     from tickline.plans.ingest import pending_files, read_ledger, sync_symbols
     from tickline.sources.calendar import contract_calendar
-    cal = contract_calendar(spark, _calendar_file(spark, _tick_files(spark, sf_dir)))
+    cal = contract_calendar(spark, _calendar_file(spark, _tick_files(spark, sf_dir), nq=True))
     table, ledger = workspace(spark, "table"), workspace(spark, "ledger")
     sync_symbols(spark, cal.where(X.contract_from_file("file") == "ESH24"), table, ledger)
     out = pending_files(cal, read_ledger(spark, ledger))
     return out.select("symbol", X.contract_from_file("file").alias("contract"), "start_date", "end_date")
 
 
-@register("monthly_table", with_ticks(f"SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM ticks"))
-def q_monthly_table(spark, sf_dir):
-    from tickline.context import workspace
-    from tickline.plans.ingest import read_table, write_monthly
-    path = write_monthly(_ticks(spark, sf_dir), workspace(spark, "table"))
-    return read_table(spark, path)
 
 
 LOADED_KEEP_SQL = """
@@ -833,13 +841,32 @@ def q_sample_to_csv(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # 2.7 table maintenance and 2.4 inventories
 # ---------------------------------------------------------------------------
+SPREAD_SQL = """
+months AS (
+  SELECT * REPLACE (datetime + to_days(CAST(40 * (record_no % 3) AS INTEGER)) AS datetime, raw_time + 40 * (record_no % 3) * 86400000000 AS raw_time) FROM ticks)"""
+
+
+def _spread(spark, sf_dir):
+    """The ticks over several months: a third of them 40 days later, a third 80."""
+    late = F.pmod(F.col("record_no"), F.lit(3)) * F.lit(40 * 86_400_000_000)
+    return (_ticks(spark, sf_dir).withColumn("raw_time", F.col("raw_time") + late)
+            .withColumn("datetime", F.timestamp_micros(F.unix_micros("datetime") + late)))
+
+
 def _table(spark, sf_dir) -> str:
     from tickline.context import workspace
     from tickline.plans.ingest import write_monthly
-    return write_monthly(_ticks(spark, sf_dir), workspace(spark, "table"))
+    return write_monthly(_spread(spark, sf_dir), workspace(spark, "table"))
 
 
-TABLE_SQL = with_ticks(f"SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM ticks")
+MONTHS_SELECT = f"SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM months"
+TABLE_SQL = with_ticks(MONTHS_SELECT, SPREAD_SQL)
+
+
+@register("monthly_table", TABLE_SQL)
+def q_monthly_table(spark, sf_dir):
+    from tickline.plans.ingest import read_table
+    return read_table(spark, _table(spark, sf_dir))
 
 
 @register("migrate_layout", with_ticks(LOADED_KEEP_SQL.format(dir="ASC"), REDELIVERED_SQL))
@@ -868,8 +895,10 @@ def q_compact_old(spark, sf_dir):
     return read_table(spark, path)
 
 
-@register("compacted_counts", "SELECT 'ES' AS \"table\", CAST(1 AS BIGINT) AS compacted, "
-                              "CAST(0 AS BIGINT) AS not_compacted, CAST(1 AS BIGINT) AS total")
+@register("compacted_counts", with_ticks("""
+SELECT 'ES' AS "table", count(DISTINCT m) FILTER (WHERE old) AS compacted, count(DISTINCT m) FILTER (WHERE NOT old) AS not_compacted,
+       count(DISTINCT m) AS total
+FROM (SELECT date_trunc('month', datetime) AS m, date_trunc('month', datetime) + INTERVAL 1 MONTH <= TIMESTAMP '2024-02-23' AS old FROM months)""", SPREAD_SQL))
 def q_compacted_counts(spark, sf_dir):
     from tickline.context import workspace
     from tickline.plans.maintain import compact_old, compacted_counts
@@ -878,64 +907,75 @@ def q_compacted_counts(spark, sf_dir):
     return compacted_counts(spark, {"ES": path}, ledger)
 
 
-@register("compaction_report")
+@register("compaction_report", with_ticks("""
+SELECT DISTINCT 'ES' AS "table", strftime(datetime, '%Y%m') AS month, TRUE AS has_before, TRUE AS has_after
+FROM months WHERE date_trunc('month', datetime) + INTERVAL 1 MONTH <= TIMESTAMP '2024-02-23'""", SPREAD_SQL))
 def q_compaction_report(spark, sf_dir):
-    """Bytes before / after per compacted month (sizes vary: rows-only check)."""
+    """Compacted months of the report (its sizes vary, so they show as present)."""
     from tickline.context import workspace
     from tickline.plans.maintain import compact_old, compaction_report
     path, ledger = _table(spark, sf_dir), workspace(spark, "compactions")
     compact_old(spark, path, ledger, "2024-03-01")
-    return compaction_report(spark, ledger)
+    present = [(F.length(f"{k}_compression") > 0).alias(f"has_{k}") for k in ("before", "after")]
+    return compaction_report(spark, ledger).select("table", "month", *present)
 
 
-@register("partition_inventory")
+@register("partition_inventory", with_ticks(
+    "SELECT strftime(datetime, '%Y%m') AS month, count(*) AS rows, TRUE AS has_files, TRUE AS has_bytes FROM months GROUP BY 1", SPREAD_SQL))
 def q_partition_inventory(spark, sf_dir):
-    """Rows, files and bytes per month (byte sizes vary: rows-only check)."""
+    """Rows per month, with files and bytes (which vary) as present."""
     from tickline.plans.maintain import partition_inventory
-    return partition_inventory(spark, _table(spark, sf_dir))
+    inv = partition_inventory(spark, _table(spark, sf_dir))
+    return inv.select("month", "rows", (F.col("files") > 0).alias("has_files"), ((F.col("bytes") > 0) & (F.length("size") > 0)).alias("has_bytes"))
 
 
-@register("table_sizes")
+@register("table_sizes", with_ticks("""
+SELECT 'ES' AS "table", count(*) AS rows, TRUE AS has_bytes FROM months
+UNION ALL SELECT 'ES_flat', count(*), TRUE FROM ticks""", SPREAD_SQL))
 def q_table_sizes(spark, sf_dir):
+    """Rows of two tables, with their bytes (which vary) as present."""
+    from tickline.context import workspace
+    from tickline.plans.ingest import write_monthly
     from tickline.plans.maintain import table_sizes
-    return table_sizes(spark, {"ES": _table(spark, sf_dir)})
+    flat = write_monthly(_ticks(spark, sf_dir), workspace(spark, "table"))
+    sizes = table_sizes(spark, {"ES": _table(spark, sf_dir), "ES_flat": flat})
+    return sizes.select("table", "rows", ((F.col("bytes") > 0) & (F.length("size") > 0)).alias("has_bytes"))
 
 
 @register("partition_rows", with_ticks(
-    "SELECT strftime(datetime, '%Y%m') AS month, count(*) AS rows FROM ticks GROUP BY 1"))
+    "SELECT strftime(datetime, '%Y%m') AS month, count(*) AS rows FROM months GROUP BY 1", SPREAD_SQL))
 def q_partition_rows(spark, sf_dir):
     """The deterministic part of the inventory: rows per month partition."""
     from tickline.plans.maintain import partition_inventory
     return partition_inventory(spark, _table(spark, sf_dir)).select("month", "rows")
 
 
-@register("drop_month", with_ticks(
-    f"SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM ticks "
-    "WHERE strftime(datetime, '%Y%m') <> '202401'"))
+@register("drop_month", with_ticks(f"{MONTHS_SELECT} WHERE strftime(datetime, '%Y%m') <> '202402'", SPREAD_SQL))
 def q_drop_month(spark, sf_dir):
     from tickline.plans.ingest import read_table
     from tickline.plans.maintain import drop_month
     path = _table(spark, sf_dir)
-    drop_month(spark, path, "202401")
+    drop_month(spark, path, "202402")
     return read_table(spark, path)
 
 
-@register("detach_month", TABLE_SQL)
+@register("detach_month", with_ticks(f"SELECT m.*, month = '202402' AS archived FROM ({MONTHS_SELECT}) m", SPREAD_SQL))
 def q_detach_month(spark, sf_dir):
-    """The archive holds the detached month; the table no longer does."""
+    """The archive holds the detached month, the table the others; a second
+    run changes nothing."""
     from tickline.context import workspace
     from tickline.plans.ingest import read_table
     from tickline.plans.maintain import detach_month
     path = _table(spark, sf_dir)
-    archive = detach_month(spark, path, "202401", workspace(spark, "archive"))
-    assert read_table(spark, path).where(F.col("month") == "202401").limit(1).count() == 0
-    return read_table(spark, archive)
+    archive = detach_month(spark, path, "202402", workspace(spark, "archive"))
+    detach_month(spark, path, "202402", archive)
+    return (read_table(spark, archive).withColumn("archived", F.lit(True))
+            .unionByName(read_table(spark, path).withColumn("archived", F.lit(False))))
 
 
 # ---------------------------------------------------------------------------
 # 2.6 streaming (availableNow into a sink under the shared folder, read back)
 # ---------------------------------------------------------------------------
-STREAM_SLICES = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29", "2024-02-05"]
 STREAM_FILES = 2
 
 
@@ -965,8 +1005,10 @@ def _stream_source(spark, sf_dir, redeliver: bool) -> str:
                 seen.add(name)
                 fs.setTimes(st.getPath(), stamp[0], stamp[0])
 
-    for lo, hi in zip(STREAM_SLICES, STREAM_SLICES[1:]):
-        week = t.where((F.col("datetime") >= F.to_timestamp(F.lit(lo))) & (F.col("datetime") < F.to_timestamp(F.lit(hi))))
+    first, last = t.agg(F.min(F.to_date("datetime")), F.max(F.to_date("datetime"))).first()
+    for k in range(((last - first).days // 7 + 1) if first else 0):
+        lo = F.date_add(F.lit(first), 7 * k)
+        week = t.where((F.to_date("datetime") >= lo) & (F.to_date("datetime") < F.date_add(lo, 7)))
         append(week)
         if redeliver:
             append(redelivered(week))
@@ -1004,15 +1046,15 @@ def q_stream_bars(spark, sf_dir):
 
 @register("stream_ingest", with_ticks(f"SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM ticks"))
 def q_stream_ingest(spark, sf_dir):
-    """Ticks plus re-deliveries streamed into the table; run twice (restart):
-    every tick once."""
+    """Ticks plus re-deliveries streamed into the table, in batches of any size;
+    run twice (restart): every tick once, in its first copy."""
     from tickline.context import workspace
     from tickline.plans.ingest import read_table
     from tickline.streaming.ticks import stream_ingest
     src = _stream_source(spark, sf_dir, redeliver=True)
     table, ck = workspace(spark, "table"), workspace(spark, "stream-ck")
-    stream_ingest(spark, src, table, ck, STREAM_FILES)
-    stream_ingest(spark, src, table, ck, STREAM_FILES)
+    stream_ingest(spark, src, table, ck)
+    stream_ingest(spark, src, table, ck)
     return read_table(spark, table)
 
 
@@ -1028,10 +1070,12 @@ def q_run_study(spark, sf_dir):
 
 
 @register("ledger_update", with_ticks("""
-SELECT 'ES' AS symbol, contract, TRUE AS completed, count(*) AS rows_processed, count(*) AS rows_inserted
-FROM (""" + CONTINUOUS_SQL.strip() + ") s GROUP BY contract", FILE_TICKS_SQL, WINDOW_SQL))
+SELECT symbol, contract, TRUE AS completed, count(*) AS rows_processed, count(*) AS rows_inserted
+FROM synced GROUP BY symbol, contract
+UNION ALL SELECT 'NQ', 'NQZ99', FALSE, 0, 0""", FILE_TICKS_SQL, WINDOW_SQL, SYNCED_SQL))
 def q_ledger_update(spark, sf_dir):
-    """Latest ledger entry per contract file after a load and a re-run."""
+    """Latest ledger entry per contract file after a load and a re-run; the
+    missing file is not completed."""
     from tickline.plans.ingest import ledger_state, read_ledger
     _, _, ledger = _synced(spark, sf_dir)
     st = ledger_state(read_ledger(spark, ledger))
