@@ -19,6 +19,7 @@ BATCH_ROWS = 512
 def setup(spark: SparkSession) -> SparkSession:
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     return spark
 
 
