@@ -629,16 +629,21 @@ def _calendar_file(spark, files_dir: str | None, windows=FIXTURE_WINDOWS, nq: bo
     return path
 
 
-@register("contract_calendar", """
-SELECT * FROM (VALUES ('ES', 'ES', 1.0, 'ESH24', '2024-01-01', '2024-01-15'),
-                      ('ES', 'ES', 1.0, 'ESM24', '2024-01-15', CAST(NULL AS VARCHAR)))
-  v(symbol, table_name, price_multiplier, contract, start_date, end_date)""")
+@register("contract_calendar", with_ticks("""
+SELECT v.*, (SELECT count(*) FROM ticks t WHERE t.contract = v.contract AND t.datetime >= CAST(v.start_date AS TIMESTAMP)
+             AND (v.end_date IS NULL OR t.datetime < CAST(v.end_date AS TIMESTAMP))) AS ticks
+FROM (VALUES ('ES', 'ES', 1.0, 'ESH24', '2024-01-01', '2024-01-15'),
+             ('ES', 'ES', 1.0, 'ESM24', '2024-01-15', CAST(NULL AS VARCHAR)))
+  v(symbol, table_name, price_multiplier, contract, start_date, end_date)"""))
 def q_contract_calendar(spark, sf_dir):
-    """Calendar rows for the contract files written from the tick view."""
-    from tickline.sources.calendar import contract_calendar
+    """Calendar rows for the contract files written from the tick view, with
+    the ticks that each one's window takes from its file."""
+    from tickline.sources.calendar import continuous_series, contract_calendar
     cal = contract_calendar(spark, _calendar_file(spark, _tick_files(spark, sf_dir)))
-    return cal.select("symbol", "table_name", "price_multiplier", X.contract_from_file("file").alias("contract"),
-                      "start_date", "end_date")
+    taken = continuous_series(spark, cal, ordered=False).groupBy("contract").agg(F.count(F.lit(1)).alias("ticks"))
+    return (cal.withColumn("contract", X.contract_from_file("file")).join(taken, "contract", "left")
+               .select("symbol", "table_name", "price_multiplier", "contract", "start_date", "end_date",
+                       F.coalesce("ticks", F.lit(0)).alias("ticks")))
 
 
 @register("rollover_filter", with_ticks(f"""
@@ -664,19 +669,19 @@ def q_continuous_series(spark, sf_dir):
     return continuous_series(spark, cal).drop("file")
 
 
-@register("contract_window_lookup", """
-SELECT * FROM (VALUES ('ESH24', 'ES', '2024-01-01', '2024-01-15'),
+@register("contract_window_lookup", with_ticks("""
+SELECT v.*, t.ticks FROM (VALUES ('ESH24', 'ES', '2024-01-01', '2024-01-15'),
                       ('ESM24', 'ES', '2024-01-15', CAST(NULL AS VARCHAR)))
-  v(contract, symbol, start_date, end_date)""")
+  v(contract, symbol, start_date, end_date) JOIN (SELECT contract, count(*) AS ticks FROM ticks GROUP BY contract) t USING (contract)"""))
 def q_contract_window_lookup(spark, sf_dir):
     """Window of every tick file found on disk (upper-cased names still match)."""
     from tickline.sources.calendar import contract_calendar, contract_window_lookup
     from tickline.sources.scid import scan_ticks
     files_dir = _tick_files(spark, sf_dir)
     cal = contract_calendar(spark, _calendar_file(spark, files_dir))
-    files = scan_ticks(spark, files_dir).select(F.upper("file").alias("file")).distinct()
+    files = scan_ticks(spark, files_dir).groupBy(F.upper("file").alias("file")).agg(F.count(F.lit(1)).alias("ticks"))
     out = contract_window_lookup(files, cal)
-    return out.select(X.contract_from_file(F.col("file")).alias("contract"), "symbol", "start_date", "end_date")
+    return out.select(X.contract_from_file(F.col("file")).alias("contract"), "symbol", "start_date", "end_date", "ticks")
 
 
 SYNCED_SQL = f"""

@@ -159,6 +159,8 @@ class TickFileReader(DataSourceReader):
                 if count == 0:
                     break
                 rec = np.frombuffer(buf[:count * RECORD_SIZE], dtype=dtype)
+                if (rec["raw_time"] > _INT64_MAX).any():
+                    raise ValueError(f"{partition.path}: a time from 2^63 on is no tick time")
                 raw = rec["raw_time"].astype(np.int64)
                 ordinal = np.arange(pos, pos + count, dtype=np.int64)
                 keep = (raw >= self.raw_lo) & (raw <= self.raw_hi)
