@@ -13,12 +13,17 @@ verified on the sets.  No linked pair is missed.
   next one's.  All of a group share U, and with it the sketch's width.
 * Documents with the same set are one class from the start (copies cost
   nothing), and only classes meet.
+* Pairs that meet are filtered by a shorter parity sketch of their own (one to
+  two bits a shingle), whose Hamming distance is a lower bound as well; what is
+  left is verified on the sets, which are made from the texts of those
+  documents only.
 * What is asked for is the component, so pairs within one component need no
   check.  In each bucket all classes are first held against one of them (a
-  star: as many pairs as rows); links are contracted; buckets that still hold
-  several components get further stars, and at last all pairs of different
-  components.  So the number of pairs does not grow with the square of a group
-  of near copies, and no pair of different components goes unchecked.
+  star: as many pairs as rows), links are contracted, and again; buckets that
+  still hold several components are then compared whole, in blocks of bounded
+  size, where only pairs of different components that pass the filter become
+  rows.  So rows do not grow with the square of a group of near copies, and no
+  pair of different components goes unchecked.
 
 Defined results: a null text or one without words is empty and linked with
 nothing; a text with fewer words than a shingle is one shingle; repeated rows
@@ -42,7 +47,9 @@ from tickline.llm.components import components
 from tickline.operators.joins import Measured
 
 SEGMENT_BITS = 64
-STAR_ROUNDS = 6            # at most, before all remaining pairs are listed
+STAR_ROUNDS = 2            # before buckets are compared whole
+BLOCK = 512                # classes of a bucket that are compared at a time,
+BLOCK_BITS = 1 << 27       # or fewer if their sketches have more bits than that
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -122,12 +129,33 @@ def _print(s: np.ndarray) -> tuple[int, int]:
     return int(d[0]), int(d[1])
 
 
+def folded(s: np.ndarray) -> bytes:
+    """Parity sketch of at least one bit a shingle; its width is a power of two
+    (64 bits or more), so that a wider one folds to a narrower by XOR."""
+    width = max(64, 1 << (len(s) - 1).bit_length()) if len(s) else 64
+    bits = np.bincount(((s >> np.uint64(8)) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _narrow(x: np.ndarray, words: int) -> np.ndarray:
+    while x.shape[-1] > words:
+        half = x.shape[-1] // 2
+        x = x[..., :half] ^ x[..., half:]
+    return x
+
+
+def _bound(total, p: JoinParams):
+    """The symmetric difference that linked sets of ``total`` shingles
+    together may have at most."""
+    return total * (p.den - p.num) // (p.den + p.num)
+
+
 def _sketched(docs: DataFrame, p: JoinParams) -> DataFrame:
-    """doc_id, n (set size), f1, f2 (set's print), keys."""
+    """doc_id, n (set size), f1, f2 (set's print), keys, fold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(p)
         for b in batches:
-            n, f1, f2, keys = [], [], [], []
+            n, f1, f2, keys, fold = [], [], [], [], []
             for t in b.column(1):
                 s = shingles(t.as_py(), p.width)
                 x, y = _print(s)
@@ -135,13 +163,15 @@ def _sketched(docs: DataFrame, p: JoinParams) -> DataFrame:
                 f1.append(x)
                 f2.append(y)
                 keys.append(bands.keys(s))
+                fold.append(folded(s))
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))], names=["doc_id", "n", "f1", "f2", "keys"])
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64())), pa.array(fold, pa.binary())],
+                names=["doc_id", "n", "f1", "f2", "keys", "fold"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, keys array<long>, fold binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, p: JoinParams) -> DataFrame:
@@ -163,7 +193,23 @@ def _sets(docs: DataFrame, wanted: DataFrame, p: JoinParams) -> DataFrame:
     return stage(found.dropDuplicates(["cid"]), "sets")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
+def _passing(pairs: DataFrame, folds: DataFrame, p: JoinParams) -> DataFrame:
+    """The pairs (u, v) whose folded sketches are near enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for total, x, y in zip(b.column(2).to_pylist(), b.column(3), b.column(4)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                w = min(len(x), len(y))
+                keep.append(int(np.bitwise_count(_narrow(x, w) ^ _narrow(y, w)).sum()) <= _bound(total, p))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    other = folds.select(F.col("cid").alias("v"), F.col("n").alias("n2"), F.col("fold").alias("fold_v"))
+    own = folds.select(F.col("cid").alias("u"), F.col("n").alias("n1"), F.col("fold").alias("fold_u"))
+    return pairs.join(other, "v").join(own, "u").select("u", "v", (F.col("n1") + F.col("n2")).alias("total"), "fold_u", "fold_v").mapInArrow(run, "u long, v long")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, p: JoinParams) -> DataFrame:
     """The pairs (u, v) whose sets are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -174,9 +220,11 @@ def _verify(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
                 keep.append(p.den * both >= p.num * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
+    ends = pairs.select(F.col("u").alias("cid")).unionByName(pairs.select(F.col("v").alias("cid"))).distinct()
+    sets = _sets(docs, stage(classes.select("cid", "f1", "f2", "first_doc").join(ends, "cid", "left_semi"), "wanted"), p)
     other = sets.select(F.col("cid").alias("v"), F.col("set").alias("set_v"))
     own = sets.select(F.col("cid").alias("u"), F.col("set").alias("set_u"))
-    return pairs.join(other, "v").join(own, "u").select("u", "v", "set_u", "set_v").mapInArrow(run, "u long, v long")
+    return stage(pairs.join(other, "v").join(own, "u").select("u", "v", "set_u", "set_v").mapInArrow(run, "u long, v long"), "links")
 
 
 def _meetings(classes: DataFrame, p: JoinParams) -> DataFrame:
@@ -186,58 +234,110 @@ def _meetings(classes: DataFrame, p: JoinParams) -> DataFrame:
     return stage(each.join(shared, "key", "left_semi"), "meetings")
 
 
+def _mixed(met: DataFrame) -> DataFrame:
+    """The buckets that hold several components, with their number of blocks."""
+    held = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.lit(BLOCK_BITS) / F.max("n")))
+    key = (met.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / held).cast("int").alias("blocks"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+              .where("lo <> hi").select("key", "blocks"))
+    return stage(met.join(key, "key"), "mixed")
+
+
+def _merged(root: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The roots (id, root) after more links: only the old roots that the new
+    links touch are contracted again."""
+    if root is None:
+        return components(links)
+    old = root.withColumnRenamed("id", "v")
+    for end in ("u", "v"):
+        links = links.join(root.select(F.col("id").alias(end), F.col("root").alias("r")), end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+    new = components(links)
+    moved = old.join(new.select(F.col("id").alias("root"), F.col("root").alias("r")), "root", "left").select(F.col("v").alias("id"), F.coalesce("r", "root").alias("root"))
+    # ids seen for the first time (a root is an id of its own component already)
+    return stage(moved.unionByName(new.join(root.select("id"), "id", "left_anti")), "roots")
+
+
 def _star(met: DataFrame, turn: int, p: JoinParams) -> DataFrame:
     """In each bucket, all classes of another component held against one."""
-    first = met.groupBy("key").agg(F.min(F.struct(F.xxhash64("cid", F.lit(turn)), F.col("cid"), F.col("n"), F.col("root"))).alias("c"))
-    return (met.join(first, "key").where(F.col("root") != F.col("c.root"))
-               .where(_sizes_fit(F.col("n"), F.col("c.n"), p)).select(F.col("c.cid").alias("u"), F.col("cid").alias("v")))
+    first = met.groupBy("key").agg(F.min(F.struct(F.xxhash64("cid", F.lit(turn)), F.col("cid"), F.col("n"), F.col("root"))).alias("center"))
+    return (met.join(first, "key").where(F.col("root") != F.col("center.root"))
+               .where(_sizes_fit(F.col("n"), F.col("center.n"), p)).select(F.col("center.cid").alias("u"), F.col("cid").alias("v")))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def _sizes_fit(a, b, p: JoinParams):
     return F.least(a, b) * p.den >= F.greatest(a, b) * p.num
 
 
-def _rest(met: DataFrame, p: JoinParams) -> DataFrame:
-    """In each bucket, all pairs of different components."""
-    other = met.select("key", F.col("cid").alias("v"), F.col("n").alias("n2"), F.col("root").alias("r2"))
-    return met.join(other, "key").where("root < r2").where(_sizes_fit(F.col("n"), F.col("n2"), p)).select(F.col("cid").alias("u"), "v")
+def _in_blocks(met: DataFrame, folds: DataFrame, p: JoinParams) -> DataFrame:
+    """In each bucket, the pairs of different components that pass the folded
+    sketch.  A bucket's classes are dealt into blocks of about BLOCK; every
+    pair of blocks is compared by itself."""
+    def compare(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        w = min(len(r[5]) for r in rows) // 8
+        x = np.stack([_narrow(np.frombuffer(r[5], np.uint64), w) for r in rows])
+        cid, n, root, block = (np.array([r[k] for r in rows]) for k in (1, 2, 3, 4))
+        us, vs = [], []
+        across = block.min() != block.max()
+        for k in range(len(rows) - 1):
+            m = n[k + 1:]
+            ok = (root[k + 1:] != root[k]) & (np.minimum(m, n[k]) * p.den >= np.maximum(m, n[k]) * p.num)
+            if across:
+                ok &= block[k + 1:] != block[k]
+            at = np.flatnonzero(ok)
+            if len(at):
+                at = at[np.bitwise_count(x[k + 1:][at] ^ x[k]).sum(axis=1) <= _bound(m[at] + n[k], p)]
+                us.append(np.full(len(at), cid[k]))
+                vs.append(cid[k + 1:][at])
+        return (np.concatenate(us), np.concatenate(vs)) if us else (np.empty(0, np.int64),) * 2
 
-
-def similar_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: JoinParams = JoinParams()) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id of the component) for
-    every row of ``docs``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+        for b in batches:
+            us, vs = [], []
+            for r in zip(*(c.to_pylist() for c in b.columns)):
+                if r[:1] + r[6:] != group:
+                    if len(rows) > 1:
+                        u, v = compare(rows)
+                        us.append(u)
+                        vs.append(v)
+                    group, rows = r[:1] + r[6:], []
+                rows.append(r)
+            if us:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us), pa.int64()), pa.array(np.concatenate(vs), pa.int64())], names=["u", "v"])
+        if len(rows) > 1:
+            u, v = compare(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    blocks = F.col("blocks")
+    rows = (met.join(folds.select("cid", "fold"), "cid").withColumn("b", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
+               .withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+               .select("key", "cid", "n", "root", "b", "fold", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")))
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "u long, v long")
+
+
+def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: JoinParams = JoinParams()) -> DataFrame:
+    """doc_id, n (set size), f1 and f2 (the set's print), root and component_id
+    for every row of ``docs``; the last two are null for a row that is linked
+    with no other and has no equal."""
     p = params
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = stage(_sketched(docs, p), "sketches")
     classes = stage(rows.where("n > 0").groupBy("n", "f1", "f2")
-                        .agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("members"), F.first("keys").alias("keys"))
+                        .agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("members"), F.first("keys").alias("keys"), F.first("fold").alias("fold"))
                         .withColumn("cid", F.monotonically_increasing_id()), "classes")
     met = _meetings(classes, p)
-    # Only classes that meet another need their sets.
-    wanted = stage(classes.join(met.select("cid").distinct(), "cid", "left_semi").select("cid", "f1", "f2", "first_doc"), "wanted")
-    sets = _sets(docs, wanted, p)
+    folds = stage(classes.select("cid", "n", "fold").join(met.select("cid").distinct(), "cid", "left_semi"), "folds")
     root = None
-    links = tested = None
     now = met.withColumn("root", F.col("cid"))
-    turn = 0
-    while True:
-        mixed = now.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key", "c")
-        now = stage(now.join(mixed, "key"), "mixed")
-        size = now.agg(F.count(F.lit(1)).alias("rows"), F.sum("c").alias("pairs")).first()
-        if not size["rows"]:
+    for turn in range(STAR_ROUNDS + 1):
+        now = _mixed(now)
+        if now.isEmpty():
             break
-        last = turn >= 1 and size["pairs"] <= 8 * size["rows"] or turn >= STAR_ROUNDS
-        pairs = (_rest if last else lambda m, q: _star(m, turn, q))(now.drop("c"), p).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = stage(_verify(pairs, sets, p), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        root = components(links)
-        if last:
-            break
-        turn += 1
+        pairs = _passing(_ordered(_star(now, turn, p)), folds, p) if turn < STAR_ROUNDS else _ordered(_in_blocks(now, folds, p))
+        root = _merged(root, _verified(stage(pairs, "pairs"), classes, docs, p))
         now = now.select("key", "cid", "n").join(root.withColumnRenamed("id", "cid"), "cid", "left").select("key", "cid", "n", F.coalesce("root", "cid").alias("root"))
     named = classes.select("cid", "n", "f1", "f2", "first_doc", "members")
     if root is not None:
@@ -247,6 +347,44 @@ def similar_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Components of one class with one member keep their own id; only others are joined to the rows.
     named = named.where("linked or members > 1")
     ids = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = stage(named.join(ids, "root").select("n", "f1", "f2", F.col("component_id")), "named")
-    return (rows.select("doc_id", "n", "f1", "f2").join(named.withColumn("hit", F.lit(True)), ["n", "f1", "f2"], "left")
-                .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("hit"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+    named = stage(named.join(ids, "root").select("n", "f1", "f2", "root", "component_id"), "named")
+    return rows.select("doc_id", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left")
+
+
+def similar_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: JoinParams = JoinParams()) -> DataFrame:
+    """doc_id, n_shingles, component_id (least doc_id of the component) for
+    every row of ``docs``."""
+    return similar_groups(docs, doc_id, text, params).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: JoinParams = JoinParams()) -> DataFrame:
+    """``docs`` with all its columns and, of each component, the row of its
+    least doc_id only (a null id counts as more than any)."""
+    found = stage(similar_groups(docs, doc_id, text, params), "groups")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("f1"), F.col("f2"))
+    first = found.where("root is not null").groupBy("root").agg(F.min(order).alias("first"))
+    # One row for each different (doc_id, set): whether its row stays, and how many rows it stands for.
+    marks = stage(found.join(first, "root", "left").groupBy("doc_id", "f1", "f2")
+                       .agg(F.count(F.lit(1)).alias("rows"), F.max(F.coalesce(order == F.col("first"), F.lit(True))).alias("stays"), F.max(F.col("root").isNotNull()).alias("grouped")), "marks")
+    ids = stage(marks.groupBy("doc_id").agg(F.sum("rows").alias("rows"), F.min("stays").alias("stays"), F.max("grouped").alias("grouped")).where("grouped and (rows > 1 or not stays)"), "ids")
+
+    def side(df: DataFrame) -> DataFrame:
+        df = df.select(F.col("doc_id").alias("_id"))
+        return Measured(df, df.count()).side()
+
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_id"))
+    rest = docs.join(side(ids), same, "left_anti")
+    several = ids.where("rows > 1")
+    if several.isEmpty():
+        return rest
+    # An id on several rows: tell them apart by their sets.
+    @F.pandas_udf("array<long>")
+    def prints(texts):
+        return texts.map(lambda t: list(_print(shingles(t, params.width))))
+
+    rows = docs.join(side(several), same, "left_semi").withColumn("_print", prints(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    stay = marks.where("stays or not grouped").select(F.col("doc_id").alias("_id"), F.array("f1", "f2").alias("_p"), F.col("grouped").alias("_grouped"))
+    rows = rows.join(stay, same & (F.col("_print") == F.col("_p")))
+    once = rows.where("_grouped").dropDuplicates([doc_id, "_print"])
+    return rest.unionByName(rows.where("not _grouped").unionByName(once).select(*docs.columns))
