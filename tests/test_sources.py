@@ -100,3 +100,41 @@ def test_calendar_defaults_and_rows(spark, tmp_path):
     assert sorted(r.symbol for r in list_symbols(spark, str(p)).collect()) == ["ES", "NQ"]
     assert contract_calendar(spark, str(tmp_path / "missing.json")).count() == 0
     assert sorted(r.symbol for r in list_symbols(spark, None).collect()) == ["ES", "NQ"]
+
+
+def test_a_time_range_reads_only_its_records(tmp_path):
+    from pyspark.sql.datasource import GreaterThanOrEqual, LessThan
+
+    from tickline.schema import SCAN_SCHEMA
+    from tickline.sources.scid import TickFileReader
+    start = _raw("2024-03-01T00:00:00")
+    _write(tmp_path / "ESZ24.scid", [(start + i // 3 * 1000, 0.0, 1, 1, 1, 1, 1, 1, 0) for i in range(1000)])
+    reader = TickFileReader({"path": str(tmp_path), "chronological": "true", "splitRecords": "50"}, SCAN_SCHEMA)
+    lo, hi = start + 100 * 1000, start + 120 * 1000
+    assert list(reader.pushFilters([GreaterThanOrEqual(("raw_time",), lo), LessThan(("raw_time",), hi)])) == []
+    parts = reader.partitions()
+    assert [(p.first, p.stop) for p in parts] == [(300, 350), (350, 360)]
+    got = [t for p in parts for b in reader.read(p) for t in b.column("raw_time").to_pylist()]
+    assert got == [start + i // 3 * 1000 for i in range(300, 360)]
+
+
+def test_a_growing_file_is_streamed_once(spark, tmp_path):
+    from tickline.sources.scid import follow_ticks
+    src, sink, ck = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+    src.mkdir()
+    whole = np.zeros(5, dtype=np.dtype(RECORD_DTYPE))
+    whole["raw_time"] = [r[0] for r in ROWS] + [ROWS[-1][0] + 5]
+
+    def run():
+        (follow_ticks(spark, str(src)).writeStream.format("parquet").option("checkpointLocation", ck)
+         .trigger(once=True).start(sink).awaitTermination())
+
+    _write(src / "ESZ24.scid", ROWS[:2], tail=whole[2:3].tobytes()[:11])      # the third record is still being written
+    run()
+    with open(src / "ESZ24.scid", "ab") as fh:
+        fh.write(whole[2:5].tobytes()[11:])
+    _write(src / "ESH25.scid", ROWS[:1])
+    run()
+    run()
+    got = sorted((r.contract, r.record_no) for r in spark.read.parquet(sink).collect())
+    assert got == [("ESH25", 0)] + [("ESZ24", k) for k in range(5)]

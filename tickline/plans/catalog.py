@@ -579,7 +579,7 @@ WHERE datetime >= TIMESTAMP '2024-01-08' AND datetime < TIMESTAMP '2024-01-22 12
 def q_scan_time_range(spark, sf_dir):
     from tickline.operators.clean import scan_time_range
     from tickline.sources.scid import scan_ticks
-    df = scan_ticks(spark, _tick_files(spark, sf_dir), split_records=25_000)
+    df = scan_ticks(spark, _tick_files(spark, sf_dir), split_records=25_000, chronological=True)
     return scan_time_range(df, "2024-01-08", "2024-01-22 12:30:00").drop("file")
 
 

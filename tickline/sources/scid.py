@@ -13,7 +13,13 @@ File layout: a 56-byte header, then 40-byte little-endian records
   ``record_no`` = the record's ordinal in its file,
 * accepts pushed comparisons on ``raw_time`` / ``datetime`` / ``record_no``
   and applies them exactly while decoding (enable with
-  ``spark.sql.python.filterPushdown.enabled``; set by ``tickline.context``).
+  ``spark.sql.python.filterPushdown.enabled``; set by ``tickline.context``),
+* with option ``chronological`` (times never go back within a file) finds the
+  records of a pushed time range by binary search, and reads only those.
+
+As a stream (``readStream.format("ticks")``) the offset is the number of whole
+records of every file: files that grow, and new ones, are followed, and each
+record is read once.
 
 The writer (``df.write.format("ticks")``) writes one file per contract and
 task, records in the order given; used to make fixtures and exports.
@@ -31,7 +37,7 @@ import struct
 import uuid
 
 from pyspark.sql.datasource import (
-    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, GreaterThan,
+    DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, EqualTo, GreaterThan,
     GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage,
 )
 
@@ -91,9 +97,29 @@ def _to_raw(value) -> int:
     return int(value)
 
 
+def count_records(path: str) -> int:
+    """Whole records of a file."""
+    return max(0, os.path.getsize(path) - HEADER_SIZE) // RECORD_SIZE
+
+
+def first_at_or_after(path: str, raw: int, n: int) -> int:
+    """First record of a chronological file whose time is at least ``raw``."""
+    lo, hi = 0, n
+    with open(path, "rb") as fh:
+        while lo < hi:
+            mid = (lo + hi) // 2
+            fh.seek(HEADER_SIZE + mid * RECORD_SIZE)
+            if int.from_bytes(fh.read(8), "little") < raw:
+                lo = mid + 1
+            else:
+                hi = mid
+    return lo
+
+
 class TickFileReader(DataSourceReader):
     def __init__(self, options, schema):
         self.path = options.get("path")
+        self.chronological = str(options.get("chronological", "false")).lower() == "true"
         self.contract = options.get("contract")
         self.split = int(options.get("splitRecords", DEFAULT_SPLIT_RECORDS))
         self.schema = schema
@@ -136,8 +162,11 @@ class TickFileReader(DataSourceReader):
         parts = []
         for path in files:
             read_header(path)                       # fails on a too-short file
-            n = (os.path.getsize(path) - HEADER_SIZE) // RECORD_SIZE
+            n = count_records(path)
             lo, hi = max(0, self.rec_lo), min(n, self.rec_hi + 1 if self.rec_hi < _INT64_MAX else n)
+            if self.chronological:
+                lo = max(lo, first_at_or_after(path, self.raw_lo, n)) if self.raw_lo > 0 else lo
+                hi = min(hi, first_at_or_after(path, self.raw_hi + 1, n)) if self.raw_hi < _INT64_MAX else hi
             for first in range(lo, hi, self.split):
                 parts.append(TickRange(path, first, min(hi, first + self.split)))
         return parts
@@ -187,6 +216,31 @@ class TickFileReader(DataSourceReader):
                 yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
 
 
+class TickFileStream(DataSourceStreamReader):
+    """Follows tick files by record number."""
+
+    def __init__(self, options, schema):
+        self.path = options.get("path")
+        self.decoder = TickFileReader(options, schema)
+
+    def initialOffset(self):
+        return {}
+
+    def latestOffset(self):
+        return {p: count_records(p) for p in list_files(self.path)}
+
+    def partitions(self, start, end):
+        split = self.decoder.split
+        return [TickRange(p, first, min(stop, first + split))
+                for p, stop in sorted(end.items()) for first in range(start.get(p, 0), stop, split)]
+
+    def read(self, partition: TickRange):
+        return self.decoder.read(partition)
+
+    def commit(self, end):
+        pass
+
+
 class TickFileWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite):
         self.path = options.get("path").replace("file://", "").replace("file:", "")
@@ -244,6 +298,9 @@ class TickFileSource(DataSource):
     def reader(self, schema):
         return TickFileReader(self.options, schema)
 
+    def streamReader(self, schema):
+        return TickFileStream(self.options, schema)
+
     def writer(self, schema, overwrite):
         return TickFileWriter(self.options, overwrite)
 
@@ -252,18 +309,28 @@ def register(spark) -> None:
     spark.dataSource.register(TickFileSource)
 
 
-def scan_ticks(spark, path: str, contract: str | None = None, split_records: int | None = None):
+def scan_ticks(spark, path: str, contract: str | None = None, split_records: int | None = None,
+               chronological: bool = False):
     """Read tick files (a file, a glob or a folder of ``*.scid``) as a DataFrame
-    with the tick schema plus ``record_no`` and ``file``."""
+    with the tick schema plus ``record_no`` and ``file``.  ``chronological``
+    promises that times never go back within a file."""
     register(spark)
     r = spark.read.format("ticks")
     if contract:
         r = r.option("contract", contract)
     if split_records:
         r = r.option("splitRecords", str(int(split_records)))
+    if chronological:
+        r = r.option("chronological", "true")
     return r.load(path)
 
 
+def follow_ticks(spark, path: str):
+    """Stream of the records that are, or come to be, in tick files."""
+    register(spark)
+    return spark.readStream.format("ticks").load(path)
+
+
 def write_ticks(df, path: str) -> str:
     """Write ticks as binary files, one per contract per task, in each
     partition's row order (sort first for chronological files)."""
