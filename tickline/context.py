@@ -103,5 +103,8 @@ def workspace(spark: SparkSession, name: str = "work") -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system that Spark knows is there."""
+    if path[1:2] == ":":        # a drive letter, not a scheme
+        return os.path.exists(path)
     hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return bool(hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp))

@@ -606,15 +606,12 @@ def _calendar_file(spark, files_dir: str | None, windows=FIXTURE_WINDOWS, nq: bo
     """Write a calendar config naming the contract files of ``files_dir``.
     ``nq`` adds a second symbol: the ESM24 file again, from 2024-01-08 on, so
     that both symbols share times, and a file that is not there."""
-    import glob
     import json
-    import os
     from tickline.context import workspace
-    from tickline.sources.scid import contract_of
+    from tickline.sources.scid import contract_of, list_files
     by_contract = {}
-    if files_dir:
-        for f in sorted(glob.glob(os.path.join(files_dir, "*.scid"))):
-            by_contract.setdefault(contract_of(f), f)
+    for f in list_files(files_dir) if files_dir else []:
+        by_contract.setdefault(contract_of(f), f)
     contracts = [{"file": by_contract.get(c, f"/missing/{c}_FUT_CME.scid"), "start_date": s, "end_date": e}
                  for c, s, e in windows]
     cfg = {"symbols": {"ES": {"table_name": "ES", "price_multiplier": 1.0, "contracts": contracts}}}
@@ -622,11 +619,8 @@ def _calendar_file(spark, files_dir: str | None, windows=FIXTURE_WINDOWS, nq: bo
         cfg["symbols"]["NQ"] = {"table_name": "NQ_ticks", "contracts": [
             {"file": by_contract["ESM24"], "start_date": "2024-01-08"}, {"file": f"{files_dir}/NQZ99_FUT_CME.scid"}]}
     folder = workspace(spark, "config")
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, "config.json")
-    with open(path, "w") as fh:
-        json.dump(cfg, fh, indent=2)
-    return path
+    spark.range(1, numPartitions=1).select(F.lit(json.dumps(cfg)).alias("value")).write.text(folder)
+    return folder
 
 
 @register("contract_calendar", with_ticks("""

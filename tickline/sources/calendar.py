@@ -12,11 +12,11 @@ path, in any case and with either slash.
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickline.context import path_exists
 from tickline.functions.expr import contract_from_file, parse_config_date, path_key
 from tickline.operators.joins import materialize
 from tickline.schema import CALENDAR_SCHEMA
@@ -35,8 +35,7 @@ DEFAULT_CONFIG = {
 
 def contract_calendar(spark: SparkSession, config_path: str | None) -> DataFrame:
     """Rows (symbol, table_name, price_multiplier, file, start_date, end_date)."""
-    local = (config_path or "").replace("file://", "").replace("file:", "")
-    if config_path and (os.path.exists(local) or "://" in config_path):
+    if config_path and path_exists(spark, config_path):
         text = spark.read.text(config_path, wholetext=True)
     else:
         text = spark.createDataFrame([(json.dumps(DEFAULT_CONFIG),)], "value string")
@@ -53,8 +52,7 @@ def contract_calendar(spark: SparkSession, config_path: str | None) -> DataFrame
 
 
 def list_symbols(spark: SparkSession, config_path: str | None) -> DataFrame:
-    local = (config_path or "").replace("file:", "")
-    if config_path and os.path.exists(local):
+    if config_path and path_exists(spark, config_path):
         text = spark.read.text(config_path, wholetext=True)
     else:
         text = spark.createDataFrame([(json.dumps(DEFAULT_CONFIG),)], "value string")
@@ -107,7 +105,7 @@ def continuous_series(spark: SparkSession, calendar: DataFrame, symbol: str | No
     # same as reading the config file itself.
     paths = [r.file for r in cal.select("file").distinct().collect()]
     local = [p.replace("\\", "/") for p in paths]
-    present = [p for p in local if os.path.exists(p.replace("file:", ""))]
+    present = [p for p in local if path_exists(spark, p)]
     if not present:
         from tickline.schema import SCAN_SCHEMA
         return spark.createDataFrame([], SCAN_SCHEMA)
