@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickline.llm.common import stage
+from tickline.llm.common import packed, stage
 from tickline.operators.joins import Measured
 
 BLOCK = 2048
@@ -115,17 +115,19 @@ def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """``docs`` with all its columns and one row of each text."""
     groups = stage(exact_groups(docs, doc_id, text).where("group_size > 1"), "copies")
     gone = groups.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
-    sha = F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"), 256)
-    key = [F.col(doc_id).cast("long").eqNullSafe(F.col("_id")), sha == F.col("_sha")]
+    # The rows go as one column, so that no name of theirs clashes with the keys.
+    row = packed(docs)
+    rows = row.select("row", F.col("row")[doc_id].cast("long").alias("id"),
+                      F.sha2(F.coalesce(F.col("row")[text].cast("string"), F.lit("")).cast("binary"), 256).alias("sha"))
+    key = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("sha") == F.col("text_sha256"))
 
     def side(df):
-        df = df.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-        return Measured(df, df.count()).side()
+        return Measured(df.select("doc_id", "text_sha256"), df.count()).side()
 
-    out = docs.join(side(gone.where("not kept")), key, "left_anti")
+    out = rows.join(side(gone.where("not kept")), key, "left_anti")
     again = gone.where("kept and rows > 1")
-    if again.isEmpty():
-        return out
-    # Repeated rows (same doc_id and text): one of them, whatever else they hold.
-    twice = side(again)
-    return out.join(twice, key, "left_anti").unionByName(out.join(twice, key, "left_semi").dropDuplicates([doc_id, text]))
+    if not again.isEmpty():
+        # Repeated rows (same doc_id and text): one of them, whatever else they hold.
+        twice = side(again)
+        out = out.join(twice, key, "left_anti").unionByName(out.join(twice, key, "left_semi").dropDuplicates(["id", "sha"]))
+    return out.select("row.*")

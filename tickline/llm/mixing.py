@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickline.llm.common import WORD, stage
+from tickline.llm.common import WORD, packed, stage
 
 SUB = 1024
 
@@ -167,11 +167,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", params: MixParams = MixParams()) -> DataFrame:
     """``docs`` with all its columns, each row as often as the mix takes it."""
-    key = [F.col(doc_id).cast("long").alias("_id"), _key(F.col(source)).alias("_source"), word_count(F.col(text).cast("string")).alias("_size")]
-    names = ["_id", "_source", "_size"]
-    take = mix(docs, doc_id, text, source, params).select(F.col("doc_id").alias("_id"), F.col("skey").alias("_source"), F.col("size").alias("_size"), "copies")
-    take = take.withColumn("_nth", F.row_number().over(Window.partitionBy(*names).orderBy("copies")))
-    rows = docs.select("*", *key).withColumn("_nth", F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64(F.col(text)))))
-    a, b = rows.alias("a"), take.alias("b")
-    same = (F.col("a._id").eqNullSafe(F.col("b._id")) & (F.col("a._source") == F.col("b._source")) & (F.col("a._size") == F.col("b._size")) & (F.col("a._nth") == F.col("b._nth")))
-    return (a.join(b.where("copies > 0"), same).select("a.*", F.explode(F.sequence(F.lit(1), F.col("b.copies").cast("int"))).alias("_copy")).select(*docs.columns))
+    # The rows go as one column, so that no name of theirs clashes with the keys.
+    row = F.col("row")
+    rows = packed(docs).select("row", row[doc_id].cast("long").alias("id"), _key(row[source]).alias("src"), word_count(row[text].cast("string")).alias("words"))
+    # Rows that share id, source and size are told apart by their order.
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("id", "src", "words").orderBy(F.xxhash64(row[text]))))
+    take = mix(docs, doc_id, text, source, params).withColumn("n", F.row_number().over(Window.partitionBy("doc_id", "skey", "size").orderBy("copies")))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("src") == F.col("skey")) & (F.col("words") == F.col("size")) & (F.col("nth") == F.col("n"))
+    return (rows.join(take.where("copies > 0").select("doc_id", "skey", "size", "n", "copies"), same)
+                .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*"))

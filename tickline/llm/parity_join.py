@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickline.llm.common import stage, words
+from tickline.llm.common import packed, stage, words
 from tickline.llm.components import components
 from tickline.operators.joins import Measured
 
@@ -370,21 +370,22 @@ def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pa
     ids = stage(marks.groupBy("doc_id").agg(F.sum("rows").alias("rows"), F.min("stays").alias("stays"), F.max("grouped").alias("grouped")).where("grouped and (rows > 1 or not stays)"), "ids")
 
     def side(df: DataFrame) -> DataFrame:
-        df = df.select(F.col("doc_id").alias("_id"))
-        return Measured(df, df.count()).side()
+        return Measured(df.select("doc_id"), df.count()).side()
 
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_id"))
-    rest = docs.join(side(ids), same, "left_anti")
+    # The rows go as one column, so that no name of theirs clashes with the keys.
+    all_rows = packed(docs).withColumn("id", F.col("row")[doc_id].cast("long"))
+    same = F.col("id").eqNullSafe(F.col("doc_id"))
+    rest = all_rows.join(side(ids), same, "left_anti")
     several = ids.where("rows > 1")
     if several.isEmpty():
-        return rest
+        return rest.select("row.*")
     # An id on several rows: tell them apart by their sets.
     @F.pandas_udf("array<long>")
     def prints(texts):
         return texts.map(lambda t: list(_print(shingles(t, params.width))))
 
-    rows = docs.join(side(several), same, "left_semi").withColumn("_print", prints(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    stay = marks.where("stays or not grouped").select(F.col("doc_id").alias("_id"), F.array("f1", "f2").alias("_p"), F.col("grouped").alias("_grouped"))
-    rows = rows.join(stay, same & (F.col("_print") == F.col("_p")))
-    once = rows.where("_grouped").dropDuplicates([doc_id, "_print"])
-    return rest.unionByName(rows.where("not _grouped").unionByName(once).select(*docs.columns))
+    rows = all_rows.join(side(several), same, "left_semi").withColumn("print", prints(F.coalesce(F.col("row")[text].cast("string"), F.lit(""))))
+    stay = marks.where("stays or not grouped").select("doc_id", F.array("f1", "f2").alias("own"), "grouped")
+    rows = rows.join(stay, same & (F.col("print") == F.col("own")))
+    once = rows.where("grouped").dropDuplicates(["id", "print"])
+    return rest.select("row").unionByName(rows.where("not grouped").unionByName(once).select("row")).select("row.*")
