@@ -8,6 +8,10 @@ D = floor(2 U (1 - t) / (1 + t)), so of D + 1 sketch segments at least one is
 equal (pigeonhole).  That segment is the join key; pairs that meet are
 verified on the sets.  No linked pair is missed.
 
+* A segment without any token says little: many unrelated sets have the same
+  ones empty.  So a group has w segments more than D + 1; then w + 1 of them
+  are equal, and a set with at most w empty ones needs to show only the others.
+  (w is set so that few sets have more; those show the empty ones too.)
 * Sizes are cut into bands so that linked sets lie in one band or in
   neighbours; a document takes part in the group of its own band and in the
   next one's.  All of a group share U, and with it the sketch's width.
@@ -39,15 +43,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickline.llm.common import packed, stage, words
 from tickline.llm.components import components
 from tickline.operators.joins import Measured
 
-SEGMENT_BITS = 64
+SEGMENT_BITS = 1 << 16     # of one segment; only a hash of its set bits is kept
 STAR_ROUNDS = 2            # before buckets are compared whole
+SEEN_SETS = 500_000        # that a task remembers
 BLOCK = 512                # classes of a bucket that are compared at a time,
 BLOCK_BITS = 1 << 27       # or fewer if their sketches have more bits than that
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -87,6 +92,7 @@ class Bands:
 
     def __init__(self, p: JoinParams):
         self.p, self.lows = p, [1, 2]
+        self.groups: dict[int, tuple[int, int]] = {}
 
     def _until(self, size: int) -> None:
         while self.lows[-1] <= size:
@@ -98,29 +104,43 @@ class Bands:
         self._until(size)
         return int(np.searchsorted(self.lows, size, side="right")) - 1
 
-    def segments(self, group: int) -> int:
-        """D + 1, with U the largest size of the group's band."""
-        while len(self.lows) < group + 2:
-            self._until(self.lows[-1])
-        largest = self.lows[group + 1] - 1
-        return 2 * largest * (self.p.den - self.p.num) // (self.p.den + self.p.num) + 1
+    def segments(self, group: int) -> tuple[int, int]:
+        """Segments D + 1 + w, with U the largest size of the group's band, and
+        w: what the smallest sets of the group leave empty, with a margin (0 if
+        that can't be had, at low similarities)."""
+        if group not in self.groups:
+            while len(self.lows) < group + 2:
+                self._until(self.lows[-1])
+            most = 2 * (self.lows[group + 1] - 1) * (self.p.den - self.p.num) // (self.p.den + self.p.num)
+            least, spare = self.lows[max(0, group - 1)], 0
+            for m in range(most + 1, 2 * most + 3):
+                empty = m * (1 - 1 / m) ** least
+                if m - empty - np.sqrt(empty) >= most + 1:
+                    spare = m - most - 1
+                    break
+            self.groups[group] = (most + 1 + spare, spare) if most else (1, 0)
+        return self.groups[group]
 
     def keys(self, s: np.ndarray) -> np.ndarray:
-        """The join keys of a set: one per segment of its two groups.  A group
+        """The join keys of a set, from the segments of its two groups.  A group
         with D = 0 links equal sets only, which are one class already."""
         if not len(s):
             return np.empty(0, np.int64)
         out = []
         own = self.band(len(s))
+        # XOR of a random word per bit: the hash of a segment's parity bits.
+        bits = _mix((s & np.uint64(SEGMENT_BITS - 1)) + np.uint64(1))
         for group in (own, own + 1):
-            m = self.segments(group)
+            m, spare = self.segments(group)
             if m == 1:
                 continue
             sketch = np.zeros(m, np.uint64)
-            at = ((s >> np.uint64(6)) % np.uint64(m)).astype(np.int64)
-            np.bitwise_xor.at(sketch, at, np.uint64(1) << (s & np.uint64(SEGMENT_BITS - 1)))
+            at = ((s >> np.uint64(16)) % np.uint64(m)).astype(np.int64)
+            np.bitwise_xor.at(sketch, at, bits)
             place = _mix(np.arange(m, dtype=np.uint64) + (np.uint64(group) << np.uint64(40)))
-            out.append(_mix(sketch ^ place))
+            keys = _mix(sketch ^ place)
+            full = np.bincount(at, minlength=m) > 0
+            out.append(keys[full] if m - full.sum() <= spare else keys)
         return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
@@ -151,9 +171,12 @@ def _bound(total, p: JoinParams):
 
 
 def _sketched(docs: DataFrame, p: JoinParams) -> DataFrame:
-    """doc_id, n (set size), f1, f2 (set's print), keys, fold."""
+    """doc_id, n (set size), f1, f2 (set's print), keys, fold.  A task shows the
+    keys of a set once, so that copies do not crowd the buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(p)
+        seen: set[tuple[int, int]] = set()
+        none = np.empty(0, np.int64)
         for b in batches:
             n, f1, f2, keys, fold = [], [], [], [], []
             for t in b.column(1):
@@ -162,7 +185,10 @@ def _sketched(docs: DataFrame, p: JoinParams) -> DataFrame:
                 n.append(len(s))
                 f1.append(x)
                 f2.append(y)
-                keys.append(bands.keys(s))
+                keys.append(none if (x, y) in seen else bands.keys(s))
+                if len(seen) >= SEEN_SETS:
+                    seen.clear()
+                seen.add((x, y))
                 fold.append(folded(s))
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
@@ -227,11 +253,15 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, p: JoinPara
     return stage(pairs.join(other, "v").join(own, "u").select("u", "v", "set_u", "set_v").mapInArrow(run, "u long, v long"), "links")
 
 
-def _meetings(classes: DataFrame, p: JoinParams) -> DataFrame:
-    """(key, cid, n) of the keys that several classes hold."""
-    each = classes.select(F.explode("keys").alias("key"), "cid", "n")
-    shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    return stage(each.join(shared, "key", "left_semi"), "meetings")
+def _meetings(rows: DataFrame) -> DataFrame:
+    """(key, cid, n) of the keys that several classes hold, from one shuffle."""
+    each = rows.select(F.explode("keys").alias("key"), "cid", "n")
+    bucket = Window.partitionBy("key").orderBy("cid")
+    whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    several = F.first("cid").over(whole) != F.last("cid").over(whole)
+    before = F.lag("cid").over(bucket)
+    each = each.select("key", "cid", "n", several.alias("several"), before.alias("before"))
+    return stage(each.where(F.col("several") & (F.col("before").isNull() | (F.col("before") != F.col("cid")))).select("key", "cid", "n"), "meetings")
 
 
 def _mixed(met: DataFrame) -> DataFrame:
@@ -326,10 +356,17 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = stage(_sketched(docs, p), "sketches")
     classes = stage(rows.where("n > 0").groupBy("n", "f1", "f2")
-                        .agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("members"), F.first("keys").alias("keys"), F.first("fold").alias("fold"))
-                        .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    met = _meetings(classes, p)
-    folds = stage(classes.select("cid", "n", "fold").join(met.select("cid").distinct(), "cid", "left_semi"), "folds")
+                        .agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("members"))
+                        .withColumn("number", F.monotonically_increasing_id()), "classes")
+    # A class goes by half of its print, unless two classes share that half.
+    if classes.groupBy("f1").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+        classes = classes.withColumn("cid", F.col("f1"))
+        keyed = rows.withColumn("cid", F.col("f1"))
+    else:
+        classes = classes.withColumn("cid", F.col("number"))
+        keyed = rows.join(classes.select("n", "f1", "f2", "cid"), ["n", "f1", "f2"])
+    met = _meetings(keyed)
+    folds = stage(keyed.select("cid", "n", "fold").join(met.select("cid").distinct(), "cid", "left_semi").dropDuplicates(["cid"]), "folds")
     root = None
     now = met.withColumn("root", F.col("cid"))
     for turn in range(STAR_ROUNDS + 1):
