@@ -102,6 +102,18 @@ def test_quality_separates_held_out_rows(spark):
     assert np.mean([(r.score >= 0.7) == (r.quality == 1) for r in rows]) > 0.93
 
 
+def test_quality_fit_sees_a_rare_label(spark, monkeypatch):
+    rows = [(k, f"plain words number {k} and more of them" if k % 600 else f"!!!! $$$$ #### {k} !!!! $$$$", "en", "a") for k in range(1, 1801)]
+    labels = spark.createDataFrame([(k, int(k % 600 > 0)) for k in range(1, 1801)], "doc_id long, quality int")
+    docs = docs_of(spark, rows)
+    seen, hinge = Counter(), quality_nbsvm.fit_hinge
+    monkeypatch.setattr(quality_nbsvm, "fit_hinge", lambda x, y, *rest: seen.update(y) or hinge(x, y, *rest))
+    model = quality_nbsvm.fit(docs, labels, params=quality_nbsvm.QualityParams(sample=60))
+    assert seen[1.0] > 0 and seen[-1.0] > 0
+    got = {r.doc_id: r.score for r in quality_nbsvm.score(docs, model).collect()}
+    assert max(got[k] for k in (600, 1200, 1800)) < min(s for k, s in got.items() if k % 600)
+
+
 def test_quality_edge_rows_and_labels(spark):
     df = docs_of(spark, EDGE)
     none = quality_nbsvm.fit(df, spark.createDataFrame([], "doc_id long, quality int"))
@@ -473,6 +485,21 @@ def test_languages_of_held_out_rows(spark):
     assert {r.lang_pred for r in langid.predict(docs_of(spark, EDGE), none).collect()} == {"und"}
 
 
+def test_rare_languages_are_learned_from_a_sample(spark):
+    texts = {"aa": "kala mala tula", "bb": "werdt gorst blimf", "cc": "yixo quzo vexu"}
+    lang = lambda k: "cc" if k % 400 == 0 else "bb" if k % 100 == 1 else "aa"     # noqa: E731
+    docs = docs_of(spark, [(k if k % 3 else None, f"{texts[lang(k)]} {k}", lang(k), "a") for k in range(2000)] + [(k, f"{k} !!!", "dd", "a") for k in range(500)])
+    model = langid.fit(docs, params=langid.LangParams(sample=40))
+    assert model.langs == ["aa", "bb", "cc"]
+    assert [model.predict(t)[0] for t in texts.values()] == ["aa", "bb", "cc"]
+
+
+def test_sample_quotas():
+    assert langid.quota({"a": 10, "b": 10_000, "c": 10**9}, 5000) == 2495
+    assert langid.quota({"a": 10, "b": 20}, 5000) >= 20 and langid.quota({}, 5000) > 0
+    assert langid.quota({k: 10**6 for k in range(1000)}, 5000) == langid.LEAST
+
+
 def test_temperature_lowers_the_loss_of_overconfident_logits():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 3, 2000)

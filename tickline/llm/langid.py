@@ -7,8 +7,12 @@ per-coordinate rates) with L1 and L2 penalties, then temperature-calibrated.
   log(1 + count) * idf, scaled to length 1.
 * Document frequencies come from every training row, summed by Spark.
 * The fit takes a sample of about ``LangParams.sample`` labelled rows, chosen
-  by a hash of the id: the only place where not every row is used.  Each gives
-  its whole text and one short window, so that short texts are seen too.
+  by a hash: the only place where not every row is used.  Rows with letters are
+  counted by language over the whole input, and every language has the same
+  quota (at least ``LEAST`` rows, all rows of a rarer one), so that each language
+  in the data is learned whatever its share.  Scores go by the shares of the
+  sample.  Each row gives its whole text and one short window, so that short
+  texts are seen too.
 * The model (weights, idf, temperature) is bounded by buckets x languages and
   is broadcast; prediction is one pass over whole texts without a shuffle.
 
@@ -30,6 +34,7 @@ from pyspark.sql import functions as F
 UND = "und"
 BITS = 15
 BUCKETS = 1 << BITS
+LEAST = 100                   # rows of a group that a sample takes at least, about
 
 
 @dataclass(frozen=True)
@@ -181,14 +186,27 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((lo + hi) / 2))
 
 
-def sample_rows(df: DataFrame, doc_id: str, about: int) -> DataFrame:
-    """About ``about`` rows, the same on each run: those whose hashed id falls
-    under a threshold set from the row count."""
-    total = df.select(doc_id).count()
-    if total <= about:
+def quota(counts: dict, about: int) -> float:
+    """Rows that a sample of ``about`` takes of every group: all of the small
+    groups, the rest in equal parts, but not under ``LEAST``."""
+    left, sizes = about, sorted(counts.values())
+    for k, n in enumerate(sizes):
+        if n * (len(sizes) - k) >= left:
+            return max(left / (len(sizes) - k), LEAST)
+        left -= n
+    return max([*sizes, LEAST])
+
+
+def sample_rows(df: DataFrame, key: list[str], by: str, counts: dict, about: int) -> DataFrame:
+    """About ``about`` rows, the same on each run: those whose hashed ``key``
+    falls under a threshold set from the row count of their group, so that each
+    of the groups ``counts`` (group -> rows) has its quota or all of its rows."""
+    most = quota(counts, about)
+    share = {g: most / n for g, n in counts.items() if n > most}
+    if not share:
         return df
-    share = about / total
-    return df.where(F.pmod(F.xxhash64(F.col(doc_id), F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
+    limits = F.create_map(*(F.lit(x) for g, r in share.items() for x in (g, int(r * (1 << 30)))))
+    return df.where(F.pmod(F.xxhash64(*key, F.lit("sample")), F.lit(1 << 30)) < F.coalesce(F.element_at(limits, F.col(by)), F.lit(1 << 30)))
 
 
 def fit(train: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", params: LangParams = LangParams()) -> LangModel:
@@ -212,14 +230,16 @@ def fit(train: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
                 pa.array([o[3] for o in out], pa.list_(pa.int32())), pa.array([o[4] for o in out], pa.list_(pa.float32()))],
                 names=["doc_id", "part", "lang", "idx", "val"])
 
-    got = sample_rows(rows, "doc_id", params.sample).mapInArrow(features, "doc_id long, part int, lang string, idx array<int>, val array<float>").toPandas()
+    lettered = rows.where(F.col("text").rlike(r"\p{L}"))
+    counts = {r["lang"]: r["count"] for r in lettered.groupBy("lang").count().collect()}     # one row a language
+    got = sample_rows(lettered, ["doc_id", "text"], "lang", counts, params.sample).mapInArrow(features, "doc_id long, part int, lang string, idx array<int>, val array<float>").toPandas()
     if got.empty:
         return LangModel([], idf, np.zeros((BUCKETS, 0)), np.zeros(0))
     got = got.assign(key=got.doc_id.fillna(-1)).sort_values(["key", "part", "lang"], kind="stable").reset_index(drop=True)
     langs = sorted(got.lang.unique())
     y = got.lang.map({lg: k for k, lg in enumerate(langs)}).to_numpy()
     x = [(np.asarray(i), np.asarray(v, dtype=float)) for i, v in zip(got.idx, got.val)]
-    hold = (got.index.to_numpy() // 2) % 5 == 4            # a fifth calibrates the temperature
+    hold = (got.groupby("lang").cumcount().to_numpy() // 2) % 5 == 4     # a fifth of each language calibrates the temperature
     if hold.all() or not hold.any():
         hold = np.zeros(len(y), bool)
     w, b = fit_ftrl([x[i] for i in np.flatnonzero(~hold)], y[~hold], len(langs), params)

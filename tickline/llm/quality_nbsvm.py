@@ -10,7 +10,9 @@ rows turns margins into scores from 0 to 1.
   and 1- to 3-grams of "this word equals the one before".
 * Class counts cover every labelled training row (summed by Spark).
 * Only the hinge-loss fit takes a sample, of about ``QualityParams.sample``
-  labelled rows chosen by a hash of the id.
+  labelled rows chosen by a hash of the id, with the same quota for either
+  label (all rows of a rarer one), so that both are seen whatever their shares;
+  the logistic curve weighs its rows by the labels' true shares.
 * Scoring is one pass over whole texts with the broadcast model.
 
 Defined results: null and empty texts have no indicators and get the score of
@@ -165,14 +167,14 @@ def fit_hinge(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np.nd
     return w, bias
 
 
-def fit_logistic(margins: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
+def fit_logistic(margins: np.ndarray, positive: np.ndarray, weight: np.ndarray | float = 1.0) -> tuple[float, float]:
     """Slope and offset of a logistic curve with smoothed targets (Newton)."""
     n1, n0 = positive.sum(), (~positive).sum()
     t = np.where(positive, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     a, b = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * margins + b, -40, 40)))
-        g, h = p - t, np.maximum(p * (1 - p), 1e-9)
+        g, h = weight * (p - t), weight * np.maximum(p * (1 - p), 1e-9)
         m = np.array([[h @ (margins ** 2) + 1e-6, h @ margins], [h @ margins, h.sum() + 1e-6]])
         step = np.linalg.solve(m, [g @ margins, g.sum()])
         a, b = a - step[0], b - step[1]
@@ -200,8 +202,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([indicators(t.as_py()).tolist() for t in b.column(1)], pa.list_(pa.int32()))], names=["doc_id", "label", "idx"])
 
-    few = sample_rows(known, "doc_id", params.sample)
-    got = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(few), "doc_id")
+    few = sample_rows(known.where(F.col("label").isin(0, 1)), ["doc_id"], "label", {0: int(total[0]), 1: int(total[1])}, params.sample)
+    few = Measured(few, few.count()).side()               # labels may be many more than the rows that have one
+    got = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(few, "doc_id")
                .where(F.col("label").isin(0, 1)).select("doc_id", "text", "label").mapInArrow(features, "doc_id long, label int, idx array<int>").toPandas())
     got["size"] = got.idx.map(len)
     got = got.sort_values(["doc_id", "label", "size"], kind="stable").reset_index(drop=True)
@@ -222,7 +225,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     which = np.flatnonzero(hold) if hold.any() else rest
     if len(which):
         margins = np.array([x[i][1] @ w[x[i][0]] + bias for i in which])
-        model.slope, model.offset = fit_logistic(margins, positive[which])
+        of = positive[which].astype(int)
+        true = (total / np.maximum(np.bincount(of, minlength=2), 1))[of]
+        model.slope, model.offset = fit_logistic(margins, positive[which], true / true.mean())
     return model
 
 
