@@ -423,6 +423,39 @@ def test_class_scores_base_counts_and_mass(spark):
     assert one.score == pytest.approx(by_hand)
 
 
+def test_words_beyond_the_head_get_classes_of_their_own(spark, monkeypatch):
+    """Words that share an ending part by their neighbours; scores by hand."""
+    monkeypatch.setattr(class_lm, "SMALL", 0)
+    rng = random.Random(3)
+    nouns, verbs = [f"{x}ing" for x in "abcdefghij"], [f"{x}ing" for x in "klmnopqrst"]
+    rows = [(k, " ".join(f"the {rng.choice(nouns)} does {rng.choice(verbs)}" for _ in range(6)), None, None) for k in range(150)]
+    df, p = docs_of(spark, rows), class_lm.LmParams(head=2, endings=4, classes=4, lookup=2)
+    model, lookup, table = fitted = class_lm.fit(df, params=p)
+    assert len(lookup.value.at) == 2
+    cls, n = ({bytes(r.word): r[f] for r in table.where("word is not null").collect()} for f in ("cls", "n"))
+    of = [{cls[w.encode()] for w in part} for part in (nouns, verbs)]
+    assert len(of[0]) == len(of[1]) == 1 and of[0] != of[1]
+    for t in ("the aing does king", "aing king bing never the", "never ever", ""):
+        tokens = words(t)
+        seq = [p.classes, *(cls.get(w, model.cls[class_lm.ending(w, p)]) for w in tokens), p.classes]
+        by_hand = sum(model.trans[a, b] for a, b in zip(seq, seq[1:])) + np.log10((model.ends + p.alpha) / model.norm[p.classes])
+        by_hand += sum(np.log10((n.get(w, 0) + p.alpha) / model.norm[c]) for w, c in zip(tokens, seq[1:]))
+        assert class_lm.score(docs_of(spark, [(1, t, None, None)]), fitted).first().score == pytest.approx(by_hand)
+
+
+def test_best_classes_are_those_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    k, words_n = 3, 12
+    big = rng.poisson(2.0, (words_n, words_n)).astype(float)
+    cls = np.append(np.arange(words_n - 1) % k, k)
+    g = lambda c: np.eye(k + 1)[c].T @ big @ np.eye(k + 1)[c]     # noqa: E731
+    hot = np.eye(k + 1)[cls]
+    got = class_lm.best_classes((big @ hot)[:-1], (big.T @ hot)[:-1], np.diag(big)[:-1], cls[:-1], g(cls), k)
+    for u, b in enumerate(got):
+        value = [class_lm.likelihood(g(np.where(np.arange(words_n) == u, c, cls))) for c in range(k)]
+        assert value[b] == pytest.approx(max(value))
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(0)
     truth = np.arange(40) % 4

@@ -6,15 +6,22 @@ clustering finds the classes: a unit moves to the class that raises the
 likelihood of the training bigrams most, until no move helps.
 
 * Counts of all training words come from Spark; nothing is dropped from them.
-* Units of the clustering are the ``head`` most frequent words, each for
-  itself, and ``endings`` buckets of all other words by their last letters, so
-  that every word, also one never seen, has a class.  The bigram matrix of
-  units is counted over all training tokens; its size is bounded by
-  (head + endings)^2 whatever the corpus, so the exchange passes run on it in
-  one place.
-* The counts of the ``lookup`` most frequent words (a bound) are broadcast;
-  the rare rest of each text's words is joined with the count table by shuffle,
-  so every token is scored with its exact count.
+* First the ``head`` most frequent words, each for itself, and ``endings``
+  buckets of all other words by their last letters are clustered.  Their bigram
+  matrix is counted over all training tokens; its size is bounded by
+  (head + endings)^2 whatever the corpus, so these passes run in one place.
+* Then every other training word starts in its ending's class and moves by the
+  same criterion, in batched rounds over Spark: counts of (word, class of its
+  neighbour) are aggregated by shuffle, each word finds its best class given all
+  others, and the new classes are written as a table.  A round that lowers the
+  likelihood, or leaves it, is taken back and tried with half of its words.
+  Rounds end when no move helps, when one raises the likelihood by no more than
+  ``settled`` (nats a token), or when not even a 64th of the words raises it; the
+  head words stay.
+* A word never seen in training has the class of its ending.
+* Counts and classes of the ``lookup`` most frequent words (a bound) are
+  broadcast; those of each text's other words are joined by shuffle, so every
+  token is scored with its exact count and its own class.
 
 A document's tokens are its words and one end; its first word follows an end.
 P(class after class) leans on P(class) with weight ``lean``; P(word in class)
@@ -26,6 +33,7 @@ learned from and scored; without training rows every count is 0.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -34,13 +42,14 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickline.llm.common import stage, words
 
 LONGEST = 64               # bytes of a word in the broadcast lookup
 FLUSH = 200_000            # different words a counting task holds
+SMALL = 1000               # a vocabulary of up to so many words has all its classes in the lookup
 LEVELS = 100_000           # counts from here on are one level of the threshold search
 
 
@@ -52,7 +61,7 @@ class LmParams:
     lookup: int = 400_000
     alpha: float = 0.1
     lean: float = 5.0
-    passes: int = 8
+    settled: float = 1e-3
 
     @property
     def units(self) -> int:
@@ -99,14 +108,27 @@ def ending(word: bytes, p: LmParams) -> int:
     return p.head + zlib.crc32(word[-3:]) % p.endings
 
 
+CODE = 1 << 40             # neighbours from here on are class codes, not words
+
+
+def word_number(word: bytes, seed: int) -> int:
+    """A negative number for a word that has no place in the lookup."""
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8, salt=seed.to_bytes(8)).digest(), signed=True) | -1 << 63
+
+
 class Lookup:
-    """Frequent words with unit and count (what the executors get)."""
+    """Frequent words with unit and count (what the executors get); ``more``
+    are words with a unit only, whose counts are joined."""
 
-    def __init__(self, top: list[tuple[bytes, int]], p: LmParams):
+    def __init__(self, top: list[tuple[bytes, int]], p: LmParams, more: list[bytes] = []):
         self.p = p
         self.at = {w: k for k, (w, _) in enumerate(top)}
         self.counts = np.array([n for _, n in top] + [0], np.int64)
-        self.unit = np.array([k if k < p.head else ending(w, p) for k, (w, _) in enumerate(top)] + [0], np.int32)
+        self.head = min(p.head, len(top))
+        # Words beyond the head have units of their own after the end's.
+        self.unit = np.array([k if k < p.head else p.units + 1 + k - p.head for k in range(len(top))] + [0], np.int32)
+        self.bucket = np.array([*range(p.units + 1), *(ending(w, p) for w, _ in top[p.head:]), *(ending(w, p) for w in more)], np.int32)
+        self.more = {w: len(self.bucket) - len(more) + k for k, w in enumerate(more)}
 
     def places(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, bytes]]]:
         """Place in the lookup of each token (the last place if it is not
@@ -116,7 +138,7 @@ class Lookup:
         units = self.unit[at]
         rare = [(int(k), tokens[k]) for k in np.flatnonzero(at == miss)]
         for k, w in rare:
-            units[k] = ending(w, self.p)
+            units[k] = self.more[w] if w in self.more else ending(w, self.p)
         return at, units, rare
 
 
@@ -135,7 +157,7 @@ def unit_bigrams(texts: DataFrame, lookup, p: LmParams) -> np.ndarray:
         for b in batches:
             for t in b.column(0):
                 _, units, _ = look.places(words(t.as_py()))
-                seq = np.concatenate(([p.units], units, [p.units])).astype(np.int64)
+                seq = np.concatenate(([p.units], look.bucket[units], [p.units])).astype(np.int64)
                 codes.append(seq[:-1] * size + seq[1:])
                 held += len(seq)
             if held > 2_000_000:
@@ -170,7 +192,9 @@ def exchange(big: np.ndarray, p: LmParams) -> np.ndarray:
     hot = np.eye(c)[cls]
     after, before = big @ hot, big.T @ hot          # unit x class: counts of the classes that follow, that precede
     g = hot.T @ after                               # class x class
-    for _ in range(p.passes):
+    least = 1e-12 * _xlogx(g.sum())                 # more than rounding, so every move raises the likelihood and the passes end
+    moves = 1
+    while moves:
         moves = 0
         for u in order:
             a, s = cls[u], big[u, u]
@@ -189,9 +213,10 @@ def exchange(big: np.ndarray, p: LmParams) -> np.ndarray:
             gain = (by_row.sum(axis=1) - np.diag(by_row) + by_col.sum(axis=0) - np.diag(by_col)
                     + _xlogx(d + r + q + s) - _xlogx(d))
             out, into = rest.sum(axis=1), rest.sum(axis=0)
+            out, into = out + q, into + r           # all tokens of each class but the unit's
             gain -= _xlogx(out + nr) - _xlogx(out) + _xlogx(into + nq) - _xlogx(into)
             b = int(gain[:p.classes].argmax())
-            if b != a and gain[b] > gain[a] + 1e-9 * abs(gain[a]):
+            if b != a and gain[b] > gain[a] + 1e-9 * abs(gain[a]) + least:
                 g = rest
                 g[b] += r
                 g[:, b] += q
@@ -202,8 +227,6 @@ def exchange(big: np.ndarray, p: LmParams) -> np.ndarray:
                 before[:, b] += big[u]
                 cls[u] = b
                 moves += 1
-        if not moves:
-            break
     return cls
 
 
@@ -219,54 +242,239 @@ class ClassModel:
     ends: int
 
 
-def class_masses(counts: DataFrame, lookup, cls: np.ndarray, p: LmParams) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Mass and types of each class over all words, then N and V with the end."""
+def likelihood(g: np.ndarray) -> float:
+    """Log likelihood of the class bigrams ``g``, but for the words' own share."""
+    return float(_xlogx(g).sum() - _xlogx(g.sum(axis=0)).sum() - _xlogx(g.sum(axis=1)).sum())
+
+
+def neighbours(texts: DataFrame, lookup, cls: np.ndarray, seed: int, p: LmParams) -> DataFrame:
+    """(word, other, n) over all ``text``, of words beyond the head by number:
+    ``other`` follows.  From ``CODE`` on, a head word or an end of class
+    other - CODE follows, or precedes with other - CODE - classes - 1."""
+    c = p.classes + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = lookup.value
+        first = len(look.at)
+        own, held, near, far = {}, 0, [], []
+
+        def out():
+            number = np.concatenate((np.arange(first), np.fromiter((word_number(w, seed) for w in own), np.int64, len(own))))
+            for codes, wide in ((near, 2 * c), (far, 1 << 32)):
+                code, n = np.unique(np.concatenate(codes), return_counts=True)
+                for k in range(0, len(code), 100_000):
+                    word, other = np.divmod(code[k:k + 100_000], wide)
+                    yield pa.RecordBatch.from_arrays([pa.array(number[word]), pa.array(other + CODE if codes is near else number[other]), pa.array(n[k:k + 100_000], pa.int64())], names=["word", "other", "n"])
+
+        for b in batches:
+            for t in b.column(0):
+                at, units, rare = look.places(words(t.as_py()))
+                for k, w in rare:
+                    at[k] = own.setdefault(w, len(own)) + first
+                tail = np.concatenate(([False], at >= look.head, [False]))
+                at = np.concatenate(([0], at, [0]))
+                klass = cls[np.concatenate(([p.units], look.bucket[units], [p.units]))]      # right for head words and ends
+                after, before = tail[:-1] & ~tail[1:], ~tail[:-1] & tail[1:]
+                near += [at[:-1][after] * (2 * c) + klass[1:][after], at[1:][before] * (2 * c) + c + klass[:-1][before]]
+                both = tail[:-1] & tail[1:]
+                far.append((at[:-1][both] << 32) | at[1:][both])
+                held += len(units)
+            if held > 3_000_000:
+                yield from out()
+                own, held = {}, 0
+                near.clear()
+                far.clear()
+        if held:
+            yield from out()
+
+    return texts.mapInArrow(run, "word long, other long, n long").groupBy("word", "other").agg(F.sum("n").alias("n"))
+
+
+def best_classes(r0: np.ndarray, q0: np.ndarray, s: np.ndarray, a: np.ndarray, g: np.ndarray, k: int) -> np.ndarray:
+    """The best class under ``k`` of every word, all others staying: ``r0`` and
+    ``q0`` (words x classes) count what follows and precedes, ``s`` the word
+    after itself, ``a`` is the class it has.  The sums are those of ``exchange``."""
+    i = np.arange(len(a))
+    r, q = r0.copy(), q0.copy()
+    r[i, a] -= s
+    q[i, a] -= s
+    gain = np.zeros((len(a), k))
+    # Row b gets r and column b gets q; only what a word meets changes a cell.
+    for grid, x, x0, y0 in ((g, r, r0, q0), (g.T, q, q0, r0)):
+        w, c = np.nonzero(x)
+        if not len(w):
+            continue
+        rest = grid[:k, c].T.copy()
+        own = c == a[w]
+        rest[own] -= y0[w[own], :k]
+        rest[np.arange(len(w)), a[w]] -= x0[w, c] - np.where(own, s[w], 0)
+        rest = np.maximum(rest, 0)
+        term = _xlogx(rest + x[w, c][:, None]) - _xlogx(rest)
+        inner = np.flatnonzero(c < k)
+        term[inner, c[inner]] = 0.0
+        starts = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+        gain[w[starts]] += np.add.reduceat(term, starts, axis=0)
+    d = np.tile(np.diag(g)[:k], (len(a), 1))
+    d[i, a] -= r0[i, a] + q0[i, a] - s
+    gain += _xlogx(d + r[:, :k] + q[:, :k] + s[:, None]) - _xlogx(d)
+    for total, n in ((g.sum(axis=1), r0.sum(axis=1)), (g.sum(axis=0), q0.sum(axis=1))):
+        out = np.tile(total[:k], (len(a), 1))
+        out[i, a] -= n
+        gain -= _xlogx(out + n[:, None]) - _xlogx(out)
+    best = gain.argmax(axis=1)
+    return np.where(gain[i, best] > gain[i, a] + 1e-9 * np.abs(gain[i, a]), best, a)
+
+
+def _contexts(met: DataFrame, classes: DataFrame, c: int) -> DataFrame:
+    """word and the at most 3 * ``c`` counts of its neighbours' classes: what
+    follows, heads that precede, others that precede; then the word after itself
+    and its class.  A word beyond the head has few of the tokens, so one task can
+    have all rows of a word."""
+    side = classes.hint("merge")                   # as many rows as words: never broadcast
+    far = met.where(F.col("other") < CODE)
+    as_row = lambda code, n: (F.col("word"), code.cast("int").alias("code"), n.cast("long").alias("n"))     # noqa: E731
+    rows = [met.where(F.col("other") >= CODE).select(*as_row(F.col("other") - CODE, F.col("n"))),
+            far.join(side.withColumnRenamed("word", "other"), "other").select(*as_row(F.col("cls"), F.col("n"))),
+            far.join(side, "word").select(F.col("other").alias("word"), (F.col("cls") + 2 * c).alias("code"), "n"),
+            far.where("word = other").select(*as_row(F.lit(3 * c), F.col("n"))),
+            classes.select(*as_row(F.lit(3 * c + 1), F.col("cls")))]
+    every = rows[0].union(rows[1]).union(rows[2]).union(rows[3]).union(rows[4]).repartition("word")
+    return stage(every.groupBy("word", "code").agg(F.sum("n").alias("n")).groupBy("word").agg(F.collect_list("code").alias("code"), F.collect_list("n").alias("n")), "lm-contexts")
+
+
+def _dense(b: pa.RecordBatch, c: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class, times after itself, and words x 3c counts of rows of ``_contexts``."""
+    code = b.column("code")
+    out = np.zeros((b.num_rows, 3 * c + 2))
+    row = np.repeat(np.arange(b.num_rows), np.diff(code.offsets.to_numpy()))
+    out[row, code.flatten().to_numpy()] = b.column("n").flatten().to_numpy()
+    return out[:, 3 * c + 1].astype(int), out[:, 3 * c], out[:, :3 * c]
+
+
+def _class_bigrams(contexts: DataFrame, c: int) -> np.ndarray:
+    """Class bigrams that hold a word beyond the head."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = np.zeros((c, c))
+        for b in batches:
+            cls, _, n = _dense(b, c)
+            hot = np.eye(c)[cls]
+            g += hot.T @ n[:, :c] + n[:, c:2 * c].T @ hot
+        at = np.flatnonzero(g)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(g.ravel()[at].astype(np.int64), pa.int64())], names=["code", "n"])
+
+    g = np.zeros(c * c)
+    for r in contexts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect():     # at most c^2 rows
+        g[r.code] = r.n
+    return g.reshape(c, c)
+
+
+def _proposals(contexts: DataFrame, g: np.ndarray, c: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                cls, s, n = _dense(b, c)
+                to = best_classes(n[:, :c], n[:, c:2 * c] + n[:, 2 * c:], s, cls, g, c - 1)
+                yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(cls, pa.int32()), pa.array(to, pa.int32())], names=["word", "cls", "to"])
+
+    return stage(contexts.mapInArrow(run, "word long, cls int, to int"), "lm-moves")
+
+
+def exchange_rest(met: DataFrame, start: DataFrame, heads: np.ndarray, p: LmParams) -> tuple[DataFrame, np.ndarray]:
+    """(word, cls) of every word beyond the head from its class in ``start``, and
+    the class bigrams of all tokens; ``met`` are the words' neighbours, ``heads``
+    the class bigrams of heads and ends."""
+    c = p.classes + 1
+    good = best = g = moves = None
+    now, share = start, 1
+    while True:
+        met.sparkSession.sparkContext._jvm.System.gc()     # lets Spark delete the shuffle files of earlier rounds
+        contexts = _contexts(met, now, c)
+        new = heads + _class_bigrams(contexts, c)
+        value = likelihood(new)
+        if best is None or value > best + 1e-12 * _xlogx(new.sum()):      # by more than rounding
+            small = best is not None and value - best <= p.settled * new.sum()
+            good, best, g, share = now, value, new, 1
+            if small:
+                return good, g
+            moves = _proposals(contexts, g, c)
+            if moves.where("cls <> to").isEmpty():
+                return good, g
+        elif share == 64:
+            return good, g
+        else:
+            share *= 2
+        pick = F.lit(True) if share == 1 else F.pmod(F.xxhash64("word", F.lit(share)), F.lit(share)) == 0
+        now = moves.select("word", F.when(pick, F.col("to")).otherwise(F.col("cls")).alias("cls"))
+
+
+def first_classes(counts: DataFrame, lookup, cls: np.ndarray, seed: int, p: LmParams) -> DataFrame:
+    """(word, n, cls, id): the class of each head word and end, of every other
+    word its ending's, and that word's number (null for heads and ends)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = lookup.value
-        mass, types = np.zeros(len(cls), np.int64), np.zeros(len(cls), np.int64)
         for b in batches:
             tokens = b.column(0).to_pylist()
             ends = np.array([t is None for t in tokens], bool)
-            _, units, _ = look.places([t or b"" for t in tokens])
-            units = np.where(ends, p.units, units)
-            np.add.at(mass, units, b.column(1).to_numpy())
-            np.add.at(types, units, 1)
-        at = np.flatnonzero(types)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(mass[at], pa.int64()), pa.array(types[at], pa.int64())], names=["unit", "mass", "types"])
-
-    got = counts.mapInArrow(run, "unit long, mass long, types long").groupBy("unit").agg(F.sum("mass").alias("mass"), F.sum("types").alias("types")).collect()     # at most one row a unit
-    mass, types = np.zeros(p.classes + 1), np.zeros(p.classes + 1)
-    for r in got:
-        mass[cls[r.unit]] += r.mass
-        types[cls[r.unit]] += r.types
-    return mass, types, int(sum(r.mass for r in got)), int(sum(r.types for r in got))
+            at, units, rare = look.places([t or b"" for t in tokens])
+            units = np.where(ends, p.units, look.bucket[units])
+            for k, w in rare:
+                at[k] = word_number(w, seed)
+            heads = ends | ((at >= 0) & (at < look.head))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cls[units], pa.int32()), pa.array(at, pa.int64(), mask=heads)], names=["word", "n", "cls", "id"])
+
+    return stage(counts.mapInArrow(run, "word binary, n long, cls int, id long"), "lm-first")
 
 
 def fit(train: DataFrame, text: str = "text", params: LmParams = LmParams()):
-    """(model, lookup broadcast, count table) learned from all rows of ``train``."""
+    """(model, lookup broadcast, table of words with counts and classes) learned
+    from all rows of ``train``."""
     p = params
     texts = train.select(F.col(text).cast("string").alias("text"))
     counts = stage(word_counts(texts), "word-counts")
-    lookup = train.sparkSession.sparkContext.broadcast(Lookup(frequent(counts, p.lookup), p))
+    top = frequent(counts, p.lookup)
+    more = []
+    if counts.count() <= SMALL:
+        more = sorted({bytes(r.word) for r in counts.where("word is not null").collect()} - {w for w, _ in top})
+    look = Lookup(top, p, more)
+    lookup = train.sparkSession.sparkContext.broadcast(look)
     big = unit_bigrams(texts, lookup, p)
     cls = exchange(big, p)
-    mass, types, n, v = class_masses(counts, lookup, cls, p)
-    hot = np.eye(p.classes + 1)[cls]
-    g = hot.T @ big @ hot
+    known = np.r_[:p.head, p.units]
+    hot = np.eye(p.classes + 1)[cls[known]]
+    seed = 0
+    first = first_classes(counts, lookup, cls, seed, p)
+    while not first.where("id < 0").groupBy("id").count().where("count > 1").isEmpty():     # no two words share a number
+        seed += 1
+        first = first_classes(counts, lookup, cls, seed, p)
+    met = stage(neighbours(texts, lookup, cls, seed, p), "lm-neighbours")
+    rest, g = exchange_rest(met, first.where("id is not null").select(F.col("id").alias("word"), "cls"), hot.T @ big[np.ix_(known, known)] @ hot, p)
+    rest = rest.select(F.col("word").alias("id"), F.col("cls").alias("own"))
+    table = stage(first.join(rest, "id", "left").select("word", "n", F.coalesce("own", "cls").alias("cls")), "lm-words")
+    mass, types = np.zeros(p.classes + 1), np.zeros(p.classes + 1)
+    for r in table.groupBy("cls").agg(F.sum("n").alias("mass"), F.count(F.lit(1)).alias("types")).collect():     # at most one row a class
+        mass[r.cls], types[r.cls] = r.mass, r.types
+    cls = np.concatenate((cls, np.zeros(len(look.bucket) - len(cls), int)))
+    if len(cls) > p.units + 1:
+        least = 0 if more else int(look.counts[:-1].min())
+        got = table.where(F.col("word").isNotNull() & (F.col("n") >= least) & (F.lit(bool(more)) | (F.length("word") <= LONGEST))).select("word", "cls").toPandas()     # the words of the lookup
+        units = np.concatenate([look.places([bytes(w) for w in got.word])[1], np.empty(0, np.int32)]).astype(int)
+        use = units > p.units
+        cls[units[use]] = got.cls.to_numpy()[use]
     plain = (mass + p.alpha) / (mass + p.alpha).sum()
     trans = np.log10((g + p.lean * plain) / (g.sum(axis=1, keepdims=True) + p.lean))
     norm = mass + p.alpha * (types + 1)
     norm[-1] = mass[-1] + p.alpha                   # the end's class holds nothing else
     ends = counts.where("word is null").first()
-    return ClassModel(p, cls, trans, norm, n, v, int(ends.n) if ends else 0), lookup, counts
+    return ClassModel(p, cls, trans, norm, int(mass.sum()), int(types.sum()), int(ends.n) if ends else 0), lookup, table
 
 
 def score(df: DataFrame, fitted, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score for every
     row: log10 probability of the whole text by unigrams and by classes."""
-    model, lookup, counts = fitted
+    model, lookup, table = fitted
     p = model.params
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(model)
     base_norm = model.tokens + 0.1 * (model.types + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,27 +491,35 @@ def score(df: DataFrame, fitted, doc_id: str = "doc_id", text: str = "text") ->
                 tokens = words(t.as_py())
                 at, units, rare = look.places(tokens)
                 c = cls[np.concatenate(([p.units], units, [p.units]))]
-                own = m.trans[c[:-1], c[1:]].sum() + emit_of[at].sum()
+                known = np.concatenate(([True], at != miss, [True]))
+                own = m.trans[c[:-1], c[1:]][known[:-1] & known[1:]].sum() + emit_of[at].sum()
                 docs.append((row, i, len(tokens) + 1, len(tokens) - len(rare) + (m.ends > 0), base_of[at].sum() + base_end, own))
-                for w, k in Counter(w for _, w in rare).items():
-                    rare_rows.append((row, w, k, m.norm[cls[ending(w, p)]]))
+                for k, w in rare:                  # place k has its neighbours at k and k + 2 of ``known``
+                    rare_rows.append((row, w, k, int(c[k + 1]), int(c[k]) if known[k] else None, int(c[k + 2]) if known[k + 2] else None))
                 row += 1
             n, k = len(docs), len(rare_rows)
             yield pa.RecordBatch.from_arrays([
                 pa.array([d[0] for d in docs] + [r[0] for r in rare_rows], pa.int64()), pa.array([d[1] for d in docs] + [None] * k, pa.int64()),
                 pa.array([d[2] for d in docs] + [None] * k, pa.int64()), pa.array([d[3] for d in docs] + [None] * k, pa.int64()),
                 pa.array([d[4] for d in docs] + [None] * k, pa.float64()), pa.array([d[5] for d in docs] + [None] * k, pa.float64()),
-                pa.array([None] * n + [r[1] for r in rare_rows], pa.binary()), pa.array([None] * n + [r[2] for r in rare_rows], pa.int64()),
-                pa.array([None] * n + [r[3] for r in rare_rows], pa.float64())],
-                names=["row", "doc_id", "n_tokens", "n_known", "base", "own", "word", "k", "norm"])
+                *(pa.array([None] * n + [r[j] for r in rare_rows], kind) for j, kind in ((1, pa.binary()), (2, pa.int64()), (3, pa.int32()), (4, pa.int32()), (5, pa.int32())))],
+                names=["row", "doc_id", "n_tokens", "n_known", "base", "own", "word", "k", "unseen", "before", "after"])
 
     both = stage(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-                   .mapInArrow(run, "row long, doc_id long, n_tokens long, n_known long, base double, own double, word binary, k long, norm double"), "lm-parts")
-    rare = both.where("word is not null").select("row", "word", "k", "norm").join(counts.where("word is not null"), "word", "left")
+                   .mapInArrow(run, "row long, doc_id long, n_tokens long, n_known long, base double, own double, word binary, k long, unseen int, before int, after int"), "lm-parts")
     n = F.coalesce("n", F.lit(0))
-    rest = rare.groupBy("row").agg(F.sum(F.when(n > 0, F.col("k")).otherwise(0)).alias("rare_known"),
-                                   F.sum(F.col("k") * F.log10((n + 0.1) / F.lit(base_norm))).alias("rare_base"),
-                                   F.sum(F.col("k") * F.log10((n + p.alpha) / F.col("norm"))).alias("rare_own"))
+    rare = (both.where("word is not null").select("row", "word", "k", "unseen", "before", "after").join(table.where("word is not null"), "word", "left")
+                .select("row", "k", n.alias("n"), F.coalesce("cls", "unseen").alias("cls"), "before", "after"))
+    # One document's rare words in a row: a rare word's class comes with the join, so the steps to and from it follow here.
+    rare = rare.withColumn("before", F.coalesce("before", F.lag("cls").over(Window.partitionBy("row").orderBy("k"))))
+    c = range(p.classes + 1)
+    trans = F.broadcast(spark.createDataFrame([(a, b, float(model.trans[a, b])) for a in c for b in c], "a int, b int, lp double"))
+    norms = F.broadcast(spark.createDataFrame([(a, float(model.norm[a])) for a in c], "cls int, norm double"))
+    rare = (rare.join(norms, "cls").join(trans.select(F.col("a").alias("before"), F.col("b").alias("cls"), F.col("lp").alias("into")), ["before", "cls"])
+                .join(trans.select(F.col("a").alias("cls"), F.col("b").alias("after"), F.col("lp").alias("out")), ["cls", "after"], "left"))
+    rest = rare.groupBy("row").agg(F.count_if(F.col("n") > 0).alias("rare_known"),
+                                   F.sum(F.log10((F.col("n") + 0.1) / F.lit(base_norm))).alias("rare_base"),
+                                   F.sum(F.log10((F.col("n") + p.alpha) / F.col("norm")) + F.col("into") + F.coalesce("out", F.lit(0.0))).alias("rare_own"))
     return (both.where("word is null").select("row", "doc_id", "n_tokens", "n_known", "base", "own").join(rest, "row", "left")
                 .select("doc_id", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
                         (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"), (F.col("own") + F.coalesce("rare_own", F.lit(0.0))).alias("score")))
