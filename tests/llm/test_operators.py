@@ -456,6 +456,12 @@ def test_best_classes_are_those_of_the_likelihood():
         assert value[b] == pytest.approx(max(value))
 
 
+def test_head_words_need_no_level_of_counts(spark):
+    df = docs_of(spark, [(k, "one two three four", None, None) for k in range(3)])
+    _, lookup, _ = class_lm.fit(df, params=class_lm.LmParams(head=3, endings=2, classes=2, lookup=2))
+    assert list(lookup.value.at) == [b"four", b"one", b"three"]
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(0)
     truth = np.arange(40) % 4

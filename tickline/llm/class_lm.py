@@ -103,6 +103,12 @@ def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(zip(map(bytes, got.word), map(int, got.n)), key=lambda x: (-x[1], x[0]))
 
 
+def head_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The ``most`` most frequent words, those of equal count by their bytes."""
+    short = counts.where(F.col("word").isNotNull() & (F.length("word") <= LONGEST))
+    return [(bytes(r.word), r.n) for r in short.orderBy(F.desc("n"), "word").limit(most).collect()]
+
+
 def ending(word: bytes, p: LmParams) -> int:
     """The unit of a word that is no head word."""
     return p.head + zlib.crc32(word[-3:]) % p.endings
@@ -431,7 +437,8 @@ def fit(train: DataFrame, text: str = "text", params: LmParams = LmParams()):
     p = params
     texts = train.select(F.col(text).cast("string").alias("text"))
     counts = stage(word_counts(texts), "word-counts")
-    top = frequent(counts, p.lookup)
+    heads, top = head_words(counts, p.head), frequent(counts, p.lookup)
+    top = top if len(top) > len(heads) else heads
     more = []
     if counts.count() <= SMALL:
         more = sorted({bytes(r.word) for r in counts.where("word is not null").collect()} - {w for w, _ in top})
