@@ -73,7 +73,9 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
 def swapped_answers(conversations: DataFrame) -> DataFrame:
     """Pairs made from plain conversations, for ``preference_pairs``: the
     chosen side is the conversation, the rejected side has the last answer of
-    its neighbour (conv_id with the lowest bit flipped) in place of its own."""
+    its neighbour (conv_id with the lowest bit flipped) in place of its own.  A
+    conversation without an answer, or whose neighbour is absent or has none, is
+    left out, as in the query's SQL."""
     own = conversations.select("conv_id", "turn", "role", "text").where("conv_id is not null")
     answer = F.struct(F.col("turn"), F.coalesce("text", F.lit("")).alias("text"))
     last = own.where("role = 'assistant' and turn is not null").groupBy("conv_id").agg(F.max(answer).alias("a"))
