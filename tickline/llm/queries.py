@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import block_names, bpe, chat, class_lm, langid, mixing, parity_join, quality_nbsvm, warc, weak_rules
+from tickline.llm import (
+    block_names, bpe, chat, class_lm, filter_audit, langid, mixing, parity_join, quality_nbsvm, warc, weak_rules,
+)
 from tickline.llm.common import held_out, setup, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,6 +161,43 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", hold.alias("held_out"), "lang_pred", "score")
 
 
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM d),
+f AS (
+  SELECT doc_id, part, (len(words) < 100)::INT AS a, (100 * len(list_distinct(words)) < 80 * len(words))::INT AS b,
+         (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text))::INT AS c,
+         regexp_matches(text, '[#$%&*|]')::INT AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE)::INT AS e FROM w),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, [a, b, c, d, e] AS fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+i AS (SELECT unnest(range(1, 6)) AS x),
+orders AS (
+  SELECT [p.x, q.x, r.x, s.x, t.x] AS o FROM i p, i q, i r, i s, i t WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps AS (SELECT o, x AS step, o[x] AS k FROM orders, i),
+seen AS (
+  SELECT part, o, step, k, n, good, toxic, fails[k] = 1 AS bad, list_sum(fails) AS n_bad,
+         coalesce(list_sum(list_transform(o[1:step - 1], lambda j: fails[j])), 0) > 0 AS earlier FROM cells, steps),
+report AS (
+  SELECT part, o, step, k, coalesce(sum(n) FILTER (NOT bad AND NOT earlier), 0) AS kept,
+         coalesce(sum(n) FILTER (bad AND NOT earlier), 0) AS removed, coalesce(sum(n) FILTER (bad AND earlier), 0) AS redundant,
+         coalesce(sum(n) FILTER (bad AND n_bad = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (bad AND NOT earlier), 0) AS good_lost, coalesce(sum(toxic) FILTER (bad AND NOT earlier), 0) AS toxic_lost
+  FROM seen GROUP BY part, o, step, k)
+SELECT part, array_to_string(list_transform(o, lambda j: chr((64 + j)::INT)), '') AS filter_order, step::INT AS step, kept::BIGINT AS kept,
+       removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, k))::BIGINT AS shapley
+FROM report
+"""
+
+
+@register("op11_filter_audit", OP11_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove, in every order and at every step, by language."""
+    return filter_audit.document_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over ``documents``."""
