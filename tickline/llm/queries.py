@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickline.llm import (
-    block_names, bpe, chat, class_lm, filter_audit, langid, mixing, parity_join, quality_nbsvm, warc, weak_rules,
+    block_names, bpe, chat, class_lm, filter_audit, langid, mixing, parity_join, quality_nbsvm, vector_codes, warc,
+    weak_rules,
 )
 from tickline.llm.common import held_out, setup, table
 
@@ -198,6 +199,42 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.document_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+OP12_SQL = """
+WITH k AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT vec_id, part, q[part * (len(q) // 16) + 1:(part + 1) * (len(q) // 16)] AS v FROM k, range(16) r(part)),
+c0 AS (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, v FROM p
+  WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 64)),
+a0 AS (SELECT vec_id, p.part, arg_min(e, apart * 64 + e) AS e, min(apart) AS apart FROM (
+  SELECT p.vec_id, p.part, c.e, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS apart
+  FROM p JOIN c0 c ON c.part = p.part) p GROUP BY vec_id, p.part),
+s0 AS (SELECT a.part, a.e, i, sum(p.v[i])::BIGINT AS s, count(*) AS n FROM a0 a JOIN p USING (vec_id, part), range(1, len(p.v) + 1) r(i) GROUP BY ALL),
+m0 AS (SELECT part, e, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY i) AS v FROM s0 GROUP BY ALL),
+c1 AS (SELECT part, e, coalesce(m.v, c.v) AS v FROM c0 c LEFT JOIN m0 m USING (part, e)),
+a1 AS (SELECT vec_id, p.part, arg_min(e, apart * 64 + e) AS e, min(apart) AS apart FROM (
+  SELECT p.vec_id, p.part, c.e, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS apart
+  FROM p JOIN c1 c ON c.part = p.part) p GROUP BY vec_id, p.part),
+s1 AS (SELECT a.part, a.e, i, sum(p.v[i])::BIGINT AS s, count(*) AS n FROM a1 a JOIN p USING (vec_id, part), range(1, len(p.v) + 1) r(i) GROUP BY ALL),
+m1 AS (SELECT part, e, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY i) AS v FROM s1 GROUP BY ALL),
+c2 AS (SELECT part, e, coalesce(m.v, c.v) AS v FROM c1 c LEFT JOIN m1 m USING (part, e)),
+a2 AS (SELECT vec_id, p.part, arg_min(e, apart * 64 + e) AS e, min(apart) AS apart FROM (
+  SELECT p.vec_id, p.part, c.e, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS apart
+  FROM p JOIN c2 c ON c.part = p.part) p GROUP BY vec_id, p.part),
+coded AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY part) AS code, sum(apart)::BIGINT AS error FROM a2 GROUP BY vec_id),
+book AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN k USING (vec_id), book
+"""
+
+
+@register("op12_vector_codes", OP12_SQL)
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings after two Lloyd rounds over cover trees."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over ``documents``."""
