@@ -550,21 +550,24 @@ def q_duplicate_times(spark, sf_dir):
 # 2.1 binary tick files: scan, time range, limit
 # ---------------------------------------------------------------------------
 def _tick_files(spark, sf_dir) -> str:
-    """Write the tick view as binary files (one per contract, chronological)
+    """Write the tick view as binary files (one per contract and week, chronological)
     into a fresh folder under the shared checkpoint folder."""
     from tickline.context import workspace
     from tickline.sources.scid import write_ticks
     path = workspace(spark, "scid")
-    t = _ticks(spark, sf_dir)
-    write_ticks(t.repartition("contract").sortWithinPartitions("contract", "raw_time", "record_no"), path)
+    t = _ticks(spark, sf_dir).withColumn("part", F.expr("string(unix_micros(datetime) div 604800000000)"))
+    write_ticks(t.repartition("contract", "part").sortWithinPartitions("contract", "part", "raw_time", "record_no"), path)
     return path
 
 
 FILE_TICKS_SQL = """
 fticks AS (
-  SELECT datetime, raw_time, open, high, low, close, num_trades, volume, bid_volume, ask_volume, contract,
-         row_number() OVER (PARTITION BY contract ORDER BY raw_time, record_no) - 1 AS record_no
-  FROM ticks)"""
+  SELECT datetime, raw_time, open, high, low, close, num_trades, volume, bid_volume, ask_volume, contract, part,
+         row_number() OVER (PARTITION BY contract, part ORDER BY raw_time, record_no) - 1 AS record_no
+  FROM (SELECT *, CAST(epoch_us(datetime) // 604800000000 AS VARCHAR) AS part FROM ticks))"""
+
+#: Contract and week of a tick file, from its name.
+_FILE = (X.contract_from_file("file").alias("contract"), F.regexp_extract("file", r"\.(\d+)\.[0-9a-f-]+\.scid$", 1).alias("part"))
 
 
 @register("scan_ticks", with_ticks(f"SELECT {TICK_SELECT} FROM fticks", FILE_TICKS_SQL))
@@ -604,20 +607,20 @@ cal AS (SELECT * FROM (VALUES ('ESH24', TIMESTAMP '2024-01-01', TIMESTAMP '2024-
 
 def _calendar_file(spark, files_dir: str | None, windows=FIXTURE_WINDOWS, nq: bool = False) -> str:
     """Write a calendar config naming the contract files of ``files_dir``.
-    ``nq`` adds a second symbol: the ESM24 file again, from 2024-01-08 on, so
+    ``nq`` adds a second symbol: the ESM24 files again, from 2024-01-08 on, so
     that both symbols share times, and a file that is not there."""
     import json
     from tickline.context import workspace
     from tickline.sources.scid import contract_of, list_files
     by_contract = {}
     for f in list_files(files_dir) if files_dir else []:
-        by_contract.setdefault(contract_of(f), f)
-    contracts = [{"file": by_contract.get(c, f"/missing/{c}_FUT_CME.scid"), "start_date": s, "end_date": e}
-                 for c, s, e in windows]
+        by_contract.setdefault(contract_of(f), []).append(f)
+    contracts = [{"file": f, "start_date": s, "end_date": e}
+                 for c, s, e in windows for f in by_contract.get(c, [f"/missing/{c}_FUT_CME.scid"])]
     cfg = {"symbols": {"ES": {"table_name": "ES", "price_multiplier": 1.0, "contracts": contracts}}}
     if nq:
         cfg["symbols"]["NQ"] = {"table_name": "NQ_ticks", "contracts": [
-            {"file": by_contract["ESM24"], "start_date": "2024-01-08"}, {"file": f"{files_dir}/NQZ99_FUT_CME.scid"}]}
+            *({"file": f, "start_date": "2024-01-08"} for f in by_contract["ESM24"]), {"file": f"{files_dir}/NQZ99_FUT_CME.scid"}]}
     folder = workspace(spark, "config")
     spark.range(1, numPartitions=1).select(F.lit(json.dumps(cfg)).alias("value")).write.text(folder)
     return folder
@@ -630,12 +633,12 @@ FROM (VALUES ('ES', 'ES', 1.0, 'ESH24', '2024-01-01', '2024-01-15'),
              ('ES', 'ES', 1.0, 'ESM24', '2024-01-15', CAST(NULL AS VARCHAR)))
   v(symbol, table_name, price_multiplier, contract, start_date, end_date)"""))
 def q_contract_calendar(spark, sf_dir):
-    """Calendar rows for the contract files written from the tick view, with
-    the ticks that each one's window takes from its file."""
+    """Contracts of the calendar for the files written from the tick view, with
+    the ticks that each one's window takes from its files."""
     from tickline.sources.calendar import continuous_series, contract_calendar
     cal = contract_calendar(spark, _calendar_file(spark, _tick_files(spark, sf_dir)))
     taken = continuous_series(spark, cal, ordered=False).groupBy("contract").agg(F.count(F.lit(1)).alias("ticks"))
-    return (cal.withColumn("contract", X.contract_from_file("file")).join(taken, "contract", "left")
+    return (cal.withColumn("contract", X.contract_from_file("file")).drop("file").distinct().join(taken, "contract", "left")
                .select("symbol", "table_name", "price_multiplier", "contract", "start_date", "end_date",
                        F.coalesce("ticks", F.lit(0)).alias("ticks")))
 
@@ -660,7 +663,7 @@ WHERE t.datetime >= c.ws AND (c.we IS NULL OR t.datetime < c.we)"""
 def q_continuous_series(spark, sf_dir):
     from tickline.sources.calendar import contract_calendar, continuous_series
     cal = contract_calendar(spark, _calendar_file(spark, _tick_files(spark, sf_dir)))
-    return continuous_series(spark, cal).drop("file")
+    return continuous_series(spark, cal, chronological=True).drop("file")
 
 
 @register("contract_window_lookup", with_ticks("""
@@ -675,7 +678,8 @@ def q_contract_window_lookup(spark, sf_dir):
     cal = contract_calendar(spark, _calendar_file(spark, files_dir))
     files = scan_ticks(spark, files_dir).groupBy(F.upper("file").alias("file")).agg(F.count(F.lit(1)).alias("ticks"))
     out = contract_window_lookup(files, cal)
-    return out.select(X.contract_from_file(F.col("file")).alias("contract"), "symbol", "start_date", "end_date", "ticks")
+    return (out.groupBy(X.contract_from_file(F.col("file")).alias("contract"), "symbol", "start_date", "end_date")
+               .agg(F.sum("ticks").alias("ticks")))
 
 
 SYNCED_SQL = f"""
@@ -683,6 +687,16 @@ synced AS (
   SELECT 'ES' AS symbol, {TICK_SELECT} FROM ({CONTINUOUS_SQL.strip()}) s
   UNION ALL SELECT 'NQ' AS symbol, {TICK_SELECT} FROM fticks WHERE contract = 'ESM24' AND datetime >= TIMESTAMP '2024-01-08')"""
 
+CALENDAR_FILES_SQL = """
+files AS (
+  SELECT 'ES' AS symbol, contract, part, ws, we FROM (SELECT DISTINCT contract, part FROM fticks) JOIN cal USING (contract)
+  UNION ALL SELECT DISTINCT 'NQ', contract, part, TIMESTAMP '2024-01-08', CAST(NULL AS TIMESTAMP) FROM fticks WHERE contract = 'ESM24'
+  UNION ALL SELECT 'NQ', 'NQZ99', '', NULL, NULL),
+file_rows AS (
+  SELECT f.symbol, f.contract, f.part, f.ws, f.we, count(t.contract) AS n
+  FROM files f LEFT JOIN fticks t ON t.contract = f.contract AND t.part = f.part AND t.datetime >= f.ws AND (f.we IS NULL OR t.datetime < f.we)
+  GROUP BY ALL)"""
+
 
 def _synced(spark, sf_dir, partial_first: bool = False):
     from tickline.context import workspace
@@ -709,22 +723,26 @@ def q_sync_symbols(spark, sf_dir):
 
 
 @register("ingest_stats", with_ticks("""
-SELECT symbol, CAST(2 AS BIGINT) AS files, count(*) AS rows_processed, count(*) AS rows_inserted
-FROM synced GROUP BY symbol""", FILE_TICKS_SQL, WINDOW_SQL, SYNCED_SQL))
+SELECT symbol, count(*) AS files, CAST(sum(n) AS BIGINT) AS rows_processed, CAST(sum(n) AS BIGINT) AS rows_inserted,
+       TRUE AS timed, TRUE AS rated FROM file_rows GROUP BY symbol""", FILE_TICKS_SQL, WINDOW_SQL, CALENDAR_FILES_SQL))
 def q_ingest_stats(spark, sf_dir):
     from tickline.plans.ingest import ingest_stats, read_ledger
+    """Load totals by symbol; elapsed time and rate vary, so what shows is that
+    they are there and agree with each other."""
     _, _, ledger = _synced(spark, sf_dir)
-    return ingest_stats(read_ledger(spark, ledger)).select("symbol", "files", "rows_processed", "rows_inserted")
+    rate = F.col("rows_processed") / F.col("elapsed_seconds")
+    return ingest_stats(read_ledger(spark, ledger)).select(
+        "symbol", "files", "rows_processed", "rows_inserted", F.coalesce(F.col("elapsed_seconds").between(0, 86_400), F.lit(False)).alias("timed"),
+        F.coalesce(F.abs(F.col("rows_per_second") - rate) <= rate / 1e9, F.lit(False)).alias("rated"))
 
 
 @register("pending_files", with_ticks("""
-SELECT v.* FROM (VALUES ('ES', 'ESH24', '2024-01-01', '2024-01-15'), ('ES', 'ESM24', '2024-01-15', NULL),
-                        ('NQ', 'ESM24', '2024-01-08', NULL), ('NQ', 'NQZ99', NULL, NULL)) v(symbol, contract, start_date, end_date)
-WHERE NOT (symbol = 'ES' AND contract = 'ESH24' AND EXISTS (SELECT 1 FROM ticks t WHERE t.contract = 'ESH24' AND t.datetime >= TIMESTAMP '2024-01-01'
-                                                            AND t.datetime < TIMESTAMP '2024-01-15'))"""))
+SELECT symbol, contract, part, strftime(ws, '%Y-%m-%d') AS start_date, strftime(we, '%Y-%m-%d') AS end_date
+FROM file_rows WHERE NOT (symbol = 'ES' AND contract = 'ESH24' AND n > 0)""", FILE_TICKS_SQL, WINDOW_SQL, CALENDAR_FILES_SQL))
 def q_pending_files(spark, sf_dir):
-    """After loading only the first contract, the second one and the other
-    symbol's files (the same path once more, and one that is missing) are pending."""
+    """After loading only the first contract, its files beyond its window, the
+    second one's and the other symbol's (the same paths once more, and one that
+    is missing) are pending."""
     from tickline.context import workspace
     from tickline.plans.ingest import pending_files, read_ledger, sync_symbols
     from tickline.sources.calendar import contract_calendar
@@ -732,7 +750,7 @@ def q_pending_files(spark, sf_dir):
     table, ledger = workspace(spark, "table"), workspace(spark, "ledger")
     sync_symbols(spark, cal.where(X.contract_from_file("file") == "ESH24"), table, ledger)
     out = pending_files(cal, read_ledger(spark, ledger))
-    return out.select("symbol", X.contract_from_file("file").alias("contract"), "start_date", "end_date")
+    return out.select("symbol", *_FILE, "start_date", "end_date")
 
 
 
@@ -1069,14 +1087,12 @@ def q_run_study(spark, sf_dir):
 
 
 @register("ledger_update", with_ticks("""
-SELECT symbol, contract, TRUE AS completed, count(*) AS rows_processed, count(*) AS rows_inserted
-FROM synced GROUP BY symbol, contract
-UNION ALL SELECT 'NQ', 'NQZ99', FALSE, 0, 0""", FILE_TICKS_SQL, WINDOW_SQL, SYNCED_SQL))
+SELECT symbol, contract, part, n > 0 AS completed, n AS rows_processed, n AS rows_inserted FROM file_rows""",
+                                     FILE_TICKS_SQL, WINDOW_SQL, CALENDAR_FILES_SQL))
 def q_ledger_update(spark, sf_dir):
     """Latest ledger entry per contract file after a load and a re-run; the
-    missing file is not completed."""
+    missing file and those beyond their window are not completed."""
     from tickline.plans.ingest import ledger_state, read_ledger
     _, _, ledger = _synced(spark, sf_dir)
     st = ledger_state(read_ledger(spark, ledger))
-    return st.select("symbol", X.contract_from_file("file").alias("contract"), "completed",
-                     "rows_processed", "rows_inserted")
+    return st.select("symbol", *_FILE, "completed", "rows_processed", "rows_inserted")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tickline.context import path_exists
 from tickline.functions.expr import contract_from_file, parse_config_date, path_key
 from tickline.operators.joins import materialize
-from tickline.schema import CALENDAR_SCHEMA
+from tickline.schema import CALENDAR_SCHEMA, EPOCH_SHIFT_US
 
 CONFIG_SCHEMA = ("symbols MAP<STRING, STRUCT<table_name: STRING, price_multiplier: DOUBLE, "
                  "contracts: ARRAY<STRUCT<file: STRING, start_date: STRING, end_date: STRING>>>>")
@@ -95,20 +95,26 @@ def rollover_filter(ticks: DataFrame, calendar: DataFrame, by: str = "contract")
         "window_start", "window_end", "file_key")
 
 
+def read_ranges(calendar: DataFrame) -> list[tuple[str, int | None, int | None]]:
+    """Each file of the calendar with the raw times (from, before) that any of
+    its windows asks for; None is open."""
+    raw = lambda c: F.unix_micros(parse_config_date(c)) + EPOCH_SHIFT_US
+    name = F.translate("file", "\\", "/")
+    spans = calendar.groupBy(name.alias("file")).agg(
+        F.when(F.count_if(raw("start_date").isNull()) == 0, F.min(raw("start_date"))).alias("lo"),
+        F.when(F.count_if(raw("end_date").isNull()) == 0, F.max(raw("end_date"))).alias("hi"))
+    # The calendar is configuration: its file list is read by the driver as the configuration is.
+    return [(r.file, r.lo, r.hi) for r in spans.orderBy("file").collect()]
+
+
 def continuous_series(spark: SparkSession, calendar: DataFrame, symbol: str | None = None,
-                      ordered: bool = True) -> DataFrame:
+                      ordered: bool = True, chronological: bool = False, split_records: int | None = None) -> DataFrame:
     """All contract files of the calendar, each cut to its window, as one
-    series ordered by (datetime, raw_time).  Missing files are skipped."""
+    series ordered by (datetime, raw_time).  Missing files are skipped.  The
+    windows go to the reader with the files, so records outside are not decoded;
+    with ``chronological`` (times never go back within a file) not even read."""
     from tickline.sources.scid import scan_ticks
     cal = calendar if symbol is None else calendar.where(F.col("symbol") == symbol)
-    # The calendar is configuration: reading its file list on the driver is the
-    # same as reading the config file itself.
-    paths = [r.file for r in cal.select("file").distinct().collect()]
-    local = [p.replace("\\", "/") for p in paths]
-    present = [p for p in local if path_exists(spark, p)]
-    if not present:
-        from tickline.schema import SCAN_SCHEMA
-        return spark.createDataFrame([], SCAN_SCHEMA)
-    ticks = scan_ticks(spark, ",".join(present))
+    ticks = scan_ticks(spark, files=read_ranges(cal), chronological=chronological, split_records=split_records)
     out = rollover_filter(ticks, cal, by="file")
     return out.orderBy("datetime", "raw_time", "record_no") if ordered else out

@@ -3,8 +3,13 @@
 File layout: a 56-byte header, then 40-byte little-endian records
 (u8 raw time, 4 x f4 prices, 4 x u4 counts).  The reader
 
+* opens files through Arrow's file systems, so paths may be local, ``file:``
+  URIs or those of any store that Arrow knows; a name is taken as it stands
+  first (commas and brackets are part of it) and as a pattern only if no such
+  file is there; several go as a JSON list (``load([...])``),
 * plans one input partition per byte range of whole records (so one large
-  file is read by many tasks in parallel),
+  file is read by many tasks in parallel) from names and sizes alone: headers
+  are read, and time ranges looked up, by the tasks,
 * decodes each range with numpy in blocks and yields Arrow record batches
   (no per-row Python),
 * drops a partial trailing record and fails on a file shorter than the header,
@@ -14,27 +19,32 @@ File layout: a 56-byte header, then 40-byte little-endian records
 * accepts pushed comparisons on ``raw_time`` / ``datetime`` / ``record_no``
   and applies them exactly while decoding (enable with
   ``spark.sql.python.filterPushdown.enabled``; set by ``tickline.context``),
+* takes a time range for each file with option ``files`` (a JSON list of name,
+  first and end raw time; files that are not there are left out),
 * with option ``chronological`` (times never go back within a file) finds the
-  records of a pushed time range by binary search, and reads only those.
+  records of a file's range and of a pushed one by binary search, and reads only
+  those.
 
 As a stream (``readStream.format("ticks")``) the offset is the number of whole
 records of every file: files that grow, and new ones, are followed, and each
-record is read once.
+record is read once.  With ``recordsPerTrigger`` a trigger takes at most so many,
+shared among the files that have some.  Files are expected to grow only.
 
 The writer (``df.write.format("ticks")``) writes one file per contract and
-task, records in the order given; used to make fixtures and exports.
-
-Paths must be visible to every executor (a shared file system on a cluster).
+task (and value of the column ``part``, if there is one), records in the order
+given; used to make fixtures and exports.  Files get their names when all tasks
+are done, so tasks that fail or run twice leave none.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import glob
-import os
+import fnmatch
+import json
 import re
 import struct
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, EqualTo, GreaterThan,
@@ -59,23 +69,93 @@ def contract_of(path: str) -> str:
     return m.group(1) if m else stem.split("_")[0]
 
 
-def list_files(path: str) -> list[str]:
-    """A file, a glob, a folder of ``*.scid``, or a comma-separated list of those."""
-    found = []
-    for part in path.split(","):
-        part = part.strip().replace("file://", "").replace("file:", "")
-        if not part:
-            continue
-        if os.path.isdir(part):
-            found += sorted(glob.glob(os.path.join(part, "*.scid")))
+_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]+:")      # two letters at least: a drive is none
+
+
+def _store(path: str):
+    """(Arrow file system, the path in it, head, base): ``head`` + the path
+    beyond ``base`` is the name again."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        inner = re.sub("^file:(//)?(?=/)", "", path)
+        return fs.LocalFileSystem(), inner, path[:len(path) - len(inner)], ""
+    if not _SCHEME.match(path):
+        return fs.LocalFileSystem(), path, "", ""
+    head, rest = re.match("([^:]+:(?://[^/]*)?)/*(.*)", path, re.S).groups()
+    store, base = fs.FileSystem.from_uri(head + "/")
+    base = base.rstrip("/")
+    return store, f"{base}/{rest}", head, base
+
+
+def _matching(store, pattern: str) -> list[str]:
+    """Paths that match a pattern, one folder level after the other."""
+    from pyarrow import fs
+
+    found = ["/" if pattern.startswith("/") else ""]
+    for part in filter(None, pattern.split("/")):
+        if any(c in part for c in "*?["):
+            found = [i.path for f in found for i in store.get_file_info(fs.FileSelector(f, allow_not_found=True))
+                     if fnmatch.fnmatchcase(i.base_name, part)]
         else:
-            found += sorted(glob.glob(part))
+            found = [f"{f.rstrip('/')}/{part}" if f else part for f in found]
     return found
 
 
+def sized_files(paths: str | Sequence[str]) -> dict[str, int]:
+    """Name and bytes of the files that ``paths`` name: files, folders of
+    ``*.scid``, or patterns."""
+    from pyarrow import fs
+
+    out = {}
+    for path in [paths] if isinstance(paths, str) else paths:
+        store, inner, head, base = _store(path)
+        info = store.get_file_info(inner)
+        if info.type == fs.FileType.Directory:
+            infos = [i for i in store.get_file_info(fs.FileSelector(inner)) if i.base_name.endswith(".scid")]
+        elif info.type == fs.FileType.NotFound and any(c in inner for c in "*?["):
+            infos = store.get_file_info(_matching(store, inner))
+        else:
+            infos = [info]
+        for i in sorted(infos, key=lambda i: i.path):
+            if i.type == fs.FileType.File:
+                out[path if i is info else head + i.path[len(base):]] = i.size
+    return out
+
+
+def existing_files(names: Sequence[str]) -> dict[str, int]:
+    """Name and bytes of those of the exact ``names`` that are there, asked for in one call a store."""
+    from pyarrow import fs
+
+    by_store: dict = {}
+    for name in names:
+        store, inner, head, _ = _store(name)
+        by_store.setdefault((type(store), head), (store, {}))[1][name] = inner
+    out = {}
+    for store, inner in by_store.values():
+        for name, i in zip(inner, store.get_file_info(list(inner.values()))):
+            if i.type == fs.FileType.File:
+                out[name] = i.size
+    return out
+
+
+def list_files(paths: str | Sequence[str]) -> list[str]:
+    """Names of a file, of a folder's ``*.scid``, of a pattern, or of a list of those."""
+    return list(sized_files(paths))
+
+
+def open_file(path: str):
+    store, inner, _, _ = _store(path)
+    return store.open_input_file(inner)
+
+
 def read_header(path: str) -> dict:
-    with open(path, "rb") as f:
-        data = f.read(HEADER_SIZE)
+    with open_file(path) as f:
+        return _header(path, f)
+
+
+def _header(path: str, f) -> dict:
+    data = f.read_at(min(HEADER_SIZE, f.size()), 0)
     if len(data) < HEADER_SIZE:
         raise ValueError(f"{path}: file is too small to contain a valid header")
     ftype, hsize, rsize, version, unused, utc_start, _ = struct.unpack(HEADER_FORMAT, data)
@@ -84,8 +164,10 @@ def read_header(path: str) -> dict:
 
 
 class TickRange(InputPartition):
-    def __init__(self, path: str, first: int, stop: int):
-        self.path, self.first, self.stop = path, first, stop
+    """Records [first, stop) of a file, with raw times from ``lo`` to ``hi``."""
+
+    def __init__(self, path: str, first: int, stop: int, lo: int = 0, hi: int = _INT64_MAX):
+        self.path, self.first, self.stop, self.lo, self.hi = path, first, stop, lo, hi
 
 
 def _to_raw(value) -> int:
@@ -97,28 +179,26 @@ def _to_raw(value) -> int:
     return int(value)
 
 
-def count_records(path: str) -> int:
-    """Whole records of a file."""
-    return max(0, os.path.getsize(path) - HEADER_SIZE) // RECORD_SIZE
+def whole_records(size: int) -> int:
+    """Of a file of ``size`` bytes."""
+    return max(0, size - HEADER_SIZE) // RECORD_SIZE
 
 
-def first_at_or_after(path: str, raw: int, n: int) -> int:
-    """First record of a chronological file whose time is at least ``raw``."""
-    lo, hi = 0, n
-    with open(path, "rb") as fh:
-        while lo < hi:
-            mid = (lo + hi) // 2
-            fh.seek(HEADER_SIZE + mid * RECORD_SIZE)
-            if int.from_bytes(fh.read(8), "little") < raw:
-                lo = mid + 1
-            else:
-                hi = mid
+def first_at_or_after(fh, raw: int, lo: int, hi: int) -> int:
+    """First record in [lo, hi) of an open chronological file whose time is at least ``raw``, else ``hi``."""
+    while lo < hi:
+        mid = (lo + hi) // 2
+        if int.from_bytes(fh.read_at(8, HEADER_SIZE + mid * RECORD_SIZE), "little") < raw:
+            lo = mid + 1
+        else:
+            hi = mid
     return lo
 
 
 class TickFileReader(DataSourceReader):
     def __init__(self, options, schema):
-        self.path = options.get("path")
+        self.paths = json.loads(options["paths"]) if options.get("paths") else options.get("path")
+        self.files = json.loads(options["files"]) if options.get("files") else None
         self.chronological = str(options.get("chronological", "false")).lower() == "true"
         self.contract = options.get("contract")
         self.split = int(options.get("splitRecords", DEFAULT_SPLIT_RECORDS))
@@ -156,34 +236,42 @@ class TickFileReader(DataSourceReader):
                 self.raw_lo, self.raw_hi = lo, hi
 
     def partitions(self):
-        files = list_files(self.path)
-        if not files:
-            raise FileNotFoundError(f"no tick files at {self.path}")
+        if self.files is not None:
+            sizes = existing_files([name for name, _, _ in self.files])
+            files = [(name, sizes[name], lo or 0, _INT64_MAX if hi is None else hi - 1) for name, lo, hi in self.files if name in sizes]
+        else:
+            files = [(name, size, 0, _INT64_MAX) for name, size in sized_files(self.paths).items()]
+            if not files:
+                raise FileNotFoundError(f"no tick files at {self.paths}")
         parts = []
-        for path in files:
-            read_header(path)                       # fails on a too-short file
-            n = count_records(path)
-            lo, hi = max(0, self.rec_lo), min(n, self.rec_hi + 1 if self.rec_hi < _INT64_MAX else n)
-            if self.chronological:
-                lo = max(lo, first_at_or_after(path, self.raw_lo, n)) if self.raw_lo > 0 else lo
-                hi = min(hi, first_at_or_after(path, self.raw_hi + 1, n)) if self.raw_hi < _INT64_MAX else hi
-            for first in range(lo, hi, self.split):
-                parts.append(TickRange(path, first, min(hi, first + self.split)))
-        return parts
+        for path, size, lo, hi in files:
+            n = whole_records(size)
+            first, stop = max(0, self.rec_lo), min(n, self.rec_hi + 1 if self.rec_hi < _INT64_MAX else n)
+            lo, hi = max(lo, self.raw_lo), min(hi, self.raw_hi)
+            if size < HEADER_SIZE:
+                parts.append(TickRange(path, 0, 0))         # its task says so
+            elif lo <= hi:
+                parts += [TickRange(path, k, min(stop, k + self.split), lo, hi) for k in range(first, stop, self.split)]
+        return parts or [TickRange("", 0, 0)]
 
     def read(self, partition: TickRange):
         import numpy as np
         import pyarrow as pa
 
+        if not partition.path:
+            return
         dtype = np.dtype(RECORD_DTYPE)
         contract = self.contract or contract_of(partition.path)
         names = [f.name for f in self.schema.fields]
-        with open(partition.path, "rb") as fh:
-            fh.seek(HEADER_SIZE + partition.first * RECORD_SIZE)
-            pos = partition.first
-            while pos < partition.stop:
-                count = min(BLOCK_RECORDS, partition.stop - pos)
-                buf = fh.read(count * RECORD_SIZE)
+        with open_file(partition.path) as fh:
+            _header(partition.path, fh)
+            pos, stop = partition.first, partition.stop
+            if self.chronological:
+                pos = first_at_or_after(fh, partition.lo, pos, stop) if partition.lo > 0 else pos
+                stop = first_at_or_after(fh, partition.hi + 1, pos, stop) if partition.hi < _INT64_MAX else stop
+            while pos < stop:
+                count = min(BLOCK_RECORDS, stop - pos)
+                buf = fh.read_at(count * RECORD_SIZE, HEADER_SIZE + pos * RECORD_SIZE)
                 count = len(buf) // RECORD_SIZE
                 if count == 0:
                     break
@@ -192,7 +280,7 @@ class TickFileReader(DataSourceReader):
                     raise ValueError(f"{partition.path}: a time from 2^63 on is no tick time")
                 raw = rec["raw_time"].astype(np.int64)
                 ordinal = np.arange(pos, pos + count, dtype=np.int64)
-                keep = (raw >= self.raw_lo) & (raw <= self.raw_hi)
+                keep = (raw >= partition.lo) & (raw <= partition.hi)
                 pos += count
                 if not keep.any():
                     continue
@@ -220,16 +308,31 @@ class TickFileStream(DataSourceStreamReader):
     """Follows tick files by record number."""
 
     def __init__(self, options, schema):
-        self.path = options.get("path")
         self.decoder = TickFileReader(options, schema)
+        self.limit = int(options.get("recordsPerTrigger", 0))
+        # Where the stream has come to: the engine does not tell a restarted source.
+        self.at = json.loads(options.get("startOffset") or "{}")
 
     def initialOffset(self):
         return {}
 
     def latestOffset(self):
-        return {p: count_records(p) for p in list_files(self.path)}
+        there = {p: max(whole_records(size), self.at.get(p, 0)) for p, size in sized_files(self.decoder.paths).items()}
+        more = {p: n - self.at.get(p, 0) for p, n in there.items() if n > self.at.get(p, 0)}
+        if self.limit and sum(more.values()) > self.limit:
+            left, take = self.limit, dict.fromkeys(more, 0)
+            while left:
+                open_ = [p for p in more if take[p] < more[p]]
+                share = max(1, left // len(open_))
+                for p in open_[:left]:
+                    n = min(share, more[p] - take[p])
+                    take[p], left = take[p] + n, left - n
+            more = take
+        self.at = {**self.at, **{p: self.at.get(p, 0) + n for p, n in more.items()}}
+        return self.at
 
     def partitions(self, start, end):
+        self.at = {p: max(n, self.at.get(p, 0)) for p, n in {**self.at, **end}.items()}
         split = self.decoder.split
         return [TickRange(p, first, min(stop, first + split))
                 for p, stop in sorted(end.items()) for first in range(start.get(p, 0), stop, split)]
@@ -243,7 +346,7 @@ class TickFileStream(DataSourceStreamReader):
 
 class TickFileWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite):
-        self.path = options.get("path").replace("file://", "").replace("file:", "")
+        self.path = options.get("path")
         self.suffix = options.get("nameSuffix", "_FUT_CME")
 
     def write(self, iterator):
@@ -253,21 +356,24 @@ class TickFileWriter(DataSourceArrowWriter):
 
         ctx = TaskContext.get()
         task = f"{ctx.partitionId() if ctx else 0:05d}-{uuid.uuid4().hex[:8]}"
-        os.makedirs(self.path, exist_ok=True)
+        store, folder, _, _ = _store(self.path)
+        store.create_dir(folder, recursive=True)
         handles, written = {}, []
         dtype = np.dtype(RECORD_DTYPE)
         try:
             for batch in iterator:
-                contracts = batch.column("contract")
-                for c in pc.unique(contracts).to_pylist():
-                    sub = batch.filter(pc.equal(contracts, c))
+                parts = pc.fill_null(batch.column("part"), "") if "part" in batch.schema.names else None
+                keys = pc.fill_null(batch.column("contract"), "")
+                if parts is not None:
+                    keys = pc.binary_join_element_wise(keys, parts, self.suffix + ".")
+                for c in pc.unique(keys).to_pylist():
+                    sub = batch.filter(pc.equal(keys, c))
                     fh = handles.get(c)
                     if fh is None:
-                        name = os.path.join(self.path, f"{c}{self.suffix}.{task}.scid")
-                        fh = open(name, "wb")
+                        name = f"{folder.rstrip('/')}/{c}{self.suffix if parts is None else ''}.{task}.scid"
+                        fh = handles[c] = store.open_output_stream(name + _UNFINISHED)
                         fh.write(struct.pack(HEADER_FORMAT, FILE_TYPE_ID, HEADER_SIZE, RECORD_SIZE, 1, 0, 0,
                                              b"\x00" * 36))
-                        handles[c] = fh
                         written.append(name)
                     rec = np.zeros(sub.num_rows, dtype=dtype)
                     rec["raw_time"] = sub.column("raw_time").to_numpy(zero_copy_only=False)
@@ -279,7 +385,20 @@ class TickFileWriter(DataSourceArrowWriter):
         finally:
             for fh in handles.values():
                 fh.close()
-        return WriterCommitMessage() if not written else _Written(written)
+        return _Written(written)
+
+    def commit(self, messages):
+        store = _store(self.path)[0]
+        for name in (n for m in messages if m for n in m.files):
+            store.move(name + _UNFINISHED, name)
+
+    def abort(self, messages):
+        store = _store(self.path)[0]
+        for name in (n for m in messages if m for n in m.files):
+            store.delete_file(name + _UNFINISHED)
+
+
+_UNFINISHED = ".unfinished"
 
 
 class _Written(WriterCommitMessage):
@@ -309,11 +428,13 @@ def register(spark) -> None:
     spark.dataSource.register(TickFileSource)
 
 
-def scan_ticks(spark, path: str, contract: str | None = None, split_records: int | None = None,
-               chronological: bool = False):
-    """Read tick files (a file, a glob or a folder of ``*.scid``) as a DataFrame
-    with the tick schema plus ``record_no`` and ``file``.  ``chronological``
-    promises that times never go back within a file."""
+def scan_ticks(spark, path: str | Sequence[str] | None = None, contract: str | None = None, split_records: int | None = None,
+               chronological: bool = False, files: Sequence[tuple[str, int | None, int | None]] | None = None):
+    """Read tick files (files, patterns or folders of ``*.scid``) as a DataFrame
+    with the tick schema plus ``record_no`` and ``file``.  ``files`` names them
+    with a raw time range each (from, before; None: open) instead; those that
+    are not there are left out.  ``chronological`` promises that times never go
+    back within a file."""
     register(spark)
     r = spark.read.format("ticks")
     if contract:
@@ -322,20 +443,31 @@ def scan_ticks(spark, path: str, contract: str | None = None, split_records: int
         r = r.option("splitRecords", str(int(split_records)))
     if chronological:
         r = r.option("chronological", "true")
-    return r.load(path)
+    if files is not None:
+        return r.option("files", json.dumps([list(f) for f in files])).load()
+    return r.option("paths", json.dumps([path] if isinstance(path, str) else list(path))).load()
 
 
-def follow_ticks(spark, path: str):
-    """Stream of the records that are, or come to be, in tick files."""
+def follow_ticks(spark, path: str | Sequence[str], records_per_trigger: int | None = None, start: str | None = None):
+    """Stream of the records that are, or come to be, in tick files.  A limited
+    stream that is restarted must be told its last offset (``start``)."""
     register(spark)
-    return spark.readStream.format("ticks").load(path)
+    r = spark.readStream.format("ticks").option("paths", json.dumps([path] if isinstance(path, str) else list(path)))
+    if records_per_trigger:
+        r = r.option("recordsPerTrigger", str(int(records_per_trigger)))
+    if start:
+        r = r.option("startOffset", start)
+    return r.load()
 
 
 def write_ticks(df, path: str) -> str:
-    """Write ticks as binary files, one per contract per task, in each
-    partition's row order (sort first for chronological files)."""
+    """Write ticks as binary files, one per contract (and ``part``, if the frame
+    has such a column) per task, in each partition's row order (sort first for
+    chronological files)."""
     register(df.sparkSession)
     cols = ["raw_time", "open", "high", "low", "close", "num_trades", "volume", "bid_volume",
             "ask_volume", "contract"]
+    if "part" in df.columns:
+        cols.append("part")
     df.select(*cols).write.format("ticks").mode("append").save(path)
     return path
