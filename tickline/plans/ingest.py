@@ -5,17 +5,20 @@ Table layout: Parquet partitioned by ``month`` (yyyyMM), files sorted by
 ``repartitionByRange(month, datetime, raw_time)``: a busy month is spread
 over many tasks and files instead of landing on one.
 
-Plain Parquet has no transactions: every job stages its result as Parquet in
-the shared folder before touching the table, and only one writer may load a
-table at a time.  Each symbol has a table of its own (``table_for``), so equal
-times of different symbols never meet.
+Plain Parquet has no transactions: every job stages whole files beside the
+months and commits them, and what they replace, with one record
+(``tickline.plans.publish``); the next job finishes or drops what a broken one
+has left.  Only one writer may load a table at a time.  Each symbol has a table
+of its own (``table_for``), so equal times of different symbols never meet.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import time
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,9 @@ from pyspark.sql import types as T
 from tickline.context import path_exists as _exists
 from tickline.functions.expr import month_key, path_key
 from tickline.operators.joins import materialize
+from tickline.plans.publish import (
+    done_record, move_staged, new_job, publish, read_published, recover, relative, staged_path,
+)
 from tickline.schema import KEY_COLUMNS, TICK_SCHEMA
 
 TABLE_SCHEMA = T.StructType(TICK_SCHEMA.fields + [T.StructField("month", T.StringType())])
@@ -42,7 +48,7 @@ def read_table(spark: SparkSession, table_path: str) -> DataFrame:
     """The tick table (empty frame with the table schema if it does not exist)."""
     if not _exists(spark, table_path):
         return spark.createDataFrame([], TABLE_SCHEMA)
-    return spark.read.schema(TABLE_SCHEMA).parquet(table_path)
+    return read_published(spark, table_path, TABLE_SCHEMA)
 
 
 # Rows of one writing task: sets the number of tasks and files from the data.
@@ -72,6 +78,16 @@ def write_monthly(df: DataFrame, table_path: str, mode: str = "append",
     return table_path
 
 
+def stage_monthly(df: DataFrame, table_path: str, job: str, rows: int | None, order=("datetime", "raw_time"), compression: str | None = None) -> DataFrame:
+    """Write a job's new files beside the table, and read them back."""
+    w = ranged(df, rows, "month", *order).write.mode("overwrite").partitionBy("month")
+    if compression:
+        w = w.option("compression", compression)
+    path = staged_path(table_path, job)
+    w.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def dedupe_batch(batch: DataFrame, keys=KEY_COLUMNS, order="record_no", keep: str = "first") -> DataFrame:
     """One row per key inside a batch: the first (or last) by ``order``.  An
     aggregate (min_by / max_by over the row struct), so duplicate-heavy keys
@@ -83,54 +99,98 @@ def dedupe_batch(batch: DataFrame, keys=KEY_COLUMNS, order="record_no", keep: st
     return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]).select(*batch.columns)
 
 
-def _months(batch: DataFrame) -> list[str]:
-    # Bounded by the calendar (one value per month in the batch).
-    return [r.month for r in batch.select("month").distinct().collect()]
+def extent(batch: DataFrame, time: str = "raw_time") -> tuple[int, list[str], object, object]:
+    """Rows, months (as many as the calendar has), least and greatest ``time``."""
+    r = batch.agg(F.count(F.lit(1)), F.collect_set("month"), F.min(time), F.max(time)).first()
+    return r[0], r[1], r[2], r[3]
+
+
+def near_rows(stored: DataFrame, months: list[str], lo, hi, time: str = "raw_time") -> DataFrame:
+    """Stored rows that a batch of this extent can meet.  Files are sorted, so
+    their statistics prune the rest of a month."""
+    return stored.where(F.col("month").isin(months) & F.col(time).between(lo, hi))
 
 
 def not_stored(staged: DataFrame, table_path: str, keys=KEY_COLUMNS) -> DataFrame:
-    """Rows of ``staged`` whose key is not in the table.  Only the batch's
-    months and its raw_time range are read back: files are sorted, so their
-    statistics prune the rest of a month."""
-    lo, hi = staged.agg(F.min("raw_time"), F.max("raw_time")).first()
-    stored = (read_table(staged.sparkSession, table_path)
-              .where(F.col("month").isin(_months(staged)) & F.col("raw_time").between(lo, hi)).select(*keys, "month"))
+    """Rows of ``staged`` whose key is not in the table."""
+    _, months, lo, hi = extent(staged)
+    stored = near_rows(read_table(staged.sparkSession, table_path), months, lo, hi).select(*keys, "month")
     return staged.join(stored, [*keys, "month"], "left_anti")
 
 
-def insert_ignore(batch: DataFrame, table_path: str, keys=KEY_COLUMNS, order: str | Column = "record_no") -> int:
+def insert_ignore(batch: DataFrame, table_path: str, keys=KEY_COLUMNS, order: str | Column = "record_no", job: str | None = None) -> int:
     """Append ticks; the first write wins on ``keys``, inside the batch the
-    first by ``order``.  Returns the number of rows inserted."""
+    first by ``order``.  Returns the number of rows inserted.  A ``job`` with a
+    name is done once: asked for again it changes nothing and returns the same.
+
+    The de-duplicated batch is written once, as the files that it may become;
+    only if the table holds some of its keys is what is new written again."""
+    spark = batch.sparkSession
+    recover(spark, table_path)
+    before = done_record(spark, table_path, job) if job else None
+    if before:
+        return before["note"]["rows"]
+    name = job or new_job("insert")
     o = F.col(order) if isinstance(order, str) else order
     cols = [f.name for f in TABLE_SCHEMA.fields]
-    staged = materialize(dedupe_batch(with_month(batch).select(*cols, o.alias("_order")), keys, order="_order").drop("_order"))
-    if not staged.rows:
-        return 0
-    new = materialize(not_stored(staged.df, table_path, keys))
-    if new.rows:
-        write_monthly(new.df, table_path, mode="append", rows=new.rows)
-    return new.rows
+    fresh = dedupe_batch(with_month(batch).select(*cols, o.alias("_order")), keys, order="_order").drop("_order")
+    rows, _ = insert_new(fresh, table_path, name, keys)
+    if rows or job:
+        publish(spark, table_path, name, note={"rows": rows} if job else None)
+    return rows
+
+
+def insert_new(fresh: DataFrame, table_path: str, job: str, keys=KEY_COLUMNS) -> tuple[int, DataFrame]:
+    """Stage those of the de-duplicated rows ``fresh`` whose key is not in the
+    table; returns how many, and the staged rows."""
+    spark = fresh.sparkSession
+    stage = stage_monthly(fresh, table_path, f"{job}.all", None)
+    rows, months, lo, hi = extent(stage)
+    if rows and _exists(spark, table_path):
+        stored = near_rows(read_table(spark, table_path), months, lo, hi).select(*keys, "month")
+        if stage.join(stored, [*keys, "month"], "left_semi").limit(1).count():
+            stage = stage_monthly(stage.join(stored, [*keys, "month"], "left_anti"), table_path, job, rows)
+            return stage.count(), stage        # from the files' footers
+    return rows, rename_staged(spark, table_path, f"{job}.all", job, fresh.schema)
+
+
+def rename_staged(spark: SparkSession, table_path: str, old: str, new: str, schema) -> DataFrame:
+    move_staged(spark, table_path, old, new)
+    return spark.read.schema(schema).parquet(staged_path(table_path, new))
+
+
+def touched_files(stored: DataFrame, batch: DataFrame, keys) -> list[str]:
+    """Files (paths below the table) with a row of one of the batch's keys: at
+    most the table's files."""
+    hit = stored.select(*keys, F.col("_metadata.file_path").alias("_file")).join(batch.select(*keys).distinct(), list(keys), "left_semi")
+    return sorted(relative(r[0]) for r in hit.select("_file").distinct().collect())
 
 
 def upsert_replace(batch: DataFrame, table_path: str, keys=KEY_COLUMNS, load_order: str | None = None) -> int:
-    """Last write wins on ``keys``: existing rows of the touched months and the
-    batch are unioned, the latest per key by load order is kept, and only those
-    months are overwritten (dynamic partition overwrite).  Returns the number
-    of rows in the rewritten months."""
+    """Last write wins on ``keys``: inside the batch the latest by load order,
+    and the batch's rows replace stored ones.  Only files that hold one of the
+    batch's keys are written anew, without those rows; all others stay as they
+    are.  Returns the number of rows written."""
     spark = batch.sparkSession
-    load = F.col(load_order).cast("long") + 1 if load_order else F.lit(1).cast("long")
-    b = with_month(batch).select(*[f.name for f in TABLE_SCHEMA.fields], load.alias("_load"), F.col("record_no").alias("_seq"))
-    staged_batch = materialize(b)
-    months = _months(staged_batch.df)
-    old = (read_table(spark, table_path).where(F.col("month").isin(months))
-           .withColumn("_load", F.lit(0).cast("long")).withColumn("_seq", F.col("record_no")))
-    both = old.unionByName(staged_batch.df)
-    cols = [c for c in both.columns if c not in keys]
-    g = both.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct("_load", "_seq")).alias("_r"))
-    merged = g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]).drop("_load", "_seq")
-    result = materialize(merged)        # lineage cut: the table can now be overwritten
-    write_monthly(result.df, table_path, mode="overwrite", rows=result.rows)
-    return result.rows
+    recover(spark, table_path)
+    cols = [f.name for f in TABLE_SCHEMA.fields]
+    load = F.col(load_order).cast("long") if load_order else F.lit(1).cast("long")
+    last = dedupe_batch(with_month(batch).select(*cols, F.struct(load, F.col("record_no")).alias("_order")), keys, order="_order", keep="last").drop("_order")
+    staged = materialize(last)
+    if not staged.rows:
+        return 0
+    new, old_files, rows = staged.df, [], staged.rows
+    if _exists(spark, table_path):
+        _, months, lo, hi = extent(staged.df)
+        old_files = touched_files(near_rows(read_table(spark, table_path), months, lo, hi), staged.df, keys)
+    if old_files:
+        old = read_published(spark, table_path, TABLE_SCHEMA, only=old_files).select(*cols)
+        rows += old.count()             # from the files' footers: an upper bound
+        new = new.unionByName(old.join(staged.df.select(*keys), list(keys), "left_anti"))
+    job = new_job("upsert")
+    stage_monthly(new, table_path, job, rows)
+    publish(spark, table_path, job, old_files)
+    return rows
 
 
 # ---------------------------------------------------------------------------
@@ -168,45 +228,70 @@ def table_for(table_root: str, table_name: str) -> str:
 
 
 def sync_symbols(spark: SparkSession, calendar: DataFrame, table_root: str, ledger_path: str,
-                 symbols: list[str] | None = None) -> DataFrame:
+                 symbols: list[str] | None = None, chronological: bool = False, at_once: int = 4) -> DataFrame:
     """One load job: pending files -> scan -> rollover window -> insert-ignore
-    into the symbol's table -> ledger.  Files are read in parallel by byte
+    into the symbol's table -> ledger.  Symbols have tables of their own and are
+    loaded ``at_once`` at a time; files are read in parallel by byte
     range; the ledger is written after the table write has committed, and a
     file is completed only if it was there and gave rows, so a missing one
     stays pending.  Returns this run's ledger rows."""
-    from tickline.sources.calendar import continuous_series
     cal = calendar if not symbols else calendar.where(F.col("symbol").isin(list(symbols)))
     todo = materialize(pending_files(cal, read_ledger(spark, ledger_path)))
-    cols = [f.name for f in TABLE_SCHEMA.fields]
-    runs = None
-    # One turn per symbol in the configuration.
-    for symbol, table_name in sorted(tuple(r) for r in todo.df.select("symbol", "table_name").distinct().collect()):
-        started = time.time()
-        files = todo.df.where((F.col("symbol") == symbol) & (F.col("table_name") == table_name))
-        staged = materialize(continuous_series(spark, files, ordered=False))
-        processed = staged.df.groupBy(path_key("file").alias("_k")).agg(F.count(F.lit(1)).alias("rows_processed"))
-        inserted = spark.createDataFrame([], "_k string, rows_inserted long")
-        if staged.rows:
-            # The file goes along, so that each inserted row counts for the file it came from.
-            fresh = materialize(dedupe_batch(with_month(staged.df).select(*cols, "file", F.struct("file", "record_no").alias("_order")),
-                                             order="_order").drop("_order"))
-            new = materialize(not_stored(fresh.df, table_for(table_root, table_name)))
-            if new.rows:
-                write_monthly(new.df, table_for(table_root, table_name), mode="append", rows=new.rows)
-            inserted = new.df.groupBy(path_key("file").alias("_k")).agg(F.count(F.lit(1)).alias("rows_inserted"))
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        run = (files.withColumn("_k", path_key("file")).join(processed, "_k", "left").join(inserted, "_k", "left")
-                    .select("symbol", "file", (F.coalesce("rows_processed", F.lit(0)) > 0).alias("completed"),
-                            F.coalesce("rows_processed", F.lit(0)).cast("long").alias("rows_processed"),
-                            F.coalesce("rows_inserted", F.lit(0)).cast("long").alias("rows_inserted"),
-                            F.lit(float(time.time() - started)).alias("elapsed_seconds"),
-                            F.lit(now).cast("timestamp").alias("committed_at")))
-        run = materialize(run).df
-        ledger_update(ledger_path, run)
-        runs = run if runs is None else runs.unionByName(run)
+    turns = sorted(tuple(r) for r in todo.df.select("symbol", "table_name").distinct().collect())     # symbols of the configuration
+    tables: dict[str, list[str]] = {}
+    for symbol, table_name in turns:
+        tables.setdefault(table_name, []).append(symbol)        # one writer a table
+
+    def load(table_name: str) -> list[DataFrame]:
+        return [_load_symbol(spark, todo.df, symbol, table_name, table_root, chronological) for symbol in tables[table_name]]
+
+    runs, failed = None, None
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(tables)))) as pool:
+        for turn in [pool.submit(inheritable_thread_target(spark)(load), t) for t in tables]:
+            try:
+                done = turn.result()
+            except Exception as e:      # the other symbols' loads still count
+                failed = failed or e
+                continue
+            for run in done:
+                ledger_update(ledger_path, run)
+                runs = run if runs is None else runs.unionByName(run)
+    if failed:
+        raise failed
     return runs if runs is not None else spark.createDataFrame([], LEDGER_SCHEMA)
 
 
+def _load_symbol(spark: SparkSession, todo: DataFrame, symbol: str, table_name: str, table_root: str, chronological: bool) -> DataFrame:
+    """Load one symbol's pending files; returns its ledger rows."""
+    from tickline.sources.calendar import continuous_series
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", table_name)      # a fair share each, if the scheduler is fair
+    cols = [f.name for f in TABLE_SCHEMA.fields]
+    started, table = time.time(), table_for(table_root, table_name)
+    recover(spark, table)
+    files = todo.where((F.col("symbol") == symbol) & (F.col("table_name") == table_name))
+    staged = materialize(continuous_series(spark, files, ordered=False, chronological=chronological))
+    processed = staged.df.groupBy(path_key("file").alias("_k")).agg(F.count(F.lit(1)).alias("rows_processed"))
+    inserted = spark.createDataFrame([], "_k string, rows_inserted long")
+    if staged.rows:
+        # The file goes along, so that each inserted row counts for the file it came from.
+        fresh = materialize(dedupe_batch(with_month(staged.df).select(*cols, "file", F.struct("file", "record_no").alias("_order")),
+                                         order="_order").drop("_order"))
+        new = materialize(not_stored(fresh.df, table))
+        if new.rows:
+            job = new_job("sync")
+            stage_monthly(new.df.select(*cols), table, job, new.rows)
+            publish(spark, table, job)
+        inserted = new.df.groupBy(path_key("file").alias("_k")).agg(F.count(F.lit(1)).alias("rows_inserted"))
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    run = (files.withColumn("_k", path_key("file")).join(processed, "_k", "left").join(inserted, "_k", "left")
+                .select("symbol", "file", (F.coalesce("rows_processed", F.lit(0)) > 0).alias("completed"),
+                        F.coalesce("rows_processed", F.lit(0)).cast("long").alias("rows_processed"),
+                        F.coalesce("rows_inserted", F.lit(0)).cast("long").alias("rows_inserted"),
+                        F.lit(float(time.time() - started)).alias("elapsed_seconds"),
+                        F.lit(now).cast("timestamp").alias("committed_at")))
+    return materialize(run).df
+
+
 def ingest_stats(ledger: DataFrame) -> DataFrame:
     """Per symbol: files, rows processed / inserted, elapsed seconds and rate
     (rows per second; null when no time was recorded)."""

@@ -1,9 +1,11 @@
 """Table maintenance: layout migration, compaction, dropping and detaching
 months, and partition inventories.
 
-Inventories read only file metadata columns (``_metadata.file_path`` /
-``file_size``) next to a row count; month removal is a file-system delete of
-the partition folder, so no data passes through the driver.
+Inventories read no rows: files and bytes come from a listing (Spark's file
+source without the contents), row counts and time bounds from the Parquet
+footers (aggregates pushed into the scan).  What a job replaces or takes out
+goes by whole files and one record (``tickline.plans.publish``), so that a
+broken job is finished or undone by the next.
 """
 
 from __future__ import annotations
@@ -17,9 +19,10 @@ from pyspark.sql import types as T
 from tickline.functions.expr import readable_size
 from tickline.operators.joins import materialize
 from tickline.plans.ingest import (
-    TABLE_SCHEMA, _exists, dedupe_batch, ranged, read_table, with_month, write_monthly,
+    TABLE_SCHEMA, _exists, dedupe_batch, read_table, stage_monthly, with_month,
 )
-from tickline.schema import KEY_COLUMNS
+from tickline.plans.publish import move_out, new_job, publish, published_files, read_published, recover
+from tickline.schema import EPOCH_SHIFT_US, KEY_COLUMNS
 
 COMPACTION_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
@@ -30,41 +33,58 @@ COMPACTION_SCHEMA = T.StructType([
 ])
 
 
-def _fs(spark, path):
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hp
+def _footers(spark: SparkSession) -> SparkSession:
+    """A session whose Parquet scans answer counts and bounds from footers."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    s.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    s.conf.set("spark.sql.session.timeZone", "UTC")
+    return s
 
 
 def partition_files(spark: SparkSession, table_path: str) -> DataFrame:
-    """One row per data file: month, file, rows, bytes."""
-    df = read_table(spark, table_path)
-    per_file = (df.select("month", F.col("_metadata.file_path").alias("file"),
-                          F.col("_metadata.file_size").alias("file_size"))
-                  .groupBy("month", "file").agg(F.count(F.lit(1)).alias("rows"),
-                                                F.max("file_size").alias("bytes")))
-    return per_file
+    """One row per data file: month, file, bytes."""
+    if not _exists(spark, table_path):
+        return spark.createDataFrame([], "month string, file string, bytes long")
+    listed = read_published(spark, table_path, None, fmt="binaryFile")
+    return (listed.select(F.regexp_extract("path", "/month=([^/]*)/[^/]+$", 1).alias("month"), F.col("path").alias("file"), F.col("length").alias("bytes"))
+                  .where("month <> ''"))
+
+
+def month_rows(spark: SparkSession, table_path: str) -> DataFrame:
+    """Rows, least and greatest raw time per month, from the footers."""
+    if not _exists(spark, table_path):
+        return spark.createDataFrame([], "month string, rows long, first_raw long, last_raw long")
+    stored = read_published(_footers(spark), table_path, TABLE_SCHEMA)
+    return stored.groupBy("month").agg(F.count(F.lit(1)).alias("rows"), F.min("raw_time").alias("first_raw"), F.max("raw_time").alias("last_raw"))
+
+
+def table_summary(spark: SparkSession, table_path: str) -> DataFrame:
+    """Record count, first and last time, and high-water mark of the raw clock
+    of a table, from its footers (times follow from the raw clock)."""
+    at = lambda c: F.timestamp_micros(F.col(c) - F.lit(EPOCH_SHIFT_US))
+    return (month_rows(spark, table_path)
+            .agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("record_count"), F.min("first_raw").alias("f"), F.max("last_raw").alias("last_raw_time"))
+            .select("record_count", at("f").alias("first_time"), at("last_raw_time").alias("last_time"), "last_raw_time"))
 
 
 def partition_inventory(spark: SparkSession, table_path: str) -> DataFrame:
     """Rows, files and bytes per month partition, newest first."""
-    g = partition_files(spark, table_path).groupBy("month").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("rows").cast("long").alias("rows"),
-        F.sum("bytes").cast("long").alias("bytes"))
-    return g.withColumn("size", readable_size("bytes")).orderBy(F.col("month").desc())
+    files = partition_files(spark, table_path).groupBy("month").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").cast("long").alias("bytes"))
+    g = month_rows(spark, table_path).select("month", "rows").join(files, "month")
+    return g.select("month", "files", "rows", "bytes", readable_size("bytes").alias("size")).orderBy(F.col("month").desc())
 
 
 def table_sizes(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """Total bytes and rows per table."""
-    parts = []
+    out = None
     for name, path in tables.items():
-        inv = partition_files(spark, path).agg(F.sum("bytes").cast("long").alias("bytes"),
-                                               F.sum("rows").cast("long").alias("rows"))
-        parts.append(inv.select(F.lit(name).alias("table"), "bytes", "rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("size", readable_size("bytes"))
+        rows = month_rows(spark, path).agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"))
+        size = partition_files(spark, path).agg(F.coalesce(F.sum("bytes"), F.lit(0)).cast("long").alias("bytes"))
+        one = rows.withColumn("table", F.lit(name)).join(size.withColumn("table", F.lit(name)), "table")      # one row each
+        out = one if out is None else out.unionByName(one)
+    return out.select("table", "bytes", "rows", readable_size("bytes").alias("size"))
 
 
 def read_compactions(spark: SparkSession, ledger_path: str) -> DataFrame:
@@ -79,6 +99,7 @@ def compact_old(spark: SparkSession, table_path: str, ledger_path: str, as_of, d
     is not compacted yet: clustered by contract, newest first inside, zstd.
     Idempotent: compacted months are recorded and skipped.  Returns the months
     rewritten."""
+    recover(spark, table_path)
     if isinstance(as_of, str):
         as_of = _dt.datetime.fromisoformat(as_of)
     cutoff = as_of - _dt.timedelta(days=days)
@@ -92,10 +113,11 @@ def compact_old(spark: SparkSession, table_path: str, ledger_path: str, as_of, d
     months = [r.month for r in plan.df.select("month").collect()]     # bounded: months
     if not months:
         return []
-    data = materialize(read_table(spark, table_path).where(F.col("month").isin(months)))
-    (ranged(data.df, data.rows, "month", "contract", F.col("datetime").desc())
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("compression", codec).partitionBy("month").parquet(table_path))
+    old = [n for n in published_files(spark, table_path) if n.split("/")[0].removeprefix("month=") in set(months)]
+    data = read_published(spark, table_path, TABLE_SCHEMA, only=old)
+    job = new_job("compact")
+    stage_monthly(data, table_path, job, data.count(), ("contract", F.col("datetime").desc()), codec)      # counted from footers
+    publish(spark, table_path, job, old)
     after = partition_files(spark, table_path).where(F.col("month").isin(months)) \
         .groupBy("month").agg(F.sum("bytes").alias("bytes_after"))
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -112,7 +134,7 @@ def compacted_counts(spark: SparkSession, tables: dict[str, str], ledger_path: s
         .withColumn("_c", F.lit(True))
     parts = []
     for name, path in tables.items():
-        months = read_table(spark, path).select("month").distinct().withColumn("table", F.lit(name))
+        months = partition_files(spark, path).select("month").distinct().withColumn("table", F.lit(name))
         parts.append(months)
     allm = parts[0]
     for p in parts[1:]:
@@ -130,19 +152,30 @@ def compaction_report(spark: SparkSession, ledger_path: str) -> DataFrame:
                     readable_size("bytes_after").alias("after_compression")).orderBy("table", "month")
 
 
+def _month_files(spark: SparkSession, table_path: str, month: str) -> list[str]:
+    return [n for n in published_files(spark, table_path) if n.startswith(f"month={month}/")]
+
+
 def drop_month(spark: SparkSession, table_path: str, month: str) -> bool:
-    """Remove one month partition (a folder delete, no data movement)."""
-    fs, hp = _fs(spark, f"{table_path.rstrip('/')}/month={month}")
-    return bool(fs.exists(hp) and fs.delete(hp, True))
+    """Remove one month partition (its files, no data movement)."""
+    recover(spark, table_path)
+    gone = _month_files(spark, table_path, month)
+    if gone:
+        publish(spark, table_path, new_job("drop"), gone)
+    return bool(gone)
 
 
 def detach_month(spark: SparkSession, table_path: str, month: str, archive: str) -> str:
-    """Take a month out of the table but keep its data in ``archive``.  The
-    archive's month is replaced, so a run after a crash between the two steps
-    does not store it twice; once detached, another run changes nothing."""
-    part = read_table(spark, table_path).where(F.col("month") == month)
-    write_monthly(part, archive, mode="overwrite")
-    drop_month(spark, table_path, month)
+    """Take a month out of the table but keep its data in ``archive``, whose
+    month is replaced.  Both happen or neither: a run after a crash finishes or
+    undoes it; once detached, another run changes nothing."""
+    recover(spark, table_path)
+    recover(spark, archive)
+    gone = _month_files(spark, table_path, month)
+    if gone:
+        part, job = read_published(spark, table_path, TABLE_SCHEMA, only=gone), new_job("detach")
+        stage_monthly(part, archive, job, part.count())
+        move_out(spark, table_path, job, gone, archive)
     return archive
 
 
@@ -150,11 +183,14 @@ def migrate_layout(spark: SparkSession, src: str, dst: str, keys=KEY_COLUMNS, or
     """Rewrite an unpartitioned tick dataset as month partitions, one row per
     key: the first by ``order`` (load order, then file order).  ``dst`` must
     not hold months already: they would stay beside the new ones."""
+    recover(spark, dst)
     if _exists(spark, dst) and read_table(spark, dst).limit(1).count():
         raise ValueError(f"{dst} is not empty")
     df = spark.read.parquet(src)
     cols = [f.name for f in TABLE_SCHEMA.fields]
     o = F.struct(*[F.col(c) for c in order])
     fresh = dedupe_batch(with_month(df).select(*cols, o.alias("_o")), keys, order="_o").drop("_o")
-    write_monthly(fresh, dst, mode="overwrite")
+    job = new_job("migrate")
+    stage_monthly(fresh, dst, job, None)
+    publish(spark, dst, job)
     return dst
