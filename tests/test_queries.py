@@ -1,5 +1,5 @@
 """Registered queries against their DuckDB oracles (the external gate's
-comparison), at sf0.001.  Set TICKLINE_ALL_QUERIES=1 to run every query."""
+comparison), at sf0.001."""
 
 import os
 
@@ -7,13 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tickline.plans import catalog
 from tools.check_oracle import TABLES, close, rows
 
 SF = "/root/testdata/sf0.001"
-SUBSET = ["bars_1min_all", "bars_1min_clean", "trade_results", "session_summary", "risk_by_target",
-          "strategy_comparison", "scan_time_range", "rollover_filter", "insert_ignore", "upsert_replace",
-          "duplicate_times", "readable_size", "contract_from_file", "head_tail"]
-NAMES = sorted(E.oracle_sql()) if os.environ.get("TICKLINE_ALL_QUERIES") else SUBSET
+#: The queries of the text operators have their own tests (tests/llm).
+NAMES = sorted(catalog.ORACLES)
 
 
 @pytest.fixture(scope="module")
@@ -26,9 +25,9 @@ def con():
     return c
 
 
-def test_every_query_has_oracle_or_is_size_report():
-    no_oracle = set(E.queries()) - set(E.oracle_sql())
-    assert no_oracle <= {"partition_inventory", "table_sizes", "compaction_report"}
+def test_every_query_has_an_oracle():
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(catalog.QUERIES) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
@@ -38,8 +37,8 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF).toPandas()
-    want = con.sql(E.oracle_sql()[name]).df()
+    got = catalog.QUERIES[name](spark, SF).toPandas()
+    want = con.sql(catalog.ORACLES[name]).df()
     gc, gr = rows(got)
     wc, wr = rows(want)
     assert gc == wc

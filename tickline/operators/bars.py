@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from tickline.context import path_exists
 from tickline.functions.expr import bucket_to_timestamp, month_key, start_of_minute
-from tickline.operators.clean import clean_ticks, scan_time_range
+from tickline.operators.clean import chosen_ticks, clean_ticks
 from tickline.operators.joins import materialize
+from tickline.plans.publish import new_job, publish, published_files, read_published, recover, staged_path
 from tickline.schema import MINUTE_US
 
 
@@ -34,7 +35,7 @@ BARS_PER_FILE = 1_000_000
 RECORD_BITS = 37      # a file of up to 1.3e11 records
 
 
-def _order_key(ticks: DataFrame, width: int = MINUTE_US):
+def order_key(ticks: DataFrame, width: int = MINUTE_US):
     """(raw_time, record_no) within one bar as a long.  For bars of at most 67
     seconds; wider ones use a struct (and so a sort aggregate)."""
     record = F.col("record_no") if "record_no" in ticks.columns else F.lit(0).cast("long")
@@ -45,7 +46,7 @@ def _order_key(ticks: DataFrame, width: int = MINUTE_US):
 
 def bars_all(ticks: DataFrame, by: list[str] | None = None) -> DataFrame:
     by = list(by or [])
-    key = _order_key(ticks)
+    key = order_key(ticks)
     return (ticks
             .groupBy(*by, start_of_minute("datetime").alias("candle_time"))
             .agg(F.min_by("close", key).alias("open"),
@@ -61,7 +62,7 @@ def bars_clean(ticks: DataFrame, multiplier: float = 1.0, minutes: int = 1,
     by = list(by or [])
     width = MINUTE_US * int(minutes)
     bucket = F.expr(f"raw_time div {width}")
-    key = _order_key(ticks, width)
+    key = order_key(ticks, width)
     agg = (clean_ticks(ticks, multiplier)
            .groupBy(*by, bucket.alias("_bucket"))
            .agg(F.min_by("open", key).alias("open"),
@@ -78,11 +79,11 @@ def bars_clean(ticks: DataFrame, multiplier: float = 1.0, minutes: int = 1,
 
 
 def bars_clean_range(ticks: DataFrame, start=None, end=None, limit: int | None = None,
-                     multiplier: float = 1.0) -> DataFrame:
+                     multiplier: float = 1.0, calendar: DataFrame | None = None, by: list[str] | None = None) -> DataFrame:
     """The file resampler's full argument set: limit (first records of the
-    file), half-open time range on the raw clock, then ``bars_clean``."""
-    from tickline.operators.clean import scan_limit
-    return bars_clean(scan_time_range(scan_limit(ticks, limit), start, end), multiplier)
+    file), half-open time range on the raw clock, then ``bars_clean``.  Without
+    dates each file's window in the ``calendar`` holds."""
+    return bars_clean(chosen_ticks(ticks, start, end, limit, calendar), multiplier, by=by)
 
 
 def bars_range(bars: DataFrame, start=None, end=None, time_col: str = "candle_time") -> DataFrame:
@@ -107,21 +108,24 @@ def bars_range(bars: DataFrame, start=None, end=None, time_col: str = "candle_ti
 def bars_backfill(ticks: DataFrame, bar_path: str) -> DataFrame:
     """Aggregate history into the bar table (month-partitioned).  New bars
     replace stored ones of the same minute, other stored bars of their months
-    stay; only those months are overwritten.  So a run is idempotent, never
-    double counts, and may cover any range of whole minutes."""
+    stay; only those months are written anew, and published as one.  So a run is
+    idempotent, never double counts, and may cover any range of whole minutes."""
     spark = ticks.sparkSession
     bars = materialize(bars_all(ticks).withColumn("month", month_key("candle_time")))
-    # Explicit schema: partition values stay strings ('202401'), no type inference.
-    stored = spark.read.schema(bars.df.schema)
     months = [r.month for r in bars.df.select("month").distinct().collect()]     # bounded by the calendar
-    both = bars
+    recover(spark, bar_path)
+    both, old_files = bars, []
     if months and path_exists(spark, bar_path):
-        old = stored.parquet(bar_path).where(F.col("month").isin(months)).join(bars.df.select("candle_time"), "candle_time", "left_anti")
+        old_files = [n for n in published_files(spark, bar_path) if n.split("/")[0].removeprefix("month=") in set(months)]
+    if old_files:
+        old = read_published(spark, bar_path, bars.df.schema, only=old_files).join(bars.df.select("candle_time"), "candle_time", "left_anti")
         both = materialize(bars.df.unionByName(old.select(*bars.df.columns)))
-    parts = max(1, -(-both.rows // BARS_PER_FILE))
-    (both.df.repartitionByRange(parts, "month", "candle_time").sortWithinPartitions("month", "candle_time")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(bar_path))
-    return stored.parquet(bar_path)
+    if both.rows:
+        job, parts = new_job("backfill"), max(1, -(-both.rows // BARS_PER_FILE))
+        (both.df.repartitionByRange(parts, "month", "candle_time").sortWithinPartitions("month", "candle_time")
+             .write.mode("overwrite").partitionBy("month").parquet(staged_path(bar_path, job)))
+        publish(spark, bar_path, job, old_files)
+    return read_published(spark, bar_path, bars.df.schema)
 
 
 def head_tail(bars: DataFrame, n: int = 10, time_col: str = "candle_time") -> DataFrame:

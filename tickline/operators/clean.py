@@ -66,6 +66,17 @@ def scan_limit(df: DataFrame, n: int | None) -> DataFrame:
     return df.where(F.col("record_no") < F.lit(int(n)))
 
 
+def chosen_ticks(ticks: DataFrame, start=None, end=None, limit: int | None = None, calendar: DataFrame | None = None) -> DataFrame:
+    """What the file tools work on: the first ``limit`` records of each file,
+    then those in the time range or, if no date is given, in the file's window
+    in the calendar."""
+    from tickline.sources.calendar import default_window
+    ticks = scan_limit(ticks, limit)
+    if calendar is not None and start is None and end is None:
+        return default_window(ticks, calendar)
+    return scan_time_range(ticks, start, end)
+
+
 def classify_trade(df: DataFrame, open_col: str = "open") -> DataFrame:
     return df.withColumns({
         "is_first_bundle": is_first_bundle(open_col),

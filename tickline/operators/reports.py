@@ -19,6 +19,8 @@ STRATEGIES = [
 def risk_by_target(trades: DataFrame, targets=(4, 7.5, 10, 15, 20)) -> DataFrame:
     """Per direction and MFE target: trades, winners (MFE >= target), win rate %,
     mean and 90th percentile (linear interpolation) of winners' MAE.
+    The exact percentile keeps the different MAE values of a (direction, target)
+    with their counts in one buffer: at most one for each traded contract and day.
     A direction with no trades has no rows; a target with no winners has a
     0.0 win rate and null MAE figures."""
     arr = F.array(*[F.lit(float(t)) for t in targets])

@@ -566,8 +566,10 @@ fticks AS (
          row_number() OVER (PARTITION BY contract, part ORDER BY raw_time, record_no) - 1 AS record_no
   FROM (SELECT *, CAST(epoch_us(datetime) // 604800000000 AS VARCHAR) AS part FROM ticks))"""
 
-#: Contract and week of a tick file, from its name.
-_FILE = (X.contract_from_file("file").alias("contract"), F.regexp_extract("file", r"\.(\d+)\.[0-9a-f-]+\.scid$", 1).alias("part"))
+
+def _file_name():
+    """Contract and week of a tick file, from its name."""
+    return X.contract_from_file("file").alias("contract"), F.regexp_extract("file", r"\.(\d+)\.[0-9a-f-]+\.scid$", 1).alias("part")
 
 
 @register("scan_ticks", with_ticks(f"SELECT {TICK_SELECT} FROM fticks", FILE_TICKS_SQL))
@@ -666,6 +668,42 @@ def q_continuous_series(spark, sf_dir):
     return continuous_series(spark, cal, chronological=True).drop("file")
 
 
+DEFAULT_WINDOW_SQL = """
+chosen AS (
+  SELECT t.* FROM fticks t LEFT JOIN (SELECT * FROM cal WHERE contract = 'ESH24') c ON t.contract = c.contract
+  WHERE (c.ws IS NULL OR t.datetime >= c.ws) AND (c.we IS NULL OR t.datetime < c.we))"""
+
+
+def _chosen_files(spark, sf_dir):
+    """Tick files, and a calendar that names those of the first contract only."""
+    from tickline.sources.calendar import contract_calendar
+    from tickline.sources.scid import scan_ticks
+    files = _tick_files(spark, sf_dir)
+    return scan_ticks(spark, files), contract_calendar(spark, _calendar_file(spark, files, FIXTURE_WINDOWS[:1]))
+
+
+@register("bars_clean_range", with_ticks(CLEAN_BARS_SQL.replace("SELECT make", "SELECT contract, make").replace("FROM ticks", "FROM chosen")
+                                         .replace("GROUP BY ", "GROUP BY contract, "), FILE_TICKS_SQL, WINDOW_SQL, DEFAULT_WINDOW_SQL))
+def q_bars_clean_range(spark, sf_dir):
+    """Bars of tick files without dates: the calendar's window where it names
+    the file, else the whole file."""
+    from tickline.operators.bars import bars_clean_range
+    ticks, cal = _chosen_files(spark, sf_dir)
+    return bars_clean_range(ticks, calendar=cal, by=["contract"])
+
+
+@register("export_window", with_ticks("""
+SELECT datetime, CASE WHEN open = 0.0 THEN close ELSE open END AS open, high, low, close,
+       num_trades, volume, bid_volume, ask_volume, contract, record_no
+FROM chosen WHERE abs(open) < 1e10""", FILE_TICKS_SQL, WINDOW_SQL, DEFAULT_WINDOW_SQL))
+def q_export_window(spark, sf_dir):
+    """The same for the export."""
+    from tickline.context import workspace
+    from tickline.sources.files import export_ticks
+    ticks, cal = _chosen_files(spark, sf_dir)
+    return spark.read.parquet(export_ticks(ticks, workspace(spark, "export"), calendar=cal))
+
+
 @register("contract_window_lookup", with_ticks("""
 SELECT v.*, t.ticks FROM (VALUES ('ESH24', 'ES', '2024-01-01', '2024-01-15'),
                       ('ESM24', 'ES', '2024-01-15', CAST(NULL AS VARCHAR)))
@@ -750,7 +788,7 @@ def q_pending_files(spark, sf_dir):
     table, ledger = workspace(spark, "table"), workspace(spark, "ledger")
     sync_symbols(spark, cal.where(X.contract_from_file("file") == "ESH24"), table, ledger)
     out = pending_files(cal, read_ledger(spark, ledger))
-    return out.select("symbol", *_FILE, "start_date", "end_date")
+    return out.select("symbol", *_file_name(), "start_date", "end_date")
 
 
 
@@ -959,6 +997,14 @@ def q_table_sizes(spark, sf_dir):
     return sizes.select("table", "rows", ((F.col("bytes") > 0) & (F.length("size") > 0)).alias("has_bytes"))
 
 
+@register("table_summary", with_ticks("""
+SELECT count(*) AS record_count, min(datetime) AS first_time, max(datetime) AS last_time, max(raw_time) AS last_raw_time FROM months""", SPREAD_SQL))
+def q_table_summary(spark, sf_dir):
+    """Count, time range and high-water mark of a stored table, from its footers."""
+    from tickline.plans.maintain import table_summary
+    return table_summary(spark, _table(spark, sf_dir))
+
+
 @register("partition_rows", with_ticks(
     "SELECT strftime(datetime, '%Y%m') AS month, count(*) AS rows FROM months GROUP BY 1", SPREAD_SQL))
 def q_partition_rows(spark, sf_dir):
@@ -996,42 +1042,48 @@ def q_detach_month(spark, sf_dir):
 STREAM_FILES = 2
 
 
-def _stream_source(spark, sf_dir, redeliver: bool) -> str:
-    """Ticks arrive week by week (one append per week, so file times follow
-    event time); with ``redeliver`` each week is followed by a re-delivery of
-    its ticks from 2024-01-10 on (same key, volume + 1)."""
+def _arriving(spark, parts) -> str:
+    """A folder that ``parts`` are appended to, one after the other."""
     from tickline.context import workspace
-    from tickline.sources.fixture import redelivered
     src = workspace(spark, "stream-src")
-    t = _ticks(spark, sf_dir)
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(src)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    seen, stamp = set(), [1_700_000_000_000]
-
-    def append(df):
+    seen, stamp = set(), 1_700_000_000_000
+    for df in parts:
         # Arrival order = modification time: stamp each append's files later
         # than the previous ones (file-system clocks may be coarse).
         if not df.take(1):
-            return
+            continue
         df.repartitionByRange(STREAM_FILES, "datetime").write.mode("append").parquet(src)
-        stamp[0] += 60_000
+        stamp += 60_000
         for st in fs.listStatus(root):
             name = st.getPath().getName()
             if name.endswith(".parquet") and name not in seen:
                 seen.add(name)
-                fs.setTimes(st.getPath(), stamp[0], stamp[0])
-
-    first, last = t.agg(F.min(F.to_date("datetime")), F.max(F.to_date("datetime"))).first()
-    for k in range(((last - first).days // 7 + 1) if first else 0):
-        lo = F.date_add(F.lit(first), 7 * k)
-        week = t.where((F.to_date("datetime") >= lo) & (F.to_date("datetime") < F.date_add(lo, 7)))
-        append(week)
-        if redeliver:
-            append(redelivered(week))
+                fs.setTimes(st.getPath(), stamp, stamp)
     return src
 
 
+def _stream_source(spark, sf_dir, redeliver: bool) -> str:
+    """Ticks arrive week by week (one append per week, so file times follow
+    event time); with ``redeliver`` each week is followed by a re-delivery of
+    its ticks from 2024-01-10 on (same key, volume + 1)."""
+    from tickline.sources.fixture import redelivered
+    t = _ticks(spark, sf_dir)
+
+    def weeks():
+        first, last = t.agg(F.min(F.to_date("datetime")), F.max(F.to_date("datetime"))).first()
+        for k in range(((last - first).days // 7 + 1) if first else 0):
+            lo = F.date_add(F.lit(first), 7 * k)
+            week = t.where((F.to_date("datetime") >= lo) & (F.to_date("datetime") < F.date_add(lo, 7)))
+            yield week
+            if redeliver:
+                yield redelivered(week)
+
+    return _arriving(spark, weeks())
+
+
 @register("stream_dedup", with_ticks(f"SELECT {TICK_SELECT} FROM ticks"))
 def q_stream_dedup(spark, sf_dir):
     from tickline.context import workspace
@@ -1061,6 +1113,77 @@ def q_stream_bars(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+@register("stream_bars_late", with_ticks("SELECT * FROM bars", BARS_SQL))
+def q_stream_bars_late(spark, sf_dir):
+    """Bars kept by a stream whose ticks come in any order: three passes over the
+    month, each with a third of the ticks, so most are weeks later than any
+    watermark; run twice (restart)."""
+    from tickline.context import workspace
+    from tickline.plans.bar_table import read_bars
+    from tickline.streaming.ticks import stream_bars_merged, tick_stream
+    t = _ticks(spark, sf_dir)
+    src = _arriving(spark, (t.where(F.pmod("record_no", F.lit(3)) == k) for k in (2, 0, 1)))
+    bars, ck = workspace(spark, "bars"), workspace(spark, "stream-ck")
+    for _ in range(2):
+        stream_bars_merged(tick_stream(spark, src, STREAM_FILES), bars, ck)
+    return read_bars(spark, bars)
+
+
+def _followed(spark, sf_dir) -> tuple[str, str]:
+    """Tick files that grow while they are followed into tables and bars: half
+    of each file's records (and a part of the next one), a stop between two
+    commits of a batch, the whole files, and a restart."""
+    from pyspark.errors import StreamingQueryException
+    from tickline.context import workspace
+    from tickline.sources.calendar import contract_calendar
+    from tickline.sources.fixture import grow_files
+    from tickline.streaming.follow import follow_into
+    src, growing = _tick_files(spark, sf_dir), workspace(spark, "growing")
+    share = max(1, _ticks(spark, sf_dir).count() // 3)
+    grow_files(spark, src, growing, 0.5)
+    cal = contract_calendar(spark, _calendar_file(spark, growing, nq=True))
+    root, bars, ledger, ck = (workspace(spark, n) for n in ("table", "bars", "ledger", "stream-ck"))
+    commits = []
+
+    def stop(step):
+        commits.append(step)
+        if len(commits) == 3:
+            raise InterruptedError("stopped in mid-batch")
+
+    try:
+        follow_into(spark, cal, root, ledger, ck, bars, share, probe=stop)
+    except StreamingQueryException as e:
+        if "stopped in mid-batch" not in str(e):
+            raise
+    grow_files(spark, src, growing, 1.0)
+    follow_into(spark, cal, root, ledger, ck, bars, share)
+    return root, bars
+
+
+@register("follow_ticks", with_ticks(f"SELECT symbol, {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM synced",
+                                     FILE_TICKS_SQL, WINDOW_SQL, SYNCED_SQL))
+def q_follow_ticks(spark, sf_dir):
+    """Growing tick files followed into both symbols' tables: every windowed
+    tick once."""
+    from tickline.plans.ingest import read_table, table_for
+    root, _ = _followed(spark, sf_dir)
+    return (read_table(spark, table_for(root, "ES")).withColumn("symbol", F.lit("ES"))
+            .unionByName(read_table(spark, table_for(root, "NQ_ticks")).withColumn("symbol", F.lit("NQ"))))
+
+
+@register("follow_bars", with_ticks("""
+SELECT symbol, date_trunc('minute', datetime) AS candle_time, arg_min(close, raw_time) AS open, max(high) AS high, min(low) AS low,
+       arg_max(close, raw_time) AS close, CAST(sum(volume) AS BIGINT) AS volume, CAST(sum(num_trades) AS BIGINT) AS trades
+FROM synced GROUP BY ALL""", FILE_TICKS_SQL, WINDOW_SQL, SYNCED_SQL))
+def q_follow_bars(spark, sf_dir):
+    """The bars that were kept along the way."""
+    from tickline.plans.bar_table import read_bars
+    from tickline.plans.ingest import table_for
+    _, bars = _followed(spark, sf_dir)
+    return (read_bars(spark, table_for(bars, "ES")).withColumn("symbol", F.lit("ES"))
+            .unionByName(read_bars(spark, table_for(bars, "NQ_ticks")).withColumn("symbol", F.lit("NQ"))))
+
+
 @register("stream_ingest", with_ticks(f"SELECT {TICK_SELECT}, strftime(datetime, '%Y%m') AS month FROM ticks"))
 def q_stream_ingest(spark, sf_dir):
     """Ticks plus re-deliveries streamed into the table, in batches of any size;
@@ -1095,4 +1218,4 @@ def q_ledger_update(spark, sf_dir):
     from tickline.plans.ingest import ledger_state, read_ledger
     _, _, ledger = _synced(spark, sf_dir)
     st = ledger_state(read_ledger(spark, ledger))
-    return st.select("symbol", *_FILE, "completed", "rows_processed", "rows_inserted")
+    return st.select("symbol", *_file_name(), "completed", "rows_processed", "rows_inserted")

@@ -72,6 +72,14 @@ class _Files:
             stream.close()
 
 
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    return _Files(spark, folder).names(folder)
+
+
+def text_of(spark: SparkSession, path: str) -> str:
+    return _Files(spark, path).get(path)
+
+
 def _step(action, *args):
     """Every change of a table goes through here, one file at a time."""
     return action(*args)

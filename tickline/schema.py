@@ -31,11 +31,6 @@ RECORD_DTYPE = [
 
 KEY_COLUMNS = ["datetime", "raw_time"]
 
-TICK_COLUMNS = [
-    "datetime", "raw_time", "open", "high", "low", "close",
-    "num_trades", "volume", "bid_volume", "ask_volume", "contract",
-]
-
 TICK_SCHEMA = T.StructType([
     T.StructField("datetime", T.TimestampType()),
     T.StructField("raw_time", T.LongType()),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tickline.context import path_exists
 from tickline.functions.expr import contract_from_file, parse_config_date, path_key
-from tickline.operators.joins import materialize
+from tickline.operators.joins import attach, materialize
 from tickline.schema import CALENDAR_SCHEMA, EPOCH_SHIFT_US
 
 CONFIG_SCHEMA = ("symbols MAP<STRING, STRUCT<table_name: STRING, price_multiplier: DOUBLE, "
@@ -95,6 +95,17 @@ def rollover_filter(ticks: DataFrame, calendar: DataFrame, by: str = "contract")
         "window_start", "window_end", "file_key")
 
 
+def default_window(ticks: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Ticks of files (with their ``file``) cut to the window that the calendar
+    has for the file, the first symbol's if several have one.  Files that it does
+    not name stay whole."""
+    w = (windows(calendar).groupBy("file_key")
+         .agg(F.min(F.struct("symbol", "window_start", "window_end")).alias("w"))
+         .select("file_key", "w.window_start", "w.window_end"))
+    return (attach(ticks.withColumn("file_key", path_key("file")), materialize(w), "file_key", "left")
+            .where(in_window(F.col("datetime"), "window_start", "window_end")).select(*ticks.columns))
+
+
 def read_ranges(calendar: DataFrame) -> list[tuple[str, int | None, int | None]]:
     """Each file of the calendar with the raw times (from, before) that any of
     its windows asks for; None is open."""

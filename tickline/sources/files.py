@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.operators.clean import clean_ticks, scan_limit, scan_time_range
+from tickline.operators.clean import chosen_ticks, clean_ticks
 
 CSV_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 EXPORT_COLUMNS = ["datetime", "open", "high", "low", "close", "num_trades", "volume",
                   "bid_volume", "ask_volume", "contract", "record_no"]
 
 
-def export_ticks(df: DataFrame, out: str, start=None, end=None, limit=None, multiplier: float = 1.0) -> str:
-    """Cleaned, scaled ticks (markers out, open repaired, raw clock dropped) to Parquet."""
-    t = clean_ticks(scan_time_range(scan_limit(df, limit), start, end), multiplier)
+def export_ticks(df: DataFrame, out: str, start=None, end=None, limit=None, multiplier: float = 1.0, calendar: DataFrame | None = None) -> str:
+    """Cleaned, scaled ticks (markers out, open repaired, raw clock dropped) to
+    Parquet.  Without dates each file's window in the ``calendar`` holds."""
+    t = clean_ticks(chosen_ticks(df, start, end, limit, calendar), multiplier)
     t.select(*[c for c in EXPORT_COLUMNS if c in t.columns]).write.mode("overwrite").parquet(out)
     return out
 

@@ -59,3 +59,25 @@ def redelivered(ticks: DataFrame, since: str = "2024-01-10") -> DataFrame:
     ``since`` on arrives again, same key, volume + 1 (so the winner is visible)."""
     return (ticks.where(F.col("datetime") >= F.to_timestamp(F.lit(since)))
                  .withColumn("volume", F.col("volume") + 1))
+
+
+def grow_files(spark: SparkSession, src: str, dst: str, share: float) -> None:
+    """Bring the tick files of ``dst`` up to ``share`` of the records of those in
+    ``src``, and a part of one more record; tasks copy the bytes."""
+    from tickline.schema import HEADER_SIZE, RECORD_SIZE
+    from tickline.sources.scid import copy_prefix, sized_files, whole_records
+
+    def cut(size: int) -> int:
+        n = whole_records(size)
+        return min(size, HEADER_SIZE + int(n * share) * RECORD_SIZE + RECORD_SIZE // 3)
+
+    files = [(name, f"{dst.rstrip('/')}/{name.rsplit('/', 1)[-1]}", cut(size)) for name, size in sized_files(src).items()]
+
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                copy_prefix(**row)
+        yield from ()
+
+    (spark.createDataFrame(files, "src string, dst string, size long").repartition(max(1, len(files))).mapInArrow(run, "src string")
+          .write.format("noop").mode("overwrite").save())

@@ -179,6 +179,18 @@ def _to_raw(value) -> int:
     return int(value)
 
 
+def copy_prefix(src: str, dst: str, size: int) -> None:
+    """The first ``size`` bytes of a file to another one, which appears whole."""
+    store, inner, _, _ = _store(dst)
+    store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    part = f"{inner}.{uuid.uuid4().hex[:8]}{_UNFINISHED}"
+    with open_file(src) as a, store.open_output_stream(part) as b:
+        while size > 0 and (block := a.read(min(size, BLOCK_RECORDS * RECORD_SIZE))):
+            b.write(block)
+            size -= len(block)
+    store.move(part, inner)
+
+
 def whole_records(size: int) -> int:
     """Of a file of ``size`` bytes."""
     return max(0, size - HEADER_SIZE) // RECORD_SIZE
@@ -317,7 +329,9 @@ class TickFileStream(DataSourceStreamReader):
         return {}
 
     def latestOffset(self):
-        there = {p: max(whole_records(size), self.at.get(p, 0)) for p, size in sized_files(self.decoder.paths).items()}
+        files = self.decoder.files
+        sizes = sized_files(self.decoder.paths) if files is None else existing_files([name for name, _, _ in files])
+        there = {p: max(whole_records(size), self.at.get(p, 0)) for p, size in sizes.items()}
         more = {p: n - self.at.get(p, 0) for p, n in there.items() if n > self.at.get(p, 0)}
         if self.limit and sum(more.values()) > self.limit:
             left, take = self.limit, dict.fromkeys(more, 0)
@@ -334,7 +348,8 @@ class TickFileStream(DataSourceStreamReader):
     def partitions(self, start, end):
         self.at = {p: max(n, self.at.get(p, 0)) for p, n in {**self.at, **end}.items()}
         split = self.decoder.split
-        return [TickRange(p, first, min(stop, first + split))
+        span = {name: (lo or 0, _INT64_MAX if hi is None else hi - 1) for name, lo, hi in self.decoder.files or ()}
+        return [TickRange(p, first, min(stop, first + split), *span.get(p, ()))
                 for p, stop in sorted(end.items()) for first in range(start.get(p, 0), stop, split)]
 
     def read(self, partition: TickRange):
@@ -448,11 +463,17 @@ def scan_ticks(spark, path: str | Sequence[str] | None = None, contract: str | N
     return r.option("paths", json.dumps([path] if isinstance(path, str) else list(path))).load()
 
 
-def follow_ticks(spark, path: str | Sequence[str], records_per_trigger: int | None = None, start: str | None = None):
-    """Stream of the records that are, or come to be, in tick files.  A limited
-    stream that is restarted must be told its last offset (``start``)."""
+def follow_ticks(spark, path: str | Sequence[str] | None = None, records_per_trigger: int | None = None, start: str | None = None,
+                 files: Sequence[tuple[str, int | None, int | None]] | None = None):
+    """Stream of the records that are, or come to be, in tick files (``files``:
+    as for ``scan_ticks``).  A limited stream that is restarted must be told its
+    last offset (``start``)."""
     register(spark)
-    r = spark.readStream.format("ticks").option("paths", json.dumps([path] if isinstance(path, str) else list(path)))
+    r = spark.readStream.format("ticks")
+    if files is not None:
+        r = r.option("files", json.dumps([list(f) for f in files]))
+    else:
+        r = r.option("paths", json.dumps([path] if isinstance(path, str) else list(path)))
     if records_per_trigger:
         r = r.option("recordsPerTrigger", str(int(records_per_trigger)))
     if start:

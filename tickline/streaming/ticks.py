@@ -9,8 +9,10 @@
   raw_time): state per key lives only as long as the watermark delay.
 * ``stream_bars`` -- event-time windows of one minute with a watermark,
   append mode: a bar is emitted once, when the watermark passes its end.
-  Ticks later than the watermark are dropped by design; ``bars_backfill``
-  repairs history in batch.
+  Ticks later than the watermark are dropped by design (``run_available``
+  says how many rows it was); ``bars_backfill`` repairs history in batch.
+* ``stream_bars_merged`` -- each micro-batch is merged into a bar table that
+  takes ticks however late they are.
 """
 
 from __future__ import annotations
@@ -43,11 +45,27 @@ def stream_bars(sdf: DataFrame, delay: str = "1 hour", dedup: bool = True) -> Da
     return g.select(F.col("w.start").alias("candle_time"), "open", "high", "low", "close", "volume", "trades")
 
 
-def run_available(sdf: DataFrame, sink_path: str, checkpoint: str, mode: str = "append") -> None:
-    """Process everything available now into a Parquet sink, then stop."""
+def run_available(sdf: DataFrame, sink_path: str, checkpoint: str, mode: str = "append") -> int:
+    """Process everything available now into a Parquet sink, then stop.
+    Returns how many rows came to a stateful operator later than its watermark
+    and were dropped (an aggregation combines rows before it looks)."""
     q = (sdf.writeStream.format("parquet").outputMode(mode)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink_path))
     q.awaitTermination()
+    return sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
+
+
+def stream_bars_merged(sdf: DataFrame, bar_path: str, checkpoint: str) -> None:
+    """Merge everything available now into the bar table, then stop.  Ticks may
+    come in any order, but each only once."""
+    from tickline.plans.bar_table import merge_bars
+
+    def load(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        merge_bars(batch, bar_path, job=f"{stream}-{number}")
+
+    q = (sdf.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
 def stream_ingest(spark: SparkSession, src: str, table_path: str, checkpoint: str,
