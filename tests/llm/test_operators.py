@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickline.llm import block_names, bpe, chat, class_lm, langid, mixing, parity_join, quality_nbsvm, warc, weak_rules
-from tickline.llm.common import WORD, setup, words
+from tickline.llm.common import WORD, setup, stage, words
 from tickline.llm.components import components
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -301,10 +301,9 @@ def plain_components(rows, width, num, den):
     return [(rows[k][0], len(sets[k]), least.get(root(k))) for k in keys]
 
 
-@pytest.mark.parametrize("width,num,den,stars,block", [(3, 90, 100, 2, 512), (5, 80, 100, 2, 512), (1, 50, 100, 0, 3)])
-def test_parity_join_equals_all_pairs(spark, monkeypatch, width, num, den, stars, block):
+@pytest.mark.parametrize("width,num,den,block", [(3, 90, 100, 4096), (5, 80, 100, 4096), (1, 50, 100, 3)])
+def test_parity_join_equals_all_pairs(spark, monkeypatch, width, num, den, block):
     setup(spark)
-    monkeypatch.setattr(parity_join, "STAR_ROUNDS", stars)
     monkeypatch.setattr(parity_join, "BLOCK", block)
     rnd = random.Random(width)
     vocab = [f"w{k}" for k in range(400)]
@@ -341,6 +340,71 @@ def test_parity_join_equals_all_pairs(spark, monkeypatch, width, num, den, stars
     assert parity_join.similar_classes(df.limit(0), params=p).count() == 0
 
 
+def near_copies(n):
+    """A group of near copies: 120 words, two of them changed in each."""
+    rnd = random.Random(5)
+    base = [f"w{rnd.randrange(10_000)}" for _ in range(120)]
+    out = []
+    for i in range(n):
+        w = list(base)
+        for k in rnd.sample(range(120), 2):
+            w[k] = f"x{i}y{k}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+def test_rows_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    setup(spark)
+    p = parity_join.JoinParams(5, 80, 100)
+    shown = {}
+
+    def counting(df, name):
+        done = stage(df, name)
+        shown.setdefault(name, []).append(done.count())
+        return done
+
+    monkeypatch.setattr(parity_join, "stage", counting)
+    seen = []
+    for n in (300, 600):
+        shown.clear()
+        rows = near_copies(n)
+        got = [tuple(r) for r in parity_join.similar_classes(spark.createDataFrame(rows, "doc_id long, text string"), params=p).collect()]
+        if n == 300:
+            assert Counter(got) == Counter(plain_components(rows, 5, 80, 100))
+        seen.append({k: sum(v) for k, v in shown.items()})
+    small, large = seen
+    for k in set(large) - {"pairs", "links", "edges", "open", "roots"}:
+        assert large[k] <= 2.2 * max(small.get(k, 0), 100), (k, small, large)
+    for at in seen:         # forests: less than one pair a class of a bucket, over all rounds
+        assert at["pairs"] + at.get("links", 0) + at.get("open", 0) < at["meetings"]
+
+
+def test_blocks_join_up_what_is_similar():
+    rng = np.random.default_rng(3)
+    p = parity_join.JoinParams(1, 60, 100)
+    for _ in range(40):
+        sets = []
+        for _ in range(int(rng.integers(2, 5))):
+            base = rng.integers(0, 2**62, 40).astype(np.uint64)
+            for _ in range(int(rng.integers(1, 6))):
+                sets.append(np.unique(np.concatenate([rng.permutation(base)[:int(rng.integers(28, 40))], rng.integers(0, 2**62, int(rng.integers(0, 6))).astype(np.uint64)])))
+        n = len(sets)
+        block = rng.integers(0, 2, n)
+        alike = {(a, b) for a in range(n) for b in range(a + 1, n)
+                 if 100 * len(np.intersect1d(sets[a], sets[b])) >= 60 * len(np.union1d(sets[a], sets[b]))}
+        for i, j in ((0, 0), (0, 1)):
+            ok = {(a, b) for a, b in alike if i == j or block[a] != block[b]}
+            up = list(range(n))
+            for a, b in ok:
+                x, y = up[a], up[b]
+                up = [x if u == y else u for u in up]
+            of = lambda last: parity_join._Block((0, i, j), [(0, i, j, k, len(sets[k]), k, block[k], last(sets[k])) for k in range(n)], p)
+            forest, links = of(parity_join.folded).forest(), of(lambda s: s.tobytes()).links()
+            assert set(links) <= ok and len(links) == n - len(set(up)) and len(forest) <= n - 1
+            marked = set(of(parity_join.folded).open())
+            assert {k for pair in ok for k in pair} <= marked
+
+
 def test_parity_sketch_never_misses_a_segment():
     rng = np.random.default_rng(4)
     p = parity_join.JoinParams()

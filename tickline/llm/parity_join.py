@@ -17,17 +17,19 @@ verified on the sets.  No linked pair is missed.
   next one's.  All of a group share U, and with it the sketch's width.
 * Documents with the same set are one class from the start (copies cost
   nothing), and only classes meet.
-* Pairs that meet are filtered by a shorter parity sketch of their own (one to
-  two bits a shingle), whose Hamming distance is a lower bound as well; what is
-  left is verified on the sets, which are made from the texts of those
-  documents only.
 * What is asked for is the component, so pairs within one component need no
-  check.  In each bucket all classes are first held against one of them (a
-  star: as many pairs as rows), links are contracted, and again; buckets that
-  still hold several components are then compared whole, in blocks of bounded
-  size, where only pairs of different components that pass the filter become
-  rows.  So rows do not grow with the square of a group of near copies, and no
-  pair of different components goes unchecked.
+  check.  The classes of a bucket are compared in place, a bucket of many in
+  blocks of bounded size, by a folded parity sketch of a few bits a shingle:
+  its Hamming distance is a lower bound as well, and a sharp one.
+  Each block joins up what passes and shows only a forest, one pair less than
+  it has classes at most; those pairs are verified on the sets and contracted.
+* A pair that passes and is not linked can hide others.  So buckets that still
+  hold several components are gone through again: classes with a passing
+  partner in another component are shown, one row each, and a block verifies
+  them on their sets in place, joins up as it goes and shows a forest again.
+
+So rows do not grow with the square of a group of near copies (comparisons in
+place do), and no pair of different components goes unchecked.
 
 Defined results: a null text or one without words is empty and linked with
 nothing; a text with fewer words than a shingle is one shingle; repeated rows
@@ -51,10 +53,10 @@ from tickline.llm.components import components
 from tickline.operators.joins import Measured
 
 SEGMENT_BITS = 1 << 16     # of one segment; only a hash of its set bits is kept
-STAR_ROUNDS = 2            # before buckets are compared whole
 SEEN_SETS = 500_000        # that a task remembers
-BLOCK = 512                # classes of a bucket that are compared at a time,
-BLOCK_BITS = 1 << 27       # or fewer if their sketches have more bits than that
+BLOCK = 4096               # classes of a bucket that are compared at a time,
+BLOCK_SHINGLES = 1 << 24   # or fewer if they have more shingles than that
+FOLD = 4                   # bits a shingle of a folded sketch, at least
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -150,9 +152,9 @@ def _print(s: np.ndarray) -> tuple[int, int]:
 
 
 def folded(s: np.ndarray) -> bytes:
-    """Parity sketch of at least one bit a shingle; its width is a power of two
-    (64 bits or more), so that a wider one folds to a narrower by XOR."""
-    width = max(64, 1 << (len(s) - 1).bit_length()) if len(s) else 64
+    """Parity sketch of at least ``FOLD`` bits a shingle; its width is a power of
+    two (64 bits or more), so that a wider one folds to a narrower by XOR."""
+    width = max(64, 1 << (FOLD * len(s) - 1).bit_length()) if len(s) else 64
     bits = np.bincount(((s >> np.uint64(8)) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
 
@@ -219,22 +221,6 @@ def _sets(docs: DataFrame, wanted: DataFrame, p: JoinParams) -> DataFrame:
     return stage(found.dropDuplicates(["cid"]), "sets")
 
 
-def _passing(pairs: DataFrame, folds: DataFrame, p: JoinParams) -> DataFrame:
-    """The pairs (u, v) whose folded sketches are near enough."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for total, x, y in zip(b.column(2).to_pylist(), b.column(3), b.column(4)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                w = min(len(x), len(y))
-                keep.append(int(np.bitwise_count(_narrow(x, w) ^ _narrow(y, w)).sum()) <= _bound(total, p))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    other = folds.select(F.col("cid").alias("v"), F.col("n").alias("n2"), F.col("fold").alias("fold_v"))
-    own = folds.select(F.col("cid").alias("u"), F.col("n").alias("n1"), F.col("fold").alias("fold_u"))
-    return pairs.join(other, "v").join(own, "u").select("u", "v", (F.col("n1") + F.col("n2")).alias("total"), "fold_u", "fold_v").mapInArrow(run, "u long, v long")
-
-
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, p: JoinParams) -> DataFrame:
     """The pairs (u, v) whose sets are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,29 +240,22 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, p: JoinPara
 
 
 def _meetings(rows: DataFrame) -> DataFrame:
-    """(key, cid, n) of the keys that several classes hold, from one shuffle."""
+    """(key, cid, n, blocks) of the keys that several classes hold, from one
+    shuffle; ``blocks`` are those that the key's bucket is compared in."""
     each = rows.select(F.explode("keys").alias("key"), "cid", "n")
     bucket = Window.partitionBy("key").orderBy("cid")
     whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     several = F.first("cid").over(whole) != F.last("cid").over(whole)
+    held = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.lit(BLOCK_SHINGLES) / F.max("n").over(whole)))
     before = F.lag("cid").over(bucket)
-    each = each.select("key", "cid", "n", several.alias("several"), before.alias("before"))
-    return stage(each.where(F.col("several") & (F.col("before").isNull() | (F.col("before") != F.col("cid")))).select("key", "cid", "n"), "meetings")
-
+    each = each.select("key", "cid", "n", several.alias("several"), before.alias("before"),
+                       F.ceil(F.count(F.lit(1)).over(whole) / held).cast("int").alias("blocks"))
+    return stage(each.where(F.col("several") & (F.col("before").isNull() | (F.col("before") != F.col("cid")))).select("key", "cid", "n", "blocks"), "meetings")
 
-def _mixed(met: DataFrame) -> DataFrame:
-    """The buckets that hold several components, with their number of blocks."""
-    held = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.lit(BLOCK_BITS) / F.max("n")))
-    key = (met.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / held).cast("int").alias("blocks"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-              .where("lo <> hi").select("key", "blocks"))
-    return stage(met.join(key, "key"), "mixed")
 
-
-def _merged(root: DataFrame | None, links: DataFrame) -> DataFrame:
+def _merged(root: DataFrame, links: DataFrame) -> DataFrame:
     """The roots (id, root) after more links: only the old roots that the new
     links touch are contracted again."""
-    if root is None:
-        return components(links)
     old = root.withColumnRenamed("id", "v")
     for end in ("u", "v"):
         links = links.join(root.select(F.col("id").alias(end), F.col("root").alias("r")), end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
@@ -286,66 +265,127 @@ def _merged(root: DataFrame | None, links: DataFrame) -> DataFrame:
     return stage(moved.unionByName(new.join(root.select("id"), "id", "left_anti")), "roots")
 
 
-def _star(met: DataFrame, turn: int, p: JoinParams) -> DataFrame:
-    """In each bucket, all classes of another component held against one."""
-    first = met.groupBy("key").agg(F.min(F.struct(F.xxhash64("cid", F.lit(turn)), F.col("cid"), F.col("n"), F.col("root"))).alias("center"))
-    return (met.join(first, "key").where(F.col("root") != F.col("center.root"))
-               .where(_sizes_fit(F.col("n"), F.col("center.n"), p)).select(F.col("center.cid").alias("u"), F.col("cid").alias("v")))
+def _dealt(met: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """The rows of every pair of a bucket's blocks together: key, i, j, cid, n,
+    root, b (a row's own block), ``column``."""
+    blocks = F.col("blocks")
+    rows = (met.join(values.select("cid", column), "cid").withColumn("b", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
+               .withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+               .select("key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "cid", "n", "root", "b", column))
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "cid")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """((key, i, j), its rows), from batches sorted by that."""
+    group, rows = None, []
+    for b in batches:
+        for r in zip(*(c.to_pylist() for c in b.columns)):
+            if r[:3] != group:
+                if len(rows) > 1:
+                    yield group, rows
+                group, rows = r[:3], []
+            rows.append(r)
+    if len(rows) > 1:
+        yield group, rows
+
+
+class _Block:
+    """Classes that are compared with each other, or across two blocks."""
+
+    def __init__(self, group: tuple, rows: list[tuple], p: JoinParams):
+        self.p, self.across = p, group[1] != group[2]
+        self.cid, self.n, self.root, self.block = (np.array([r[k] for r in rows]) for k in (3, 4, 5, 6))
+        self.label = np.unique(self.root, return_inverse=True)[1]
+        self.last = [r[7] for r in rows]
+        self.sketch = None
+
+    def rest(self, k: int) -> np.ndarray:
+        """Classes after the ``k``-th that are of another component and of a fitting size."""
+        m, p = self.n[k + 1:], self.p
+        ok = (self.label[k + 1:] != self.label[k]) & (np.minimum(m, self.n[k]) * p.den >= np.maximum(m, self.n[k]) * p.num)
+        if self.across:
+            ok &= self.block[k + 1:] != self.block[k]
+        return np.flatnonzero(ok) + k + 1
+
+    def passing(self, k: int) -> np.ndarray:
+        """Of those, the ones whose folded sketch is near enough."""
+        if self.sketch is None:
+            w = min(map(len, self.last)) // 8
+            self.sketch = np.stack([_narrow(np.frombuffer(x, np.uint64), w) for x in self.last])
+        at = self.rest(k)
+        if len(at):
+            at = at[np.bitwise_count(self.sketch[at] ^ self.sketch[k]).sum(axis=1) <= _bound(self.n[at] + self.n[k], self.p)]
+        return at
+
+    def similar(self, a: int, b: int) -> bool:
+        x, y = (np.frombuffer(self.last[k], np.uint64) for k in (a, b))
+        both = len(x) + len(y) - len(np.union1d(x, y))
+        return self.p.den * both >= self.p.num * (len(x) + len(y) - both)
+
+    def join(self, a: int, b: int) -> None:
+        self.label[self.label == self.label[b]] = self.label[a]
+
+    def forest(self) -> list[tuple[int, int]]:
+        """Pairs that pass and join up all that do."""
+        out = []
+        for k in range(len(self.cid) - 1):
+            for v in self.passing(k).tolist():
+                if self.label[v] != self.label[k]:
+                    out.append((int(self.cid[k]), int(self.cid[v])))
+                    self.join(k, v)
+        return out
+
+    def open(self) -> list[int]:
+        """The classes with a passing partner in another component."""
+        mark = np.zeros(len(self.cid), bool)
+        for k in range(len(self.cid) - 1):
+            at = self.passing(k)
+            mark[at] = True
+            mark[k] |= len(at) > 0
+        return np.flatnonzero(mark).tolist()
+
+    def links(self) -> list[tuple[int, int]]:
+        """Verified pairs that join up all that are similar; ``last`` holds the sets."""
+        out = []
+        for k in range(len(self.cid) - 1):
+            for v in self.rest(k).tolist():
+                if self.label[v] != self.label[k] and self.similar(k, v):
+                    out.append((int(self.cid[k]), int(self.cid[v])))
+                    self.join(k, v)
+        return out
+
 
+def _pairs_of(rows: DataFrame, p: JoinParams, exact: bool) -> DataFrame:
+    """A forest (u, v) from every block: of what passes, or of what is similar."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, rows in _blocks(batches):
+            block = _Block(group, rows, p)
+            found = block.links() if exact else block.forest()
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
-def _ordered(pairs: DataFrame) -> DataFrame:
+    pairs = rows.mapInArrow(run, "u long, v long")
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def _sizes_fit(a, b, p: JoinParams):
-    return F.least(a, b) * p.den >= F.greatest(a, b) * p.num
-
-
-def _in_blocks(met: DataFrame, folds: DataFrame, p: JoinParams) -> DataFrame:
-    """In each bucket, the pairs of different components that pass the folded
-    sketch.  A bucket's classes are dealt into blocks of about BLOCK; every
-    pair of blocks is compared by itself."""
-    def compare(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        w = min(len(r[5]) for r in rows) // 8
-        x = np.stack([_narrow(np.frombuffer(r[5], np.uint64), w) for r in rows])
-        cid, n, root, block = (np.array([r[k] for r in rows]) for k in (1, 2, 3, 4))
-        us, vs = [], []
-        across = block.min() != block.max()
-        for k in range(len(rows) - 1):
-            m = n[k + 1:]
-            ok = (root[k + 1:] != root[k]) & (np.minimum(m, n[k]) * p.den >= np.maximum(m, n[k]) * p.num)
-            if across:
-                ok &= block[k + 1:] != block[k]
-            at = np.flatnonzero(ok)
-            if len(at):
-                at = at[np.bitwise_count(x[k + 1:][at] ^ x[k]).sum(axis=1) <= _bound(m[at] + n[k], p)]
-                us.append(np.full(len(at), cid[k]))
-                vs.append(cid[k + 1:][at])
-        return (np.concatenate(us), np.concatenate(vs)) if us else (np.empty(0, np.int64),) * 2
-
+def _open_rows(rows: DataFrame, p: JoinParams) -> DataFrame:
+    """key, i, j, cid, n, root, b of the classes that a block leaves open."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows = None, []
-        for b in batches:
-            us, vs = [], []
-            for r in zip(*(c.to_pylist() for c in b.columns)):
-                if r[:1] + r[6:] != group:
-                    if len(rows) > 1:
-                        u, v = compare(rows)
-                        us.append(u)
-                        vs.append(v)
-                    group, rows = r[:1] + r[6:], []
-                rows.append(r)
-            if us:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us), pa.int64()), pa.array(np.concatenate(vs), pa.int64())], names=["u", "v"])
-        if len(rows) > 1:
-            u, v = compare(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+        for group, rows in _blocks(batches):
+            at = _Block(group, rows, p).open()
+            if at:
+                yield pa.RecordBatch.from_pylist([dict(zip(names, rows[k])) for k in at], schema=schema)
 
-    blocks = F.col("blocks")
-    rows = (met.join(folds.select("cid", "fold"), "cid").withColumn("b", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
-               .withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-               .select("key", "cid", "n", "root", "b", "fold", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")))
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "u long, v long")
+    names = ("key", "i", "j", "cid", "n", "root", "b")
+    schema = pa.schema([(c, pa.int32() if c in ("i", "j", "b") else pa.int64()) for c in names])
+    return rows.mapInArrow(run, "key long, i int, j int, cid long, n long, root long, b int")
+
+
+def _mixed(met: DataFrame, root: DataFrame) -> DataFrame:
+    """The buckets that hold several components."""
+    now = met.join(root.withColumnRenamed("id", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    key = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    return now.join(key, "key")
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: JoinParams = JoinParams()) -> DataFrame:
@@ -368,14 +408,14 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     met = _meetings(keyed)
     folds = stage(keyed.select("cid", "n", "fold").join(met.select("cid").distinct(), "cid", "left_semi").dropDuplicates(["cid"]), "folds")
     root = None
-    now = met.withColumn("root", F.col("cid"))
-    for turn in range(STAR_ROUNDS + 1):
-        now = _mixed(now)
-        if now.isEmpty():
-            break
-        pairs = _passing(_ordered(_star(now, turn, p)), folds, p) if turn < STAR_ROUNDS else _ordered(_in_blocks(now, folds, p))
-        root = _merged(root, _verified(stage(pairs, "pairs"), classes, docs, p))
-        now = now.select("key", "cid", "n").join(root.withColumnRenamed("id", "cid"), "cid", "left").select("key", "cid", "n", F.coalesce("root", "cid").alias("root"))
+    if not met.isEmpty():
+        pairs = stage(_pairs_of(_dealt(met.withColumn("root", F.col("cid")), folds, "fold"), p, False), "pairs")
+        root = components(_verified(pairs, classes, docs, p))
+        left = stage(_open_rows(_dealt(_mixed(met, root), folds, "fold"), p), "open")
+        if not left.isEmpty():
+            sets = _sets(docs, stage(classes.select("cid", "f1", "f2", "first_doc").join(left.select("cid").distinct(), "cid", "left_semi"), "wanted"), p)
+            rows_of = left.join(sets, "cid").select("key", "i", "j", "cid", "n", "root", "b", "set").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "cid")
+            root = _merged(root, stage(_pairs_of(rows_of, p, True), "links"))
     named = classes.select("cid", "n", "f1", "f2", "first_doc", "members")
     if root is not None:
         named = named.join(root.withColumnRenamed("id", "cid"), "cid", "left").withColumn("linked", F.col("root").isNotNull()).withColumn("root", F.coalesce("root", "cid"))
