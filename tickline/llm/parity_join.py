@@ -240,17 +240,28 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, p: JoinPara
 
 
 def _meetings(rows: DataFrame) -> DataFrame:
-    """(key, cid, n, blocks) of the keys that several classes hold, from one
-    shuffle; ``blocks`` are those that the key's bucket is compared in."""
+    """(key, cid, n, blocks) of the keys that several classes hold; ``blocks``
+    are those that the key's bucket is compared in.  Near copies share many
+    keys, so of buckets with the same classes one is kept (buckets go by 128
+    bits of sums of their classes' hashes)."""
     each = rows.select(F.explode("keys").alias("key"), "cid", "n")
     bucket = Window.partitionBy("key").orderBy("cid")
     whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     several = F.first("cid").over(whole) != F.last("cid").over(whole)
     held = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.lit(BLOCK_SHINGLES) / F.max("n").over(whole)))
+    # A class that was shown several times was so with all of its keys: equal buckets have equal sums.
+    sums = []
+    for seed in (1, 2):
+        h = F.xxhash64("cid", F.lit(seed))
+        sums += [F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).over(whole), F.sum(F.shiftrightunsigned(h, 32)).over(whole)]
     before = F.lag("cid").over(bucket)
     each = each.select("key", "cid", "n", several.alias("several"), before.alias("before"),
-                       F.ceil(F.count(F.lit(1)).over(whole) / held).cast("int").alias("blocks"))
-    return stage(each.where(F.col("several") & (F.col("before").isNull() | (F.col("before") != F.col("cid")))).select("key", "cid", "n", "blocks"), "meetings")
+                       F.ceil(F.count(F.lit(1)).over(whole) / held).cast("int").alias("blocks"),
+                       *(F.xxhash64(F.lit(k), *sums).alias(f"same{k}") for k in (1, 2)))
+    met = stage(each.where(F.col("several") & (F.col("before").isNull() | (F.col("before") != F.col("cid"))))
+                    .select("key", "cid", "n", "blocks", "same1", "same2", F.col("before").isNull().alias("first")), "meetings")
+    one = met.where("first").groupBy("same1", "same2").agg(F.min("key").alias("key")).select("key")
+    return stage(met.select("key", "cid", "n", "blocks").join(one, "key", "left_semi"), "buckets")
 
 
 def _merged(root: DataFrame, links: DataFrame) -> DataFrame:
