@@ -48,7 +48,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = workspace(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete tables that ``stage`` has written.  Only for those whose successors
+    are staged as well: no frame that is still to be computed may read them."""
+    for df in staged:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def packed(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickline.llm.common import stage
+from tickline.llm.common import discard, stage
 
 
 def _nearest(pairs: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = stage(_nearest(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct(), "edges")
         # every vertex hands its smaller neighbours, and itself, to the least
         small = _nearest(large)
-        e = stage(small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
+        old, e = e, stage(small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
+        discard(old, large)
         now = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if now == seen:
             return e.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())

@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickline.llm.common import packed, stage, words
+from tickline.llm.common import discard, packed, stage, words
 from tickline.llm.components import components
 from tickline.operators.joins import Measured
 
@@ -56,7 +56,7 @@ SEGMENT_BITS = 1 << 16     # of one segment; only a hash of its set bits is kept
 SEEN_SETS = 500_000        # that a task remembers
 BLOCK = 4096               # classes of a bucket that are compared at a time,
 BLOCK_SHINGLES = 1 << 24   # or fewer if they have more shingles than that
-FOLD = 4                   # bits a shingle of a folded sketch, at least
+FOLD = 2                   # bits a shingle of a folded sketch, at least
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -236,7 +236,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, p: JoinPara
     sets = _sets(docs, stage(classes.select("cid", "f1", "f2", "first_doc").join(ends, "cid", "left_semi"), "wanted"), p)
     other = sets.select(F.col("cid").alias("v"), F.col("set").alias("set_v"))
     own = sets.select(F.col("cid").alias("u"), F.col("set").alias("set_u"))
-    return stage(pairs.join(other, "v").join(own, "u").select("u", "v", "set_u", "set_v").mapInArrow(run, "u long, v long"), "links")
+    links = stage(pairs.join(other, "v").join(own, "u").select("u", "v", "set_u", "set_v").mapInArrow(run, "u long, v long"), "links")
+    discard(sets)
+    return links
 
 
 def _meetings(rows: DataFrame) -> DataFrame:
@@ -247,21 +249,21 @@ def _meetings(rows: DataFrame) -> DataFrame:
     each = rows.select(F.explode("keys").alias("key"), "cid", "n")
     bucket = Window.partitionBy("key").orderBy("cid")
     whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    several = F.first("cid").over(whole) != F.last("cid").over(whole)
+    before = F.lag("cid").over(bucket)
+    # Each class once, in buckets of several.  What follows uses the same shuffle; its inputs are made behind it.
+    each = (each.select("key", "cid", "n", (F.first("cid").over(whole) != F.last("cid").over(whole)).alias("several"), before.alias("before"))
+                .where(F.col("several") & (F.col("before").isNull() | (F.col("before") != F.col("cid")))))
     held = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.lit(BLOCK_SHINGLES) / F.max("n").over(whole)))
-    # A class that was shown several times was so with all of its keys: equal buckets have equal sums.
     sums = []
     for seed in (1, 2):
         h = F.xxhash64("cid", F.lit(seed))
         sums += [F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).over(whole), F.sum(F.shiftrightunsigned(h, 32)).over(whole)]
-    before = F.lag("cid").over(bucket)
-    each = each.select("key", "cid", "n", several.alias("several"), before.alias("before"),
-                       F.ceil(F.count(F.lit(1)).over(whole) / held).cast("int").alias("blocks"),
-                       *(F.xxhash64(F.lit(k), *sums).alias(f"same{k}") for k in (1, 2)))
-    met = stage(each.where(F.col("several") & (F.col("before").isNull() | (F.col("before") != F.col("cid"))))
-                    .select("key", "cid", "n", "blocks", "same1", "same2", F.col("before").isNull().alias("first")), "meetings")
+    met = stage(each.select("key", "cid", "n", F.ceil(F.count(F.lit(1)).over(whole) / held).cast("int").alias("blocks"),
+                            *(F.xxhash64(F.lit(k), *sums).alias(f"same{k}") for k in (1, 2)), F.col("before").isNull().alias("first")), "meetings")
     one = met.where("first").groupBy("same1", "same2").agg(F.min("key").alias("key")).select("key")
-    return stage(met.select("key", "cid", "n", "blocks").join(one, "key", "left_semi"), "buckets")
+    kept = stage(met.select("key", "cid", "n", "blocks").join(one, "key", "left_semi"), "buckets")
+    discard(met)
+    return kept
 
 
 def _merged(root: DataFrame, links: DataFrame) -> DataFrame:
@@ -416,8 +418,10 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     else:
         classes = classes.withColumn("cid", F.col("number"))
         keyed = rows.join(classes.select("n", "f1", "f2", "cid"), ["n", "f1", "f2"])
+    prints = stage(rows.select("doc_id", "n", "f1", "f2"), "prints")
     met = _meetings(keyed)
     folds = stage(keyed.select("cid", "n", "fold").join(met.select("cid").distinct(), "cid", "left_semi").dropDuplicates(["cid"]), "folds")
+    discard(rows)
     root = None
     if not met.isEmpty():
         pairs = stage(_pairs_of(_dealt(met.withColumn("root", F.col("cid")), folds, "fold"), p, False), "pairs")
@@ -436,7 +440,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = named.where("linked or members > 1")
     ids = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     named = stage(named.join(ids, "root").select("n", "f1", "f2", "root", "component_id"), "named")
-    return rows.select("doc_id", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left")
+    return prints.join(named, ["n", "f1", "f2"], "left")
 
 
 def similar_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: JoinParams = JoinParams()) -> DataFrame:
