@@ -456,6 +456,51 @@ def test_preference_pairs(spark):
     assert got[4].chosen == "" and got[4].rejected.endswith("b<|im_end|>\n")
 
 
+def swapped_by_hand(rows):
+    """(conv_id) -> (chosen turns, rejected turns), turns in order."""
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs.setdefault(c, []).append((turn, role, text))
+    last = {c: max((t, x or "") for t, r, x in v if r == "assistant" and t is not None) for c, v in convs.items() if any(r == "assistant" and t is not None for t, r, _ in v)}
+    order = sorted(last)
+    out = {}
+    for c, v in convs.items():
+        twin = order[k ^ 1 if (k := order.index(c)) ^ 1 < len(order) else 0] if c in last else None
+        show = lambda turns: [(r, x) for _, r, x in sorted(((t is not None, t or 0), r or "unknown", x or "") for t, r, x in turns)]
+        out[c] = show(v), show([(t, r, last[twin][1] if twin is not None and r == "assistant" and t == last[c][0] else x) for t, r, x in v])
+    return out
+
+
+@pytest.mark.parametrize("ids", [list(range(0, 40, 2)), list(range(7)), [3], [5, -1, 2**40]])
+def test_every_conversation_gives_a_pair(spark, ids):
+    setup(spark)
+    rows = []
+    for k, c in enumerate(ids):
+        rows += [(c, 0, "user", f"q{k % 3}"), (c, 1, "assistant", f"a{k}"), (c, 2, "user", "x" * (30_000 if k == 1 else 3))]
+        if k % 4 != 3:
+            rows += [(c, 3, "assistant", f"b{k % 2}"), (c, 3, "assistant", "a tie")]
+    rows += [(100, 0, "user", "no answer"), (101, 0, None, None), (101, None, "assistant", "no turn"), (102, 0, "user", "r"), (102, 0, "user", "r"), (None, 0, "assistant", "n")]
+    rows += [(103, k, "assistant" if k % 2 else "user", f"t{k}") for k in range(400)]       # a third of all turns and more
+    df = spark.createDataFrame([(*r, "clash", 5) for r in rows], "conv_id long, turn long, role string, text string, side string, number int").repartition(3)
+    got = {r.pair_id: r for r in chat.preference_pairs(chat.swapped_answers(df)).collect()}
+    want = swapped_by_hand(rows)
+    assert set(got) == set(want)
+    render = lambda turns: "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for r, x in turns)      # noqa: E731
+    for c, (a, b) in want.items():
+        n = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        r = got[c]
+        assert (r.n_prompt_turns, r.prompt, r.chosen, r.rejected) == (n, render(a[:n]), render(a[n:]), render(b[n:])), c
+        for side, turns in (("chosen", a[n:]), ("rejected", b[n:])):
+            assert [r[side][s.start:s.end] for s in r[f"{side}_spans"]] == [x + "<|im_end|>" for role, x in turns if role == "assistant"]
+
+
+def test_no_conversations_no_pairs(spark):
+    setup(spark)
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.preference_pairs(chat.swapped_answers(none)).collect() == []
+
+
 # --- 8: class-based scores -----------------------------------------------------------
 def test_class_scores_base_counts_and_mass(spark):
     df = docs_of(spark, EDGE + [(20 + k, "the cat sat on the mat . " * 3 + f"rare{k}", "en", "a") for k in range(20)])
@@ -597,6 +642,32 @@ def test_rare_languages_are_learned_from_a_sample(spark):
     assert [model.predict(t)[0] for t in texts.values()] == ["aa", "bb", "cc"]
 
 
+def test_the_sample_is_bounded_however_many_languages(spark, monkeypatch):
+    setup(spark)
+    docs = spark.range(30_000).select("id", F.concat(F.lit("mot ligne "), F.col("id").cast("string")).alias("text"), F.concat(F.lit("l"), F.col("id") % 20_000).alias("lang"))
+    p = langid.LangParams(sample=300, languages=5, epochs=1)
+    seen = []
+    real = langid.fit_ftrl
+    monkeypatch.setattr(langid, "fit_ftrl", lambda x, y, k, q: (seen.append((len(x), k)), real(x, y, k, q))[1])
+    model = langid.fit(docs.withColumnRenamed("id", "doc_id"), params=p)
+    assert model.langs == ["l0", "l1", "l10", "l100", "l1000"]               # of the most frequent, by name
+    assert seen[0][1] == 5 and seen[0][0] <= 2 * max(p.sample, langid.LEAST * p.languages)
+
+
+def test_unknown_scripts_score_under_the_threshold(spark):
+    setup(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    strange = ["Η γλώσσα αυτή δεν είναι γνωστή στο μοντέλο", "これは知られていない言語の文章です", "Этот язык модели неизвестен совсем", "이 언어는 알려져 있지 않습니다"]
+    known = [r.text for r in docs.where("lang is not null").select("text").limit(300).collect() if r.text and sum(map(str.isalpha, r.text)) > 40]
+    rows = spark.createDataFrame([(t, True) for t in strange] + [(t, False) for t in known], "text string, strange boolean")
+    got = rows.select("strange", langid.accept(F.col("text"), model).alias("ok")).collect()
+    assert not any(r.ok for r in got if r.strange) and np.mean([r.ok for r in got if not r.strange]) > 0.99
+    nothing = langid.fit(docs.withColumn("lang", F.lit(None).cast("string")))
+    kept = rows.unionByName(spark.createDataFrame([(None, None), ("", None), ("12 !", None)], rows.schema)).where(langid.accept(F.col("text"), nothing))
+    assert kept.count() == rows.count()                                     # nothing is known against any text with letters
+
+
 def test_sample_quotas():
     assert langid.quota({"a": 10, "b": 10_000, "c": 10**9}, 5000) == 2495
     assert langid.quota({"a": 10, "b": 20}, 5000) >= 20 and langid.quota({}, 5000) > 0

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickline.llm.common import numbered
+
 START, END = "<|im_start|>", "<|im_end|>"
 TURN = "struct<turn:long,role:string,text:string>"
 
@@ -72,18 +74,24 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
 
 def swapped_answers(conversations: DataFrame) -> DataFrame:
     """Pairs made from plain conversations, for ``preference_pairs``: the
-    chosen side is the conversation, the rejected side has the last answer of
-    its neighbour (conv_id with the lowest bit flipped) in place of its own.  A
-    conversation without an answer, or whose neighbour is absent or has none, is
-    left out, as in the query's SQL."""
+    chosen side is the conversation, the rejected side has another one's last
+    answer in place of its own.  Conversations with an answer are numbered by
+    conv_id and swap answers two by two; with an odd number the last one takes
+    the first one's.  A conversation without an answer (or with the only one
+    there is) is the same on both sides.  Every non-null conv_id gives a pair; an
+    answer is the assistant's turn with the largest number, of equal ones the
+    greatest text."""
     own = conversations.select("conv_id", "turn", "role", "text").where("conv_id is not null")
     answer = F.struct(F.col("turn"), F.coalesce("text", F.lit("")).alias("text"))
     last = own.where("role = 'assistant' and turn is not null").groupBy("conv_id").agg(F.max(answer).alias("a"))
-    mine = last.select("conv_id", F.col("a.turn").alias("last_turn"))
-    other = last.select(F.col("conv_id").bitwiseXOR(1).alias("conv_id"), F.col("a.text").alias("other_text"))
-    rows = own.join(mine.join(other, "conv_id"), "conv_id")
+    last, n = numbered(last.select("conv_id", F.col("a.turn").alias("last_turn"), F.col("a.text").alias("answer")), "conv_id")
+    twin = F.col("number").bitwiseXOR(F.lit(1).cast("long"))
+    mine = last.select("conv_id", "last_turn", F.when(twin < n, twin).otherwise(0).alias("twin"))
+    other = last.select(F.col("number").alias("twin"), F.col("answer").alias("other_text"))
+    rows = own.join(mine.join(other, "twin"), "conv_id", "left")
+    swapped = (F.col("turn") == F.col("last_turn")) & (F.col("role") == "assistant")
     sides = F.array(F.struct(F.lit("chosen").alias("side"), F.col("text").alias("shown")),
-                    F.struct(F.lit("rejected").alias("side"), F.when((F.col("turn") == F.col("last_turn")) & (F.col("role") == "assistant"), F.col("other_text")).otherwise(F.col("text")).alias("shown")))
+                    F.struct(F.lit("rejected").alias("side"), F.when(swapped, F.col("other_text")).otherwise(F.col("text")).alias("shown")))
     return rows.select(F.col("conv_id").alias("pair_id"), "turn", "role", F.explode(sides).alias("s")).select("pair_id", "s.side", "turn", "role", F.col("s.shown").alias("text"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickline.context import prepare, workspace
 
@@ -65,3 +66,15 @@ def discard(*staged: DataFrame) -> None:
 def packed(df: DataFrame) -> DataFrame:
     """Each row as one struct column ``row``; ``select("row.*")`` unpacks it."""
     return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+
+
+def numbered(df: DataFrame, order: str) -> tuple[DataFrame, int]:
+    """``df`` with a column ``number`` from 0 on, by ``order``, and its row count.
+    Ranges are sorted each by itself; the counts of earlier ranges are added."""
+    rows = stage(df.repartitionByRange(order).sortWithinPartitions(order).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_c"))
+    before = sizes.select("_part", (F.sum("_c").over(Window.orderBy("_part")) - F.col("_c")).alias("_before"))      # one row a range
+    out = (rows.withColumn("_part", part).join(before, "_part")
+               .withColumn("number", F.col("_before") + F.col("_at") - F.shiftleft(F.col("_part"), 33)).drop("_at", "_part", "_before"))
+    return out, rows.count()

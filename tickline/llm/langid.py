@@ -8,9 +8,11 @@ per-coordinate rates) with L1 and L2 penalties, then temperature-calibrated.
 * Document frequencies come from every training row, summed by Spark.
 * The fit takes a sample of about ``LangParams.sample`` labelled rows, chosen
   by a hash: the only place where not every row is used.  Rows with letters are
-  counted by language over the whole input, and every language has the same
-  quota (at least ``LEAST`` rows, all rows of a rarer one), so that each language
-  in the data is learned whatever its share.  Scores go by the shares of the
+  counted by language over the whole input; the ``LangParams.languages`` most
+  frequent ones (equal counts by name) are learned, each with the same quota (at
+  least ``LEAST`` rows, all rows of a rarer one), whatever its share.  So the
+  sample has ``max(sample, LEAST * languages)`` rows at most, and the model as
+  many classes, also if the column holds anything.  Scores go by the shares of the
   sample.  Each row gives its whole text and one short window, so that short
   texts are seen too.
 * The model (weights, idf, temperature) is bounded by buckets x languages and
@@ -23,8 +25,9 @@ everything is ``und``; repeated rows are predicted each.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,7 @@ LEAST = 100                   # rows of a group that a sample takes at least, ab
 @dataclass(frozen=True)
 class LangParams:
     sample: int = 5000        # labelled rows to fit on, about
+    languages: int = 100      # that are learned, at most
     epochs: int = 4
     alpha: float = 0.5        # FTRL learning rate
     beta: float = 1.0
@@ -55,7 +59,7 @@ class LangModel:
     weights: np.ndarray       # BUCKETS x languages
     bias: np.ndarray          # languages
     temperature: float = 1.0
-    extra: dict = field(default_factory=dict)
+    accept_from: float = 0.0  # score under which no language is known
 
     def logits(self, idx: np.ndarray, val: np.ndarray) -> np.ndarray:
         return val @ self.weights[idx] + self.bias
@@ -219,7 +223,7 @@ def fit(train: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         for b in batches:
             out = []
             for i, t, lg in zip(*(c.to_pylist() for c in b.columns)):
-                at = (i or 0) * 7919 % max(1, len(t or "") - params.window)
+                at = zlib.crc32((t or "").encode("utf-8", "replace")) % max(1, len(t or "") - params.window)
                 for part, piece in enumerate((t, (t or "")[at:at + params.window])):
                     g = ngrams(piece)
                     if g is not None:
@@ -231,8 +235,9 @@ def fit(train: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
                 names=["doc_id", "part", "lang", "idx", "val"])
 
     lettered = rows.where(F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in lettered.groupBy("lang").count().collect()}     # one row a language
-    got = sample_rows(lettered, ["doc_id", "text"], "lang", counts, params.sample).mapInArrow(features, "doc_id long, part int, lang string, idx array<int>, val array<float>").toPandas()
+    most = lettered.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(params.languages)
+    counts = {r["lang"]: r["count"] for r in most.collect()}
+    got = sample_rows(lettered.where(F.col("lang").isin(list(counts))), ["doc_id", "text"], "lang", counts, params.sample).mapInArrow(features, "doc_id long, part int, lang string, idx array<int>, val array<float>").toPandas()
     if got.empty:
         return LangModel([], idf, np.zeros((BUCKETS, 0)), np.zeros(0))
     got = got.assign(key=got.doc_id.fillna(-1)).sort_values(["key", "part", "lang"], kind="stable").reset_index(drop=True)
@@ -244,10 +249,24 @@ def fit(train: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         hold = np.zeros(len(y), bool)
     w, b = fit_ftrl([x[i] for i in np.flatnonzero(~hold)], y[~hold], len(langs), params)
     model = LangModel(langs, idf, w, b)
-    model.temperature = fit_temperature(np.array([model.logits(*x[i]) for i in np.flatnonzero(hold)]), y[hold])
+    z = np.array([model.logits(*x[i]) for i in np.flatnonzero(hold)]).reshape(-1, len(langs))
+    model.temperature = fit_temperature(z, y[hold])
+    model.accept_from = least_score(z / model.temperature)
     return model
 
 
+def least_score(logits: np.ndarray) -> float:
+    """The score from which on a language is taken as known: a fifth of the way
+    from chance to certainty, or less if one in 200 of the calibration rows
+    (whole texts and short windows of known languages) scores lower."""
+    n, k = logits.shape
+    if not n or k < 2:
+        return 0.0
+    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    above = (p.max(axis=1) / p.sum(axis=1) - 1 / k) / (1 - 1 / k)
+    return float(1 / k + (1 - 1 / k) * min(0.2, np.quantile(above, 0.005)))
+
+
 def predict(df: DataFrame, model: LangModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, lang_pred, score for every row."""
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -261,13 +280,18 @@ def predict(df: DataFrame, model: LangModel, doc_id: str = "doc_id", text: str =
     return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def accept(text: Column, model: LangModel, min_score: float) -> Column:
-    """True for texts whose language is known with at least ``min_score``."""
+def accept(text: Column, model: LangModel, min_score: float | None = None) -> Column:
+    """True for texts with letters whose language is known with at least
+    ``min_score`` (the model's own by default).  A model without languages knows
+    nothing against any of them."""
+    least = model.accept_from if min_score is None else min_score
+
     @F.pandas_udf("boolean")
     def run(texts):
         def ok(t):
             lang, score = model.predict(t)
-            return lang != UND and score >= min_score
+            return lang != UND and score >= least
         return texts.map(ok)
 
-    return run(F.coalesce(text, F.lit("")))
+    whole = F.coalesce(text, F.lit(""))
+    return run(whole) if model.langs else whole.rlike(r"\p{L}")

@@ -93,8 +93,9 @@ WITH answers AS (
   SELECT conv_id, turn, coalesce(text, '') AS text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, coalesce(text, '') DESC) AS k
   FROM conversations WHERE role = 'assistant' AND turn IS NOT NULL AND conv_id IS NOT NULL),
-last AS (SELECT conv_id, turn, text FROM answers WHERE k = 1),
-pairs AS (SELECT a.conv_id, a.turn AS last_turn, b.text AS other FROM last a JOIN last b ON b.conv_id = xor(a.conv_id, 1)),
+last AS (SELECT conv_id, turn, text, row_number() OVER (ORDER BY conv_id) - 1 AS r, count(*) OVER () AS n FROM answers WHERE k = 1),
+swaps AS (SELECT a.conv_id, a.turn AS last_turn, b.text AS other FROM last a JOIN last b ON b.r = CASE WHEN xor(a.r, 1) < a.n THEN xor(a.r, 1) ELSE 0 END),
+pairs AS (SELECT DISTINCT c.conv_id, s.last_turn, s.other FROM conversations c LEFT JOIN swaps s USING (conv_id) WHERE c.conv_id IS NOT NULL),
 turns AS (
   SELECT c.conv_id, s.side, coalesce(c.role, 'unknown') AS role, c.turn,
          CASE WHEN s.side = 'rejected' AND c.turn = p.last_turn AND c.role = 'assistant' THEN p.other ELSE coalesce(c.text, '') END AS text
@@ -126,7 +127,7 @@ FROM spans GROUP BY conv_id
 @register("op7_preference", OP7_SQL)
 def op7_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt and masked completions: each conversation against itself with
-    its neighbour's last answer."""
+    another one's last answer."""
     pairs = chat.preference_pairs(chat.swapped_answers(table(spark, sf_dir, "conversations")))
     return pairs.withColumns({c: chat.spans_text(F.col(c)) for c in ("chosen_spans", "rejected_spans")})
 
