@@ -5,7 +5,10 @@ before kept, and returns a DataFrame; all but the last return the columns of
 documents.  ``run`` writes every stage's result as Parquet to the shared
 folder and reads it again.
 
-1. language: texts whose language is unknown go (language ID, operator 10)
+1. language: texts whose language is unknown go (language ID, operator 10):
+   those without letters, and those whose best language is hardly likelier than
+   chance (a margin set on the calibration rows).  If no row has a language to
+   learn from, all texts with letters stay
 2. exact: one row of each text stays (block naming, operator 9)
 3. near: one row of each group of near copies stays (parity-sketch join,
    operator 6, on 5-word shingles with a similarity of 0.8 or more)
@@ -23,8 +26,6 @@ from pyspark.sql import functions as F
 from tickline.llm import block_names, bpe, langid, mixing, parity_join
 from tickline.llm.common import held_out, setup, stage, table
 
-#: A text whose best language is less likely than this is rejected.
-MIN_LANGUAGE_SCORE = 0.3
 NEAR = parity_join.JoinParams(width=5, num=80, den=100)
 
 
@@ -33,7 +34,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     held-out fold.  A null text and one without letters go."""
     setup(spark)
     model = langid.fit(docs.where(~held_out(F.col("doc_id"), 4, 2)))
-    return docs.where(langid.accept(F.col("text"), model, MIN_LANGUAGE_SCORE))
+    return docs.where(langid.accept(F.col("text"), model))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
