@@ -45,6 +45,25 @@ def test_language_drops_texts_without_letters_only(steps):
     assert gone == Counter([(30_000, None), (30_001, ""), (30_002, "12 !! 34")])
 
 
+def test_language_keeps_letters_when_no_language_is_known(spark, steps):
+    docs = steps[0].withColumn("lang", F.lit(None).cast("string"))
+    gone = Counter(rows(docs)) - Counter(rows(cp.language(spark, docs, "unused")))
+    assert gone == Counter([(30_000, None), (30_001, ""), (30_002, "12 !! 34")])
+
+
+def test_stages_take_very_long_and_strange_texts(spark, steps):
+    strange = "Η γλώσσα αυτή δεν είναι γνωστή στο μοντέλο"
+    more = spark.createDataFrame([(40_000, "das Haus und die Zeit " * 40_000), (40_001, strange)], "doc_id long, text string")
+    for c, t in steps[0].dtypes[2:]:
+        more = more.withColumn(c, F.lit(None).cast(t))
+    now = stage(steps[0].unionByName(more.select(steps[0].columns)), "pipeline-in")
+    for name, step in cp.STAGES:
+        now = stage(step(spark, now, "unused"), f"pipeline-{name}")
+        if name == "language":
+            assert {r.doc_id for r in now.where("doc_id >= 40000").collect()} == {40_000}
+    assert now.where("doc_id = 40000").count() >= 0
+
+
 def test_exact_keeps_the_largest_id_of_each_text(steps):
     top = {}
     for i, t in rows(steps[1]):
