@@ -180,6 +180,29 @@ def test_mix_edge_tables(spark):
     assert [r.target for r in mixing.mix(only_empty).collect()] == [0.0, 0.0]
 
 
+def test_rates_equal_a_scalar_root_finder(spark):
+    setup(spark)
+    rng = np.random.default_rng(8)
+    rows = [(k, " ".join(["w"] * int(rng.choice([0, 1, 3, 20, 300, 2000], p=[.05, .15, .3, .3, .15, .05]))), "en", ["a", "b", "c", "d", None][int(rng.choice(5, p=[.5, .2, .15, .1, .05]))]) for k in range(600)]
+    got = mixing.mix(docs_of(spark, rows)).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.skey, []).append(r)
+    assert len(by) == 5
+    for part in by.values():
+        sizes = np.array([r.size for r in part], float)
+        mean, target = sizes.sum() / len(sizes), part[0].target
+        rate = lambda lam: np.minimum(3, np.exp(np.minimum(lam * sizes / mean, 50)))      # noqa: E731
+        lo, hi = -1e4, 1e4
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (lo, mid) if sizes @ rate(mid) > target else (mid, hi)
+        want = np.full(len(sizes), 3.0) if target >= 3 * sizes.sum() else rate((lo + hi) / 2)
+        assert np.allclose([r.rate for r in part], want, rtol=1e-6, atol=1e-9)
+        taken = sum(r.size * r.copies for r in part)
+        assert abs(taken - target) < sizes[sizes > 0].min() + 1e-6 or abs(taken - target) <= sizes.max()
+
+
 # --- 4: WARC ---------------------------------------------------------------------
 def test_warc_round_trip_with_small_splits(spark):
     setup(spark)

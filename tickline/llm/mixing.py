@@ -14,8 +14,8 @@ reruns agree.
 
 Copies: per source, from the largest size to the smallest, the running sum of
 rates is rounded, so that each (source, size) cell gets a whole number of
-copies; what words are then still missing (or over) is put right in a few
-passes, largest fitting size first.  Within a cell the documents that get one
+copies; what words are then still missing (or over) is put right in
+passes, largest fitting size first, until no size fits.  Within a cell the documents that get one
 more copy are those first by a hash of their id.  Cells are split into
 sub-cells of about ``SUB`` documents, so no task sees a whole hot cell.
 
@@ -45,9 +45,7 @@ SUB = 1024
 class MixParams:
     weights: tuple[int, ...] = (5, 2, 1)
     cap: int = 3
-    steps: int = 60          # Newton steps at most
     tolerance: float = 1e-9  # relative error of a source's words
-    passes: int = 8          # of putting right the rounding
 
 
 def word_count(text: Column) -> Column:
@@ -103,7 +101,8 @@ def solve(hist: DataFrame, goal: DataFrame, p: MixParams) -> DataFrame:
         F.when(F.col("target") >= F.col("source_size"), F.lit(0.0)).alias("lo"), F.when(F.col("target") < F.col("source_size"), F.lit(0.0)).alias("hi"))
     state = stage(state.withColumn("mean", F.greatest("mean", F.lit(1e-9))), "mix-state")
     exact = "decimal(38,9)"
-    for _ in range(p.steps):
+    # Every round makes a multiplier's bracket smaller, so the rounds end.
+    while True:
         rate = _rate(p)
         sums = (hist.join(state.where("not full"), "skey").withColumn("words", F.col("size") * F.col("n"))
                     .groupBy("skey").agg(F.sum((F.col("words") * rate).cast(exact)).cast("double").alias("f"),
@@ -114,9 +113,10 @@ def solve(hist: DataFrame, goal: DataFrame, p: MixParams) -> DataFrame:
         newton = F.col("lam") - (F.log("f") - F.log("target")) * F.col("f") / F.when(F.col("g") > 0, F.col("g"))
         wide = F.when(lo.isNull(), F.least(hi * 2, F.lit(-1e-3))).when(hi.isNull(), F.greatest(lo * 2, F.lit(1e-3))).otherwise((lo + hi) / 2)
         inside = newton.isNotNull() & ~F.isnan(newton) & (lo.isNull() | (newton > lo)) & (hi.isNull() | (newton < hi))
-        settled = F.col("full") | (F.abs(F.col("f") - F.col("target")) <= F.col("target") * p.tolerance)
+        after = F.when(inside, newton).otherwise(wide)
+        settled = F.col("full") | (F.abs(F.col("f") - F.col("target")) <= F.col("target") * p.tolerance) | (after == F.col("lam"))
         now = now.select("skey", "source_size", "docs", "target", "mean", "full", settled.alias("settled"),
-                         F.when(settled, F.col("lam")).when(inside, newton).otherwise(wide).alias("lam"),
+                         F.when(settled, F.col("lam")).otherwise(after).alias("lam"),
                          F.when(settled, F.col("lo")).otherwise(lo).alias("lo"), F.when(settled, F.col("hi")).otherwise(hi).alias("hi"))
         state = stage(now, "mix-state")
         if not state.where("not settled").limit(1).count():
@@ -132,7 +132,8 @@ def cells(hist: DataFrame, state: DataFrame, p: MixParams) -> DataFrame:
     sofar = F.floor(F.sum(F.col("n") * F.col("rate")).over(down) + 0.5)
     out = out.withColumn("sofar", sofar).withColumn("k", F.least(F.col("sofar") - F.coalesce(F.lag("sofar").over(down), F.lit(0)), F.col("n") * p.cap).cast("long"))
     out = stage(out.select("skey", "size", "n", "rate", "k", "source_size", "target"), "mix-cells")
-    for _ in range(p.passes):
+    # Every pass brings each source that it changes nearer by a document at least, so the passes end.
+    while True:
         gap = out.groupBy("skey").agg((F.max("target") - F.sum(F.col("k") * F.col("size"))).alias("gap"))
         room = F.when(F.col("gap") > 0, F.col("n") * p.cap - F.col("k")).otherwise(F.col("k"))
         fits = out.join(gap, "skey").withColumn("room", room).where((F.col("size") > 0) & (F.col("size") <= F.abs("gap")) & (F.col("room") > 0))
