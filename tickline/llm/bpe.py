@@ -33,8 +33,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PAIR_MEMO = 300_000      # remembered pair verdicts per worker; emptied when full
-PIECE_MEMO = 150_000       # remembered pieces per worker, in each of two generations
+PAIR_MEMO = 500_000      # remembered pair verdicts per worker; emptied when full
+PIECE_MEMO = 250_000       # remembered pieces per worker, in each of two generations
 PIECE_MEMO_CHARS = 64      # longer pieces are not remembered
 START, UNSET = -1, -2      # in place of a token: the start of a piece; none known
 NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
