@@ -54,7 +54,8 @@ class Vocabulary:
     """Ranks, the tokens' bytes, and the test whether two tokens may stand
     next to each other in an encoding."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], memo: float = 1.0):
+        self.most_pairs = int(PAIR_MEMO * memo)
         import ahocorasick
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
@@ -112,7 +113,7 @@ class Vocabulary:
         got = self.pairs.get(key)
         if got is None:
             got = self._adjacent(left, right) if left >= 0 else left == START and self.reachable(right)
-            if len(self.pairs) >= PAIR_MEMO:
+            if len(self.pairs) >= self.most_pairs:
                 self.pairs.clear()
             self.pairs[key] = got
         return got
@@ -213,13 +214,13 @@ class PrefixTable:
 class Encoder:
     """Cuts texts into pieces and encodes them, with a memo of short pieces."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.vocab = Vocabulary(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: float = 1.0):
+        self.vocab = Vocabulary(ranks, memo)
         self.pattern = regex.compile(pattern)
         self.table = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.table[rank] = token
-        self.memo = _Memo(self)
+        self.memo = _Memo(self, int(PIECE_MEMO * memo))
 
     def piece(self, piece: str) -> list[int]:
         data = piece.encode("utf-8")
@@ -243,8 +244,9 @@ class _Memo(dict):
     """Piece -> packed ids.  When full, the entries become the older
     generation; those asked for again come back."""
 
-    def __init__(self, encoder: Encoder):
+    def __init__(self, encoder: Encoder, most: int):
         super().__init__()
+        self.most = most
         self.encoder, self.older = encoder, {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -252,7 +254,7 @@ class _Memo(dict):
         if ids is None:
             ids = self._encode(piece)
         if len(piece) <= PIECE_MEMO_CHARS:
-            if len(self) >= PIECE_MEMO:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[piece] = ids
@@ -313,11 +315,11 @@ class EncodedText:
 _ENCODERS: dict[bytes, Encoder] = {}
 
 
-def _encoder(data: bytes, pattern: str) -> Encoder:
-    key = hashlib.sha1(data + pattern.encode()).digest()
+def _encoder(data: bytes, pattern: str, memo: float = 1.0) -> Encoder:
+    key = hashlib.sha1(data + pattern.encode() + repr(memo).encode()).digest()
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(parse_ranks(data), pattern)
+        _ENCODERS[key] = Encoder(parse_ranks(data), pattern, memo)
     return _ENCODERS[key]
 
 
@@ -352,15 +354,16 @@ def decode(df: DataFrame, ids: str, ranks_path: str, pattern: str, out: str = "d
     return df.withColumn(out, run(F.col(ids)))
 
 
-def round_trip(df: DataFrame, doc_id: str, text: str, ranks_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
+def round_trip(df: DataFrame, doc_id: str, text: str, ranks_path: str, pattern: str, keep_ids: bool = False, memo: float = 1.0) -> DataFrame:
     """Per row: doc_id, n_tokens, SHA-256 of the packed ids, SHA-256 of the
     bytes that decoding those ids gives; with ``keep_ids`` also the packed ids.
-    One pass over the texts, no shuffle."""
+    One pass over the texts, no shuffle.  ``memo`` scales what a worker
+    remembers of pieces (memory against time)."""
     ranks = _shared_ranks(df.sparkSession, ranks_path)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(ranks.value, pattern)
+        enc = _encoder(ranks.value, pattern, memo)
         for b in batches:
             n, ids_sha, out_sha, ids = [], [], [], []
             for t in b.column(1):
