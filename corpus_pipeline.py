@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from tickline.llm import block_names, bpe, langid, mixing, parity_join
 from tickline.llm.common import held_out, setup, stage, table
 
+#: Workers remember less than by themselves: the executors have the other stages behind them.
+ENCODE_MEMO = 0.4
 NEAR = parity_join.JoinParams(width=5, num=80, den=100)
 
 
@@ -59,7 +61,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, digests and packed ids of every row."""
     setup(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.round_trip(docs, "doc_id", "text", path, public_tokenizers.PATTERN, keep_ids=True)
+    return bpe.round_trip(docs, "doc_id", "text", path, public_tokenizers.PATTERN, keep_ids=True, memo=ENCODE_MEMO)
 
 
 STAGES = [("language", language), ("exact", exact), ("near", near), ("mix", mix), ("encode", encode)]
