@@ -537,27 +537,27 @@ def test_class_scores_base_counts_and_mass(spark):
     base = lambda t: sum(np.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in [*words(t), None])     # noqa: E731
     want = Counter((i, len(words(t)) + 1, sum(c[w] > 0 for w in [*words(t), None]), n, round(base(t), 6)) for i, t in rows)
     assert Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
-    model, lookup, _ = fitted
+    model, lookup, table = fitted
+    cls = {None if r.word is None else bytes(r.word): r.cls for r in table.collect()}
     # every context's probabilities sum to 1 over known words, one unknown word a class, and the end
     emit = np.zeros(p.classes + 1)
     for w, k in c.items():
-        unit = p.units if w is None else lookup.value.places([w])[1][0]
-        emit[model.cls[unit]] += (k + p.alpha) / model.norm[model.cls[unit]]
+        key = None if w is None else class_lm.keys(w.decode())[0]
+        emit[cls[key]] += (k + p.alpha) / model.norm[cls[key]]
     emit[:-1] += p.alpha / model.norm[:-1]
     assert np.allclose((10 ** model.trans) @ emit, 1.0)
     assert class_lm.score(df.limit(0), fitted).count() == 0
     # the score of a text by hand
     t = "the cat rare99"
-    units = lookup.value.places(words(t))[1]
-    seq = model.cls[[p.units, *units, p.units]]
-    by_hand = sum(model.trans[a, b] for a, b in zip(seq, seq[1:])) + sum(np.log10((c[w] + p.alpha) / model.norm[model.cls[u]]) for w, u in zip([*words(t), None], [*units, p.units]))
+    of = [cls.get(w, model.cls[class_lm.ending(w, p)]) for w in words(t)]
+    seq = [p.classes, *of, p.classes]
+    by_hand = sum(model.trans[a, b] for a, b in zip(seq, seq[1:])) + sum(np.log10((c[w] + p.alpha) / model.norm[k]) for w, k in zip([*words(t), None], seq[1:]))
     one = class_lm.score(docs_of(spark, [(1, t, None, None)]), fitted).first()
     assert one.score == pytest.approx(by_hand)
 
 
-def test_words_beyond_the_head_get_classes_of_their_own(spark, monkeypatch):
+def test_words_beyond_the_head_get_classes_of_their_own(spark):
     """Words that share an ending part by their neighbours; scores by hand."""
-    monkeypatch.setattr(class_lm, "SMALL", 0)
     rng = random.Random(3)
     nouns, verbs = [f"{x}ing" for x in "abcdefghij"], [f"{x}ing" for x in "klmnopqrst"]
     rows = [(k, " ".join(f"the {rng.choice(nouns)} does {rng.choice(verbs)}" for _ in range(6)), None, None) for k in range(150)]
@@ -588,6 +588,36 @@ def test_best_classes_are_those_of_the_likelihood():
         assert value[b] == pytest.approx(max(value))
 
 
+def test_long_words_are_head_words_and_in_the_lookup(spark):
+    """The most frequent word has 70 bytes, another one with the same start and end is rare."""
+    x, y = "q" * 66 + "word", "q" * 30 + "z" + "q" * 35 + "word"
+    df = docs_of(spark, [(k, f"{x} one {x} two {x}", None, None) for k in range(5)] + [(9, y, None, None)])
+    fitted = class_lm.fit(df, params=class_lm.LmParams(head=2, endings=4, classes=2, lookup=3))
+    model, lookup, table = fitted
+    at = lookup.value.at
+    assert at[class_lm.keys(x)[0]] == 0 and class_lm.keys(x) != class_lm.keys(y)
+    assert sorted(r.n for r in table.where("word is not null").collect()) == [1, 5, 5, 15]
+    got = {r.doc_id: (r.n_tokens, r.n_known) for r in class_lm.score(df, fitted).collect()}
+    assert got == {**{k: (6, 6) for k in range(5)}, 9: (2, 2)}
+
+
+def test_contexts_after_moves_are_those_counted_anew(spark):
+    """The rounds' packed counts, changed move by move, give the class bigrams of all tokens."""
+    rng = random.Random(8)
+    vocab = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(rng.choice(vocab[:8] if rng.random() < 0.4 else vocab) for _ in range(30)), None, None) for k in range(60)]
+    p = class_lm.LmParams(head=4, endings=6, classes=5, lookup=20, lean=0.0, settled=0.0)
+    model, _, table = class_lm.fit(docs_of(spark, rows), params=p)
+    cls = {bytes(r.word): r.cls for r in table.where("word is not null").collect()}
+    g = np.zeros((6, 6))
+    for _, t, *_ in rows:
+        seq = [5, *(cls[w] for w in words(t)), 5]
+        np.add.at(g, (seq[:-1], seq[1:]), 1)
+    use = g.sum(axis=1) > 0
+    with np.errstate(divide="ignore", invalid="ignore"):
+        assert np.allclose(10 ** model.trans[use], (g / g.sum(axis=1, keepdims=True))[use])
+
+
 def test_head_words_need_no_level_of_counts(spark):
     df = docs_of(spark, [(k, "one two three four", None, None) for k in range(3)])
     _, lookup, _ = class_lm.fit(df, params=class_lm.LmParams(head=3, endings=2, classes=2, lookup=2))

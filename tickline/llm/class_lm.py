@@ -11,13 +11,15 @@ likelihood of the training bigrams most, until no move helps.
   matrix is counted over all training tokens; its size is bounded by
   (head + endings)^2 whatever the corpus, so these passes run in one place.
 * Then every other training word starts in its ending's class and moves by the
-  same criterion, in batched rounds over Spark: counts of (word, class of its
-  neighbour) are aggregated by shuffle, each word finds its best class given all
-  others, and the new classes are written as a table.  A round that lowers the
-  likelihood, or leaves it, is taken back and tried with half of its words.
-  Rounds end when no move helps, when one raises the likelihood by no more than
-  ``settled`` (nats a token), or when not even a 64th of the words raises it; the
-  head words stay.
+  same criterion, in batched rounds over Spark.  A table holds the counts of each
+  word's neighbours' classes, packed by parts of the words.  Every word finds
+  its best class given all others; what the moves change in their neighbours'
+  counts is aggregated by shuffle and added to the parts, so a round's rows are in
+  proportion to its moves.  All words move in the first round, then one hash
+  half after the other.  A round that lowers the likelihood, or leaves it, is taken
+  back and tried with half of its words.  Rounds end when a sweep raises the
+  likelihood by no more than ``settled`` (nats a token) or when not even a 64th
+  of the words raises it; the head words stay.
 * A word never seen in training has the class of its ending.
 * Counts and classes of the ``lookup`` most frequent words (a bound) are
   broadcast; those of each text's other words are joined by shuffle, so every
@@ -45,11 +47,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickline.llm.common import stage, words
+from tickline.llm.common import batches_of, discard, stage, words
 
-LONGEST = 64               # bytes of a word in the broadcast lookup
+LONGEST = 64               # bytes up to which a word stands for itself
 FLUSH = 200_000            # different words a counting task holds
-SMALL = 1000               # a vocabulary of up to so many words has all its classes in the lookup
 LEVELS = 100_000           # counts from here on are one level of the threshold search
 
 
@@ -69,6 +70,15 @@ class LmParams:
         return self.head + self.endings
 
 
+def keys(text: str | None) -> list[bytes]:
+    """The words of a text; one of more than ``LONGEST`` bytes is a byte that no
+    UTF-8 holds, its SHA-256 and its last letters, so every word is short."""
+    found = words(text)
+    if found and max(map(len, found)) > LONGEST:
+        return [w if len(w) <= LONGEST else b"\xff" + hashlib.sha256(w).digest() + w[-3:] for w in found]
+    return found
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over all ``text``; the end has a null word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +87,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
         for b in batches:
             for t in b.column(0):
-                seen.update(words(t.as_py()))
+                seen.update(keys(t.as_py()))
                 ends += 1
             if len(seen) > FLUSH:
                 yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], schema=schema)
@@ -90,7 +100,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     """The most frequent words, as many as ``most`` allows without cutting
     through words of equal count; the most frequent first."""
-    short = counts.where(F.col("word").isNotNull() & (F.length("word") <= LONGEST))
+    short = counts.where(F.col("word").isNotNull())
     levels = sorted(short.groupBy(F.least("n", F.lit(LEVELS)).alias("n")).agg(F.count(F.lit(1)).alias("c")).collect(), reverse=True)     # at most LEVELS rows
     total, least = 0, None
     for n, c in levels:
@@ -105,7 +115,7 @@ def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
 
 def head_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     """The ``most`` most frequent words, those of equal count by their bytes."""
-    short = counts.where(F.col("word").isNotNull() & (F.length("word") <= LONGEST))
+    short = counts.where(F.col("word").isNotNull())
     return [(bytes(r.word), r.n) for r in short.orderBy(F.desc("n"), "word").limit(most).collect()]
 
 
@@ -114,27 +124,22 @@ def ending(word: bytes, p: LmParams) -> int:
     return p.head + zlib.crc32(word[-3:]) % p.endings
 
 
-CODE = 1 << 40             # neighbours from here on are class codes, not words
-
-
 def word_number(word: bytes, seed: int) -> int:
     """A negative number for a word that has no place in the lookup."""
     return int.from_bytes(hashlib.blake2b(word, digest_size=8, salt=seed.to_bytes(8)).digest(), signed=True) | -1 << 63
 
 
 class Lookup:
-    """Frequent words with unit and count (what the executors get); ``more``
-    are words with a unit only, whose counts are joined."""
+    """Frequent words with unit and count (what the executors get)."""
 
-    def __init__(self, top: list[tuple[bytes, int]], p: LmParams, more: list[bytes] = []):
+    def __init__(self, top: list[tuple[bytes, int]], p: LmParams):
         self.p = p
         self.at = {w: k for k, (w, _) in enumerate(top)}
         self.counts = np.array([n for _, n in top] + [0], np.int64)
         self.head = min(p.head, len(top))
         # Words beyond the head have units of their own after the end's.
         self.unit = np.array([k if k < p.head else p.units + 1 + k - p.head for k in range(len(top))] + [0], np.int32)
-        self.bucket = np.array([*range(p.units + 1), *(ending(w, p) for w, _ in top[p.head:]), *(ending(w, p) for w in more)], np.int32)
-        self.more = {w: len(self.bucket) - len(more) + k for k, w in enumerate(more)}
+        self.bucket = np.array([*range(p.units + 1), *(ending(w, p) for w, _ in top[p.head:])], np.int32)
 
     def places(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, bytes]]]:
         """Place in the lookup of each token (the last place if it is not
@@ -144,7 +149,7 @@ class Lookup:
         units = self.unit[at]
         rare = [(int(k), tokens[k]) for k in np.flatnonzero(at == miss)]
         for k, w in rare:
-            units[k] = self.more[w] if w in self.more else ending(w, self.p)
+            units[k] = ending(w, self.p)
         return at, units, rare
 
 
@@ -162,7 +167,7 @@ def unit_bigrams(texts: DataFrame, lookup, p: LmParams) -> np.ndarray:
 
         for b in batches:
             for t in b.column(0):
-                _, units, _ = look.places(words(t.as_py()))
+                _, units, _ = look.places(keys(t.as_py()))
                 seq = np.concatenate(([p.units], look.bucket[units], [p.units])).astype(np.int64)
                 codes.append(seq[:-1] * size + seq[1:])
                 held += len(seq)
@@ -254,107 +259,179 @@ def likelihood(g: np.ndarray) -> float:
 
 
 def neighbours(texts: DataFrame, lookup, cls: np.ndarray, seed: int, p: LmParams) -> DataFrame:
-    """(word, other, n) over all ``text``, of words beyond the head by number:
-    ``other`` follows.  From ``CODE`` on, a head word or an end of class
-    other - CODE follows, or precedes with other - CODE - classes - 1."""
+    """(word, other, n, link) over all ``text``, of words beyond the head by number.
+    A link: ``other``, beyond the head too, follows the word.  Else ``other`` is a
+    code of the first classes: one that follows; from classes + 1 on, one of a head
+    word or end that precedes; from twice that on, of another word that precedes;
+    from three times that on, the word after itself."""
     c = p.classes + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = lookup.value
         first = len(look.at)
-        own, held, near, far = {}, 0, [], []
+        own, held, codes, links = {}, 0, [], []
 
         def out():
             number = np.concatenate((np.arange(first), np.fromiter((word_number(w, seed) for w in own), np.int64, len(own))))
-            for codes, wide in ((near, 2 * c), (far, 1 << 32)):
-                code, n = np.unique(np.concatenate(codes), return_counts=True)
+            for found, wide in ((codes, 3 * c + 1), (links, 1 << 32)):
+                code, n = np.unique(np.concatenate(found), return_counts=True)
                 for k in range(0, len(code), 100_000):
                     word, other = np.divmod(code[k:k + 100_000], wide)
-                    yield pa.RecordBatch.from_arrays([pa.array(number[word]), pa.array(other + CODE if codes is near else number[other]), pa.array(n[k:k + 100_000], pa.int64())], names=["word", "other", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(number[word]), pa.array(other if found is codes else number[other]), pa.array(n[k:k + 100_000], pa.int64()),
+                                                      pa.array(np.full(len(word), found is links))], names=["word", "other", "n", "link"])
 
         for b in batches:
             for t in b.column(0):
-                at, units, rare = look.places(words(t.as_py()))
+                at, units, rare = look.places(keys(t.as_py()))
                 for k, w in rare:
                     at[k] = own.setdefault(w, len(own)) + first
                 tail = np.concatenate(([False], at >= look.head, [False]))
                 at = np.concatenate(([0], at, [0]))
-                klass = cls[np.concatenate(([p.units], look.bucket[units], [p.units]))]      # right for head words and ends
-                after, before = tail[:-1] & ~tail[1:], ~tail[:-1] & tail[1:]
-                near += [at[:-1][after] * (2 * c) + klass[1:][after], at[1:][before] * (2 * c) + c + klass[:-1][before]]
+                klass = cls[np.concatenate(([p.units], look.bucket[units], [p.units]))]
+                here = np.flatnonzero(tail)
+                word = at[here] * (3 * c + 1)
                 both = tail[:-1] & tail[1:]
-                far.append((at[:-1][both] << 32) | at[1:][both])
+                a, z = at[:-1][both], at[1:][both]
+                codes += [word + klass[here + 1], word + klass[here - 1] + np.where(tail[here - 1], 2 * c, c), a[a == z] * (3 * c + 1) + 3 * c]
+                links.append((a << 32) | z)
                 held += len(units)
             if held > 3_000_000:
                 yield from out()
                 own, held = {}, 0
-                near.clear()
-                far.clear()
+                codes.clear()
+                links.clear()
         if held:
             yield from out()
 
-    return texts.mapInArrow(run, "word long, other long, n long").groupBy("word", "other").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "word long, other long, n long, link boolean").groupBy("word", "other", "link").agg(F.sum("n").alias("n")).select("word", "other", "n", "link")
+
+
+TABLED = 32                # counts up to here have their terms in a table
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    """f(x + m) - f(x) of x log x for m from 0 to ``TABLED``, m first."""
+    m = np.arange(TABLED + 1.0).reshape(-1, *([1] * x.ndim))
+    return _xlogx(x + m) - _xlogx(x)
+
+
+def _rises(table: np.ndarray, base: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """f(base + m) - f(base) for words x classes ``m``; ``table`` are the steps of ``base``."""
+    out = table[np.minimum(m, TABLED).astype(int), np.arange(len(base))]
+    w, b = np.nonzero(m > TABLED)
+    out[w, b] = _xlogx(base[b] + m[w, b]) - _xlogx(base[b])
+    return out
 
 
 def best_classes(r0: np.ndarray, q0: np.ndarray, s: np.ndarray, a: np.ndarray, g: np.ndarray, k: int) -> np.ndarray:
     """The best class under ``k`` of every word, all others staying: ``r0`` and
     ``q0`` (words x classes) count what follows and precedes, ``s`` the word
-    after itself, ``a`` is the class it has.  The sums are those of ``exchange``."""
+    after itself, ``a`` is the class it has.  The sums are those of ``exchange``;
+    steps by small counts are looked up, and only those that the word's own leaving
+    changes are worked out."""
     i = np.arange(len(a))
     r, q = r0.copy(), q0.copy()
     r[i, a] -= s
     q[i, a] -= s
     gain = np.zeros((len(a), k))
     # Row b gets r and column b gets q; only what a word meets changes a cell.
-    for grid, x, x0, y0 in ((g, r, r0, q0), (g.T, q, q0, r0)):
+    for grid, x, y0 in ((g, r, q0), (g.T, q, r0)):
         w, c = np.nonzero(x)
         if not len(w):
             continue
-        rest = grid[:k, c].T.copy()
+        n = x[w, c]
+        table = _steps(grid[:k].T)                             # m, c, b
+        table[:, np.arange(k), np.arange(k)] = 0.0
+        term = table[np.minimum(n, TABLED).astype(int), c]
         own = c == a[w]
-        rest[own] -= y0[w[own], :k]
-        rest[np.arange(len(w)), a[w]] -= x0[w, c] - np.where(own, s[w], 0)
+        whole = np.flatnonzero(own | (n > TABLED))             # a cell that the word leaves, or a count beyond the table
+        rest = grid[:k, c[whole]].T - np.where(own[whole][:, None], y0[w[whole], :k], 0.0)
         rest = np.maximum(rest, 0)
-        term = _xlogx(rest + x[w, c][:, None]) - _xlogx(rest)
-        inner = np.flatnonzero(c < k)
+        term[whole] = _xlogx(rest + n[whole, None]) - _xlogx(rest)
+        inner = whole[c[whole] < k]
         term[inner, c[inner]] = 0.0
+        rest = np.maximum(grid[a[w], c] - n - np.where(own, y0[w, a[w]], 0.0), 0)      # staying: the word's own counts are out first
+        stay = _xlogx(rest + n) - _xlogx(rest)
+        term[np.arange(len(w)), a[w]] = np.where(own, 0.0, stay)
         starts = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
         gain[w[starts]] += np.add.reduceat(term, starts, axis=0)
-    d = np.tile(np.diag(g)[:k], (len(a), 1))
-    d[i, a] -= r0[i, a] + q0[i, a] - s
-    gain += _xlogx(d + r[:, :k] + q[:, :k] + s[:, None]) - _xlogx(d)
-    for total, n in ((g.sum(axis=1), r0.sum(axis=1)), (g.sum(axis=0), q0.sum(axis=1))):
-        out = np.tile(total[:k], (len(a), 1))
-        out[i, a] -= n
-        gain -= _xlogx(out + n[:, None]) - _xlogx(out)
+    diag, m = np.diag(g)[:k], r[:, :k] + q[:, :k] + s[:, None]
+    d = diag[a] - (r0[i, a] + q0[i, a] - s)
+    rise = _rises(_steps(diag), diag, m)
+    rise[i, a] = _xlogx(d + m[i, a]) - _xlogx(d)
+    gain += rise
+    for total, n in ((g.sum(axis=1)[:k], r0.sum(axis=1)), (g.sum(axis=0)[:k], q0.sum(axis=1))):
+        rise = _rises(_steps(total), total, np.tile(n[:, None], (1, k)))
+        rise[i, a] = _xlogx(total[a]) - _xlogx(total[a] - n)
+        gain -= rise
     best = gain.argmax(axis=1)
     return np.where(gain[i, best] > gain[i, a] + 1e-9 * np.abs(gain[i, a]), best, a)
 
 
-def _contexts(met: DataFrame, classes: DataFrame, c: int) -> DataFrame:
-    """word and the at most 3 * ``c`` counts of its neighbours' classes: what
-    follows, heads that precede, others that precede; then the word after itself
-    and its class.  A word beyond the head has few of the tokens, so one task can
-    have all rows of a word."""
-    side = classes.hint("merge")                   # as many rows as words: never broadcast
-    far = met.where(F.col("other") < CODE)
-    as_row = lambda code, n: (F.col("word"), code.cast("int").alias("code"), n.cast("long").alias("n"))     # noqa: E731
-    rows = [met.where(F.col("other") >= CODE).select(*as_row(F.col("other") - CODE, F.col("n"))),
-            far.join(side.withColumnRenamed("word", "other"), "other").select(*as_row(F.col("cls"), F.col("n"))),
-            far.join(side, "word").select(F.col("other").alias("word"), (F.col("cls") + 2 * c).alias("code"), "n"),
-            far.where("word = other").select(*as_row(F.lit(3 * c), F.col("n"))),
-            classes.select(*as_row(F.lit(3 * c + 1), F.col("cls")))]
-    every = rows[0].union(rows[1]).union(rows[2]).union(rows[3]).union(rows[4]).repartition("word")
-    return stage(every.groupBy("word", "code").agg(F.sum("n").alias("n")).groupBy("word").agg(F.collect_list("code").alias("code"), F.collect_list("n").alias("n")), "lm-contexts")
-
-
-def _dense(b: pa.RecordBatch, c: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class, times after itself, and words x 3c counts of rows of ``_contexts``."""
-    code = b.column("code")
-    out = np.zeros((b.num_rows, 3 * c + 2))
-    row = np.repeat(np.arange(b.num_rows), np.diff(code.offsets.to_numpy()))
-    out[row, code.flatten().to_numpy()] = b.column("n").flatten().to_numpy()
-    return out[:, 3 * c + 1].astype(int), out[:, 3 * c], out[:, :3 * c]
+PART_WORDS = 150_000       # words of one row of the contexts table, on average
+STATE = "part int, word binary, cls binary, start binary, code binary, n binary"
+KINDS = {"word": np.int64, "cls": np.int32, "start": np.int64, "code": np.int32, "n": np.int64}
+
+
+def _unpacked(b: pa.RecordBatch, row: int) -> dict[str, np.ndarray]:
+    return {f: np.frombuffer(b.column(f)[row].as_buffer(), kind) for f, kind in KINDS.items()}
+
+
+def _contexts(rows: DataFrame, parts: int, c: int) -> DataFrame:
+    """A row for each part of the words, by hash: sorted word numbers, their classes,
+    and codes and counts of their contexts, from ``start`` to ``start`` of the next word.
+    ``rows`` are (part, word, code, n) to be added up, where code 3 * ``c`` + 1 gives
+    a class, and the packed rows of an earlier table (``old``)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        old, added = {}, {}
+        for b in batches:
+            had = b.column("old").is_valid().to_numpy(zero_copy_only=False)
+            for k in np.flatnonzero(had):
+                x = pa.RecordBatch.from_struct_array(b.column("old").slice(k, 1))
+                old[b.column("part")[k].as_py()] = {f: v.copy() for f, v in _unpacked(x, 0).items()}
+            flat = b.filter(pa.array(~had))
+            part, word, code, n = (flat.column(f).to_numpy(zero_copy_only=False) for f in ("part", "word", "code", "n"))
+            order = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.diff(part[order])) + 1
+            for at in np.split(order, cuts) if len(order) else []:
+                added.setdefault(int(part[at[0]]), []).append((word[at], code[at].astype(np.int64), n[at]))
+        for part in sorted({*old, *added}):
+            o = old.pop(part, None)
+            word, code, n = (np.concatenate(x) for x in zip(*added.pop(part, [(np.empty(0, np.int64),) * 3])))
+            to = code == 3 * c + 1
+            of, klass = word[to], n[to]
+            if o is None:
+                o = {"word": np.unique(of), "cls": np.zeros(len(of), np.int32), "start": np.zeros(len(of) + 1, np.int64), "code": np.empty(0, np.int32), "n": np.empty(0, np.int64)}
+            o["cls"][np.searchsorted(o["word"], of)] = klass
+            wide = 3 * c + 1
+            key = np.concatenate((np.repeat(np.arange(len(o["word"])), np.diff(o["start"])) * wide + o["code"], np.searchsorted(o["word"], word[~to]) * wide + code[~to]))
+            n = np.concatenate((o["n"], n[~to]))
+            order = np.argsort(key, kind="stable")
+            key, n = key[order], n[order]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+            key, n = key[first], np.add.reduceat(n, first) if len(first) else n
+            key, n = key[n != 0], n[n != 0]
+            at, code = np.divmod(key, wide)
+            got = {"word": o["word"], "cls": o["cls"], "start": np.searchsorted(at, np.arange(len(o["word"]) + 1)), "code": code, "n": n}
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([got[f].astype(kind).tobytes()], pa.binary()) for f, kind in KINDS.items())], names=["part", *KINDS])
+
+    return stage(rows.repartitionById(parts, F.col("part")).mapInArrow(run, STATE), "lm-contexts")
+
+
+def _part(word: str, parts: int):
+    return F.pmod(F.xxhash64(word), F.lit(parts)).cast("int").alias("part")
+
+
+def _dense(b: pa.RecordBatch, c: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Word, class, times after itself, and words x 3c counts, some words at a time."""
+    for row in range(b.num_rows):
+        x = _unpacked(b, row)
+        for k in range(0, len(x["word"]), 4096):
+            e = min(k + 4096, len(x["word"]))
+            start = x["start"][k:e + 1]
+            out = np.zeros((e - k, 3 * c + 1))
+            out[np.repeat(np.arange(e - k), np.diff(start)), x["code"][start[0]:start[-1]]] = x["n"][start[0]:start[-1]]
+            yield x["word"][k:e], x["cls"][k:e], out[:, 3 * c], out[:, :3 * c]
 
 
 def _class_bigrams(contexts: DataFrame, c: int) -> np.ndarray:
@@ -362,9 +439,9 @@ def _class_bigrams(contexts: DataFrame, c: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = np.zeros((c, c))
         for b in batches:
-            cls, _, n = _dense(b, c)
-            hot = np.eye(c)[cls]
-            g += hot.T @ n[:, :c] + n[:, c:2 * c].T @ hot
+            for _, cls, _, n in _dense(b, c):
+                hot = np.eye(c)[cls]
+                g += hot.T @ n[:, :c] + n[:, c:2 * c].T @ hot
         at = np.flatnonzero(g)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(g.ravel()[at].astype(np.int64), pa.int64())], names=["code", "n"])
 
@@ -374,43 +451,76 @@ def _class_bigrams(contexts: DataFrame, c: int) -> np.ndarray:
     return g.reshape(c, c)
 
 
-def _proposals(contexts: DataFrame, g: np.ndarray, c: int) -> DataFrame:
+def _moves(contexts: DataFrame, g: np.ndarray, c: int, share: int, turn: int) -> DataFrame:
+    """(word, cls, to) of the words whose best class is another, of one of ``share`` hash groups."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                cls, s, n = _dense(b, c)
+            for word, cls, s, n in _dense(b, c):
+                mixed = (word.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+                pick = np.flatnonzero(mixed % np.uint64(share) == turn % share)
+                word, cls, s, n = word[pick], cls[pick], s[pick], n[pick]
                 to = best_classes(n[:, :c], n[:, c:2 * c] + n[:, 2 * c:], s, cls, g, c - 1)
-                yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(cls, pa.int32()), pa.array(to, pa.int32())], names=["word", "cls", "to"])
+                go = to != cls
+                yield pa.RecordBatch.from_arrays([pa.array(word[go]), pa.array(cls[go], pa.int32()), pa.array(to[go], pa.int32())], names=["word", "cls", "to"])
 
     return stage(contexts.mapInArrow(run, "word long, cls int, to int"), "lm-moves")
 
 
+def _changes(links: DataFrame, moves: DataFrame, parts: int, c: int) -> DataFrame:
+    """What the moves add to the contexts of the movers' neighbours and take from
+    them, added up, and the movers' classes: (part, word, code, n)."""
+    def side(mover: str, other: str, base: int) -> DataFrame:
+        met = links.join(moves.withColumnRenamed("word", mover), mover)
+        return met.select(F.col(other).alias("word"), F.inline(F.array(F.struct((F.col("cls") + base).alias("code"), (-F.col("n")).alias("n")),
+                                                                       F.struct((F.col("to") + base).alias("code"), F.col("n").alias("n")))))
+
+    both = side("word", "other", 2 * c).union(side("other", "word", 0)).groupBy("word", "code").agg(F.sum("n").alias("n")).where("n <> 0")
+    return both.union(moves.select("word", F.lit(3 * c + 1), F.col("to").cast("long"))).select(_part("word", parts), "word", "code", "n")
+
+
 def exchange_rest(met: DataFrame, start: DataFrame, heads: np.ndarray, p: LmParams) -> tuple[DataFrame, np.ndarray]:
     """(word, cls) of every word beyond the head from its class in ``start``, and
     the class bigrams of all tokens; ``met`` are the words' neighbours, ``heads``
     the class bigrams of heads and ends."""
-    c = p.classes + 1
-    good = best = g = moves = None
-    now, share = start, 1
-    while True:
-        met.sparkSession.sparkContext._jvm.System.gc()     # lets Spark delete the shuffle files of earlier rounds
-        contexts = _contexts(met, now, c)
-        new = heads + _class_bigrams(contexts, c)
-        value = likelihood(new)
-        if best is None or value > best + 1e-12 * _xlogx(new.sum()):      # by more than rounding
-            small = best is not None and value - best <= p.settled * new.sum()
-            good, best, g, share = now, value, new, 1
-            if small:
-                return good, g
-            moves = _proposals(contexts, g, c)
-            if moves.where("cls <> to").isEmpty():
-                return good, g
-        elif share == 64:
-            return good, g
-        else:
-            share *= 2
-        pick = F.lit(True) if share == 1 else F.pmod(F.xxhash64("word", F.lit(share)), F.lit(share)) == 0
-        now = moves.select("word", F.when(pick, F.col("to")).otherwise(F.col("cls")).alias("cls"))
+    spark, c = met.sparkSession, p.classes + 1
+    parts = max(8, start.count() // PART_WORDS)
+    links = met.where("link").select("word", "other", "n")
+    rows = met.where("not link").select("word", F.col("other").cast("int").alias("code"), "n").union(start.select("word", F.lit(3 * c + 1), F.col("cls").cast("long")))
+    none = F.lit(None).cast(f"struct<{STATE.replace(' ', ':').replace(',:', ',')}>").alias("old")
+    flat = [F.lit(None).cast(t).alias(f) for f, t in (("word", "long"), ("code", "int"), ("n", "long"))]
+    with batches_of(spark, 20_000):
+        contexts = _contexts(rows.select(_part("word", parts), "word", "code", "n", none), parts, c)
+        g = heads + _class_bigrams(contexts, c)
+        value, share, turn, gains = likelihood(g), 1, 0, []
+        while True:
+            moves = _moves(contexts, g, c, share, turn)
+            gain, new = 0.0, None
+            if not moves.isEmpty():
+                packed = contexts.select("part", *flat, F.struct(*contexts.columns).alias("old"))
+                new = _contexts(_changes(links, moves, parts, c).select("*", none).union(packed), parts, c)
+                after = heads + _class_bigrams(new, c)
+                gain = likelihood(after) - value
+                if gain <= 1e-12 * _xlogx(after.sum()):        # no more than rounding: taken back
+                    discard(new, moves)
+                    if share == 64:
+                        break
+                    share *= 2
+                    continue
+                discard(contexts)
+                contexts, g, value = new, after, value + gain
+            discard(moves)
+            gains.append(gain)
+            if len(gains) > 2 and sum(gains[-share:]) <= p.settled * g.sum():
+                break
+            share, turn = max(2, share // 2), turn + 1
+
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in range(b.num_rows):
+                x = _unpacked(b, row)
+                yield pa.RecordBatch.from_arrays([pa.array(x["word"]), pa.array(x["cls"])], names=["word", "cls"])
+
+    return contexts.mapInArrow(classes, "word long, cls int"), g
 
 
 def first_classes(counts: DataFrame, lookup, cls: np.ndarray, seed: int, p: LmParams) -> DataFrame:
@@ -439,10 +549,7 @@ def fit(train: DataFrame, text: str = "text", params: LmParams = LmParams()):
     counts = stage(word_counts(texts), "word-counts")
     heads, top = head_words(counts, p.head), frequent(counts, p.lookup)
     top = top if len(top) > len(heads) else heads
-    more = []
-    if counts.count() <= SMALL:
-        more = sorted({bytes(r.word) for r in counts.where("word is not null").collect()} - {w for w, _ in top})
-    look = Lookup(top, p, more)
+    look = Lookup(top, p)
     lookup = train.sparkSession.sparkContext.broadcast(look)
     big = unit_bigrams(texts, lookup, p)
     cls = exchange(big, p)
@@ -453,17 +560,17 @@ def fit(train: DataFrame, text: str = "text", params: LmParams = LmParams()):
     while not first.where("id < 0").groupBy("id").count().where("count > 1").isEmpty():     # no two words share a number
         seed += 1
         first = first_classes(counts, lookup, cls, seed, p)
-    met = stage(neighbours(texts, lookup, cls, seed, p), "lm-neighbours")
+    met = stage(neighbours(texts, lookup, cls, seed, p), "lm-neighbours", "link")
     rest, g = exchange_rest(met, first.where("id is not null").select(F.col("id").alias("word"), "cls"), hot.T @ big[np.ix_(known, known)] @ hot, p)
     rest = rest.select(F.col("word").alias("id"), F.col("cls").alias("own"))
     table = stage(first.join(rest, "id", "left").select("word", "n", F.coalesce("own", "cls").alias("cls")), "lm-words")
+    discard(first, met)
     mass, types = np.zeros(p.classes + 1), np.zeros(p.classes + 1)
     for r in table.groupBy("cls").agg(F.sum("n").alias("mass"), F.count(F.lit(1)).alias("types")).collect():     # at most one row a class
         mass[r.cls], types[r.cls] = r.mass, r.types
     cls = np.concatenate((cls, np.zeros(len(look.bucket) - len(cls), int)))
     if len(cls) > p.units + 1:
-        least = 0 if more else int(look.counts[:-1].min())
-        got = table.where(F.col("word").isNotNull() & (F.col("n") >= least) & (F.lit(bool(more)) | (F.length("word") <= LONGEST))).select("word", "cls").toPandas()     # the words of the lookup
+        got = table.where(F.col("word").isNotNull() & (F.col("n") >= int(look.counts[:-1].min()))).select("word", "cls").toPandas()     # the words of the lookup
         units = np.concatenate([look.places([bytes(w) for w in got.word])[1], np.empty(0, np.int32)]).astype(int)
         use = units > p.units
         cls[units[use]] = got.cls.to_numpy()[use]
@@ -495,7 +602,7 @@ def score(df: DataFrame, fitted, doc_id: str = "doc_id", text: str = "text") ->
         for b in batches:
             docs, rare_rows = [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
-                tokens = words(t.as_py())
+                tokens = keys(t.as_py())
                 at, units, rare = look.places(tokens)
                 c = cls[np.concatenate(([p.units], units, [p.units]))]
                 known = np.concatenate(([True], at != miss, [True]))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,17 +46,30 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(fold(doc_id, modulus) == remainder, F.lit(False))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, *by: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.  Later
-    jobs depend on those files, not on shuffle output of lost executors."""
+    jobs depend on those files, not on shuffle output of lost executors.  ``by``
+    are last columns that get folders of their own."""
     spark = df.sparkSession
     path = workspace(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of up to ``rows`` rows, for jobs on narrow ones that run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 def discard(*staged: DataFrame) -> None:
     """Delete tables that ``stage`` has written.  Only for those whose successors
     are staged as well: no frame that is still to be computed may read them."""
