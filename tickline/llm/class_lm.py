@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickline.llm.common import batches_of, discard, stage, words
+from tickline.llm.common import discard, settings, stage, words
 
 LONGEST = 64               # bytes up to which a word stands for itself
 FLUSH = 200_000            # different words a counting task holds
@@ -368,6 +368,8 @@ def best_classes(r0: np.ndarray, q0: np.ndarray, s: np.ndarray, a: np.ndarray, g
     return np.where(gain[i, best] > gain[i, a] + 1e-9 * np.abs(gain[i, a]), best, a)
 
 
+#: Narrow rows go in large Arrow batches; a round's shuffle files go with its jobs.
+ROUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "20000", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 PART_WORDS = 150_000       # words of one row of the contexts table, on average
 STATE = "part int, word binary, cls binary, start binary, code binary, n binary"
 KINDS = {"word": np.int64, "cls": np.int32, "start": np.int64, "code": np.int32, "n": np.int64}
@@ -488,7 +490,7 @@ def exchange_rest(met: DataFrame, start: DataFrame, heads: np.ndarray, p: LmPara
     rows = met.where("not link").select("word", F.col("other").cast("int").alias("code"), "n").union(start.select("word", F.lit(3 * c + 1), F.col("cls").cast("long")))
     none = F.lit(None).cast(f"struct<{STATE.replace(' ', ':').replace(',:', ',')}>").alias("old")
     flat = [F.lit(None).cast(t).alias(f) for f, t in (("word", "long"), ("code", "int"), ("n", "long"))]
-    with batches_of(spark, 20_000):
+    with settings(spark, ROUNDS):
         contexts = _contexts(rows.select(_part("word", parts), "word", "code", "n", none), parts, c)
         g = heads + _class_bigrams(contexts, c)
         value, share, turn, gains = likelihood(g), 1, 0, []

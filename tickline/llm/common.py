@@ -59,15 +59,16 @@ def stage(df: DataFrame, name: str, *by: str) -> DataFrame:
 
 
 @contextmanager
-def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Arrow batches of up to ``rows`` rows, for jobs on narrow ones that run inside."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    was = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs that run inside."""
+    was = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(name, was)
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def discard(*staged: DataFrame) -> None:
