@@ -368,8 +368,8 @@ def best_classes(r0: np.ndarray, q0: np.ndarray, s: np.ndarray, a: np.ndarray, g
     return np.where(gain[i, best] > gain[i, a] + 1e-9 * np.abs(gain[i, a]), best, a)
 
 
-#: Narrow rows go in large Arrow batches; a round's shuffle files go with its jobs.
-ROUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "20000", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+CLEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}      # shuffle files go with their jobs
+ROUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "20000"}               # narrow rows go in large batches
 PART_WORDS = 150_000       # words of one row of the contexts table, on average
 STATE = "part int, word binary, cls binary, start binary, code binary, n binary"
 KINDS = {"word": np.int64, "cls": np.int32, "start": np.int64, "code": np.int32, "n": np.int64}
@@ -424,16 +424,21 @@ def _part(word: str, parts: int):
     return F.pmod(F.xxhash64(word), F.lit(parts)).cast("int").alias("part")
 
 
-def _dense(b: pa.RecordBatch, c: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Word, class, times after itself, and words x 3c counts, some words at a time."""
+def _dense(b: pa.RecordBatch, c: int, share: int, turn: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Word, class, times after itself, and words x 3c counts, some words at a
+    time, of the words of one of ``share`` hash groups."""
     for row in range(b.num_rows):
         x = _unpacked(b, row)
-        for k in range(0, len(x["word"]), 4096):
-            e = min(k + 4096, len(x["word"]))
-            start = x["start"][k:e + 1]
-            out = np.zeros((e - k, 3 * c + 1))
-            out[np.repeat(np.arange(e - k), np.diff(start)), x["code"][start[0]:start[-1]]] = x["n"][start[0]:start[-1]]
-            yield x["word"][k:e], x["cls"][k:e], out[:, 3 * c], out[:, :3 * c]
+        mixed = (x["word"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+        picked = np.flatnonzero(mixed % np.uint64(share) == turn % share)
+        for k in range(0, len(picked), 4096):
+            at = picked[k:k + 4096]
+            size = x["start"][at + 1] - x["start"][at]
+            of = np.repeat(np.arange(len(at)), size)
+            cell = np.arange(len(of)) + np.repeat(x["start"][at] - (np.cumsum(size) - size), size)
+            out = np.zeros((len(at), 3 * c + 1))
+            out[of, x["code"][cell]] = x["n"][cell]
+            yield x["word"][at], x["cls"][at], out[:, 3 * c], out[:, :3 * c]
 
 
 def _class_bigrams(contexts: DataFrame, c: int) -> np.ndarray:
@@ -441,9 +446,10 @@ def _class_bigrams(contexts: DataFrame, c: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = np.zeros((c, c))
         for b in batches:
-            for _, cls, _, n in _dense(b, c):
-                hot = np.eye(c)[cls]
-                g += hot.T @ n[:, :c] + n[:, c:2 * c].T @ hot
+            for row in range(b.num_rows):
+                x, wide = _unpacked(b, row), 3 * c + 1
+                n = np.bincount(np.repeat(x["cls"], np.diff(x["start"])) * wide + x["code"], weights=x["n"], minlength=c * wide).reshape(c, wide)
+                g += n[:, :c] + n[:, c:2 * c].T
         at = np.flatnonzero(g)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(g.ravel()[at].astype(np.int64), pa.int64())], names=["code", "n"])
 
@@ -457,10 +463,7 @@ def _moves(contexts: DataFrame, g: np.ndarray, c: int, share: int, turn: int) ->
     """(word, cls, to) of the words whose best class is another, of one of ``share`` hash groups."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for word, cls, s, n in _dense(b, c):
-                mixed = (word.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-                pick = np.flatnonzero(mixed % np.uint64(share) == turn % share)
-                word, cls, s, n = word[pick], cls[pick], s[pick], n[pick]
+            for word, cls, s, n in _dense(b, c, share, turn):
                 to = best_classes(n[:, :c], n[:, c:2 * c] + n[:, 2 * c:], s, cls, g, c - 1)
                 go = to != cls
                 yield pa.RecordBatch.from_arrays([pa.array(word[go]), pa.array(cls[go], pa.int32()), pa.array(to[go], pa.int32())], names=["word", "cls", "to"])
@@ -492,6 +495,7 @@ def exchange_rest(met: DataFrame, start: DataFrame, heads: np.ndarray, p: LmPara
     flat = [F.lit(None).cast(t).alias(f) for f, t in (("word", "long"), ("code", "int"), ("n", "long"))]
     with settings(spark, ROUNDS):
         contexts = _contexts(rows.select(_part("word", parts), "word", "code", "n", none), parts, c)
+        discard(met, folder="link=false")
         g = heads + _class_bigrams(contexts, c)
         value, share, turn, gains = likelihood(g), 1, 0, []
         while True:
@@ -546,7 +550,11 @@ def first_classes(counts: DataFrame, lookup, cls: np.ndarray, seed: int, p: LmPa
 def fit(train: DataFrame, text: str = "text", params: LmParams = LmParams()):
     """(model, lookup broadcast, table of words with counts and classes) learned
     from all rows of ``train``."""
-    p = params
+    with settings(train.sparkSession, CLEAN):
+        return _fit(train, text, params)
+
+
+def _fit(train: DataFrame, text: str, p: LmParams):
     texts = train.select(F.col(text).cast("string").alias("text"))
     counts = stage(word_counts(texts), "word-counts")
     heads, top = head_words(counts, p.head), frequent(counts, p.lookup)

@@ -71,12 +71,13 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def discard(*staged: DataFrame) -> None:
-    """Delete tables that ``stage`` has written.  Only for those whose successors
-    are staged as well: no frame that is still to be computed may read them."""
+def discard(*staged: DataFrame, folder: str = "") -> None:
+    """Delete tables (or one ``folder`` of them) that ``stage`` has written.  Only for
+    those whose successors are staged as well: no frame that is still to be
+    computed may read them."""
     for df in staged:
         jvm = df.sparkSession.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path = jvm.org.apache.hadoop.fs.Path(f"{df.staged_at}/{folder}")
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
