@@ -618,6 +618,15 @@ def test_contexts_after_moves_are_those_counted_anew(spark):
         assert np.allclose(10 ** model.trans[use], (g / g.sum(axis=1, keepdims=True))[use])
 
 
+def test_scores_without_training_rows(spark):
+    setup(spark)
+    none = spark.createDataFrame([], "doc_id long, text string")
+    fitted = class_lm.fit(none, params=class_lm.LmParams(head=4, endings=4, classes=3, lookup=4))
+    got = class_lm.score(docs_of(spark, [(1, "a b", None, None), (2, None, None, None)]), fitted).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in got) == [(1, 3, 0, 0), (2, 1, 0, 0)]
+    assert all(np.isfinite(r.score) for r in got)
+
+
 def test_head_words_need_no_level_of_counts(spark):
     df = docs_of(spark, [(k, "one two three four", None, None) for k in range(3)])
     _, lookup, _ = class_lm.fit(df, params=class_lm.LmParams(head=3, endings=2, classes=2, lookup=2))
