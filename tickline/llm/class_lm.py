@@ -37,20 +37,21 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickline.llm.common import discard, settings, stage, words
 
 LONGEST = 64               # bytes up to which a word stands for itself
-FLUSH = 200_000            # different words a counting task holds
+CHUNK = 12_000_000         # bytes of text that a task takes at once
+RARE = 1 << 60             # numbers of words that have no place in the lookup start here
 LEVELS = 100_000           # counts from here on are one level of the threshold search
 
 
@@ -79,22 +80,48 @@ def keys(text: str | None) -> list[bytes]:
     return found
 
 
+def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined until their texts, the last column, have ``size`` bytes."""
+    held, nbytes = [], 0
+    for b in batches:
+        b = b.set_column(b.num_columns - 1, "text", b.column(b.num_columns - 1).cast(pa.large_string()))
+        held.append(b)
+        nbytes += b.column(b.num_columns - 1).nbytes
+        if nbytes >= size:
+            yield pa.concat_batches(held)
+            held, nbytes = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def tokenised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The words of ``keys`` for many texts: of each token the place of its word in
+    the third result and the place of its text."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))       # at exactly the six bytes of the word rule
+    coded = found.flatten().dictionary_encode()
+    word = coded.indices.to_numpy()
+    text = np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(found).to_numpy())
+    empty = pc.index(coded.dictionary, pa.scalar("", pa.large_string())).as_py()     # white space at an end
+    if empty >= 0:
+        word, text = word[word != empty], text[word != empty]
+    distinct = coded.dictionary.cast(pa.large_binary())
+    if len(distinct) and pc.max(pc.binary_length(distinct)).as_py() > LONGEST:
+        distinct = pa.array([w if len(w) <= LONGEST else keys(w.decode())[0] for w in distinct.to_pylist()], pa.large_binary())
+    return word, text, distinct
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over all ``text``; the end has a null word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
         ends = 0
-        schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-        for b in batches:
-            for t in b.column(0):
-                seen.update(keys(t.as_py()))
-                ends += 1
-            if len(seen) > FLUSH:
-                yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], schema=schema)
-                seen = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array([*seen.keys(), None], pa.binary()), pa.array([*seen.values(), ends], pa.int64())], schema=schema)
+        for b in chunks(batches, 2 * CHUNK):
+            word, _, distinct = tokenised(b.column(0))
+            n = np.bincount(word, minlength=len(distinct))
+            yield pa.RecordBatch.from_arrays([distinct.cast(pa.binary()), pa.array(n, pa.int64())], names=["word", "n"])
+            ends += b.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([ends], pa.int64())], names=["word", "n"])
 
-    return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
+    return texts.mapInArrow(run, "word binary, n long").where("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
@@ -125,8 +152,8 @@ def ending(word: bytes, p: LmParams) -> int:
 
 
 def word_number(word: bytes, seed: int) -> int:
-    """A negative number for a word that has no place in the lookup."""
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8, salt=seed.to_bytes(8)).digest(), signed=True) | -1 << 63
+    """A number from ``RARE`` on for a word that has no place in the lookup."""
+    return RARE | int.from_bytes(hashlib.blake2b(word, digest_size=8, salt=seed.to_bytes(8)).digest()) >> 4
 
 
 class Lookup:
@@ -141,6 +168,19 @@ class Lookup:
         self.unit = np.array([k if k < p.head else p.units + 1 + k - p.head for k in range(len(top))] + [0], np.int32)
         self.bucket = np.array([*range(p.units + 1), *(ending(w, p) for w, _ in top[p.head:])], np.int32)
 
+    def found(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``places`` of the words of an Arrow array, with the places in it of those that are not there."""
+        if not hasattr(self, "values"):
+            self.values = pa.array(list(self.at), pa.large_binary())
+        miss = len(self.at)
+        at = pc.fill_null(pc.index_in(distinct, value_set=self.values), miss).to_numpy().astype(np.int64)
+        units, rare = self.unit[at], np.flatnonzero(at == miss)
+        units[rare] = [ending(w, self.p) for w in distinct.take(pa.array(rare)).to_pylist()]
+        return at, units, rare
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "values"}
+
     def places(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, bytes]]]:
         """Place in the lookup of each token (the last place if it is not
         there), its unit, and the tokens that are not there."""
@@ -153,29 +193,23 @@ class Lookup:
         return at, units, rare
 
 
+def between(of: np.ndarray, text: np.ndarray, texts: int, end: int) -> np.ndarray:
+    """One row of all texts' tokens ``of`` with ``end`` before the first text and after each."""
+    out = np.full(len(of) + texts + 1, end, of.dtype)
+    out[np.arange(len(of)) + text + 1] = of
+    return out
+
+
 def unit_bigrams(texts: DataFrame, lookup, p: LmParams) -> np.ndarray:
     """Matrix of unit bigrams over all ``text``, ends included."""
     size = p.units + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look, total = lookup.value, np.zeros(size * size, np.int64)
-        held, codes = 0, []
-
-        def add():
-            code, n = np.unique(np.concatenate(codes), return_counts=True)
-            total[code] += n
-
-        for b in batches:
-            for t in b.column(0):
-                _, units, _ = look.places(keys(t.as_py()))
-                seq = np.concatenate(([p.units], look.bucket[units], [p.units])).astype(np.int64)
-                codes.append(seq[:-1] * size + seq[1:])
-                held += len(seq)
-            if held > 2_000_000:
-                add()
-                held, codes = 0, []
-        if codes:
-            add()
+        for b in chunks(batches, CHUNK):
+            word, text, distinct = tokenised(b.column(0))
+            seq = between(look.bucket[look.found(distinct)[1]][word], text, b.num_rows, p.units).astype(np.int64)
+            total += np.bincount(seq[:-1] * size + seq[1:], minlength=size * size)
         at = np.flatnonzero(total)
         for k in range(0, len(at), 100_000):
             part = at[k:k + 100_000]
@@ -258,52 +292,84 @@ def likelihood(g: np.ndarray) -> float:
     return float(_xlogx(g).sum() - _xlogx(g.sum(axis=0)).sum() - _xlogx(g.sum(axis=1)).sum())
 
 
-def neighbours(texts: DataFrame, lookup, cls: np.ndarray, seed: int, p: LmParams) -> DataFrame:
-    """(word, other, n, link) over all ``text``, of words beyond the head by number.
-    A link: ``other``, beyond the head too, follows the word.  Else ``other`` is a
-    code of the first classes: one that follows; from classes + 1 on, one of a head
-    word or end that precedes; from twice that on, of another word that precedes;
+def pack(x: np.ndarray, width: int) -> bytes:
+    """Numbers from 0 on in ``width`` bytes each, equal places together; larger ones follow in 8."""
+    top = (1 << 8 * width) - 1
+    low = np.minimum(x, top).astype("<i8")
+    return len(x).to_bytes(8, "little") + low.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes() + np.asarray(x, "<i8")[low == top].tobytes()
+
+
+def unpack(packed, width: int) -> np.ndarray:
+    size, top = int.from_bytes(packed[:8], "little"), (1 << 8 * width) - 1
+    out = np.zeros((size, 8), np.uint8)
+    out[:, :width] = np.frombuffer(packed, np.uint8, size * width, 8).reshape(width, size).T
+    out = out.view("<i8").ravel()
+    out[out == top] = np.frombuffer(packed, "<i8", -1, 8 + size * width)
+    return out
+
+
+def part_of(number: np.ndarray, parts: int) -> np.ndarray:
+    return ((number.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(33)).astype(np.int64) % parts
+
+
+#: A row for each part of the words, by hash: sorted word numbers, their classes, how many
+#: contexts each has, the contexts' codes and counts, how many links, their other words
+#: (times 2, plus 1 if the other word precedes) and counts; with packed bytes a number.
+STATE = {"word": 3, "cls": 1, "size": 1, "code": 1, "n": 1, "reach": 1, "far": 3, "times": 1}
+#: Rows for a part: its state as it was; counts, links or classes of some of its words.
+OLD, ADDED, LINKS, MOVED, CLASSES = range(5)
+WIDTHS = {ADDED: (3, 1, 1), LINKS: (3, 3, 1), MOVED: (3, 2, 1), CLASSES: (3, 1, 1)}
+ROWS = f"part int, kind int, {', '.join(f'{f} binary' for f in STATE)}"
+WORDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "100000"}    # words alone are short
+NARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}      # packed rows are long
+
+
+def _batch(part: int, kind: int, fields: dict[str, bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([kind], pa.int32()), *(pa.array([fields.get(f)], pa.binary()) for f in STATE)],
+                                      names=["part", "kind", *STATE])
+
+
+def _sent(kind: int, parts: int, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row of ``kind`` for each part that has some of the words."""
+    part = part_of(word, parts)
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    for k in np.flatnonzero(np.diff(cuts)):
+        at = order[cuts[k]:cuts[k + 1]]
+        yield _batch(int(k), kind, {f: pack(x[at], w) for f, x, w in zip(("word", "code", "n"), (word, code, n), WIDTHS[kind])})
+
+
+def neighbours(texts: DataFrame, lookup, cls: np.ndarray, seed: int, parts: int, p: LmParams) -> DataFrame:
+    """Packed rows for the parts over all ``text``, of words beyond the head by number.
+    ``LINKS``: a word beyond the head too that follows or precedes the word.
+    ``ADDED``, a code of the first classes: one that follows; from classes + 1 on, one of a
+    head word or end that precedes; from twice that on, of another word that precedes;
     from three times that on, the word after itself."""
     c = p.classes + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = lookup.value
         first = len(look.at)
-        own, held, codes, links = {}, 0, [], []
-
-        def out():
-            number = np.concatenate((np.arange(first), np.fromiter((word_number(w, seed) for w in own), np.int64, len(own))))
-            for found, wide in ((codes, 3 * c + 1), (links, 1 << 32)):
-                code, n = np.unique(np.concatenate(found), return_counts=True)
-                for k in range(0, len(code), 100_000):
-                    word, other = np.divmod(code[k:k + 100_000], wide)
-                    yield pa.RecordBatch.from_arrays([pa.array(number[word]), pa.array(other if found is codes else number[other]), pa.array(n[k:k + 100_000], pa.int64()),
-                                                      pa.array(np.full(len(word), found is links))], names=["word", "other", "n", "link"])
-
-        for b in batches:
-            for t in b.column(0):
-                at, units, rare = look.places(keys(t.as_py()))
-                for k, w in rare:
-                    at[k] = own.setdefault(w, len(own)) + first
-                tail = np.concatenate(([False], at >= look.head, [False]))
-                at = np.concatenate(([0], at, [0]))
-                klass = cls[np.concatenate(([p.units], look.bucket[units], [p.units]))]
-                here = np.flatnonzero(tail)
-                word = at[here] * (3 * c + 1)
-                both = tail[:-1] & tail[1:]
-                a, z = at[:-1][both], at[1:][both]
-                codes += [word + klass[here + 1], word + klass[here - 1] + np.where(tail[here - 1], 2 * c, c), a[a == z] * (3 * c + 1) + 3 * c]
-                links.append((a << 32) | z)
-                held += len(units)
-            if held > 3_000_000:
-                yield from out()
-                own, held = {}, 0
-                codes.clear()
-                links.clear()
-        if held:
-            yield from out()
-
-    return texts.mapInArrow(run, "word long, other long, n long, link boolean").groupBy("word", "other", "link").agg(F.sum("n").alias("n")).select("word", "other", "n", "link")
+        for b in chunks(batches, CHUNK):
+            of, text, distinct = tokenised(b.column(0))
+            at, units, rare = look.found(distinct)
+            number = np.concatenate((np.arange(first), np.array([word_number(w, seed) for w in distinct.take(pa.array(rare)).to_pylist()], np.int64)))
+            at[rare] = np.arange(first, len(number))           # from here on, places in ``number``
+            klass = between(cls[look.bucket[units]][of], text, b.num_rows, p.classes)
+            at = between(at[of], text, b.num_rows, -1)
+            tail = at >= look.head
+            here = np.flatnonzero(tail)
+            word = at[here] * (3 * c + 1)
+            both = tail[:-1] & tail[1:]
+            a, z = at[:-1][both], at[1:][both]
+            code, n = np.unique(np.concatenate((word + klass[here + 1], word + klass[here - 1] + np.where(tail[here - 1], 2 * c, c), a[a == z] * (3 * c + 1) + 3 * c)), return_counts=True)
+            word, code = np.divmod(code, 3 * c + 1)
+            yield from _sent(ADDED, parts, number[word], code, n)
+            code, n = np.unique((a << 32) | z, return_counts=True)
+            a, z = number[code >> 32], number[code & 0xFFFFFFFF]
+            yield from _sent(LINKS, parts, np.concatenate((a, z)), np.concatenate((z * 2, a * 2 + 1)), np.concatenate((n, n)))
+
+    return texts.mapInArrow(run, ROWS)
 
 
 TABLED = 32                # counts up to here have their terms in a table
@@ -315,53 +381,71 @@ def _steps(x: np.ndarray) -> np.ndarray:
     return _xlogx(x + m) - _xlogx(x)
 
 
-def _rises(table: np.ndarray, base: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """f(base + m) - f(base) for words x classes ``m``; ``table`` are the steps of ``base``."""
-    out = table[np.minimum(m, TABLED).astype(int), np.arange(len(base))]
-    w, b = np.nonzero(m > TABLED)
-    out[w, b] = _xlogx(base[b] + m[w, b]) - _xlogx(base[b])
-    return out
+class _Steps:
+    """Tables of steps by the class bigrams ``g``, for classes under ``k``."""
+
+    def __init__(self, g: np.ndarray, k: int):
+        self.cells = []
+        for grid in (g, g.T):
+            table = _steps(grid[:k].T)                         # m, c, b
+            table[:, np.arange(k), np.arange(k)] = 0.0
+            self.cells.append(table)
+        self.totals = [_steps(g.sum(axis=1)[:k]), _steps(g.sum(axis=0)[:k])]
+
 
+FEW = 3                    # counts up to here are added up for all words at once
 
-def best_classes(r0: np.ndarray, q0: np.ndarray, s: np.ndarray, a: np.ndarray, g: np.ndarray, k: int) -> np.ndarray:
+
+def best_classes(r0: np.ndarray, q0: np.ndarray, s: np.ndarray, a: np.ndarray, g: np.ndarray, k: int, steps: _Steps | None = None) -> np.ndarray:
     """The best class under ``k`` of every word, all others staying: ``r0`` and
     ``q0`` (words x classes) count what follows and precedes, ``s`` the word
     after itself, ``a`` is the class it has.  The sums are those of ``exchange``;
     steps by small counts are looked up, and only those that the word's own leaving
     changes are worked out."""
+    steps = steps or _Steps(g, k)
     i = np.arange(len(a))
     r, q = r0.copy(), q0.copy()
     r[i, a] -= s
     q[i, a] -= s
-    gain = np.zeros((len(a), k))
+    gain, staying = np.zeros((len(a), k)), np.zeros(len(a))
     # Row b gets r and column b gets q; only what a word meets changes a cell.
-    for grid, x, y0 in ((g, r, q0), (g.T, q, r0)):
-        w, c = np.nonzero(x)
-        if not len(w):
-            continue
+    for grid, table, x, y0 in ((g, steps.cells[0], r, q0), (g.T, steps.cells[1], q, r0)):
+        w, c = np.divmod(np.flatnonzero((x != 0).ravel()), x.shape[1])
         n = x[w, c]
-        table = _steps(grid[:k].T)                             # m, c, b
-        table[:, np.arange(k), np.arange(k)] = 0.0
-        term = table[np.minimum(n, TABLED).astype(int), c]
         own = c == a[w]
-        whole = np.flatnonzero(own | (n > TABLED))             # a cell that the word leaves, or a count beyond the table
-        rest = grid[:k, c[whole]].T - np.where(own[whole][:, None], y0[w[whole], :k], 0.0)
-        rest = np.maximum(rest, 0)
-        term[whole] = _xlogx(rest + n[whole, None]) - _xlogx(rest)
-        inner = whole[c[whole] < k]
-        term[inner, c[inner]] = 0.0
+        plain = x.copy()
+        plain[i, a] = 0.0
+        for m in range(1, FEW + 1):
+            at = np.flatnonzero(np.bincount(w[(n == m) & ~own], minlength=len(a)))
+            if len(at):
+                gain[at] += (plain[at] == m).astype(float) @ table[m]
+        more = np.flatnonzero(own | (n > FEW))
+        whole = more[own[more] | (n[more] > TABLED)]           # a cell that the word leaves, or a count beyond the table
+        looked = more[~own[more] & (n[more] <= TABLED)]
+        term = np.empty((len(more), k))
+        if len(more):
+            at = np.flatnonzero(own[more] | (n[more] > TABLED))
+            rest = grid[:k, c[whole]].T - np.where(own[whole][:, None], y0[w[whole], :k], 0.0)
+            rest = np.maximum(rest, 0)
+            cell = _xlogx(rest + n[whole, None]) - _xlogx(rest)
+            inner = np.flatnonzero(c[whole] < k)
+            cell[inner, c[whole[inner]]] = 0.0
+            term[at] = cell
+            term[np.flatnonzero(~own[more] & (n[more] <= TABLED))] = table[n[looked].astype(int), c[looked]]
+            starts = np.flatnonzero(np.append(True, w[more][1:] != w[more][:-1]))
+            gain[w[more[starts]]] += np.add.reduceat(term, starts, axis=0)
         rest = np.maximum(grid[a[w], c] - n - np.where(own, y0[w, a[w]], 0.0), 0)      # staying: the word's own counts are out first
-        stay = _xlogx(rest + n) - _xlogx(rest)
-        term[np.arange(len(w)), a[w]] = np.where(own, 0.0, stay)
-        starts = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
-        gain[w[starts]] += np.add.reduceat(term, starts, axis=0)
+        staying += np.bincount(w, weights=np.where(own, 0.0, _xlogx(rest + n) - _xlogx(rest)), minlength=len(a))
+    gain[i, a] = staying
     diag, m = np.diag(g)[:k], r[:, :k] + q[:, :k] + s[:, None]
-    d = diag[a] - (r0[i, a] + q0[i, a] - s)
-    rise = _rises(_steps(diag), diag, m)
-    rise[i, a] = _xlogx(d + m[i, a]) - _xlogx(d)
-    gain += rise
-    for total, n in ((g.sum(axis=1)[:k], r0.sum(axis=1)), (g.sum(axis=0)[:k], q0.sum(axis=1))):
-        rise = _rises(_steps(total), total, np.tile(n[:, None], (1, k)))
+    w, c = np.divmod(np.flatnonzero((m != 0).ravel()), k)
+    n, own = m[w, c], c == a[w]
+    d = np.where(own, diag[c] - (r0[w, a[w]] + q0[w, a[w]] - s[w]), diag[c])
+    gain[w, c] += _xlogx(d + n) - _xlogx(d)
+    for total, table, n in ((g.sum(axis=1)[:k], steps.totals[0], r0.sum(axis=1)), (g.sum(axis=0)[:k], steps.totals[1], q0.sum(axis=1))):
+        rise = table[np.minimum(n, TABLED).astype(int)]
+        large = np.flatnonzero(n > TABLED)
+        rise[large] = _xlogx(total + n[large, None]) - _xlogx(total)
         rise[i, a] = _xlogx(total[a]) - _xlogx(total[a] - n)
         gain -= rise
     best = gain.argmax(axis=1)
@@ -369,152 +453,172 @@ def best_classes(r0: np.ndarray, q0: np.ndarray, s: np.ndarray, a: np.ndarray, g
 
 
 CLEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}      # shuffle files go with their jobs
-ROUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "20000"}               # narrow rows go in large batches
-PART_WORDS = 150_000       # words of one row of the contexts table, on average
-STATE = "part int, word binary, cls binary, start binary, code binary, n binary"
-KINDS = {"word": np.int64, "cls": np.int32, "start": np.int64, "code": np.int32, "n": np.int64}
-
-
-def _unpacked(b: pa.RecordBatch, row: int) -> dict[str, np.ndarray]:
-    return {f: np.frombuffer(b.column(f)[row].as_buffer(), kind) for f, kind in KINDS.items()}
-
-
-def _contexts(rows: DataFrame, parts: int, c: int) -> DataFrame:
-    """A row for each part of the words, by hash: sorted word numbers, their classes,
-    and codes and counts of their contexts, from ``start`` to ``start`` of the next word.
-    ``rows`` are (part, word, code, n) to be added up, where code 3 * ``c`` + 1 gives
-    a class, and the packed rows of an earlier table (``old``)."""
+PART_WORDS = 100_000       # words of one part, on average
+
+
+def _unpacked(b: pa.RecordBatch, row: int, fields=tuple(STATE)) -> dict[str, np.ndarray]:
+    return {f: unpack(b.column(f)[row].as_buffer(), STATE[f]) for f in fields}
+
+
+def _sums(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their numbers, but for sums of 0."""
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    if len(key):
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        key, n = key[first], np.add.reduceat(n, first)
+    return key[n != 0], n[n != 0]
+
+
+def _joined(old: dict | None, rows: list[tuple[int, tuple[np.ndarray, np.ndarray, np.ndarray]]], c: int) -> dict[str, np.ndarray]:
+    """A part's state with its rows (kind, (word, code, n)) worked in."""
+    of = {k: [np.concatenate(x) for x in zip(*(r for kind, r in rows if kind == k))] or [np.empty(0, np.int64)] * 3 for k in WIDTHS}
+    wide = 3 * c + 1
+    o = old
+    if o is None:
+        word, klass, _ = of[CLASSES]
+        order = np.argsort(word)
+        o = {"word": word[order], "cls": klass[order], "size": np.zeros(len(word), np.int64), "reach": np.zeros(len(word), np.int64)} | {f: np.empty(0, np.int64) for f in ("code", "n", "far", "times")}
+    places = np.arange(len(o["word"]))
+    at = {k: np.searchsorted(o["word"], of[k][0]) for k in (ADDED, LINKS, MOVED)}
+    if len(at[ADDED]) or len(at[MOVED]):
+        was, to = np.divmod(of[MOVED][1], wide)
+        more, m = _sums(np.concatenate((at[ADDED] * wide + of[ADDED][1], at[MOVED] * wide + was, at[MOVED] * wide + to)), np.concatenate((of[ADDED][2], -of[MOVED][2], of[MOVED][2])))
+        key, n = _sums(np.concatenate((np.repeat(places, o["size"]) * wide + o["code"], more)), np.concatenate((o["n"], m)))
+        o = o | {"size": np.bincount(key // wide, minlength=len(places)), "code": key % wide, "n": n}
+    if len(at[LINKS]):                                         # all come with the first rows
+        order = np.lexsort((of[LINKS][1], at[LINKS]))
+        word, far, n = at[LINKS][order], of[LINKS][1][order], of[LINKS][2][order]
+        first = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (far[1:] != far[:-1])))
+        o = o | {"reach": np.bincount(word[first], minlength=len(places)), "far": far[first], "times": np.add.reduceat(n, first)}
+    return o
+
+
+def _states(rows: DataFrame, parts: int, c: int) -> DataFrame:
+    """A state for each part, from its ``rows``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         old, added = {}, {}
         for b in batches:
-            had = b.column("old").is_valid().to_numpy(zero_copy_only=False)
-            for k in np.flatnonzero(had):
-                x = pa.RecordBatch.from_struct_array(b.column("old").slice(k, 1))
-                old[b.column("part")[k].as_py()] = {f: v.copy() for f, v in _unpacked(x, 0).items()}
-            flat = b.filter(pa.array(~had))
-            part, word, code, n = (flat.column(f).to_numpy(zero_copy_only=False) for f in ("part", "word", "code", "n"))
-            order = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[order])) + 1
-            for at in np.split(order, cuts) if len(order) else []:
-                added.setdefault(int(part[at[0]]), []).append((word[at], code[at].astype(np.int64), n[at]))
+            for k, (part, kind) in enumerate(zip(b.column("part").to_pylist(), b.column("kind").to_pylist())):
+                if kind == OLD:
+                    old[part] = _unpacked(b, k)
+                else:
+                    added.setdefault(part, []).append((kind, tuple(unpack(b.column(f)[k].as_buffer(), w) for f, w in zip(("word", "code", "n"), WIDTHS[kind]))))
         for part in sorted({*old, *added}):
-            o = old.pop(part, None)
-            word, code, n = (np.concatenate(x) for x in zip(*added.pop(part, [(np.empty(0, np.int64),) * 3])))
-            to = code == 3 * c + 1
-            of, klass = word[to], n[to]
-            if o is None:
-                o = {"word": np.unique(of), "cls": np.zeros(len(of), np.int32), "start": np.zeros(len(of) + 1, np.int64), "code": np.empty(0, np.int32), "n": np.empty(0, np.int64)}
-            o["cls"][np.searchsorted(o["word"], of)] = klass
-            wide = 3 * c + 1
-            key = np.concatenate((np.repeat(np.arange(len(o["word"])), np.diff(o["start"])) * wide + o["code"], np.searchsorted(o["word"], word[~to]) * wide + code[~to]))
-            n = np.concatenate((o["n"], n[~to]))
-            order = np.argsort(key, kind="stable")
-            key, n = key[order], n[order]
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
-            key, n = key[first], np.add.reduceat(n, first) if len(first) else n
-            key, n = key[n != 0], n[n != 0]
-            at, code = np.divmod(key, wide)
-            got = {"word": o["word"], "cls": o["cls"], "start": np.searchsorted(at, np.arange(len(o["word"]) + 1)), "code": code, "n": n}
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([got[f].astype(kind).tobytes()], pa.binary()) for f, kind in KINDS.items())], names=["part", *KINDS])
-
-    return stage(rows.repartitionById(parts, F.col("part")).mapInArrow(run, STATE), "lm-contexts")
-
-
-def _part(word: str, parts: int):
-    return F.pmod(F.xxhash64(word), F.lit(parts)).cast("int").alias("part")
-
-
-def _dense(b: pa.RecordBatch, c: int, share: int, turn: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Word, class, times after itself, and words x 3c counts, some words at a
-    time, of the words of one of ``share`` hash groups."""
-    for row in range(b.num_rows):
-        x = _unpacked(b, row)
-        mixed = (x["word"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-        picked = np.flatnonzero(mixed % np.uint64(share) == turn % share)
-        for k in range(0, len(picked), 4096):
-            at = picked[k:k + 4096]
-            size = x["start"][at + 1] - x["start"][at]
-            of = np.repeat(np.arange(len(at)), size)
-            cell = np.arange(len(of)) + np.repeat(x["start"][at] - (np.cumsum(size) - size), size)
-            out = np.zeros((len(at), 3 * c + 1))
-            out[of, x["code"][cell]] = x["n"][cell]
-            yield x["word"][at], x["cls"][at], out[:, 3 * c], out[:, :3 * c]
-
-
-def _class_bigrams(contexts: DataFrame, c: int) -> np.ndarray:
+            o = _joined(old.pop(part, None), added.pop(part, []), c)
+            yield _batch(part, OLD, {f: pack(o[f], w) for f, w in STATE.items()})
+
+    return stage(rows.repartitionById(parts, F.col("part")).mapInArrow(run, ROWS), "lm-states")
+
+
+def _class_bigrams(states: DataFrame, c: int) -> np.ndarray:
     """Class bigrams that hold a word beyond the head."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = np.zeros((c, c))
+        g, wide = np.zeros((c, c)), 3 * c + 1
         for b in batches:
             for row in range(b.num_rows):
-                x, wide = _unpacked(b, row), 3 * c + 1
-                n = np.bincount(np.repeat(x["cls"], np.diff(x["start"])) * wide + x["code"], weights=x["n"], minlength=c * wide).reshape(c, wide)
+                x = _unpacked(b, row, ("cls", "size", "code", "n"))
+                n = np.bincount(np.repeat(x["cls"], x["size"]) * wide + x["code"], weights=x["n"], minlength=c * wide).reshape(c, wide)
                 g += n[:, :c] + n[:, c:2 * c].T
         at = np.flatnonzero(g)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(g.ravel()[at].astype(np.int64), pa.int64())], names=["code", "n"])
 
     g = np.zeros(c * c)
-    for r in contexts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect():     # at most c^2 rows
+    for r in states.select("cls", "size", "code", "n").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect():     # at most c^2 rows
         g[r.code] = r.n
     return g.reshape(c, c)
 
 
-def _moves(contexts: DataFrame, g: np.ndarray, c: int, share: int, turn: int) -> DataFrame:
-    """(word, cls, to) of the words whose best class is another, of one of ``share`` hash groups."""
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one after the other."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
+def _best(x: dict[str, np.ndarray], picked: np.ndarray, g: np.ndarray, c: int) -> np.ndarray:
+    """The best class of the ``picked`` words of a part.  Of words that occur once and
+    have the same class and context, one is worked out for all."""
+    start = np.cumsum(x["size"]) - x["size"]
+    size, cls = x["size"][picked], x["cls"][picked]
+    once = np.flatnonzero(size == 2)
+    code, n = x["code"], x["n"]
+    a, z = start[picked[once]], start[picked[once]] + 1
+    single = (n[a] == 1) & (n[z] == 1) & (code[a] < c) & (code[z] >= c) & (code[z] < 3 * c)
+    once, a, z = once[single], a[single], z[single]
+    _, first, same = np.unique((cls[once] * c + code[a]) * c + code[z] % c, return_index=True, return_inverse=True)
+    rest = np.ones(len(picked), bool)
+    rest[once] = False
+    work = np.concatenate((np.flatnonzero(rest), once[first]))
+    best, steps = cls.copy(), _Steps(g, c - 1)
+    for k in range(0, len(work), 4096):
+        at = work[k:k + 4096]
+        of, cell = np.repeat(np.arange(len(at)), size[at]), _ranges(start[picked[at]], size[at])
+        out = np.zeros((len(at), 3 * c + 1))
+        out[of, code[cell]] = n[cell]
+        best[at] = best_classes(out[:, :c], out[:, c:2 * c] + out[:, 2 * c:3 * c], out[:, 3 * c], cls[at], g, c - 1, steps)
+    best[once] = best[once[first]][same]
+    return best
+
+
+def _moved(states: DataFrame, g: np.ndarray, parts: int, c: int, share: int, turn: int) -> DataFrame:
+    """Rows for the next states: every state with the classes of the moved words of one
+    of ``share`` hash groups, and what the moves change in their neighbours' contexts."""
+    wide = 3 * c + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for word, cls, s, n in _dense(b, c, share, turn):
-                to = best_classes(n[:, :c], n[:, c:2 * c] + n[:, 2 * c:], s, cls, g, c - 1)
-                go = to != cls
-                yield pa.RecordBatch.from_arrays([pa.array(word[go]), pa.array(cls[go], pa.int32()), pa.array(to[go], pa.int32())], names=["word", "cls", "to"])
-
-    return stage(contexts.mapInArrow(run, "word long, cls int, to int"), "lm-moves")
-
-
-def _changes(links: DataFrame, moves: DataFrame, parts: int, c: int) -> DataFrame:
-    """What the moves add to the contexts of the movers' neighbours and take from
-    them, added up, and the movers' classes: (part, word, code, n)."""
-    def side(mover: str, other: str, base: int) -> DataFrame:
-        met = links.join(moves.withColumnRenamed("word", mover), mover)
-        return met.select(F.col(other).alias("word"), F.inline(F.array(F.struct((F.col("cls") + base).alias("code"), (-F.col("n")).alias("n")),
-                                                                       F.struct((F.col("to") + base).alias("code"), F.col("n").alias("n")))))
-
-    both = side("word", "other", 2 * c).union(side("other", "word", 0)).groupBy("word", "code").agg(F.sum("n").alias("n")).where("n <> 0")
-    return both.union(moves.select("word", F.lit(3 * c + 1), F.col("to").cast("long"))).select(_part("word", parts), "word", "code", "n")
-
-
-def exchange_rest(met: DataFrame, start: DataFrame, heads: np.ndarray, p: LmParams) -> tuple[DataFrame, np.ndarray]:
+            for row in range(b.num_rows):
+                x = _unpacked(b, row)
+                mixed = (x["word"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+                picked = np.flatnonzero(mixed % np.uint64(share) == turn % share)
+                to = _best(x, picked, g, c)
+                go = to != x["cls"][picked]
+                word, to = picked[go], to[go]
+                size = x["reach"][word]
+                cell = _ranges((np.cumsum(x["reach"]) - x["reach"])[word], size)
+                base = np.where(x["far"][cell] & 1, 0, 2 * c)  # a word that precedes gets what follows it, and the other way round
+                code = (np.repeat(x["cls"][word], size) + base) * wide + np.repeat(to, size) + base
+                yield from _sent(MOVED, parts, x["far"][cell] >> 1, code, x["times"][cell])
+                x["cls"][word] = to
+                same = {f: b.column(f)[row].as_py() for f in STATE if f != "cls"}
+                yield _batch(b.column("part")[row].as_py(), OLD, same | {"cls": pack(x["cls"], STATE["cls"])})
+
+    return states.mapInArrow(run, ROWS)
+
+
+def exchange_rest(met: DataFrame, start: DataFrame, parts: int, heads: np.ndarray, p: LmParams) -> tuple[DataFrame, np.ndarray]:
     """(word, cls) of every word beyond the head from its class in ``start``, and
     the class bigrams of all tokens; ``met`` are the words' neighbours, ``heads``
     the class bigrams of heads and ends."""
     spark, c = met.sparkSession, p.classes + 1
-    parts = max(8, start.count() // PART_WORDS)
-    links = met.where("link").select("word", "other", "n")
-    rows = met.where("not link").select("word", F.col("other").cast("int").alias("code"), "n").union(start.select("word", F.lit(3 * c + 1), F.col("cls").cast("long")))
-    none = F.lit(None).cast(f"struct<{STATE.replace(' ', ':').replace(',:', ',')}>").alias("old")
-    flat = [F.lit(None).cast(t).alias(f) for f, t in (("word", "long"), ("code", "int"), ("n", "long"))]
-    with settings(spark, ROUNDS):
-        contexts = _contexts(rows.select(_part("word", parts), "word", "code", "n", none), parts, c)
-        discard(met, folder="link=false")
-        g = heads + _class_bigrams(contexts, c)
+
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            word, klass = (b.column(f).to_numpy().astype(np.int64) for f in ("word", "cls"))
+            yield from _sent(CLASSES, parts, word, klass, np.zeros(len(word), np.int64))
+
+    with settings(spark, WORDS):
+        begin = stage(start.mapInArrow(begun, ROWS), "lm-begin")
+    with settings(spark, NARROW):
+        states = _states(met.union(begin), parts, c)
+        discard(begin)
+        g = heads + _class_bigrams(states, c)
         value, share, turn, gains = likelihood(g), 1, 0, []
         while True:
-            moves = _moves(contexts, g, c, share, turn)
-            gain, new = 0.0, None
-            if not moves.isEmpty():
-                packed = contexts.select("part", *flat, F.struct(*contexts.columns).alias("old"))
-                new = _contexts(_changes(links, moves, parts, c).select("*", none).union(packed), parts, c)
-                after = heads + _class_bigrams(new, c)
-                gain = likelihood(after) - value
-                if gain <= 1e-12 * _xlogx(after.sum()):        # no more than rounding: taken back
-                    discard(new, moves)
-                    if share == 64:
-                        break
-                    share *= 2
-                    continue
-                discard(contexts)
-                contexts, g, value = new, after, value + gain
-            discard(moves)
+            new = _states(_moved(states, g, parts, c, share, turn), parts, c)
+            after = heads + _class_bigrams(new, c)
+            gain = likelihood(after) - value
+            if np.array_equal(g, after):                       # no move
+                discard(new)
+                gain = 0.0
+            elif gain <= 1e-12 * _xlogx(after.sum()):          # no more than rounding: taken back
+                discard(new)
+                if share == 64:
+                    break
+                share *= 2
+                continue
+            else:
+                discard(states)
+                states, g, value = new, after, value + gain
             gains.append(gain)
             if len(gains) > 2 and sum(gains[-share:]) <= p.settled * g.sum():
                 break
@@ -523,10 +627,11 @@ def exchange_rest(met: DataFrame, start: DataFrame, heads: np.ndarray, p: LmPara
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in range(b.num_rows):
-                x = _unpacked(b, row)
-                yield pa.RecordBatch.from_arrays([pa.array(x["word"]), pa.array(x["cls"])], names=["word", "cls"])
+                x = _unpacked(b, row, ("word", "cls"))
+                for k in range(0, len(x["word"]), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(x["word"][k:k + 50_000]), pa.array(x["cls"][k:k + 50_000], pa.int32())], names=["word", "cls"])
 
-    return contexts.mapInArrow(classes, "word long, cls int"), g
+    return states.select("word", "cls").mapInArrow(classes, "word long, cls int"), g
 
 
 def first_classes(counts: DataFrame, lookup, cls: np.ndarray, seed: int, p: LmParams) -> DataFrame:
@@ -535,16 +640,17 @@ def first_classes(counts: DataFrame, lookup, cls: np.ndarray, seed: int, p: LmPa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = lookup.value
         for b in batches:
-            tokens = b.column(0).to_pylist()
-            ends = np.array([t is None for t in tokens], bool)
-            at, units, rare = look.places([t or b"" for t in tokens])
+            words_ = b.column(0).cast(pa.large_binary())
+            ends = words_.is_null().to_numpy(zero_copy_only=False)
+            words_ = pc.fill_null(words_, b"")
+            at, units, rare = look.found(words_)
             units = np.where(ends, p.units, look.bucket[units])
-            for k, w in rare:
-                at[k] = word_number(w, seed)
-            heads = ends | ((at >= 0) & (at < look.head))
+            at[rare] = [word_number(w, seed) for w in words_.take(pa.array(rare)).to_pylist()]
+            heads = ends | (at < look.head)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cls[units], pa.int32()), pa.array(at, pa.int64(), mask=heads)], names=["word", "n", "cls", "id"])
 
-    return stage(counts.mapInArrow(run, "word binary, n long, cls int, id long"), "lm-first")
+    with settings(counts.sparkSession, WORDS):
+        return stage(counts.mapInArrow(run, "word binary, n long, cls int, id long"), "lm-first")
 
 
 def fit(train: DataFrame, text: str = "text", params: LmParams = LmParams()):
@@ -567,14 +673,15 @@ def _fit(train: DataFrame, text: str, p: LmParams):
     hot = np.eye(p.classes + 1)[cls[known]]
     seed = 0
     first = first_classes(counts, lookup, cls, seed, p)
-    while not first.where("id < 0").groupBy("id").count().where("count > 1").isEmpty():     # no two words share a number
+    while not first.where(F.col("id") >= RARE).groupBy("id").count().where("count > 1").isEmpty():     # no two words share a number
         seed += 1
         first = first_classes(counts, lookup, cls, seed, p)
-    met = stage(neighbours(texts, lookup, cls, seed, p), "lm-neighbours", "link")
-    rest, g = exchange_rest(met, first.where("id is not null").select(F.col("id").alias("word"), "cls"), hot.T @ big[np.ix_(known, known)] @ hot, p)
+    start = first.where("id is not null").select(F.col("id").alias("word"), "cls")
+    parts = max(8, start.count() // PART_WORDS)
+    rest, g = exchange_rest(neighbours(texts, lookup, cls, seed, parts, p), start, parts, hot.T @ big[np.ix_(known, known)] @ hot, p)
     rest = rest.select(F.col("word").alias("id"), F.col("cls").alias("own"))
     table = stage(first.join(rest, "id", "left").select("word", "n", F.coalesce("own", "cls").alias("cls")), "lm-words")
-    discard(first, met)
+    discard(first)
     mass, types = np.zeros(p.classes + 1), np.zeros(p.classes + 1)
     for r in table.groupBy("cls").agg(F.sum("n").alias("mass"), F.count(F.lit(1)).alias("types")).collect():     # at most one row a class
         mass[r.cls], types[r.cls] = r.mass, r.types
@@ -608,26 +715,32 @@ def score(df: DataFrame, fitted, doc_id: str = "doc_id", text: str = "text") ->
         base_of = np.log10((look.counts + 0.1) / base_norm)
         emit_of = np.log10((look.counts + p.alpha) / m.norm[cls[look.unit]])
         base_of[miss] = emit_of[miss] = 0.0        # rare words follow by the join
+        names = ["row", "doc_id", "n_tokens", "n_known", "base", "own", "word", "k", "unseen", "before", "after"]
         base_end = np.log10((m.ends + 0.1) / base_norm)
-        for b in batches:
-            docs, rare_rows = [], []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1)):
-                tokens = keys(t.as_py())
-                at, units, rare = look.places(tokens)
-                c = cls[np.concatenate(([p.units], units, [p.units]))]
-                known = np.concatenate(([True], at != miss, [True]))
-                own = m.trans[c[:-1], c[1:]][known[:-1] & known[1:]].sum() + emit_of[at].sum()
-                docs.append((row, i, len(tokens) + 1, len(tokens) - len(rare) + (m.ends > 0), base_of[at].sum() + base_end, own))
-                for k, w in rare:                  # place k has its neighbours at k and k + 2 of ``known``
-                    rare_rows.append((row, w, k, int(c[k + 1]), int(c[k]) if known[k] else None, int(c[k + 2]) if known[k + 2] else None))
-                row += 1
-            n, k = len(docs), len(rare_rows)
+        for b in chunks(batches, CHUNK):
+            of, text, distinct = tokenised(b.column(1))
+            at, units, _ = look.found(distinct)
+            size, klass = b.num_rows, cls[units]
+            c = between(klass[of], text, size, p.classes)
+            known = between((at != miss)[of], text, size, True)
+            ends = np.flatnonzero(between(np.zeros(len(of), bool), text, size, True))
+            steps = np.where(known[:-1] & known[1:], m.trans[c[:-1], c[1:]], 0.0)
+            added = lambda x: np.bincount(text, weights=x, minlength=size)      # noqa: E731
+            tokens, missed = (np.bincount(x, minlength=size) for x in (text, text[at[of] == miss]))
+            own = np.add.reduceat(steps, ends[:-1]) + added(emit_of[at][of])
+            base = added(base_of[at][of]) + base_end
             yield pa.RecordBatch.from_arrays([
-                pa.array([d[0] for d in docs] + [r[0] for r in rare_rows], pa.int64()), pa.array([d[1] for d in docs] + [None] * k, pa.int64()),
-                pa.array([d[2] for d in docs] + [None] * k, pa.int64()), pa.array([d[3] for d in docs] + [None] * k, pa.int64()),
-                pa.array([d[4] for d in docs] + [None] * k, pa.float64()), pa.array([d[5] for d in docs] + [None] * k, pa.float64()),
-                *(pa.array([None] * n + [r[j] for r in rare_rows], kind) for j, kind in ((1, pa.binary()), (2, pa.int64()), (3, pa.int32()), (4, pa.int32()), (5, pa.int32())))],
-                names=["row", "doc_id", "n_tokens", "n_known", "base", "own", "word", "k", "unseen", "before", "after"])
+                pa.array(np.arange(row, row + size)), b.column(0), pa.array(tokens + 1), pa.array(tokens - missed + (m.ends > 0)), pa.array(base), pa.array(own),
+                *(pa.nulls(size, kind) for kind in (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=names)
+            rare = np.flatnonzero(at[of] == miss)
+            here = rare + text[rare] + 1               # places in ``c`` and ``known``
+            for k in range(0, len(rare), 20_000):
+                x, z = rare[k:k + 20_000], here[k:k + 20_000]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(row + text[x].astype(np.int64)), *(pa.nulls(len(x), kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())),
+                    distinct.take(pa.array(of[x])).cast(pa.binary()), pa.array(x.astype(np.int64)), pa.array(klass[of[x]], pa.int32()),
+                    pa.array(c[z - 1], pa.int32(), mask=~known[z - 1]), pa.array(c[z + 1], pa.int32(), mask=~known[z + 1])], names=names)
+            row += size
 
     both = stage(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
                    .mapInArrow(run, "row long, doc_id long, n_tokens long, n_known long, base double, own double, word binary, k long, unseen int, before int, after int"), "lm-parts")
