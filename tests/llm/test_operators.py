@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from hypothesis import given, settings
@@ -618,6 +619,39 @@ def test_contexts_after_moves_are_those_counted_anew(spark):
         assert np.allclose(10 ** model.trans[use], (g / g.sum(axis=1, keepdims=True))[use])
 
 
+def test_rounds_send_packed_parts_not_pairs(spark, monkeypatch):
+    """No table of the rounds has a row for each pair of words, or for each word's context."""
+    rng = random.Random(4)
+    vocab = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join(rng.choice(vocab) for _ in range(60)), None, None) for k in range(100)]
+    sizes, write = {}, class_lm.stage
+
+    def stage(df, name, *by):
+        out = write(df, name, *by)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(class_lm, "stage", stage)
+    class_lm.fit(docs_of(spark, rows), params=class_lm.LmParams(head=4, endings=6, classes=5, lookup=20))
+    assert max(sizes.values()) <= 401                          # words and their end
+
+
+def test_tokens_of_many_texts_are_those_of_keys():
+    texts = [" a  B\x0b c\n", "", None, "É x \x1cy z " + "q" * 70, "w\x85 a", "ABC" * 40, " "]
+    word, text, distinct = class_lm.tokenised(pa.array(texts, pa.large_string()))
+    got = [[] for _ in texts]
+    for w, t in zip(word, text):
+        got[t].append(distinct[int(w)].as_py())
+    assert got == [class_lm.keys(t) for t in texts]
+
+
+@pytest.mark.parametrize("width", [1, 2, 3])
+def test_packed_numbers_come_back(width):
+    x = np.array([0, 1, 254, 255, 256, 65535, (1 << 24) - 1, 1 << 24, (1 << 62) - 1])
+    for part in (x, x[:2], x[:0]):
+        assert class_lm.unpack(class_lm.pack(part, width), width).tolist() == part.tolist()
+
+
 def test_scores_without_training_rows(spark):
     setup(spark)
     none = spark.createDataFrame([], "doc_id long, text string")

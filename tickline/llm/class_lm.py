@@ -11,11 +11,11 @@ likelihood of the training bigrams most, until no move helps.
   matrix is counted over all training tokens; its size is bounded by
   (head + endings)^2 whatever the corpus, so these passes run in one place.
 * Then every other training word starts in its ending's class and moves by the
-  same criterion, in batched rounds over Spark.  A table holds the counts of each
-  word's neighbours' classes, packed by parts of the words.  Every word finds
-  its best class given all others; what the moves change in their neighbours'
-  counts is aggregated by shuffle and added to the parts, so a round's rows are in
-  proportion to its moves.  All words move in the first round, then one hash
+  same criterion, in batched rounds over Spark.  A table holds a row for each part of
+  the words, by hash: packed counts of their neighbours' classes and of the
+  neighbours beyond the head themselves.  Every word finds its best class given
+  all others; what the moves change in their neighbours' counts goes, packed, to
+  the neighbours' parts by shuffle.  All words move in the first round, then one hash
   half after the other.  A round that lowers the likelihood, or leaves it, is taken
   back and tried with half of its words.  Rounds end when a sweep raises the
   likelihood by no more than ``settled`` (nats a token) or when not even a 64th
@@ -44,6 +44,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +52,7 @@ from tickline.llm.common import discard, settings, stage, words
 
 LONGEST = 64               # bytes up to which a word stands for itself
 CHUNK = 12_000_000         # bytes of text that a task takes at once
+SPAN = 1 << 18             # unit bigrams whose counts are added up in one place
 RARE = 1 << 60             # numbers of words that have no place in the lookup start here
 LEVELS = 100_000           # counts from here on are one level of the threshold search
 
@@ -151,9 +153,11 @@ def ending(word: bytes, p: LmParams) -> int:
     return p.head + zlib.crc32(word[-3:]) % p.endings
 
 
-def word_number(word: bytes, seed: int) -> int:
-    """A number from ``RARE`` on for a word that has no place in the lookup."""
-    return RARE | int.from_bytes(hashlib.blake2b(word, digest_size=8, salt=seed.to_bytes(8)).digest()) >> 4
+def word_numbers(found: list[bytes], seed: int) -> np.ndarray:
+    """Numbers from ``RARE`` on for words that have no place in the lookup."""
+    if not found:
+        return np.empty(0, np.int64)
+    return (hash_array(np.array(found, object), hash_key=f"{seed:016d}", categorize=False) >> np.uint64(4)).astype(np.int64) | RARE
 
 
 class Lookup:
@@ -168,18 +172,15 @@ class Lookup:
         self.unit = np.array([k if k < p.head else p.units + 1 + k - p.head for k in range(len(top))] + [0], np.int32)
         self.bucket = np.array([*range(p.units + 1), *(ending(w, p) for w, _ in top[p.head:])], np.int32)
 
-    def found(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``places`` of the words of an Arrow array, with the places in it of those that are not there."""
-        if not hasattr(self, "values"):
-            self.values = pa.array(list(self.at), pa.large_binary())
-        miss = len(self.at)
-        at = pc.fill_null(pc.index_in(distinct, value_set=self.values), miss).to_numpy().astype(np.int64)
+    def found(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """``places`` of the words of an Arrow array, with the places in it of those
+        that are not there, and these words."""
+        miss, tokens = len(self.at), distinct.to_pylist()
+        at = np.fromiter(map(self.at.get, tokens, repeat(miss)), np.int64, len(tokens))
         units, rare = self.unit[at], np.flatnonzero(at == miss)
-        units[rare] = [ending(w, self.p) for w in distinct.take(pa.array(rare)).to_pylist()]
-        return at, units, rare
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "values"}
+        last = pc.binary_slice(distinct.take(pa.array(rare)), -3).dictionary_encode()
+        units[rare] = np.array([ending(w, self.p) for w in last.dictionary.to_pylist()], np.int32)[last.indices.to_numpy()]
+        return at, units, rare, [tokens[k] for k in rare]
 
     def places(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, bytes]]]:
         """Place in the lookup of each token (the last place if it is not
@@ -211,14 +212,28 @@ def unit_bigrams(texts: DataFrame, lookup, p: LmParams) -> np.ndarray:
             seq = between(look.bucket[look.found(distinct)[1]][word], text, b.num_rows, p.units).astype(np.int64)
             total += np.bincount(seq[:-1] * size + seq[1:], minlength=size * size)
         at = np.flatnonzero(total)
-        for k in range(0, len(at), 100_000):
-            part = at[k:k + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part], pa.int64())], names=["code", "n"])
+        cuts = np.searchsorted(at, np.arange(spans + 1) * SPAN)
+        for k in np.flatnonzero(np.diff(cuts)):
+            part = at[cuts[k]:cuts[k + 1]]
+            yield rows(int(k), part - k * SPAN, total[part])
+
+    def rows(span: int, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([span], pa.int32()), pa.array([pack(code, 3)], pa.binary()), pa.array([pack(n, 1)], pa.binary())], names=["span", "code", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {}
+        for b in batches:
+            for span, code, n in zip(b.column("span").to_pylist(), b.column("code"), b.column("n")):
+                total.setdefault(span, np.zeros(SPAN, np.int64))[unpack(code.as_buffer(), 3)] += unpack(n.as_buffer(), 1)
+        for span, n in total.items():
+            at = np.flatnonzero(n)
+            yield rows(span, at, n[at])
 
-    got = texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()     # at most size^2 rows
-    out = np.zeros(size * size)
-    out[got.code.to_numpy(np.int64)] = got.n.to_numpy(float)
-    return out.reshape(size, size)
+    spans, packed = -(-size * size // SPAN), "span int, code binary, n binary"
+    out = np.zeros(spans * SPAN)
+    for r in texts.mapInArrow(run, packed).repartitionById(spans, F.col("span")).mapInArrow(add, packed).collect():     # at most size^2 counts
+        out[r.span * SPAN + unpack(r.code, 3)] = unpack(r.n, 1)
+    return out[:size * size].reshape(size, size)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -352,8 +367,8 @@ def neighbours(texts: DataFrame, lookup, cls: np.ndarray, seed: int, parts: int,
         first = len(look.at)
         for b in chunks(batches, CHUNK):
             of, text, distinct = tokenised(b.column(0))
-            at, units, rare = look.found(distinct)
-            number = np.concatenate((np.arange(first), np.array([word_number(w, seed) for w in distinct.take(pa.array(rare)).to_pylist()], np.int64)))
+            at, units, rare, missed = look.found(distinct)
+            number = np.concatenate((np.arange(first), word_numbers(missed, seed)))
             at[rare] = np.arange(first, len(number))           # from here on, places in ``number``
             klass = between(cls[look.bucket[units]][of], text, b.num_rows, p.classes)
             at = between(at[of], text, b.num_rows, -1)
@@ -393,7 +408,7 @@ class _Steps:
         self.totals = [_steps(g.sum(axis=1)[:k]), _steps(g.sum(axis=0)[:k])]
 
 
-FEW = 3                    # counts up to here are added up for all words at once
+FEW = 1                    # counts up to here are added up for all words at once
 
 
 def best_classes(r0: np.ndarray, q0: np.ndarray, s: np.ndarray, a: np.ndarray, g: np.ndarray, k: int, steps: _Steps | None = None) -> np.ndarray:
@@ -453,6 +468,7 @@ def best_classes(r0: np.ndarray, q0: np.ndarray, s: np.ndarray, a: np.ndarray, g
 
 
 CLEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}      # shuffle files go with their jobs
+BLOCK = 1024               # words whose classes are worked out at once
 PART_WORDS = 100_000       # words of one part, on average
 
 
@@ -484,8 +500,15 @@ def _joined(old: dict | None, rows: list[tuple[int, tuple[np.ndarray, np.ndarray
     if len(at[ADDED]) or len(at[MOVED]):
         was, to = np.divmod(of[MOVED][1], wide)
         more, m = _sums(np.concatenate((at[ADDED] * wide + of[ADDED][1], at[MOVED] * wide + was, at[MOVED] * wide + to)), np.concatenate((of[ADDED][2], -of[MOVED][2], of[MOVED][2])))
-        key, n = _sums(np.concatenate((np.repeat(places, o["size"]) * wide + o["code"], more)), np.concatenate((o["n"], m)))
-        o = o | {"size": np.bincount(key // wide, minlength=len(places)), "code": key % wide, "n": n}
+        key = np.repeat(places * wide, o["size"]) + o["code"]
+        to = np.searchsorted(key, more)
+        had = np.append(key, -1)[to] == more
+        n = o["n"].copy()
+        n[to[had]] += m[had]
+        left = n != 0
+        new, size = to[~had], np.bincount(more[~had] // wide, minlength=len(places)) - np.bincount(key[~left] // wide, minlength=len(places))
+        left = np.insert(left, new, True)
+        o = o | {"size": o["size"] + size, "code": np.insert(o["code"], new, more[~had] % wide)[left], "n": np.insert(n, new, m[~had])[left]}
     if len(at[LINKS]):                                         # all come with the first rows
         order = np.lexsort((of[LINKS][1], at[LINKS]))
         word, far, n = at[LINKS][order], of[LINKS][1][order], of[LINKS][2][order]
@@ -497,16 +520,18 @@ def _joined(old: dict | None, rows: list[tuple[int, tuple[np.ndarray, np.ndarray
 def _states(rows: DataFrame, parts: int, c: int) -> DataFrame:
     """A state for each part, from its ``rows``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        old, added = {}, {}
+        old, kept, added = {}, {}, {}
         for b in batches:
             for k, (part, kind) in enumerate(zip(b.column("part").to_pylist(), b.column("kind").to_pylist())):
                 if kind == OLD:
-                    old[part] = _unpacked(b, k)
+                    kept[part] = {f: b.column(f)[k].as_py() for f in ("word", "cls", "reach", "far", "times")}
+                    old[part] = _unpacked(b, k, ("word", "size", "code", "n"))
                 else:
                     added.setdefault(part, []).append((kind, tuple(unpack(b.column(f)[k].as_buffer(), w) for f, w in zip(("word", "code", "n"), WIDTHS[kind]))))
         for part in sorted({*old, *added}):
             o = _joined(old.pop(part, None), added.pop(part, []), c)
-            yield _batch(part, OLD, {f: pack(o[f], w) for f, w in STATE.items()})
+            same = kept.pop(part, {})
+            yield _batch(part, OLD, same | {f: pack(o[f], w) for f, w in STATE.items() if f not in same})
 
     return stage(rows.repartitionById(parts, F.col("part")).mapInArrow(run, ROWS), "lm-states")
 
@@ -549,8 +574,8 @@ def _best(x: dict[str, np.ndarray], picked: np.ndarray, g: np.ndarray, c: int) -
     rest[once] = False
     work = np.concatenate((np.flatnonzero(rest), once[first]))
     best, steps = cls.copy(), _Steps(g, c - 1)
-    for k in range(0, len(work), 4096):
-        at = work[k:k + 4096]
+    for k in range(0, len(work), BLOCK):
+        at = work[k:k + BLOCK]
         of, cell = np.repeat(np.arange(len(at)), size[at]), _ranges(start[picked[at]], size[at])
         out = np.zeros((len(at), 3 * c + 1))
         out[of, code[cell]] = n[cell]
@@ -567,7 +592,7 @@ def _moved(states: DataFrame, g: np.ndarray, parts: int, c: int, share: int, tur
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in range(b.num_rows):
-                x = _unpacked(b, row)
+                x = _unpacked(b, row, [f for f in STATE if f != "far"])
                 mixed = (x["word"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
                 picked = np.flatnonzero(mixed % np.uint64(share) == turn % share)
                 to = _best(x, picked, g, c)
@@ -575,9 +600,10 @@ def _moved(states: DataFrame, g: np.ndarray, parts: int, c: int, share: int, tur
                 word, to = picked[go], to[go]
                 size = x["reach"][word]
                 cell = _ranges((np.cumsum(x["reach"]) - x["reach"])[word], size)
-                base = np.where(x["far"][cell] & 1, 0, 2 * c)  # a word that precedes gets what follows it, and the other way round
+                far = unpack(b.column("far")[row].as_buffer(), STATE["far"])[cell]
+                base = np.where(far & 1, 0, 2 * c)  # a word that precedes gets what follows it, and the other way round
                 code = (np.repeat(x["cls"][word], size) + base) * wide + np.repeat(to, size) + base
-                yield from _sent(MOVED, parts, x["far"][cell] >> 1, code, x["times"][cell])
+                yield from _sent(MOVED, parts, far >> 1, code, x["times"][cell])
                 x["cls"][word] = to
                 same = {f: b.column(f)[row].as_py() for f in STATE if f != "cls"}
                 yield _batch(b.column("part")[row].as_py(), OLD, same | {"cls": pack(x["cls"], STATE["cls"])})
@@ -643,9 +669,9 @@ def first_classes(counts: DataFrame, lookup, cls: np.ndarray, seed: int, p: LmPa
             words_ = b.column(0).cast(pa.large_binary())
             ends = words_.is_null().to_numpy(zero_copy_only=False)
             words_ = pc.fill_null(words_, b"")
-            at, units, rare = look.found(words_)
+            at, units, rare, missed = look.found(words_)
             units = np.where(ends, p.units, look.bucket[units])
-            at[rare] = [word_number(w, seed) for w in words_.take(pa.array(rare)).to_pylist()]
+            at[rare] = word_numbers(missed, seed)
             heads = ends | (at < look.head)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cls[units], pa.int32()), pa.array(at, pa.int64(), mask=heads)], names=["word", "n", "cls", "id"])
 
@@ -719,7 +745,7 @@ def score(df: DataFrame, fitted, doc_id: str = "doc_id", text: str = "text") ->
         base_end = np.log10((m.ends + 0.1) / base_norm)
         for b in chunks(batches, CHUNK):
             of, text, distinct = tokenised(b.column(1))
-            at, units, _ = look.found(distinct)
+            at, units, *_ = look.found(distinct)
             size, klass = b.num_rows, cls[units]
             c = between(klass[of], text, size, p.classes)
             known = between((at != miss)[of], text, size, True)
